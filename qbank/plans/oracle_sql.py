@@ -83,3 +83,99 @@ ORACLES = {
 
 def oracle_sql() -> dict[str, str]:
     return {k: f() for k, f in ORACLES.items()}
+
+
+# -- E1 feed ---------------------------------------------------------------------
+
+SECTIONS_CTE = """
+sec_src AS (
+  SELECT doc_id, text, source, string_split(text, chr(10)) AS ln,
+         'https://books.example.org/books/' || source || '/pages/' || CAST(doc_id AS VARCHAR) || '-'
+           || ['self-check-questions', 'key-terms', 'key-concepts-and-summary'][doc_id % 3 + 1]
+           AS chapter_url
+  FROM documents
+),
+sec_q AS (
+  SELECT *, string_split(chapter_url, '/')[-1] AS chapter_name,
+         string_split(chapter_url, '/')[5] AS textbook_name,
+         chr(10) || CAST(doc_id % 20 + 1 AS VARCHAR) || '. ' || chr(10) || chr(10) || ln[1] || chr(10) AS q,
+         array_to_string(ln[2:], chr(10)) AS a
+  FROM sec_src
+),
+sections AS (
+  SELECT doc_id,
+         CASE WHEN doc_id % 3 = 0 THEN 'self-check-questions'
+              ELSE array_to_string(list_slice(string_split(chapter_name, '-'), 2, len(string_split(chapter_name, '-'))), '') END AS section_name,
+         CASE WHEN doc_id % 3 = 0 THEN 'Question: ' || q || ' Answer: ' || a ELSE text END AS section_text,
+         chapter_name, textbook_name, chapter_url,
+         CASE WHEN doc_id % 3 = 0 THEN q END AS question,
+         CASE WHEN doc_id % 3 = 0 THEN a END AS answer
+  FROM sec_q
+)"""
+
+
+def url_parts() -> str:
+    return """
+SELECT page_id, string_split(url, '/')[-1] AS chapter_name,
+       string_split(url, '/')[5] AS textbook_name,
+       array_to_string(list_slice(string_split(string_split(url, '/')[-1], '-'), 2,
+                       len(string_split(string_split(url, '/')[-1], '-'))), '') AS section_name,
+       left(url, length(url) - length(string_split(url, '/')[-1])) AS base_url
+FROM pages"""
+
+
+def sections() -> str:
+    return f"WITH {SECTIONS_CTE} SELECT * FROM sections"
+
+
+def section_counts() -> str:
+    return f"WITH {SECTIONS_CTE} SELECT section_name, count(*) AS n_sections FROM sections GROUP BY 1"
+
+
+def self_check_questions() -> str:
+    return f"""WITH {SECTIONS_CTE}
+SELECT doc_id, chapter_name, question, answer,
+       regexp_replace(question, '^\\s*\\d+\\.\\s*', '') AS clean_question,
+       CAST(row_number() OVER (ORDER BY doc_id) - 1 AS BIGINT) AS row_index
+FROM sections WHERE section_name = 'self-check-questions'"""
+
+
+QA_CTE = """
+qa AS (
+  SELECT u.conv_id * 1000 + u.turn AS seq,
+         chr(10) || CAST(u.turn // 2 + 1 AS VARCHAR) || '. ' || chr(10) || chr(10) || u.text || chr(10) AS question,
+         a.text AS answer,
+         'https://books.example.org/books/conversations/pages/' || CAST(u.conv_id AS VARCHAR) || '-self-check-questions' AS chapter_url
+  FROM conversations u JOIN conversations a
+    ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
+  WHERE u.role = 'user'
+)"""
+
+
+def qa_pairs() -> str:
+    return f"""WITH {QA_CTE}
+SELECT seq, 'self-check-questions' AS section_name,
+       'Question: ' || question || ' Answer: ' || answer AS section_text,
+       string_split(chapter_url, '/')[-1] AS chapter_name,
+       string_split(chapter_url, '/')[5] AS textbook_name,
+       chapter_url, question, answer,
+       regexp_replace(question, '^\\s*\\d+\\.\\s*', '') AS clean_question
+FROM qa"""
+
+
+def delivery_records() -> str:
+    return f"""WITH {SECTIONS_CTE}
+SELECT section_text AS text, '2024-11-01' AS date_downloaded, chapter_url AS site_url,
+       chapter_name AS chapter, section_name AS section, textbook_name AS textbook,
+       '2052' AS volunteer_id, 'Atlanta, USA' AS location
+FROM sections"""
+
+
+ORACLES.update({
+    "url_parts": url_parts,
+    "sections": sections,
+    "section_counts": section_counts,
+    "self_check_questions": self_check_questions,
+    "qa_pairs": qa_pairs,
+    "delivery_records": delivery_records,
+})

@@ -3,7 +3,14 @@
 from __future__ import annotations
 
 from qbank.plans import evaluation as EVP
+from qbank.plans import feed as FD
 
 QUERIES = {
     "mcq_accuracy": EVP.mcq_accuracy,
+    "url_parts": FD.url_parts,
+    "sections": FD.sections,
+    "section_counts": FD.section_counts,
+    "self_check_questions": FD.self_check_questions,
+    "qa_pairs": FD.qa_pairs,
+    "delivery_records": FD.delivery_records,
 }

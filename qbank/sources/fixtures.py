@@ -71,7 +71,7 @@ def qa_pairs(conversations: DataFrame) -> DataFrame:
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("a"))
     url = F.concat(F.lit(BOOK_HOST), F.lit("conversations/pages/"),
                    F.col("conv_id").cast("string"), F.lit("-self-check-questions"))
-    question = F.concat(F.lit("\n"), (F.col("turn") / 2 + 1).cast("bigint").cast("string"),
+    question = F.concat(F.lit("\n"), F.expr("turn div 2 + 1").cast("string"),
                         F.lit(". \n\n"), F.col("q"), F.lit("\n"))
     return (u.join(a, ["conv_id", "turn"])
             .select((F.col("conv_id") * 1000 + F.col("turn")).alias("seq"),
