@@ -82,6 +82,7 @@ ORACLES = {
 
 
 def oracle_sql() -> dict[str, str]:
+    import qbank.plans.oracle_eval  # noqa: F401  (registers its oracles)
     return {k: f() for k, f in ORACLES.items()}
 
 

@@ -13,4 +13,13 @@ QUERIES = {
     "self_check_questions": FD.self_check_questions,
     "qa_pairs": FD.qa_pairs,
     "delivery_records": FD.delivery_records,
+    "shuffled_mcqs": EVP.shuffled_mcqs,
+    "answer_log": EVP.answer_log_table,
+    "enriched_log": EVP.enriched_log,
+    "spot_check": EVP.spot_check,
+    "pick_row": EVP.pick_row,
+    "first_rows": EVP.first_rows,
+    "classified_questions": EVP.classified_questions,
+    "batch_requests": EVP.batch_request_fields,
+    "batch_accuracy": EVP.batch_accuracy,
 }
