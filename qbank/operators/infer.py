@@ -193,11 +193,12 @@ def _call_backend(backend: Backend):
 
 def infer(requests: DataFrame, backend: Backend, *, cache: DataFrame | None = None,
           num_partitions: int | None = None, materialize: bool = True,
-          name: str = "replies") -> DataFrame:
+          name: str = "replies", keep_prompt: bool = False) -> DataFrame:
     """Run each request through ``backend`` once per distinct request.
 
     Returns the request columns that are not model inputs (``request_id`` and
-    any kept columns) plus ``cache_key, response, status, error``.
+    any kept columns; ``prompt`` too with ``keep_prompt``) plus
+    ``cache_key, response, status, error``.
     """
     keyed = requests.withColumn("cache_key", cache_key_col())
     todo = keyed.select(*REQUEST_COLUMNS[1:], "cache_key").dropDuplicates(["cache_key"])
@@ -210,5 +211,6 @@ def infer(requests: DataFrame, backend: Backend, *, cache: DataFrame | None = No
         replies = replies.unionByName(cache.select(*REPLY_SCHEMA.fieldNames()))
     if materialize:
         replies = _materialize(replies, name)
-    rest = [c for c in keyed.columns if c not in REQUEST_COLUMNS[1:]]
+    rest = [c for c in keyed.columns
+            if c not in REQUEST_COLUMNS[1:] or (keep_prompt and c == "prompt")]
     return keyed.select(*rest).join(replies, "cache_key", "left")

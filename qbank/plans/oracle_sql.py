@@ -82,7 +82,8 @@ ORACLES = {
 
 
 def oracle_sql() -> dict[str, str]:
-    import qbank.plans.oracle_eval  # noqa: F401  (registers its oracles)
+    import qbank.plans.oracle_eval  # noqa: F401  (each module registers its oracles)
+    import qbank.plans.oracle_gen  # noqa: F401
     return {k: f() for k, f in ORACLES.items()}
 
 

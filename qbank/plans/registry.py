@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from qbank.plans import evaluation as EVP
 from qbank.plans import feed as FD
+from qbank.plans import generation as GEN
 
 QUERIES = {
     "mcq_accuracy": EVP.mcq_accuracy,
@@ -22,4 +23,7 @@ QUERIES = {
     "classified_questions": EVP.classified_questions,
     "batch_requests": EVP.batch_request_fields,
     "batch_accuracy": EVP.batch_accuracy,
+    "keypoint_sampling": GEN.keypoint_sampling,
+    "generated_mcqs": GEN.generated_mcqs,
+    "generated_shuffled": GEN.generated_shuffled,
 }
