@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from qbank.plans import crawl as CR
 from qbank.plans import evaluation as EVP
 from qbank.plans import feed as FD
 from qbank.plans import generation as GEN
@@ -26,4 +27,16 @@ QUERIES = {
     "keypoint_sampling": GEN.keypoint_sampling,
     "generated_mcqs": GEN.generated_mcqs,
     "generated_shuffled": GEN.generated_shuffled,
+    "toc_links": CR.toc_links,
+    "econ_key_terms": CR.econ_key_terms,
+    "econ_key_concepts": CR.econ_key_concepts,
+    "econ_self_check": CR.econ_self_check,
+    "main_texts": CR.main_texts,
+    "finance_key_terms": CR.finance_key_terms,
+    "finance_summary": CR.finance_summary,
+    "finance_multiple_choice": CR.finance_multiple_choice,
+    "finance_review": CR.finance_review,
+    "finance_problems": CR.finance_problems,
+    "finance_chapters": CR.finance_chapters,
+    "crawl_section_counts": CR.crawl_section_counts,
 }
