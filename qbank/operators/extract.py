@@ -58,6 +58,19 @@ def has_ancestor(nodes, n, pred) -> Column:
     return F.exists(as_col(nodes), lambda a: pred(a) & inside(n, a))
 
 
+def within_any(nodes, container_pred, pred, scope=None) -> Column:
+    """Nodes matching ``pred`` that lie inside some element matching
+    ``container_pred`` (optionally only containers inside ``scope``), in
+    document order, each once. Cost is containers x nodes, not nodes^2: the
+    outermost containers are disjoint, so each node is scanned per outer
+    container only."""
+    nodes = as_col(nodes)
+    cs = F.filter(nodes, lambda c: container_pred(c) & (inside(c, scope) if scope is not None
+                                                         else F.lit(True)))
+    outer = F.filter(cs, lambda c: ~F.exists(cs, lambda d: inside(c, d)))
+    return F.flatten(F.transform(outer, lambda c: F.filter(nodes, lambda n: inside(n, c) & pred(n))))
+
+
 def first(arr) -> Column:
     return F.get(arr, 0)
 
@@ -85,8 +98,8 @@ def truthy(c) -> Column:
 
 def toc_links(nodes, link_class: str) -> Column:
     """``ol a.<class>::attr(href)`` in document order."""
-    anchors = F.filter(as_col(nodes), lambda n: is_el(n, "a") & has_class(n, link_class)
-                       & has_ancestor(nodes, n, lambda a: is_el(a, "ol")))
+    anchors = within_any(nodes, lambda o: is_el(o, "ol"),
+                         lambda n: is_el(n, "a") & has_class(n, link_class))
     return F.filter(F.transform(anchors, lambda a: attr(a, "href")), lambda h: h.isNotNull())
 
 
@@ -112,8 +125,7 @@ def problems_text(nodes) -> Column:
 # -- econ pages ------------------------------------------------------------------------
 
 def _under_main(nodes, pred):
-    return F.filter(as_col(nodes), lambda n: pred(n) & has_ancestor(
-        nodes, n, lambda a: is_el(a, "div") & attr_is(a, "id", "main-content")))
+    return within_any(nodes, lambda a: is_el(a, "div") & attr_is(a, "id", "main-content"), pred)
 
 
 def key_terms_by_dl(nodes) -> Column:
@@ -134,8 +146,8 @@ def key_concepts(nodes) -> Column:
     joined by a space."""
     secs = _under_main(nodes, lambda n: is_el(n, "section") & has_class(n, "summary"))
     pairs = F.transform(secs, lambda s: F.struct(
-        first(direct_texts(within(nodes, s, lambda n: has_class(n, "os-text") & is_el(n)
-                                  & has_ancestor(nodes, n, lambda h: is_el(h, "h2") & inside(h, s))))
+        first(direct_texts(within_any(nodes, lambda h: is_el(h, "h2"),
+                                      lambda n: has_class(n, "os-text") & is_el(n), scope=s))
               ).alias("concept"),
         F.array_join(direct_texts(within(nodes, s, lambda n: is_el(n, "p"))), " ")
         .alias("definition")))
@@ -221,9 +233,11 @@ def chapter_intro_econ(nodes) -> Column:
 def key_terms_zipped(nodes) -> Column:
     """X13 (+J6): all ``dl dt::text`` zipped with all ``dl dd::text``,
     truncated to the shorter list; stripped; no emptiness filter (T11)."""
+    mains = main_content(nodes)
+
     def texts_of(tag):
-        return direct_texts(_under_main(nodes, lambda n: is_el(n, tag) & has_ancestor(
-            nodes, n, lambda a: is_el(a, "dl"))))
+        return direct_texts(F.flatten(F.transform(mains, lambda m: within_any(
+            nodes, lambda a: is_el(a, "dl"), lambda n: is_el(n, tag), scope=m))))
     terms, defs = texts_of("dt"), texts_of("dd")
     z = F.slice(F.arrays_zip(terms.alias("t"), defs.alias("d")), 1,
                 F.least(F.size(terms), F.size(defs)))
@@ -253,10 +267,10 @@ def multiple_choice(nodes) -> Column:
     cons = _under_main(nodes, lambda n: is_el(n, "div") & has_class(n, "os-problem-container"))
     out = F.transform(cons, lambda c: F.struct(
         _stem(nodes, c).alias("question"),
-        direct_texts(within(nodes, c, lambda n: is_el(n, "div")
-                            & attr_is(n, "data-type", "answer-content") & has_ancestor(
-                                nodes, n, lambda li: is_el(li, "li")
-                                & attr_is(li, "data-type", "question-answer") & inside(li, c))))
+        direct_texts(within_any(nodes, lambda li: is_el(li, "li")
+                                & attr_is(li, "data-type", "question-answer"),
+                                lambda n: is_el(n, "div") & attr_is(n, "data-type", "answer-content"),
+                                scope=c))
         .alias("choices")))
     kept = F.filter(out, lambda q: truthy(q["question"]) & (F.size(q["choices"]) > 0))
     return F.transform(kept, lambda q: F.struct(

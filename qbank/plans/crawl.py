@@ -1,13 +1,16 @@
 """The crawl, as table jobs over pages.
 
 contents pages (seeds) -> X0 -> X1 links -> F1/F2 route -> resolve + U2 ->
-J1 fetch (inner join on URL) -> X0 -> extractors per route -> U1 section feed.
+J1 fetch (inner join on URL) -> X0 -> one extraction pass -> U1 section feed.
 Self-check questions take a second hop: J2 to the answer page (no de-dup),
 J3 fragment lookup as an equi-join on (page URL, element id).
 
-Shuffles: the link de-dup, the fetch join and the answer joins. Markup is
-parsed once per fetched page (one Python hop) and dropped right after, so
-``html`` never travels past X0.
+Each fetched page is parsed once (one Python hop) and every extractor runs in
+the same projection under a CASE on its route, so markup never travels past
+X0 and no branch re-parses. Route filters are applied to the *links*, before
+the fetch join, so a job asking for one page type parses only those pages.
+The extracted feed and the problem list (the state carried to the second
+fetch) are written to the checkpoint folder once and re-read.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from qbank.functions import url as U
 from qbank.operators import extract as X
 from qbank.operators import sections as SEC
 from qbank.operators.dom import dom_nodes
+from qbank.session import materialize
 from qbank.sources import tables as TB
 from qbank.sources import textbook_site as TS
 
@@ -47,43 +51,54 @@ def routed_links(pages: DataFrame, book: str) -> DataFrame:
     return SEC.dedup_links(links.select("resolved_url", "route")).withColumn("book", F.lit(book))
 
 
-def fetched(pages: DataFrame, book: str) -> DataFrame:
-    """Follow each routed link to its page (inner: a missing page yields
-    nothing) and parse it."""
-    links = routed_links(pages, book)
+def fetched(pages: DataFrame, books=BOOKS, routes=None) -> DataFrame:
+    """Follow routed links to their pages (inner: a missing page yields
+    nothing) and parse each fetched page once."""
+    links = reduce(DataFrame.unionByName, [routed_links(pages, b) for b in books])
+    if routes:
+        links = links.where(F.col("route").isin(list(routes)))
     got = links.join(pages.select(F.col("url").alias("resolved_url"), "html"), "resolved_url")
     return dom_nodes(got, keep=["resolved_url", "route", "book"]).withColumnRenamed(
         "resolved_url", "chapter_url")
 
 
-def _base(df: DataFrame) -> list:
-    cn = U.chapter_name("chapter_url")
-    return [cn.alias("chapter_name"), U.textbook_name("chapter_url").alias("textbook_name"),
-            "chapter_url"]
-
-
-def _slug_section(df: DataFrame) -> F.Column:
-    return U.section_slug(U.chapter_name("chapter_url")).alias("section_name")
-
-
-def econ_sections(pages: DataFrame) -> dict[str, DataFrame]:
-    f = fetched(pages, "econ")
-    kt = f.where(F.col("route") == "key_terms").select(
-        _slug_section(f), X.main_text("nodes").alias("section_text"), *_base(f),
-        X.key_terms_by_dl("nodes").alias("key_terms"))
-    kc = f.where(F.col("route") == "key_concepts").select(
-        _slug_section(f), X.main_text("nodes").alias("section_text"), *_base(f),
-        X.key_concepts("nodes").alias("key_concepts_and_summary"))
-    sc = self_check_sections(pages, f.where(F.col("route") == "self_check"))
-    return {"key_terms": kt, "key_concepts": kc, "self_check": sc}
-
-
-def self_check_sections(pages: DataFrame, problem_pages: DataFrame) -> DataFrame:
-    """X6 -> F4 -> J2 -> J3/X7 -> P6."""
-    probs = (problem_pages.select("chapter_url", F.explode(X.self_check_problems("nodes")).alias("p"))
+def extract_sections(f: DataFrame) -> DataFrame:
+    """One projection over parsed pages: the canonical section columns, each
+    filled by the extractor of the page's (book, route); plus ``problems``
+    for self-check pages."""
+    book, route = F.col("book"), F.col("route")
+    econ, fin = book == "econ", book == "finance"
+    is_chapter = fin & (route == "chapter")
+    slug = U.section_slug(U.chapter_name("chapter_url"))
+    return f.select(
+        "book", "route", "chapter_url",
+        U.chapter_name("chapter_url").alias("chapter_name"),
+        U.textbook_name("chapter_url").alias("textbook_name"),
+        F.when(is_chapter, F.lit(None)).when(econ & (route == "self_check"), F.lit(SEC.SELF_CHECK))
+        .otherwise(slug).alias("section_name"),
+        F.when(is_chapter, X.chapter_structured("nodes")).otherwise(X.main_text("nodes"))
+        .alias("section_text"),
+        F.when(econ & (route == "key_terms"), X.key_terms_by_dl("nodes"))
+        .when(fin & (route == "key_terms"), X.key_terms_zipped("nodes")).alias("key_terms"),
+        F.when(econ & (route == "key_concepts"), X.key_concepts("nodes"))
+        .alias("key_concepts_and_summary"),
+        F.when(fin & (route == "summary"), X.summary_qa("nodes")).alias("questions_and_answers"),
+        F.when(fin & (route == "multiple_choice"), X.multiple_choice("nodes"))
+        .alias("questions_with_choices"),
+        F.when(fin & (route == "review_questions"), X.review_questions_fin("nodes"))
+        .when(fin & (route == "problems"), X.problems_fin("nodes")).alias("questions"),
+        F.when(econ & (route == "self_check"), X.self_check_problems("nodes")).alias("problems"),
+    )
+
+
+def self_check_sections(pages: DataFrame, wide: DataFrame) -> DataFrame:
+    """X6 -> F4 -> J2 -> J3/X7 -> P6 over the self-check rows of ``wide``."""
+    probs = (wide.where(F.col("problems").isNotNull())
+             .select("chapter_url", F.explode("problems").alias("p"))
              .select("chapter_url", F.col("p.question").alias("question"),
                      F.col("p.fragment").alias("fragment"),
                      U.resolve_url("chapter_url", F.col("p.answer_link")).alias("answer_url")))
+    probs = materialize(probs, "problems")
     targets = pages.select(F.col("url").alias("answer_url"), "html").join(
         probs.select("answer_url").distinct(), "answer_url", "left_semi")
     ans = dom_nodes(targets, keep=["answer_url"])
@@ -98,40 +113,31 @@ def self_check_sections(pages: DataFrame, problem_pages: DataFrame) -> DataFrame
         .otherwise(F.coalesce(F.col("found"), F.lit("")))
     j = j.withColumn("answer", answer)
     return j.select(F.lit(SEC.SELF_CHECK).alias("section_name"),
-                    TX.qa_text("question", "answer").alias("section_text"), *_base(j),
-                    "question", "answer")
-
-
-def finance_sections(pages: DataFrame) -> dict[str, DataFrame]:
-    f = fetched(pages, "finance")
-    r = lambda name: f.where(F.col("route") == name)
-    txt = X.main_text("nodes").alias("chapter_text")
-    return {
-        "key_terms": r("key_terms").select(_slug_section(f), txt, *_base(f),
-                                           X.key_terms_zipped("nodes").alias("key_terms")),
-        "summary": r("summary").select(_slug_section(f), txt, *_base(f),
-                                       X.summary_qa("nodes").alias("questions_and_answers")),
-        "multiple_choice": r("multiple_choice").select(
-            _slug_section(f), txt, *_base(f), X.multiple_choice("nodes").alias("questions_with_choices")),
-        "review_questions": r("review_questions").select(
-            _slug_section(f), txt, *_base(f), X.review_questions_fin("nodes").alias("questions")),
-        "problems": r("problems").select(_slug_section(f), txt, *_base(f),
-                                         X.problems_fin("nodes").alias("questions")),
-        "chapter": r("chapter").select(F.lit(None).cast("string").alias("section_name"),
-                                       X.chapter_structured("nodes").alias("section_text"),
-                                       *_base(f)),
-    }
+                    TX.qa_text("question", "answer").alias("section_text"),
+                    U.chapter_name("chapter_url").alias("chapter_name"),
+                    U.textbook_name("chapter_url").alias("textbook_name"),
+                    "chapter_url", "question", "answer")
 
 
 def section_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every callback of both books in one canonical feed."""
     pages = site(spark, sf_dir)
-    feeds = list(econ_sections(pages).values()) + list(finance_sections(pages).values())
-    return SEC.union_sections(*feeds)
+    wide = materialize(extract_sections(fetched(pages)), "sections-wide")
+    rest = wide.where(F.col("problems").isNull()).drop("book", "route", "problems")
+    return SEC.union_sections(rest, self_check_sections(pages, wide))
 
 
 # -- registered, checkable projections ------------------------------------------------
 
+def _route(spark, sf_dir, book, route) -> DataFrame:
+    return extract_sections(fetched(site(spark, sf_dir), [book], [route]))
+
+
+def _exploded(df: DataFrame, arr: str, *fields: str) -> DataFrame:
+    return df.select("chapter_name", F.posexplode(arr).alias("pos", "x")).select(
+        "chapter_name", "pos", *[F.col(f"x.{f}").alias(f) for f in fields])
+
+
 def toc_links(spark, sf_dir):
     pages = site(spark, sf_dir)
     return reduce(DataFrame.unionByName, [routed_links(pages, b) for b in BOOKS])
@@ -141,63 +147,55 @@ def crawl_section_counts(spark, sf_dir):
     return SEC.section_counts(section_feed(spark, sf_dir))
 
 
-def _exploded(df: DataFrame, arr: str, *fields: str) -> DataFrame:
-    return df.select("chapter_name", F.posexplode(arr).alias("pos", "x")).select(
-        "chapter_name", "pos", *[F.col(f"x.{f}").alias(f) for f in fields])
-
-
 def econ_key_terms(spark, sf_dir):
-    return _exploded(econ_sections(site(spark, sf_dir))["key_terms"], "key_terms", "term",
-                     "definition")
+    return _exploded(_route(spark, sf_dir, "econ", "key_terms"), "key_terms", "term", "definition")
 
 
 def econ_key_concepts(spark, sf_dir):
-    return _exploded(econ_sections(site(spark, sf_dir))["key_concepts"],
-                     "key_concepts_and_summary", "concept", "definition")
+    return _exploded(_route(spark, sf_dir, "econ", "key_concepts"), "key_concepts_and_summary",
+                     "concept", "definition")
 
 
 def econ_self_check(spark, sf_dir):
-    return econ_sections(site(spark, sf_dir))["self_check"].select(
-        "chapter_name", "question", "answer", "section_text")
+    pages = site(spark, sf_dir)
+    wide = extract_sections(fetched(pages, ["econ"], ["self_check"]))
+    return self_check_sections(pages, wide).select("chapter_name", "question", "answer",
+                                                   "section_text")
 
 
 def main_texts(spark, sf_dir):
-    pages = site(spark, sf_dir)
-    e = econ_sections(pages)
-    f = finance_sections(pages)
-    parts = [e["key_terms"], e["key_concepts"]] + [f[k].withColumnRenamed("chapter_text", "section_text")
-                                                   for k in ("key_terms", "summary", "multiple_choice",
-                                                             "review_questions", "problems")]
-    return reduce(DataFrame.unionByName, [p.select("chapter_name", "section_name", "section_text")
-                                          for p in parts])
+    routes = ["key_terms", "key_concepts", "summary", "multiple_choice", "review_questions",
+              "problems"]
+    f = extract_sections(fetched(site(spark, sf_dir), BOOKS, routes))
+    return f.select("chapter_name", "section_name", "section_text")
 
 
 def finance_key_terms(spark, sf_dir):
-    return _exploded(finance_sections(site(spark, sf_dir))["key_terms"], "key_terms", "term",
+    return _exploded(_route(spark, sf_dir, "finance", "key_terms"), "key_terms", "term",
                      "definition")
 
 
 def finance_summary(spark, sf_dir):
-    return _exploded(finance_sections(site(spark, sf_dir))["summary"], "questions_and_answers",
+    return _exploded(_route(spark, sf_dir, "finance", "summary"), "questions_and_answers",
                      "question", "answer")
 
 
 def finance_multiple_choice(spark, sf_dir):
-    d = _exploded(finance_sections(site(spark, sf_dir))["multiple_choice"],
-                  "questions_with_choices", "question", "choices")
+    d = _exploded(_route(spark, sf_dir, "finance", "multiple_choice"), "questions_with_choices",
+                  "question", "choices")
     return d.select("chapter_name", "pos", "question",
                     F.array_join("choices", "\n").alias("choices_joined"))
 
 
 def finance_review(spark, sf_dir):
-    return _exploded(finance_sections(site(spark, sf_dir))["review_questions"], "questions",
+    return _exploded(_route(spark, sf_dir, "finance", "review_questions"), "questions",
                      "question_number", "question")
 
 
 def finance_problems(spark, sf_dir):
-    return _exploded(finance_sections(site(spark, sf_dir))["problems"], "questions",
+    return _exploded(_route(spark, sf_dir, "finance", "problems"), "questions",
                      "question_number", "question")
 
 
 def finance_chapters(spark, sf_dir):
-    return finance_sections(site(spark, sf_dir))["chapter"].select("chapter_name", "section_text")
+    return _route(spark, sf_dir, "finance", "chapter").select("chapter_name", "section_text")

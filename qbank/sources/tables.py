@@ -31,11 +31,30 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+# Row-heavy tables whose per-row work (rendering, parsing, model calls) is
+# CPU-bound: spread by their id when the scan yields fewer splits than cores.
+SPREAD_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reader = spark.read
     if name in SCHEMAS:
         reader = reader.schema(SCHEMAS[name])
-    return reader.parquet(table_path(sf_dir, name))
+    df = reader.parquet(table_path(sf_dir, name))
+    if name in SPREAD_KEYS:
+        df = spread(df, SPREAD_KEYS[name])
+    return df
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-repartition ``df`` on ``key`` when its scan has fewer partitions
+    than the cluster has cores (a small file with one row group is one task).
+    Large inputs already have many splits and are left alone: no shuffle is
+    added at scale. Projections and filters still reach the Parquet scan."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key)
 
 
 def pages(spark, sf_dir): return read_table(spark, sf_dir, "pages")

@@ -190,15 +190,14 @@ def site_pages(documents: DataFrame) -> DataFrame:
                .when(k == 2, _concepts_body(n)).when(k == 3, _finance_terms_body(n))
                .when(k == 4, _summary_body(n)).when(k == 5, _mc_body(n))
                .when(k == 6, _review_body(n)).otherwise(_problems_body(n)))
-    pages = F.array(
-        F.struct(F.lit("contents").alias("page"), F.concat("base", doc, F.lit("-contents")).alias("url"),
-                 _page(_toc_body(doc, F.col("slug"))).alias("html")),
-        F.struct(F.lit("content").alias("page"), F.concat("base", doc, F.lit("-"), "slug").alias("url"),
-                 _page(content).alias("html")),
-        F.struct(F.lit("chapter").alias("page"), F.concat("base", doc, F.lit("-chapter-intro")).alias("url"),
-                 _page(_chapter_body(n)).alias("html")),
-        F.struct(F.lit("answers").alias("page"), F.concat("base", doc, F.lit("-answers")).alias("url"),
-                 F.when(k == 0, _page(_answers_body(n))).alias("html")),
-    )
-    return (d.select("doc_id", "kind", F.inline(pages))
-            .where(F.col("html").isNotNull()))
+    # One select per page type, unioned: a filter on ``page`` prunes whole
+    # branches (Catalyst folds the literal comparison), so a job that needs
+    # only contents pages never renders the others.
+    def one(page, suffix, html, where=None):
+        src = d if where is None else d.where(where)
+        return src.select("doc_id", "kind", F.lit(page).alias("page"),
+                          F.concat("base", doc, suffix).alias("url"), html.alias("html"))
+    return (one("contents", F.lit("-contents"), _page(_toc_body(doc, F.col("slug"))))
+            .unionByName(one("content", F.concat(F.lit("-"), F.col("slug")), _page(content)))
+            .unionByName(one("chapter", F.lit("-chapter-intro"), _page(_chapter_body(n))))
+            .unionByName(one("answers", F.lit("-answers"), _page(_answers_body(n)), k == 0)))
