@@ -84,7 +84,7 @@ def resolve_url(base, link) -> Column:
         F.when(lk.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), lk)
         .when(lk.startswith("//"), F.concat(scheme, lk))
         .when(lk.startswith("/"), F.concat(origin, lk))
-        .when(lk == "", no_query)
+        .when(lk == "", b)
         .when(lk.startswith("?"), F.concat(no_query, lk))
         .otherwise(F.concat(directory, lk))
     )
