@@ -6,6 +6,7 @@ from qbank.plans import crawl as CR
 from qbank.plans import evaluation as EVP
 from qbank.plans import feed as FD
 from qbank.plans import generation as GEN
+from qbank.plans import variants as VAR
 
 QUERIES = {
     "mcq_accuracy": EVP.mcq_accuracy,
@@ -39,4 +40,10 @@ QUERIES = {
     "finance_problems": CR.finance_problems,
     "finance_chapters": CR.finance_chapters,
     "crawl_section_counts": CR.crawl_section_counts,
+    "direct_distractors": VAR.direct_distractors,
+    "keypoint_distractors": VAR.keypoint_distractors,
+    "structured_distractors": VAR.structured_distractors,
+    "question_breakdowns": VAR.question_breakdowns,
+    "feature_variant": VAR.feature_variant,
+    "term_distractors": VAR.term_distractors,
 }
