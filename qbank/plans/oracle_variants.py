@@ -124,3 +124,12 @@ ORACLES.update({
     "feature_variant": feature_variant,
     "term_distractors": term_distractors,
 })
+
+
+def _stream_oracles():
+    from qbank.plans.oracle_eval import batch_accuracy
+    from qbank.plans.oracle_html import main_texts
+    ORACLES.update({"stream_main_texts": main_texts, "stream_batch_accuracy": batch_accuracy})
+
+
+_stream_oracles()

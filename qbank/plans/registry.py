@@ -6,6 +6,7 @@ from qbank.plans import crawl as CR
 from qbank.plans import evaluation as EVP
 from qbank.plans import feed as FD
 from qbank.plans import generation as GEN
+from qbank.plans import streams as STR
 from qbank.plans import variants as VAR
 
 QUERIES = {
@@ -46,4 +47,6 @@ QUERIES = {
     "question_breakdowns": VAR.question_breakdowns,
     "feature_variant": VAR.feature_variant,
     "term_distractors": VAR.term_distractors,
+    "stream_main_texts": STR.stream_main_texts,
+    "stream_batch_accuracy": STR.stream_batch_accuracy,
 }
