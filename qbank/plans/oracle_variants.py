@@ -129,7 +129,12 @@ ORACLES.update({
 def _stream_oracles():
     from qbank.plans.oracle_eval import batch_accuracy
     from qbank.plans.oracle_html import main_texts
-    ORACLES.update({"stream_main_texts": main_texts, "stream_batch_accuracy": batch_accuracy})
+    from qbank.plans.oracle_eval import answer_log_table
+    from qbank.plans.oracle_gen import generated_mcqs
+    from qbank.plans.oracle_sql import delivery_records, sections
+    ORACLES.update({"stream_main_texts": main_texts, "stream_batch_accuracy": batch_accuracy,
+                    "feed_roundtrip": sections, "delivery_roundtrip": delivery_records,
+                    "answer_log_roundtrip": answer_log_table, "generated_roundtrip": generated_mcqs})
 
 
 _stream_oracles()

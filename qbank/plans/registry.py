@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from qbank.plans import crawl as CR
 from qbank.plans import evaluation as EVP
+from qbank.plans import exports as EXP
 from qbank.plans import feed as FD
 from qbank.plans import generation as GEN
 from qbank.plans import streams as STR
@@ -49,4 +50,8 @@ QUERIES = {
     "term_distractors": VAR.term_distractors,
     "stream_main_texts": STR.stream_main_texts,
     "stream_batch_accuracy": STR.stream_batch_accuracy,
+    "feed_roundtrip": EXP.feed_roundtrip,
+    "delivery_roundtrip": EXP.delivery_roundtrip,
+    "answer_log_roundtrip": EXP.answer_log_roundtrip,
+    "generated_roundtrip": EXP.generated_roundtrip,
 }
