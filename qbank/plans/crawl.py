@@ -199,3 +199,17 @@ def finance_problems(spark, sf_dir):
 
 def finance_chapters(spark, sf_dir):
     return _route(spark, sf_dir, "finance", "chapter").select("chapter_name", "section_text")
+
+
+def page_stats(spark, sf_dir):
+    """X0 over the raw ``pages`` table: links, paragraphs and title per page
+    (parser fidelity on real-world markup: unclosed p/b, script, style)."""
+    nodes = dom_nodes(TB.pages(spark, sf_dir).select("page_id", "html"), keep=["page_id"])
+    anchors = X.select("nodes", lambda n: X.is_el(n, "a") & X.attr(n, "href").isNotNull())
+    return nodes.select(
+        "page_id",
+        F.size(anchors).alias("n_links"),
+        F.array_join(F.transform(anchors, lambda n: X.attr(n, "href")), " ").alias("hrefs"),
+        F.size(X.select("nodes", lambda n: X.is_el(n, "p"))).alias("n_p"),
+        X.first(F.transform(X.select("nodes", lambda n: X.is_el(n, "title")),
+                            lambda n: n["text"])).alias("title"))

@@ -163,3 +163,21 @@ ORACLES.update({
     "finance_chapters": finance_chapters,
     "crawl_section_counts": crawl_section_counts,
 })
+
+
+def _unescape(x: str) -> str:
+    return (f"replace(replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), "
+            f"'&quot;', '\"'), '&#39;', ''''), '&amp;', '&')")
+
+
+def page_stats() -> str:
+    hrefs = "regexp_extract_all(html, '<a [^>]*href=\"([^\"]*)\"', 1)"
+    return f"""
+SELECT page_id, CAST(len({hrefs}) AS INTEGER) AS n_links,
+       array_to_string(list_transform({hrefs}, lambda h: {_unescape('h')}), ' ') AS hrefs,
+       CAST(len(regexp_extract_all(html, '<p[ >]')) AS INTEGER) AS n_p,
+       {_unescape("regexp_extract(html, '<title>(.*?)</title>', 1)")} AS title
+FROM pages"""
+
+
+ORACLES["page_stats"] = page_stats

@@ -86,6 +86,7 @@ def oracle_sql() -> dict[str, str]:
     import qbank.plans.oracle_gen  # noqa: F401
     import qbank.plans.oracle_html  # noqa: F401
     import qbank.plans.oracle_variants  # noqa: F401
+    import qbank.plans.oracle_chapters  # noqa: F401
     return {k: f() for k, f in ORACLES.items()}
 
 

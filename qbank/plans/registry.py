@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from qbank.plans import chapters as CH
 from qbank.plans import crawl as CR
 from qbank.plans import evaluation as EVP
 from qbank.plans import exports as EXP
@@ -42,6 +43,10 @@ QUERIES = {
     "finance_problems": CR.finance_problems,
     "finance_chapters": CR.finance_chapters,
     "crawl_section_counts": CR.crawl_section_counts,
+    "page_stats": CR.page_stats,
+    "econ_chapter_sections": CH.econ_chapter_sections,
+    "econ_chapter_intro": CH.econ_chapter_intro,
+    "econ_problem_texts": CH.econ_problem_texts,
     "direct_distractors": VAR.direct_distractors,
     "keypoint_distractors": VAR.keypoint_distractors,
     "structured_distractors": VAR.structured_distractors,
