@@ -36,6 +36,8 @@ SIBLING_CLOSE = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option":
                  "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 SCOPE_STOP = {"ul", "ol", "dl", "table", "div", "section", "body", "html"}
 
+CHUNK_ROWS = 256
+
 ATTR = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.StringType())])
 NODE = T.StructType([
     T.StructField("ord", T.IntegerType()),
@@ -187,9 +189,13 @@ def dom_nodes(pages: DataFrame, html_col: str = "html", keep: list[str] | None =
         if node_type is None:
             node_type = _arrow_node_type()
         for b in batches:
-            html = b.column(b.schema.get_field_index("__html")).to_pylist()
-            nodes = pa.array([parse_html(h) for h in html], type=node_type)
-            cols = [b.column(b.schema.get_field_index(c)) for c in keep]
-            yield pa.RecordBatch.from_arrays(cols + [nodes], names=keep + ["nodes"])
+            # parse in slices so a batch of large pages never holds all of
+            # its node arrays in Python memory at once
+            for off in range(0, b.num_rows, CHUNK_ROWS):
+                s = b.slice(off, CHUNK_ROWS)
+                html = s.column(s.schema.get_field_index("__html")).to_pylist()
+                nodes = pa.array([parse_html(h) for h in html], type=node_type)
+                cols = [s.column(s.schema.get_field_index(c)) for c in keep]
+                yield pa.RecordBatch.from_arrays(cols + [nodes], names=keep + ["nodes"])
 
     return src.mapInArrow(run, out_schema)

@@ -59,16 +59,14 @@ def enriched_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def spot_check(spark: SparkSession, sf_dir: str, draws: int = 10, seed: int = 7) -> DataFrame:
     """S3: ``draws`` log rows drawn with replacement (a sampling operator);
-    draw j picks file row ``hash(seed, j) mod n``. The draw list and the row
-    count are one small row each; the pick is an equi-join on the index."""
+    draw j picks file row ``hash(seed, j) mod n``. Only the scalar row count
+    reaches the driver; the pick is an equi-join of the draw list on the index."""
     data = EV.row_index(shuffled_questions(spark, sf_dir).select("seq", "question"), "seq")
-    n = data.agg(F.count(F.lit(1)).alias("n"))
+    n = max(data.count(), 1)
     picks = (spark.range(1, draws + 1).withColumnRenamed("id", "draw")
-             .crossJoin(F.broadcast(n))
              .withColumn("row_index", F.pmod(F.conv(F.substring(F.md5(F.concat_ws(
                  ":", F.lit(str(seed)), F.col("draw").cast("string"))), 1, 8), 16, 10)
-                 .cast("bigint"), F.col("n")))
-             .drop("n"))
+                 .cast("bigint"), F.lit(n).cast("bigint"))))
     log = answer_log(spark, sf_dir).select("question", "gold_index", "predicted_index", "correct")
     return (picks.join(data, "row_index").join(log, "question", "left")
             .select("draw", "row_index", "question",

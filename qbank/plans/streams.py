@@ -37,10 +37,11 @@ def stream_batch_accuracy(spark: SparkSession, sf_dir: str):
                 "response")
      .repartition(4).write.mode("overwrite").json(landing))
     scored = ST.stream_scored_results(spark, landing, req, max_files_per_trigger=1)
-    n_req = req.agg(F.count(F.lit(1)).alias("n_requests"))
-    agg = scored.agg(F.count(F.lit(1)).alias("n_succeeded"),
+    n_req = req.count()  # one scalar to the driver
+    agg = scored.agg(F.lit(n_req).cast("bigint").alias("n_requests"),
+                     F.count(F.lit(1)).alias("n_succeeded"),
                      F.coalesce(F.sum(F.col("correct").cast("bigint")), F.lit(0)).cast("bigint")
                      .alias("n_correct"))
-    return n_req.crossJoin(agg).withColumn(
+    return agg.withColumn(
         "accuracy_pct", F.try_divide(F.col("n_correct").cast("double") * 100.0,
                                      F.col("n_succeeded").cast("double")))

@@ -24,6 +24,8 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # rows per Arrow batch into the Python hops: pages can be large
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("QBANK_DRIVER_MEMORY", "16g"))
