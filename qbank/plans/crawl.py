@@ -32,8 +32,17 @@ from qbank.sources import textbook_site as TS
 BOOKS = ("econ", "finance")
 
 
+_SITES: dict[tuple[str, str], DataFrame] = {}
+
+
 def site(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return TS.site_pages(TB.documents(spark, sf_dir).select("doc_id", "text", "source"))
+    """The rendered site, written once per application and input folder to the
+    checkpoint folder (it plays the part of a crawled ``pages`` table)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SITES:
+        pages = TS.site_pages(TB.documents(spark, sf_dir).select("doc_id", "text", "source"))
+        _SITES[key] = materialize(pages, "site")
+    return _SITES[key]
 
 
 def _book_of(url_col) -> F.Column:

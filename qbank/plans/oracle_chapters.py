@@ -39,7 +39,7 @@ SELECT CAST(doc_id AS VARCHAR) || '-self-check-questions' AS chapter_name,
        'selfcheckquestions' AS section_name,
        array_to_string(list_transform(range(1, (n + 1) // 2 + 1),
          lambda i: ln[2 * i - 1] || CASE WHEN 2 * i <= n THEN 'Show' ELSE '' END), '') AS section_text
-FROM docs WHERE kind = 0"""
+FROM docs"""
 
 
 ORACLES.update({

@@ -8,11 +8,9 @@ from qbank.plans.oracle_sql import ORACLES
 DOCS = """
 docs AS (
   SELECT doc_id, source, string_split(text, chr(10)) AS ln,
-         len(string_split(text, chr(10))) AS n, doc_id % 8 AS kind,
-         'https://books.example.org/books/' || CASE WHEN doc_id % 8 < 3 THEN 'econ' ELSE 'finance' END
-           || '-' || source || '/pages/' AS base,
-         ['self-check-questions', 'key-terms', 'key-concepts-and-summary', 'key-terms', 'summary',
-          'multiple-choice', 'review-questions', 'problems'][doc_id % 8 + 1] AS slug
+         len(string_split(text, chr(10))) AS n,
+         'https://books.example.org/books/econ-' || source || '/pages/' AS econ_base,
+         'https://books.example.org/books/finance-' || source || '/pages/' AS finance_base
   FROM documents
 )"""
 
@@ -24,26 +22,27 @@ def _s(x: str) -> str:
 
 
 def toc_links() -> str:
-    return f"""WITH {DOCS}
-SELECT base || CAST(doc_id AS VARCHAR) || '-' || slug AS resolved_url,
-       ['self_check', 'key_terms', 'key_concepts', 'key_terms', 'summary', 'multiple_choice',
-        'review_questions', 'problems'][kind + 1] AS route,
-       CASE WHEN kind < 3 THEN 'econ' ELSE 'finance' END AS book
-FROM docs
-UNION ALL
-SELECT base || CAST(doc_id AS VARCHAR) || x, 'chapter', 'finance'
-FROM docs, (VALUES ('-chapter-intro'), ('-missing-page')) t(x) WHERE kind >= 3"""
+    return f"""WITH {DOCS},
+l(slug, route, book) AS (VALUES
+  ('self-check-questions', 'self_check', 'econ'), ('key-terms', 'key_terms', 'econ'),
+  ('key-concepts-and-summary', 'key_concepts', 'econ'), ('key-terms', 'key_terms', 'finance'),
+  ('summary', 'summary', 'finance'), ('multiple-choice', 'multiple_choice', 'finance'),
+  ('review-questions', 'review_questions', 'finance'), ('problems', 'problems', 'finance'),
+  ('chapter-intro', 'chapter', 'finance'), ('missing-page', 'chapter', 'finance'))
+SELECT CASE WHEN book = 'econ' THEN econ_base ELSE finance_base END || CAST(doc_id AS VARCHAR) || '-' || slug
+         AS resolved_url, route, book
+FROM docs, l"""
 
 
 def econ_key_terms() -> str:
-    return f"""WITH {DOCS}, p AS (SELECT doc_id, ln, unnest(range(n // 2)) AS pos FROM docs WHERE kind = 1)
+    return f"""WITH {DOCS}, p AS (SELECT doc_id, ln, unnest(range(n // 2)) AS pos FROM docs)
 SELECT CAST(doc_id AS VARCHAR) || '-key-terms' AS chapter_name, CAST(pos AS INTEGER) AS pos,
        {_s('ln[2 * pos + 1]')} AS term, {_s('ln[2 * pos + 2]')} AS definition
 FROM p WHERE ln[2 * pos + 1] <> '' AND ln[2 * pos + 2] <> ''"""
 
 
 def econ_key_concepts() -> str:
-    return f"""WITH {DOCS}, g AS (SELECT doc_id, ln, unnest(range(n // 3)) AS pos FROM docs WHERE kind = 2)
+    return f"""WITH {DOCS}, g AS (SELECT doc_id, ln, unnest(range(n // 3)) AS pos FROM docs)
 SELECT CAST(doc_id AS VARCHAR) || '-key-concepts-and-summary' AS chapter_name, CAST(pos AS INTEGER) AS pos,
        {_s('ln[3 * pos + 1]')} AS concept, {_s("ln[3 * pos + 2] || ' ' || ln[3 * pos + 3]")} AS definition
 FROM g WHERE ln[3 * pos + 1] <> ''"""
@@ -51,7 +50,7 @@ FROM g WHERE ln[3 * pos + 1] <> ''"""
 
 def econ_self_check() -> str:
     return f"""WITH {DOCS},
-p AS (SELECT doc_id, ln, n, unnest(range(1, (n + 1) // 2 + 1)) AS i FROM docs WHERE kind = 0),
+p AS (SELECT doc_id, ln, n, unnest(range(1, (n + 1) // 2 + 1)) AS i FROM docs),
 q AS (
   SELECT doc_id, ln[2 * i - 1] || 'Show' AS question,
          CASE WHEN i % 4 = 0 THEN 'Answer not found' WHEN i % 5 = 0 THEN '' ELSE ln[2 * i] END AS answer
@@ -67,19 +66,18 @@ def _concat_blocks(k: int, expr: str) -> str:
 
 
 def main_texts() -> str:
-    return f"""WITH {DOCS}
-SELECT CAST(doc_id AS VARCHAR) || '-' || slug AS chapter_name,
-       replace(slug, '-', '') AS section_name,
-       CASE kind
-         WHEN 1 THEN 'Key Terms' || {_concat_blocks(2, 'ln[2 * g + 1] || ln[2 * g + 2]')}
-         WHEN 2 THEN {_concat_blocks(3, "CAST(g + 1 AS VARCHAR) || ' ' || ln[3 * g + 1] || ln[3 * g + 2] || ln[3 * g + 3]")}
-         WHEN 3 THEN {_concat_blocks(2, "ln[2 * g + 1] || CASE WHEN (g + 1) % 5 = 0 THEN ln[2 * g + 2] || ln[2 * g + 2] ELSE ln[2 * g + 2] END")}
-         WHEN 4 THEN {_concat_blocks(2, 'ln[2 * g + 1] || ln[2 * g + 2]')}
-         WHEN 5 THEN {_concat_blocks(5, "ln[5 * g + 1] || ln[5 * g + 2] || ln[5 * g + 3] || ln[5 * g + 4] || ln[5 * g + 5]")}
-         WHEN 6 THEN array_to_string(ln, '')
-         ELSE array_to_string(list_transform(range(n), lambda i: CAST(i + 1 AS VARCHAR) || ln[i + 1]), '')
-       END AS section_text
-FROM docs WHERE kind >= 1"""
+    layouts = [
+        ("key-terms", "'Key Terms' || " + _concat_blocks(2, 'ln[2 * g + 1] || ln[2 * g + 2]')),
+        ("key-concepts-and-summary", _concat_blocks(3, "CAST(g + 1 AS VARCHAR) || ' ' || ln[3 * g + 1] || ln[3 * g + 2] || ln[3 * g + 3]")),
+        ("key-terms", _concat_blocks(2, "ln[2 * g + 1] || CASE WHEN (g + 1) % 5 = 0 THEN ln[2 * g + 2] || ln[2 * g + 2] ELSE ln[2 * g + 2] END")),
+        ("summary", _concat_blocks(2, 'ln[2 * g + 1] || ln[2 * g + 2]')),
+        ("multiple-choice", _concat_blocks(5, "ln[5 * g + 1] || ln[5 * g + 2] || ln[5 * g + 3] || ln[5 * g + 4] || ln[5 * g + 5]")),
+        ("review-questions", "array_to_string(ln, '')"),
+        ("problems", "array_to_string(list_transform(range(n), lambda i: CAST(i + 1 AS VARCHAR) || ln[i + 1]), '')"),
+    ]
+    parts = [f"SELECT CAST(doc_id AS VARCHAR) || '-{slug}' AS chapter_name, '{slug.replace('-', '')}' AS section_name, {expr} AS section_text FROM docs"
+             for slug, expr in layouts]
+    return f"WITH {DOCS}\n" + "\nUNION ALL\n".join(parts)
 
 
 def finance_key_terms() -> str:
@@ -88,7 +86,7 @@ d AS (
   SELECT doc_id, ln, n // 2 AS np,
          flatten(list_transform(range(n // 2), lambda p: CASE WHEN (p + 1) % 5 = 0
                  THEN [ln[2 * p + 2], ln[2 * p + 2]] ELSE [ln[2 * p + 2]] END)) AS defs
-  FROM docs WHERE kind = 3
+  FROM docs
 ),
 p AS (SELECT doc_id, ln, defs, unnest(range(np)) AS pos FROM d)
 SELECT CAST(doc_id AS VARCHAR) || '-key-terms' AS chapter_name, CAST(pos AS INTEGER) AS pos,
@@ -97,14 +95,14 @@ FROM p"""
 
 
 def finance_summary() -> str:
-    return f"""WITH {DOCS}, p AS (SELECT doc_id, ln, unnest(range(n // 2)) AS pos FROM docs WHERE kind = 4)
+    return f"""WITH {DOCS}, p AS (SELECT doc_id, ln, unnest(range(n // 2)) AS pos FROM docs)
 SELECT CAST(doc_id AS VARCHAR) || '-summary' AS chapter_name, CAST(pos AS INTEGER) AS pos,
        {_s('ln[2 * pos + 1]')} AS question, {_s('ln[2 * pos + 2]')} AS answer
 FROM p WHERE ln[2 * pos + 1] <> '' AND ln[2 * pos + 2] <> ''"""
 
 
 def finance_multiple_choice() -> str:
-    return f"""WITH {DOCS}, p AS (SELECT doc_id, ln, unnest(range(n // 5)) AS pos FROM docs WHERE kind = 5)
+    return f"""WITH {DOCS}, p AS (SELECT doc_id, ln, unnest(range(n // 5)) AS pos FROM docs)
 SELECT CAST(doc_id AS VARCHAR) || '-multiple-choice' AS chapter_name, CAST(pos AS INTEGER) AS pos,
        {_s('ln[5 * pos + 1]')} AS question,
        {_s('ln[5 * pos + 2]')} || chr(10) || {_s('ln[5 * pos + 3]')} || chr(10) || {_s('ln[5 * pos + 4]')}
@@ -113,14 +111,14 @@ FROM p WHERE ln[5 * pos + 1] <> ''"""
 
 
 def finance_review() -> str:
-    return f"""WITH {DOCS}, p AS (SELECT doc_id, ln, unnest(range(n)) AS pos FROM docs WHERE kind = 6)
+    return f"""WITH {DOCS}, p AS (SELECT doc_id, ln, unnest(range(n)) AS pos FROM docs)
 SELECT CAST(doc_id AS VARCHAR) || '-review-questions' AS chapter_name, CAST(pos AS INTEGER) AS pos,
        CAST(NULL AS VARCHAR) AS question_number, {_s('ln[pos + 1]')} AS question
 FROM p WHERE ln[pos + 1] <> ''"""
 
 
 def finance_problems() -> str:
-    return f"""WITH {DOCS}, p AS (SELECT doc_id, ln, unnest(range(n)) AS pos FROM docs WHERE kind = 7)
+    return f"""WITH {DOCS}, p AS (SELECT doc_id, ln, unnest(range(n)) AS pos FROM docs)
 SELECT CAST(doc_id AS VARCHAR) || '-problems' AS chapter_name, CAST(pos AS INTEGER) AS pos,
        CAST(pos + 1 AS VARCHAR) AS question_number, {_s('ln[pos + 1]')} AS question
 FROM p WHERE ln[pos + 1] <> ''"""
@@ -132,20 +130,15 @@ SELECT CAST(doc_id AS VARCHAR) || '-chapter-intro' AS chapter_name,
        '<h2> ' || {_s('ln[1]')} || ' </h2>' || array_to_string(list_transform(range(2, n + 1),
          lambda i: chr(10) || '<' || ['p', 'section', 'div'][i % 3 + 1] || '> ' || {_s('ln[i]')} || ' </'
                    || ['p', 'section', 'div'][i % 3 + 1] || '>'), '') AS section_text
-FROM docs WHERE kind >= 3"""
+FROM docs"""
 
 
 def crawl_section_counts() -> str:
     return f"""WITH {DOCS},
-sc AS (SELECT count(*) AS c FROM (SELECT n, unnest(range(1, (n + 1) // 2 + 1)) AS i FROM docs WHERE kind = 0) WHERE 2 * i <= n),
-k AS (
-  SELECT CASE kind WHEN 1 THEN 'keyterms' WHEN 2 THEN 'keyconceptsandsummary' WHEN 3 THEN 'keyterms'
-                   WHEN 4 THEN 'summary' WHEN 5 THEN 'multiplechoice' WHEN 6 THEN 'reviewquestions'
-                   WHEN 7 THEN 'problems' END AS section_name
-  FROM docs WHERE kind >= 1
-  UNION ALL SELECT CAST(NULL AS VARCHAR) FROM docs WHERE kind >= 3
-)
-SELECT section_name, count(*) AS n_sections FROM k GROUP BY section_name
+sc AS (SELECT count(*) AS c FROM (SELECT n, unnest(range(1, (n + 1) // 2 + 1)) AS i FROM docs) WHERE 2 * i <= n),
+k(section_name) AS (VALUES ('keyterms'), ('keyconceptsandsummary'), ('keyterms'), ('summary'),
+                            ('multiplechoice'), ('reviewquestions'), ('problems'), (NULL))
+SELECT k.section_name, count(*) AS n_sections FROM docs, k GROUP BY k.section_name
 UNION ALL SELECT 'self-check-questions', c FROM sc WHERE c > 0"""
 
 

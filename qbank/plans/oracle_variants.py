@@ -106,7 +106,7 @@ SELECT seq, n, 'too_few_features', NULL, NULL, NULL FROM f WHERE n < 3"""
 def term_distractors() -> str:
     prompt = P.TERM_DISTRACTORS.to_sql(term="term", definition="definition", textbook="textbook_name")
     return f"""WITH {DOCS},
-p AS (SELECT doc_id, source, ln, unnest(range(n // 2)) AS pos FROM docs WHERE kind = 1),
+p AS (SELECT doc_id, source, ln, unnest(range(n // 2)) AS pos FROM docs),
 t AS (
   SELECT CAST(doc_id AS VARCHAR) || '-key-terms' AS chapter_name, CAST(pos AS INTEGER) AS pos,
          'econ-' || source AS textbook_name, {_s('ln[2 * pos + 1]')} AS term, {_s('ln[2 * pos + 2]')} AS definition

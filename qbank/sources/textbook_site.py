@@ -1,10 +1,9 @@
 """A textbook web site rendered by Spark from ``documents`` (round-trip fixture).
 
-Every document becomes a small book section: a contents page whose ``ol``
-links lead to one content page, a chapter page and (for self-check pages) an
-answers page. The layout of the content page cycles with ``doc_id % 8``
-through the eight page types the crawl callbacks understand; every text slot
-holds one line of the document, HTML-escaped. The SQL oracles state the
+Every document becomes a small book section in both books: contents pages
+whose ``ol`` links lead to its content pages, one content page in each of the
+eight layouts the crawl callbacks understand, a chapter page and an answers
+page; every text slot holds one line of the document, HTML-escaped. The SQL oracles state the
 expected extraction straight from the document lines, so extraction is
 checked without an HTML parser on the SQL side.
 
@@ -20,7 +19,7 @@ from pyspark.sql import functions as F
 from qbank.functions import text as TX
 
 BOOK_HOST = "https://books.example.org/books/"
-# Page layout per doc_id % 8 -> (book kind, link slug).
+# The eight content-page layouts -> (book kind, link slug).
 LAYOUTS = [
     ("econ", "self-check-questions"),
     ("econ", "key-terms"),
@@ -161,14 +160,14 @@ def _chapter_body(n: Column) -> Column:
                     _line(F.lit(1)), F.lit("</h2>"), rest, F.lit("<p></p></div>"))
 
 
-def _toc_body(doc: Column, slug: Column) -> Column:
+def _toc_body(doc: Column, slugs: list[str]) -> Column:
     a = lambda href, cls="toc-link": F.concat(
         F.lit(f'<li><a class="{cls}" href="'), href, F.lit('">'), _line(F.lit(1)),
         F.lit("</a></li>"))
     return F.concat(
         F.lit('<p><a class="toc-link" href="'), doc, F.lit('-preface">Preface</a></p><nav><ol>'),
-        a(F.concat(doc, F.lit("-"), slug)),
-        a(F.concat(doc, F.lit("-"), slug, F.lit("#top"))),
+        *[a(F.concat(doc, F.lit("-" + slug))) for slug in slugs],
+        a(F.concat(doc, F.lit(f"-{slugs[0]}#top"))),
         a(F.concat(doc, F.lit("-chapter-intro"))),
         a(F.concat(doc, F.lit("-missing-page"))),
         a(F.concat(doc, F.lit("-glossary")), "nav-other"),
@@ -176,28 +175,43 @@ def _toc_body(doc: Column, slug: Column) -> Column:
 
 
 def site_pages(documents: DataFrame) -> DataFrame:
-    """All pages of the rendered site: ``url, html`` (+ ``doc_id, kind``)."""
+    """All pages of the rendered site: ``doc_id, kind, page, url, html``.
+
+    Every document appears in every layout: per document an economics and a
+    finance contents page, eight content pages (one per layout), a chapter
+    page (finance book) and an answers page (economics book)."""
     d = documents.select("doc_id", "source", TX.lines("text").alias("lines"))
-    kind = (F.col("doc_id") % 8).cast("int")
-    book_kind = F.element_at(_lit_list([k for k, _ in LAYOUTS]), kind + 1)
-    slug = F.element_at(_lit_list([s for _, s in LAYOUTS]), kind + 1)
-    d = d.select("doc_id", "lines", kind.alias("kind"), slug.alias("slug"),
-                 F.concat(F.lit(BOOK_HOST), book_kind, F.lit("-"), F.col("source"),
-                          F.lit("/pages/")).alias("base"),
-                 F.size("lines").alias("n"), F.col("doc_id").cast("string").alias("doc"))
-    n, doc, k = F.col("n"), F.col("doc"), F.col("kind")
+    base = lambda book: F.concat(F.lit(BOOK_HOST + book + "-"), F.col("source"),
+                                 F.lit("/pages/"))
+    d = d.select("doc_id", "lines", F.size("lines").alias("n"),
+                 F.col("doc_id").cast("string").alias("doc"),
+                 base("econ").alias("econ_base"), base("finance").alias("finance_base"))
+    n, doc = F.col("n"), F.col("doc")
+    lay = d.select("*", F.explode(F.sequence(F.lit(0), F.lit(len(LAYOUTS) - 1))).alias("kind"))
+    k = F.col("kind")
+    lay = lay.withColumn("slug", F.element_at(_lit_list([s for _, s in LAYOUTS]), k + 1)) \
+        .withColumn("base", F.when(k < 3, F.col("econ_base")).otherwise(F.col("finance_base")))
     content = (F.when(k == 0, _self_check_body(doc, n)).when(k == 1, _econ_terms_body(n))
                .when(k == 2, _concepts_body(n)).when(k == 3, _finance_terms_body(n))
                .when(k == 4, _summary_body(n)).when(k == 5, _mc_body(n))
                .when(k == 6, _review_body(n)).otherwise(_problems_body(n)))
+    econ_slugs = [s for b, s in LAYOUTS if b == "econ"]
+    fin_slugs = [s for b, s in LAYOUTS if b == "finance"]
+
     # One select per page type, unioned: a filter on ``page`` prunes whole
     # branches (Catalyst folds the literal comparison), so a job that needs
     # only contents pages never renders the others.
-    def one(page, suffix, html, where=None):
-        src = d if where is None else d.where(where)
-        return src.select("doc_id", "kind", F.lit(page).alias("page"),
-                          F.concat("base", doc, suffix).alias("url"), html.alias("html"))
-    return (one("contents", F.lit("-contents"), _page(_toc_body(doc, F.col("slug"))))
-            .unionByName(one("content", F.concat(F.lit("-"), F.col("slug")), _page(content)))
-            .unionByName(one("chapter", F.lit("-chapter-intro"), _page(_chapter_body(n))))
-            .unionByName(one("answers", F.lit("-answers"), _page(_answers_body(n)), k == 0)))
+    def one(src, page, url, html, kind=None):
+        return src.select("doc_id", (kind if kind is not None else F.lit(None)).cast("int")
+                          .alias("kind"), F.lit(page).alias("page"), url.alias("url"),
+                          html.alias("html"))
+    return (one(d, "contents", F.concat("econ_base", doc, F.lit("-contents")),
+                _page(_toc_body(doc, econ_slugs)))
+            .unionByName(one(d, "contents", F.concat("finance_base", doc, F.lit("-contents")),
+                             _page(_toc_body(doc, fin_slugs))))
+            .unionByName(one(lay, "content", F.concat("base", doc, F.lit("-"), "slug"),
+                             _page(content), k))
+            .unionByName(one(d, "chapter", F.concat("finance_base", doc, F.lit("-chapter-intro")),
+                             _page(_chapter_body(n))))
+            .unionByName(one(d, "answers", F.concat("econ_base", doc, F.lit("-answers")),
+                             _page(_answers_body(n)))))
