@@ -41,7 +41,9 @@ def site(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _SITES:
         pages = TS.site_pages(TB.documents(spark, sf_dir).select("doc_id", "text", "source"))
-        _SITES[key] = materialize(pages, "site")
+        # partitioned by page type: seeds and answer pages are read by
+        # partition pruning, without touching the content pages' markup
+        _SITES[key] = materialize(pages, "site", partition_by=["page"])
     return _SITES[key]
 
 

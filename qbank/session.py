@@ -58,7 +58,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage",
+                partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once into the shared checkpoint folder and read it back.
 
     Used after every model-inference stage: the replies are costly, so a retry
@@ -68,5 +69,8 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     base = checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
     return spark.read.parquet(path)
