@@ -99,8 +99,7 @@ def classify_questions(questions: DataFrame, backend: Backend, *, id_col: str =
     out = rep.withColumn("_r", r)
     for f in ("completeness_reason", "type_reason", "mcq_reason"):
         out = out.withColumn(f, F.col(f"_r.{f}"))
-    for f, dom in (("completeness_choice", COMPLETENESS_CODES), ("type_choice", TYPE_CODES),
-                   ("mcq_choice", MCQ_CODES)):
+    for f in ("completeness_choice", "type_choice", "mcq_choice"):
         out = out.withColumn(f, F.col(f"_r.{f}").try_cast("int"))
     valid = (F.col("completeness_choice").isin(COMPLETENESS_CODES)
              & F.col("type_choice").isin(TYPE_CODES) & F.col("mcq_choice").isin(MCQ_CODES))

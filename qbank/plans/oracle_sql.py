@@ -5,7 +5,6 @@ text comes from the same templates the Spark jobs use."""
 from __future__ import annotations
 
 from qbank.functions import prompts as P
-from qbank.functions.template import sql_literal
 
 LETTERS_SQL = "'ABCDEFGHIJK'"
 

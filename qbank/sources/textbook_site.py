@@ -162,8 +162,7 @@ def _chapter_body(n: Column) -> Column:
 
 def _toc_body(doc: Column, slugs: list[str]) -> Column:
     a = lambda href, cls="toc-link": F.concat(
-        F.lit(f'<li><a class="{cls}" href="'), href, F.lit('">'), _line(F.lit(1)),
-        F.lit("</a></li>"))
+        F.lit(f'<li><a class="{cls}" href="'), href, F.lit('">'), href, F.lit("</a></li>"))
     return F.concat(
         F.lit('<p><a class="toc-link" href="'), doc, F.lit('-preface">Preface</a></p><nav><ol>'),
         *[a(F.concat(doc, F.lit("-" + slug))) for slug in slugs],
