@@ -25,6 +25,7 @@ from qbank.functions import url as U
 from qbank.operators import extract as X
 from qbank.operators import sections as SEC
 from qbank.operators.dom import dom_nodes
+from qbank.operators.joins import semi_join_checked
 from qbank.session import materialize
 from qbank.sources import tables as TB
 from qbank.sources import textbook_site as TS
@@ -51,9 +52,16 @@ def _book_of(url_col) -> F.Column:
     return F.split(U.textbook_name(url_col), "-")[0]
 
 
-def routed_links(pages: DataFrame, book: str) -> DataFrame:
-    """SRC1 seeds -> X1 -> F1/F2 -> resolve -> U2."""
-    seeds = pages.where((F.col("page") == "contents") & (_book_of("url") == book))
+def routed_links(pages: DataFrame, book: str, seeds: DataFrame | None = None) -> DataFrame:
+    """SRC1 seeds -> X1 -> F1/F2 -> resolve -> U2.
+
+    ``seeds`` (a ``url`` table, the start URLs) restricts the contents pages
+    crawled; it is semi-joined with a size check (broadcast only when small).
+    Without it every contents page of the book is a seed."""
+    seeds_df = pages.where((F.col("page") == "contents") & (_book_of("url") == book))
+    if seeds is not None:
+        seeds_df = semi_join_checked(seeds_df, seeds, "url")
+    seeds = seeds_df
     nodes = dom_nodes(seeds.select("url", "html"), keep=["url"])
     links = nodes.select("url", F.explode(X.toc_links("nodes", TS.TOC_CLASS)).alias("href"))
     route = U.route_econ("href") if book == "econ" else U.route_finance("href")

@@ -81,7 +81,8 @@ def catalog(spark: SparkSession) -> DataFrame:
 
 
 def licensed(sections: DataFrame, cat: DataFrame, license: str = "CC BY") -> DataFrame:
-    """Keep sections of catalogued books under ``license`` (broadcast semi-join
-    on the nine-row catalog)."""
+    """Keep sections of catalogued books under ``license`` (semi-join on the
+    catalog, broadcast after a size check)."""
+    from qbank.operators.joins import semi_join_checked
     ok = cat.where(F.col("license") == license).select("textbook_name")
-    return sections.join(F.broadcast(ok), "textbook_name", "left_semi")
+    return semi_join_checked(sections, ok, "textbook_name")
