@@ -26,7 +26,7 @@ from qbank.operators import extract as X
 from qbank.operators import sections as SEC
 from qbank.operators.dom import dom_nodes
 from qbank.operators.joins import semi_join_checked
-from qbank.session import materialize
+from qbank.session import app_key, materialize
 from qbank.sources import tables as TB
 from qbank.sources import textbook_site as TS
 
@@ -39,7 +39,7 @@ _SITES: dict[tuple[str, str], DataFrame] = {}
 def site(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rendered site, written once per application and input folder to the
     checkpoint folder (it plays the part of a crawled ``pages`` table)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (app_key(spark), sf_dir)
     if key not in _SITES:
         pages = TS.site_pages(TB.documents(spark, sf_dir).select("doc_id", "text", "source"))
         # partitioned by page type: seeds and answer pages are read by

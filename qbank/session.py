@@ -33,6 +33,24 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     )
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session, None for a remote one."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
+def app_key(spark: SparkSession) -> str:
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else str(id(spark))
+
+
+def default_parallelism(spark: SparkSession) -> int | None:
+    sc = _context(spark)
+    return sc.defaultParallelism if sc is not None else None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
@@ -41,11 +59,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     folder of its own; on a cluster a missing setting is an error, because a
     machine-local folder would not survive the loss of an executor.
     """
-    sc = spark.sparkContext
+    sc = _context(spark)
+    conf = spark.conf.get("spark.checkpoint.dir", None)
+    if sc is None:  # a remote (Connect) session: only the conf can name the folder
+        if conf:
+            return conf
+        raise RuntimeError("spark.checkpoint.dir is not set on this session")
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf = spark.conf.get("spark.checkpoint.dir", None)
     if conf:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir() or conf

@@ -51,8 +51,14 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     than the cluster has cores (a small file with one row group is one task).
     Large inputs already have many splits and are left alone: no shuffle is
     added at scale. Projections and filters still reach the Parquet scan."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    from qbank.session import default_parallelism
+    target = default_parallelism(df.sparkSession)
+    if target is None:
+        return df
+    try:
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # no RDD view of this plan: leave it as scanned
         return df
     return df.repartition(target, key)
 
