@@ -45,10 +45,17 @@ def page_route(url_col: str = "url") -> F.Column:
     return F.when(book == "econ", U.route_econ(cn)).when(book == "finance", U.route_finance(cn))
 
 
-def sections_stream(pages: DataFrame) -> DataFrame:
-    """The streaming transformation of ST1 (works on batch input too)."""
+def sections_stream(pages: DataFrame, event_time: str | None = None,
+                    delay: str = "1 day") -> DataFrame:
+    """The streaming transformation of ST1 (works on batch input too).
+
+    With ``event_time`` (a fetch timestamp column) the URL de-dup keeps state
+    only within the watermark delay; without it the state holds every URL seen."""
     from qbank.plans.crawl import extract_sections
-    once = pages.dropDuplicates(["url"])
+    if event_time and pages.isStreaming:
+        once = pages.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["url"])
+    else:
+        once = pages.dropDuplicates(["url"])
     routed = (once.withColumn("route", page_route("url"))
               .withColumn("book", F.split(U.textbook_name("url"), "-")[0])
               .where(F.col("route").isNotNull() & (F.col("route") != "chapter")
