@@ -73,3 +73,18 @@ def generated_roundtrip(spark: SparkSession, sf_dir: str):
     return g.select("seq", "n_keypoints", "status", "correct_answer",
                     F.array_join("choices", "\n~\n").alias("choices_joined"),
                     "n_removed_total", n_audit.alias("n_audit"))
+
+
+SHUFFLED_SCHEMA = ("seq BIGINT, source STRING, question STRING, choices ARRAY<STRING>, "
+                   "shuffled ARRAY<STRING>, gold_index INT, gold_letter STRING, "
+                   "gold_ambiguous BOOLEAN, mcq STRING")
+
+
+def shuffled_roundtrip(spark: SparkSession, sf_dir: str):
+    """SNK4: the shuffled questions as JSON lines (0-based gold index kept
+    next to its letter) -> SRC3."""
+    from qbank.plans.evaluation import shuffled_questions
+    path = _path(spark, "shuffled")
+    IO.write_feed(shuffled_questions(spark, sf_dir), path)
+    return IO.read_jsonl(spark, path, SHUFFLED_SCHEMA).select(
+        "seq", "source", "question", "gold_index", "gold_letter", "gold_ambiguous", "mcq")

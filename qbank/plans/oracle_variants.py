@@ -135,6 +135,8 @@ def _stream_oracles():
     ORACLES.update({"stream_main_texts": main_texts, "stream_batch_accuracy": batch_accuracy,
                     "feed_roundtrip": sections, "delivery_roundtrip": delivery_records,
                     "answer_log_roundtrip": answer_log_table, "generated_roundtrip": generated_mcqs})
+    from qbank.plans.oracle_eval import shuffled_mcqs
+    ORACLES["shuffled_roundtrip"] = shuffled_mcqs
 
 
 _stream_oracles()

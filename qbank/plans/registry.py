@@ -59,4 +59,5 @@ QUERIES = {
     "delivery_roundtrip": EXP.delivery_roundtrip,
     "answer_log_roundtrip": EXP.answer_log_roundtrip,
     "generated_roundtrip": EXP.generated_roundtrip,
+    "shuffled_roundtrip": EXP.shuffled_roundtrip,
 }

@@ -22,6 +22,10 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # page markup is CPU-heavy per byte (parsing in Python): smaller scan
+        # splits and shuffle targets keep tasks short and spill-free
+        .config("spark.sql.files.maxPartitionBytes", "64m")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # rows per Arrow batch into the Python hops: pages can be large
