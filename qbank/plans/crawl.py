@@ -25,7 +25,7 @@ from qbank.functions import url as U
 from qbank.operators import extract as X
 from qbank.operators import sections as SEC
 from qbank.operators.dom import dom_nodes
-from qbank.operators.joins import semi_join_checked
+from qbank.operators.joins import join_small_side, semi_join_checked
 from qbank.session import app_key, materialize
 from qbank.sources import tables as TB
 from qbank.sources import textbook_site as TS
@@ -61,8 +61,8 @@ def routed_links(pages: DataFrame, book: str, seeds: DataFrame | None = None) ->
     seeds_df = pages.where((F.col("page") == "contents") & (_book_of("url") == book))
     if seeds is not None:
         seeds_df = semi_join_checked(seeds_df, seeds, "url")
-    seeds = seeds_df
-    nodes = dom_nodes(seeds.select("url", "html"), keep=["url"])
+    seeds = TB.spread(seeds_df.select("url", "html"), "url", factor=2)
+    nodes = dom_nodes(seeds, keep=["url"])
     links = nodes.select("url", F.explode(X.toc_links("nodes", TS.TOC_CLASS)).alias("href"))
     route = U.route_econ("href") if book == "econ" else U.route_finance("href")
     links = (links.withColumn("route", route).where(F.col("route").isNotNull())
@@ -76,7 +76,12 @@ def fetched(pages: DataFrame, books=BOOKS, routes=None) -> DataFrame:
     links = reduce(DataFrame.unionByName, [routed_links(pages, b) for b in books])
     if routes:
         links = links.where(F.col("route").isin(list(routes)))
-    got = links.join(pages.select(F.col("url").alias("resolved_url"), "html"), "resolved_url")
+    # the link list is written once (it is the crawl frontier) and, when its
+    # size allows, broadcast: page markup is then never shuffled for the fetch
+    links = materialize(links, "links")
+    got = join_small_side(pages.select(F.col("url").alias("resolved_url"), "html"), links,
+                          "resolved_url")
+    got = TB.spread(got, "resolved_url", factor=2)  # parse work evenly over the cores
     return dom_nodes(got, keep=["resolved_url", "route", "book"]).withColumnRenamed(
         "resolved_url", "chapter_url")
 
@@ -118,8 +123,9 @@ def self_check_sections(pages: DataFrame, wide: DataFrame) -> DataFrame:
                      F.col("p.fragment").alias("fragment"),
                      U.resolve_url("chapter_url", F.col("p.answer_link")).alias("answer_url")))
     probs = materialize(probs, "problems")
-    targets = pages.select(F.col("url").alias("answer_url"), "html").join(
-        probs.select("answer_url").distinct(), "answer_url", "left_semi")
+    targets = TB.spread(semi_join_checked(pages.select(F.col("url").alias("answer_url"), "html"),
+                                          probs.select("answer_url"), "answer_url"),
+                        "answer_url", factor=2)
     ans = dom_nodes(targets, keep=["answer_url"])
     by_id = (ans.select("answer_url", F.inline(X.elements_with_id("nodes")))
              .groupBy("answer_url", F.col("elem_id").alias("fragment"))

@@ -46,15 +46,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-repartition ``df`` on ``key`` when its scan has fewer partitions
-    than the cluster has cores (a small file with one row group is one task).
-    Large inputs already have many splits and are left alone: no shuffle is
-    added at scale. Projections and filters still reach the Parquet scan."""
+def spread(df: DataFrame, key: str, factor: int = 1) -> DataFrame:
+    """Hash-repartition ``df`` on ``key`` when it has fewer partitions than
+    ``factor`` x the cluster's cores (a small file with one row group is one
+    task; a few packed files feed CPU-heavy parsing unevenly). Large inputs
+    already have many splits and are left alone: no shuffle is added at
+    scale. Projections and filters still reach the Parquet scan."""
     from qbank.session import default_parallelism
     target = default_parallelism(df.sparkSession)
     if target is None:
         return df
+    target *= factor
     try:
         if df.rdd.getNumPartitions() >= target:
             return df
