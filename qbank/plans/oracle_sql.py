@@ -93,11 +93,10 @@ def oracle_sql() -> dict[str, str]:
 
 SECTIONS_CTE = """
 sec_src AS (
-  SELECT doc_id, text, source, string_split(text, chr(10)) AS ln,
+  SELECT doc_id, text, source, string_split(text, chr(10)) AS ln, slug = 'self-check-questions' AS sc,
          'https://books.example.org/books/' || source || '/pages/' || CAST(doc_id AS VARCHAR) || '-'
-           || ['self-check-questions', 'key-terms', 'key-concepts-and-summary'][doc_id % 3 + 1]
-           AS chapter_url
-  FROM documents
+           || slug AS chapter_url
+  FROM documents, (VALUES ('self-check-questions'), ('key-terms'), ('key-concepts-and-summary')) s(slug)
 ),
 sec_q AS (
   SELECT *, string_split(chapter_url, '/')[-1] AS chapter_name,
@@ -108,12 +107,12 @@ sec_q AS (
 ),
 sections AS (
   SELECT doc_id,
-         CASE WHEN doc_id % 3 = 0 THEN 'self-check-questions'
+         CASE WHEN sc THEN 'self-check-questions'
               ELSE array_to_string(list_slice(string_split(chapter_name, '-'), 2, len(string_split(chapter_name, '-'))), '') END AS section_name,
-         CASE WHEN doc_id % 3 = 0 THEN 'Question: ' || q || ' Answer: ' || a ELSE text END AS section_text,
+         CASE WHEN sc THEN 'Question: ' || q || ' Answer: ' || a ELSE text END AS section_text,
          chapter_name, textbook_name, chapter_url,
-         CASE WHEN doc_id % 3 = 0 THEN q END AS question,
-         CASE WHEN doc_id % 3 = 0 THEN a END AS answer
+         CASE WHEN sc THEN q END AS question,
+         CASE WHEN sc THEN a END AS answer
   FROM sec_q
 )"""
 

@@ -31,13 +31,14 @@ def choice_sets(documents: DataFrame) -> DataFrame:
 
 
 def section_urls(documents: DataFrame) -> DataFrame:
-    """A chapter URL per document: ``.../books/{source}/pages/{doc_id}-{slug}``
-    where the slug cycles through the three section classes by doc_id."""
-    slug = F.element_at(F.array(*[F.lit(s) for s in SECTION_SLUGS]),
-                        (F.col("doc_id") % 3 + 1).cast("int"))
+    """One chapter URL per document and section class:
+    ``.../books/{source}/pages/{doc_id}-{slug}`` (every document is a section
+    of each of the three classes)."""
+    d = documents.select("doc_id", "text", "source",
+                         F.explode(F.array(*[F.lit(s) for s in SECTION_SLUGS])).alias("slug"))
     url = F.concat(F.lit(BOOK_HOST), F.col("source"), F.lit("/pages/"),
-                   F.col("doc_id").cast("string"), F.lit("-"), slug)
-    return documents.select("doc_id", "text", "source", url.alias("chapter_url"))
+                   F.col("doc_id").cast("string"), F.lit("-"), F.col("slug"))
+    return d.select("doc_id", "text", "source", url.alias("chapter_url"))
 
 
 def sections(documents: DataFrame) -> DataFrame:
