@@ -38,11 +38,19 @@ def sample_keypoints(arr, k: int, seed, row_id) -> Column:
 
 def sample_rank(exploded: DataFrame, k: int, seed: int, group: str, pos: str) -> DataFrame:
     """The same sample over an exploded key-point table (for questions
-    whose key points are too many to keep in one row)."""
+    whose key points are too many to keep in one row).
+
+    Two rounds, so a hot question never lands whole in one task: the first
+    keeps the k best per (question, input partition), spread over tasks; the
+    second ranks at most k x partitions candidates per question."""
     h = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(group).cast("string"),
                           F.col(pos).cast("string")))
-    w = Window.partitionBy(group).orderBy(h, F.col(pos))
-    return exploded.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r")
+    x = exploded.withColumn("_h", h).withColumn("_p", F.spark_partition_id())
+    local = Window.partitionBy(group, "_p").orderBy("_h", F.col(pos))
+    cand = x.withColumn("_r", F.row_number().over(local)).where(F.col("_r") <= k)
+    final = Window.partitionBy(group).orderBy("_h", F.col(pos))
+    return (cand.withColumn("_r", F.row_number().over(final)).where(F.col("_r") <= k)
+            .drop("_r", "_h", "_p"))
 
 
 def others_by_struct(arr, sel) -> Column:
