@@ -109,10 +109,14 @@ def classify_questions(questions: DataFrame, backend: Backend, *, id_col: str =
 def row_index(df: DataFrame, seq: str, name: str = "row_index") -> DataFrame:
     """0-based index in ``seq`` order, without a single-partition window.
 
-    Rows are range-partitioned on ``seq``; each partition is counted (one
-    small row per partition), the running offsets are a tiny broadcast, and
-    the index is offset + rank inside the partition."""
-    ranged = df.repartitionByRange(seq).withColumn("_pid", F.spark_partition_id())
+    Rows are range-partitioned on ``seq`` and tagged with their range number;
+    that tagging is written once (so the counting pass and the numbering pass
+    see the very same ranges, whatever AQE later coalesces). Each range is
+    counted (one small row per range), the running offsets are a tiny
+    broadcast, and the index is offset + rank inside the range."""
+    from qbank.session import materialize
+    ranged = materialize(df.repartitionByRange(seq).withColumn("_pid", F.spark_partition_id()),
+                         "ranges")
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n"))
                             .alias("_off"))
