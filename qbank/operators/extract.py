@@ -180,18 +180,34 @@ def section_blocks(nodes, default_name: str = "learning obj") -> Column:
     mods = select(nodes, lambda n: is_el(n, "div") & has_class(n, "chapter-content-module"))
     secs = F.filter(as_col(nodes), lambda n: is_el(n, "section") & F.exists(
         mods, lambda m: n["parent"] == m["ord"]))
-    def boxes(s):
-        return F.flatten(F.array(*[
-            F.transform(within(nodes, s, _div_of_class(c)), lambda b: b["text"])
-            for c in SPECIAL_SECTIONS + IMAGE_SECTIONS]))
+    def boxes(s):  # (class, text) records, class list order then document order
+        def of_class(c):
+            return F.transform(within(nodes, s, _div_of_class(c)), lambda b: F.struct(
+                F.lit(c).alias("section_name"), b["text"].alias("section_text")))
+        return F.flatten(F.array(*[of_class(c) for c in SPECIAL_SECTIONS + IMAGE_SECTIONS]))
     return F.transform(secs, lambda s: F.struct(
         F.coalesce(first(direct_texts(within(nodes, s, lambda n: is_el(n, "h2")
                                              & attr_is(n, "data-type", "title")))),
                    F.lit(default_name)).alias("section_name"),
-        remove_all(s["text"], boxes(s)).alias("section_text"),
+        remove_all(s["text"], F.transform(boxes(s), lambda b: b["section_text"]))
+        .alias("section_text"),
         boxes(s).alias("boxes")))
 
 
+def chapter_records_econ(nodes) -> Column:
+    """The economics chapter callback's records in the order it yields them:
+    chapter-level boxes, the chapter's own record (X10), then for each
+    section its boxes followed by the section record (X11, X12)."""
+    intro = chapter_intro_econ(nodes)
+    per_section = F.flatten(F.transform(section_blocks(nodes), lambda s: F.concat(
+        s["boxes"], F.array(F.struct(s["section_name"].alias("section_name"),
+                                     s["section_text"].alias("section_text"))))))
+    return F.concat(special_boxes(nodes),
+                    F.array(F.struct(intro["section_name"].alias("section_name"),
+                                     intro["section_text"].alias("section_text"))),
+                    per_section)
+
+
 def special_boxes(nodes) -> Column:
     """X11 at chapter level: boxes that are direct children of a module, in
     list order of the box class, then document order: (class, text)."""

@@ -40,3 +40,11 @@ def econ_problem_texts(spark, sf_dir):
     n = _parsed(spark, sf_dir, "content").where(F.col("url").endswith("-self-check-questions"))
     return n.select("chapter_name", U.section_slug("chapter_name").alias("section_name"),
                     X.problems_text("nodes").alias("section_text"))
+
+
+def econ_chapter_feed(spark, sf_dir):
+    """X10-X12 as the chapter callback's record stream (one row per record)."""
+    n = _parsed(spark, sf_dir, "chapter")
+    return n.select("chapter_name", F.posexplode(X.chapter_records_econ("nodes")).alias("pos", "r")) \
+        .select("chapter_name", "pos", F.col("r.section_name").alias("section_name"),
+                F.col("r.section_text").alias("section_text"))

@@ -47,6 +47,7 @@ QUERIES = {
     "econ_chapter_sections": CH.econ_chapter_sections,
     "econ_chapter_intro": CH.econ_chapter_intro,
     "econ_problem_texts": CH.econ_problem_texts,
+    "econ_chapter_feed": CH.econ_chapter_feed,
     "direct_distractors": VAR.direct_distractors,
     "keypoint_distractors": VAR.keypoint_distractors,
     "structured_distractors": VAR.structured_distractors,
