@@ -238,3 +238,11 @@ def page_stats(spark, sf_dir):
         F.size(X.select("nodes", lambda n: X.is_el(n, "p"))).alias("n_p"),
         X.first(F.transform(X.select("nodes", lambda n: X.is_el(n, "title")),
                             lambda n: n["text"])).alias("title"))
+
+
+def page_article_text(spark, sf_dir):
+    """X2-style text extraction on the raw ``pages`` markup (unclosed ``p``/
+    ``b``, entities): all text of each page's ``article`` element."""
+    nodes = dom_nodes(TB.pages(spark, sf_dir).select("page_id", "html"), keep=["page_id"])
+    return nodes.select("page_id", X.all_text(X.select("nodes", lambda n: X.is_el(n, "article")))
+                        .alias("article_text"))

@@ -174,3 +174,11 @@ FROM pages"""
 
 
 ORACLES["page_stats"] = page_stats
+
+
+def page_article_text() -> str:
+    body = "regexp_replace(regexp_extract(html, '<article>(.*?)</article>', 1), '<[^>]*>', '', 'g')"
+    return f"SELECT page_id, {_unescape(body)} AS article_text FROM pages"
+
+
+ORACLES["page_article_text"] = page_article_text

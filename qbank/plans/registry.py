@@ -44,6 +44,7 @@ QUERIES = {
     "finance_chapters": CR.finance_chapters,
     "crawl_section_counts": CR.crawl_section_counts,
     "page_stats": CR.page_stats,
+    "page_article_text": CR.page_article_text,
     "econ_chapter_sections": CH.econ_chapter_sections,
     "econ_chapter_intro": CH.econ_chapter_intro,
     "econ_problem_texts": CH.econ_problem_texts,
