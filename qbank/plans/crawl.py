@@ -9,8 +9,9 @@ Each fetched page is parsed once (one Python hop) and every extractor runs in
 the same projection under a CASE on its route, so markup never travels past
 X0 and no branch re-parses. Route filters are applied to the *links*, before
 the fetch join, so a job asking for one page type parses only those pages.
-The extracted feed and the problem list (the state carried to the second
-fetch) are written to the checkpoint folder once and re-read.
+The link frontier, the extracted feed and the problem list (the state
+carried to the second fetch) are written to the checkpoint folder once and
+re-read; the frontier is broadcast to the page scan only after a size check.
 """
 
 from __future__ import annotations

@@ -33,3 +33,19 @@ def test_backend_retries_then_marks_errors():
     assert list(out["status"]) == ["ok", "ok", "error", "error"]
     assert out["response"][0] == "reply:m" and out["response"][1] == "reply:m"
     assert calls.count("bad") == 1  # a 4xx is not retried
+
+
+def test_http_backend_runs_inside_infer(spark):
+    from qbank.operators.infer import build_requests, infer
+
+    def fake(url, headers, body, timeout):  # shipped to the workers by value
+        req = json.loads(body)
+        return 200, json.dumps({"choices": [{"message": {
+            "content": req["messages"][-1]["content"].upper()}}]})
+
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], ["id", "p"])
+    be = ChatHttpBackend("http://unused/v1", transport=fake, backoff=0.0)
+    out = {r.request_id: (r.response, r.status) for r in
+           infer(build_requests(df, request_id="id", prompt="p", task="t", json_mode=False),
+                 be).collect()}
+    assert out == {"1": ("A", "ok"), "2": ("B", "ok"), "3": ("A", "ok")}
