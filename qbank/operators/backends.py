@@ -58,8 +58,10 @@ class ChatHttpBackend(Backend):
 
     def __init__(self, base_url: str, api_key: str | None = None,
                  api_key_env: str | None = None, timeout: float = 120.0, retries: int = 3,
-                 backoff: float = 2.0, transport: Transport | None = None):
+                 backoff: float = 2.0, transport: Transport | None = None,
+                 concurrency: int = 1):
         self.url = base_url.rstrip("/") + "/chat/completions"
+        self.concurrency = max(1, int(concurrency))
         self.api_key, self.api_key_env = api_key, api_key_env
         self.timeout, self.retries, self.backoff = timeout, retries, backoff
         self.transport = transport
@@ -93,5 +95,13 @@ class ChatHttpBackend(Backend):
     def complete(self, batch: pd.DataFrame) -> pd.DataFrame:
         send = self.transport or urllib_transport
         headers = self._headers()
-        out = [self._one(r, headers, send) for r in batch.to_dict("records")]
+        rows = batch.to_dict("records")
+        if self.concurrency > 1 and len(rows) > 1:
+            # calls are I/O-bound: a small pool per task; total in-flight
+            # requests = tasks x concurrency, set by the caller's partitioning
+            from concurrent.futures import ThreadPoolExecutor
+            with ThreadPoolExecutor(max_workers=self.concurrency) as pool:
+                out = list(pool.map(lambda r: self._one(r, headers, send), rows))
+        else:
+            out = [self._one(r, headers, send) for r in rows]
         return pd.DataFrame(out, columns=["response", "status", "error"])

@@ -44,7 +44,7 @@ def test_http_backend_runs_inside_infer(spark):
             "content": req["messages"][-1]["content"].upper()}}]})
 
     df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], ["id", "p"])
-    be = ChatHttpBackend("http://unused/v1", transport=fake, backoff=0.0)
+    be = ChatHttpBackend("http://unused/v1", transport=fake, backoff=0.0, concurrency=4)
     out = {r.request_id: (r.response, r.status) for r in
            infer(build_requests(df, request_id="id", prompt="p", task="t", json_mode=False),
                  be).collect()}
