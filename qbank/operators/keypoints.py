@@ -83,6 +83,7 @@ def generate_mcqs(questions: DataFrame, backend: Backend, *, id_col: str = "seq"
     the answers in sample order, A7 the prompt audit, F11 the removal check.
     Rows with fewer than k key points or an unreadable reply come out with a
     ``status`` and no choices (quarantine), never as a job failure.
+    ``id_col`` must identify a row uniquely (stages are joined back on it).
     """
     carry = list(dict.fromkeys([c for c in (carry or []) if c != id_col]))
     base = [id_col, "question", "answer", *carry]

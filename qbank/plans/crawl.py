@@ -53,28 +53,36 @@ def _book_of(url_col) -> F.Column:
     return F.split(U.textbook_name(url_col), "-")[0]
 
 
-def routed_links(pages: DataFrame, book: str, seeds: DataFrame | None = None) -> DataFrame:
+def routed_links(pages: DataFrame, book: str, seeds: DataFrame | None = None,
+                 link_class: str = TS.TOC_CLASS) -> DataFrame:
     """SRC1 seeds -> X1 -> F1/F2 -> resolve -> U2.
 
-    ``seeds`` (a ``url`` table, the start URLs) restricts the contents pages
-    crawled; it is semi-joined with a size check (broadcast only when small).
-    Without it every contents page of the book is a seed."""
-    seeds_df = pages.where((F.col("page") == "contents") & (_book_of("url") == book))
+    ``seeds`` (a ``url`` table: the book's start pages) picks the contents
+    pages to read; it is semi-joined with a size check (broadcast only when
+    small). Without it every contents page of the rendered site's ``book`` is
+    a seed. ``link_class`` is the table-of-contents anchor class."""
     if seeds is not None:
-        seeds_df = semi_join_checked(seeds_df, seeds, "url")
-    seeds = TB.spread(seeds_df.select("url", "html"), "url", factor=2)
-    nodes = dom_nodes(seeds, keep=["url"])
-    links = nodes.select("url", F.explode(X.toc_links("nodes", TS.TOC_CLASS)).alias("href"))
+        seeds_df = semi_join_checked(pages.select("url", "html"), seeds, "url")
+    else:
+        seeds_df = pages.where((F.col("page") == "contents") & (_book_of("url") == book))
+    seeds_df = TB.spread(seeds_df.select("url", "html"), "url", factor=2)
+    nodes = dom_nodes(seeds_df, keep=["url"])
+    links = nodes.select("url", F.explode(X.toc_links("nodes", link_class)).alias("href"))
     route = U.route_econ("href") if book == "econ" else U.route_finance("href")
     links = (links.withColumn("route", route).where(F.col("route").isNotNull())
              .withColumn("resolved_url", U.resolve_url("url", "href")))
     return SEC.dedup_links(links.select("resolved_url", "route")).withColumn("book", F.lit(book))
 
 
-def fetched(pages: DataFrame, books=BOOKS, routes=None) -> DataFrame:
+def fetched(pages: DataFrame, books=BOOKS, routes=None,
+            seeds: dict[str, DataFrame] | None = None, link_class: str = TS.TOC_CLASS) -> DataFrame:
     """Follow routed links to their pages (inner: a missing page yields
-    nothing) and parse each fetched page once."""
-    links = reduce(DataFrame.unionByName, [routed_links(pages, b) for b in books])
+    nothing) and parse each fetched page once. ``seeds`` maps a book kind
+    (``econ`` / ``finance``) to its start-page URLs."""
+    if seeds is not None:
+        books = list(seeds)
+    links = reduce(DataFrame.unionByName,
+                   [routed_links(pages, b, seeds[b] if seeds else None, link_class) for b in books])
     if routes:
         links = links.where(F.col("route").isin(list(routes)))
     # the link list is written once (it is the crawl frontier) and, when its
@@ -119,8 +127,8 @@ def extract_sections(f: DataFrame) -> DataFrame:
 def self_check_sections(pages: DataFrame, wide: DataFrame) -> DataFrame:
     """X6 -> F4 -> J2 -> J3/X7 -> P6 over the self-check rows of ``wide``."""
     probs = (wide.where(F.col("problems").isNotNull())
-             .select("chapter_url", F.explode("problems").alias("p"))
-             .select("chapter_url", F.col("p.question").alias("question"),
+             .select("chapter_url", F.posexplode("problems").alias("problem_pos", "p"))
+             .select("chapter_url", "problem_pos", F.col("p.question").alias("question"),
                      F.col("p.fragment").alias("fragment"),
                      U.resolve_url("chapter_url", F.col("p.answer_link")).alias("answer_url")))
     probs = materialize(probs, "problems")
@@ -142,17 +150,24 @@ def self_check_sections(pages: DataFrame, wide: DataFrame) -> DataFrame:
                     TX.qa_text("question", "answer").alias("section_text"),
                     U.chapter_name("chapter_url").alias("chapter_name"),
                     U.textbook_name("chapter_url").alias("textbook_name"),
-                    "chapter_url", "question", "answer")
+                    "chapter_url", "question", "answer", "problem_pos")
 
 
-def section_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every callback of both books in one canonical feed."""
-    pages = site(spark, sf_dir)
-    wide = materialize(extract_sections(fetched(pages)), "sections-wide")
+def crawl_feed(pages: DataFrame, seeds: dict[str, DataFrame] | None = None,
+               link_class: str = TS.TOC_CLASS) -> DataFrame:
+    """U1 over any ``pages(url, html)`` table: every callback of the books in
+    one canonical feed (``seeds``: book kind -> start-page URLs)."""
+    wide = materialize(extract_sections(fetched(pages, seeds=seeds, link_class=link_class)),
+                       "sections-wide")
     rest = wide.where(F.col("problems").isNull()).drop("book", "route", "problems")
     return SEC.union_sections(rest, self_check_sections(pages, wide))
 
 
+def section_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U1 over the rendered site (both books)."""
+    return crawl_feed(site(spark, sf_dir))
+
+
 # -- registered, checkable projections ------------------------------------------------
 
 def _route(spark, sf_dir, book, route) -> DataFrame:
