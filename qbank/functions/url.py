@@ -69,22 +69,39 @@ def route_finance(link) -> Column:
     return _route(link, FINANCE_ROUTES, FINANCE_DEFAULT_ROUTE)
 
 
+def remove_dot_segments(path) -> Column:
+    """RFC 3986 dot-segment removal on an absolute path (``/a/b/../c`` ->
+    ``/a/c``; a final ``.`` or ``..`` leaves a trailing slash)."""
+    segs = F.split(as_col(path), "/")
+    rest = F.slice(segs, 2, F.greatest(F.size(segs) - 1, F.lit(0)))
+    out = F.aggregate(rest, F.array().cast("array<string>"), lambda acc, x: (
+        F.when(x == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
+        .when(x == ".", acc)
+        .otherwise(F.concat(acc, F.array(x)))))
+    trailing = F.element_at(segs, -1).isin(".", "..") & (F.size(out) > 0)
+    return F.concat(F.lit("/"), F.array_join(out, "/"), F.when(trailing, F.lit("/")).otherwise(""))
+
+
 def resolve_url(base, link) -> Column:
-    """Resolve a (possibly relative) link against the page URL, dropping the
-    fragment. Handles absolute (``scheme://``), scheme-relative (``//``),
-    root-relative (``/x``), query-only (``?q``) and directory-relative links.
-    Dot segments are not normalised (the test corpora carry none)."""
+    """Resolve a (possibly relative) link against the page URL as a browser
+    does (RFC 3986 merge + dot-segment removal), dropping the fragment.
+    Handles absolute (``scheme:``), scheme-relative (``//``), root-relative
+    (``/x``), query-only (``?q``), empty and directory-relative links."""
     b = F.regexp_replace(as_col(base), "#.*$", "")
     lk = F.regexp_replace(as_col(link), "#.*$", "")
     scheme = F.regexp_extract(b, r"^([a-zA-Z][a-zA-Z0-9+.-]*:)", 1)
     origin = F.regexp_extract(b, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
-    no_query = F.regexp_replace(b, r"\?.*$", "")
-    directory = F.regexp_replace(no_query, r"[^/]*$", "")
+    base_path = F.regexp_extract(b, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    link_path = F.regexp_extract(lk, r"^([^?]*)", 1)
+    link_query = F.regexp_extract(lk, r"(\?.*)$", 1)
+    directory = F.when(base_path == "", F.lit("/")).otherwise(
+        F.regexp_replace(base_path, r"[^/]*$", ""))
     return (
         F.when(lk.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), lk)
         .when(lk.startswith("//"), F.concat(scheme, lk))
-        .when(lk.startswith("/"), F.concat(origin, lk))
         .when(lk == "", b)
-        .when(lk.startswith("?"), F.concat(no_query, lk))
-        .otherwise(F.concat(directory, lk))
+        .when(lk.startswith("?"), F.concat(origin, base_path, lk))
+        .when(lk.startswith("/"), F.concat(origin, remove_dot_segments(link_path), link_query))
+        .otherwise(F.concat(origin, remove_dot_segments(F.concat(directory, link_path)),
+                            link_query))
     )

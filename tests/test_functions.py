@@ -83,3 +83,14 @@ def test_reject_reasons(spark):
                                "choices array<string>")
     got = [r[0] for r in df.select(reject_reason()).collect()]
     assert got == ["null choice", "too many choices", None]
+
+
+def test_resolve_url_matches_urljoin(spark):
+    from urllib.parse import urljoin
+    bases = ["https://h.org/books/b/pages/1-contents?q=1#top", "http://h.org", "http://h.org/a/b/c",
+             "http://h.org/a/b/"]
+    links = ["2-key-terms#x", "../x", "../../x/y", "./z", ".", "..", "../", "/r/../s", "?z=2", "",
+             "//cdn.org/a", "http://o.org/p", "a/./b/../c?d=1", "../../../../g", "g/", "x?y#z"]
+    df = spark.createDataFrame([(b, k) for b in bases for k in links], ["b", "l"])
+    for r in df.select("b", "l", U.resolve_url("b", "l").alias("r")).collect():
+        assert r.r == urljoin(r.b, r.l).split("#")[0], (r.b, r.l)
