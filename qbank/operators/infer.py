@@ -202,13 +202,17 @@ def infer(requests: DataFrame, backend: Backend, *, cache: DataFrame | None = No
     """
     keyed = requests.withColumn("cache_key", cache_key_col())
     todo = keyed.select(*REQUEST_COLUMNS[1:], "cache_key").dropDuplicates(["cache_key"])
+    cached = None
     if cache is not None:
-        todo = todo.join(cache.select("cache_key"), "cache_key", "left_anti")
+        # only the cached replies this run asks for, one per key
+        cached = (cache.select(*REPLY_SCHEMA.fieldNames()).dropDuplicates(["cache_key"])
+                  .join(todo.select("cache_key"), "cache_key", "left_semi"))
+        todo = todo.join(cached.select("cache_key"), "cache_key", "left_anti")
     if num_partitions:
         todo = todo.repartition(num_partitions, "cache_key")
     replies = todo.mapInPandas(_call_backend(backend), REPLY_SCHEMA)
-    if cache is not None:
-        replies = replies.unionByName(cache.select(*REPLY_SCHEMA.fieldNames()))
+    if cached is not None:
+        replies = replies.unionByName(cached)
     if materialize:
         replies = _materialize(replies, name)
     rest = [c for c in keyed.columns
