@@ -13,7 +13,7 @@ from qbank.functions.util import as_col
 _WS = r"[\s\x{1c}-\x{1f}]"
 STRIP_PATTERN = rf"(?U)^{_WS}+|{_WS}+$"
 # Fixed value: leading "N." numbering of textbook questions.
-NUMBERING_PATTERN = r"(?U)^\s*\d+\.\s*"
+NUMBERING_PATTERN = rf"(?U)^{_WS}*\d+\.{_WS}*"
 
 
 def py_strip(c) -> Column:
