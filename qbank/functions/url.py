@@ -72,14 +72,18 @@ def route_finance(link) -> Column:
 def remove_dot_segments(path) -> Column:
     """RFC 3986 dot-segment removal on an absolute path (``/a/b/../c`` ->
     ``/a/c``; a final ``.`` or ``..`` leaves a trailing slash)."""
-    segs = F.split(as_col(path), "/")
+    p = as_col(path)
+    segs = F.split(p, "/")
     rest = F.slice(segs, 2, F.greatest(F.size(segs) - 1, F.lit(0)))
     out = F.aggregate(rest, F.array().cast("array<string>"), lambda acc, x: (
         F.when(x == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
         .when(x == ".", acc)
         .otherwise(F.concat(acc, F.array(x)))))
     trailing = F.element_at(segs, -1).isin(".", "..") & (F.size(out) > 0)
-    return F.concat(F.lit("/"), F.array_join(out, "/"), F.when(trailing, F.lit("/")).otherwise(""))
+    cleaned = F.concat(F.lit("/"), F.array_join(out, "/"),
+                       F.when(trailing, F.lit("/")).otherwise(""))
+    # a dot segment always follows a slash: most paths skip the fold entirely
+    return F.when(p.contains("/."), cleaned).otherwise(p)
 
 
 def resolve_url(base, link) -> Column:
