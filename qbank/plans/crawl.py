@@ -74,11 +74,11 @@ def routed_links(pages: DataFrame, book: str, seeds: DataFrame | None = None,
     return SEC.dedup_links(links.select("resolved_url", "route")).withColumn("book", F.lit(book))
 
 
-def fetched(pages: DataFrame, books=BOOKS, routes=None,
-            seeds: dict[str, DataFrame] | None = None, link_class: str = TS.TOC_CLASS) -> DataFrame:
-    """Follow routed links to their pages (inner: a missing page yields
-    nothing) and parse each fetched page once. ``seeds`` maps a book kind
-    (``econ`` / ``finance``) to its start-page URLs."""
+def fetched_html(pages: DataFrame, books=BOOKS, routes=None,
+                 seeds: dict[str, DataFrame] | None = None,
+                 link_class: str = TS.TOC_CLASS) -> DataFrame:
+    """J1 before parsing: ``resolved_url, route, book, html`` of every page a
+    routed link leads to."""
     if seeds is not None:
         books = list(seeds)
     links = reduce(DataFrame.unionByName,
@@ -90,7 +90,15 @@ def fetched(pages: DataFrame, books=BOOKS, routes=None,
     links = materialize(links, "links")
     got = join_small_side(pages.select(F.col("url").alias("resolved_url"), "html"), links,
                           "resolved_url")
-    got = TB.spread(got, "resolved_url", factor=2)  # parse work evenly over the cores
+    return TB.spread(got, "resolved_url", factor=2)  # parse work evenly over the cores
+
+
+def fetched(pages: DataFrame, books=BOOKS, routes=None,
+            seeds: dict[str, DataFrame] | None = None, link_class: str = TS.TOC_CLASS) -> DataFrame:
+    """Follow routed links to their pages (inner: a missing page yields
+    nothing) and parse each fetched page once. ``seeds`` maps a book kind
+    (``econ`` / ``finance``) to its start-page URLs."""
+    got = fetched_html(pages, books, routes, seeds, link_class)
     return dom_nodes(got, keep=["resolved_url", "route", "book"]).withColumnRenamed(
         "resolved_url", "chapter_url")
 
@@ -262,3 +270,16 @@ def page_article_text(spark, sf_dir):
     nodes = dom_nodes(TB.pages(spark, sf_dir).select("page_id", "html"), keep=["page_id"])
     return nodes.select("page_id", X.all_text(X.select("nodes", lambda n: X.is_el(n, "article")))
                         .alias("article_text"))
+
+
+def econ_key_terms_rows(spark, sf_dir):
+    """X4 through the exploded node table (the large-page form); same result
+    as ``econ_key_terms``."""
+    from qbank.operators.dom import dom_node_rows
+    from qbank.operators import extract_rows as XR
+    got = fetched_html(site(spark, sf_dir), ["econ"], ["key_terms"])
+    rows = dom_node_rows(got.select(F.col("resolved_url").alias("chapter_url"), "html"),
+                         keep=["chapter_url"])
+    kt = XR.key_terms_by_dl(rows, ["chapter_url"])
+    return kt.select(U.chapter_name("chapter_url").alias("chapter_name"),
+                     F.col("pos").cast("int").alias("pos"), "term", "definition")

@@ -174,6 +174,7 @@ FROM pages"""
 
 
 ORACLES["page_stats"] = page_stats
+ORACLES["econ_key_terms_rows"] = econ_key_terms
 
 
 def page_article_text() -> str:

@@ -33,6 +33,7 @@ QUERIES = {
     "generated_shuffled": GEN.generated_shuffled,
     "toc_links": CR.toc_links,
     "econ_key_terms": CR.econ_key_terms,
+    "econ_key_terms_rows": CR.econ_key_terms_rows,
     "econ_key_concepts": CR.econ_key_concepts,
     "econ_self_check": CR.econ_self_check,
     "main_texts": CR.main_texts,

@@ -92,3 +92,21 @@ def test_toc_links_need_ol_ancestor(spark):
     html = ('<p><a class="toc" href="no">x</a></p><ol><li><a class="toc" href="a">1</a></li>'
             '<li><a class="other" href="b">2</a></li><ol><li><a class="toc" href="c">3</a></li></ol></ol>')
     assert page(spark, html).select(X.toc_links("nodes", "toc")).first()[0] == ["a", "c"]
+
+
+def test_exploded_node_rows_match_array_form(spark):
+    from qbank.operators import extract_rows as XR
+    from qbank.operators.dom import dom_node_rows
+    html = ('<div id="main-content"><dl><dt>T1</dt><dd>D1<b>x</b>D1b</dd></dl>'
+            '<dl><dt></dt><dd>D2</dd></dl><dl><dt> </dt><dd>D3</dd></dl>'
+            '<dl><dt> T4 </dt><dd> D4 </dd></dl></div><dl><dt>out</dt><dd>side</dd></dl>')
+    df = spark.createDataFrame([(1, html), (2, html.replace("T1", "U1"))], ["page_id", "html"])
+    arr = {(r.page_id, i): (p.term, p.definition) for r in
+           dom_nodes(df).select("page_id", X.key_terms_by_dl("nodes").alias("k")).collect()
+           for i, p in enumerate(r.k)}
+    rows = dom_node_rows(df)
+    got = {(r.page_id, r.pos): (r.term, r.definition)
+           for r in XR.key_terms_by_dl(rows, ["page_id"]).collect()}
+    assert got == arr and len(got) == 6
+    mt = {r.page_id: r.main_text for r in XR.main_text(rows, ["page_id"]).collect()}
+    assert mt[1] == dom_nodes(df).where("page_id = 1").select(X.main_text("nodes")).first()[0]
