@@ -138,14 +138,28 @@ def self_check_sections(pages: DataFrame, wide: DataFrame) -> DataFrame:
              .select("chapter_url", F.posexplode("problems").alias("problem_pos", "p"))
              .select("chapter_url", "problem_pos", F.col("p.question").alias("question"),
                      F.col("p.fragment").alias("fragment"),
-                     U.resolve_url("chapter_url", F.col("p.answer_link")).alias("answer_url")))
+                     F.col("p.answer_link").alias("answer_link")))
+    return answer_problems(pages, probs)
+
+
+def answer_problems(pages: DataFrame, problems: DataFrame, node_rows: bool = False) -> DataFrame:
+    """J2 -> J3/X7 -> P6 for a problem table (``chapter_url, problem_pos,
+    question, fragment, answer_link``): the second fetch. With ``node_rows``
+    the answer pages are parsed into the exploded node table (large pages)."""
+    probs = problems.select("chapter_url", "problem_pos", "question", "fragment",
+                            U.resolve_url("chapter_url", "answer_link").alias("answer_url"))
     probs = materialize(probs, "problems")
     targets = TB.spread(semi_join_checked(pages.select(F.col("url").alias("answer_url"), "html"),
                                           probs.select("answer_url"), "answer_url"),
                         "answer_url", factor=2)
-    ans = dom_nodes(targets, keep=["answer_url"])
-    by_id = (ans.select("answer_url", F.inline(X.elements_with_id("nodes")))
-             .groupBy("answer_url", F.col("elem_id").alias("fragment"))
+    if node_rows:
+        from qbank.operators import extract_rows as XR
+        from qbank.operators.dom import dom_node_rows
+        ids = XR.elements_with_id(dom_node_rows(targets, keep=["answer_url"]))
+    else:
+        ids = dom_nodes(targets, keep=["answer_url"]).select(
+            "answer_url", F.inline(X.elements_with_id("nodes")))
+    by_id = (ids.groupBy("answer_url", F.col("elem_id").alias("fragment"))
              .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "text"))),
                                            lambda x: x["text"]), "").alias("found")))
     # Inner on the page (it must exist); J3: left on the fragment id
@@ -283,3 +297,17 @@ def econ_key_terms_rows(spark, sf_dir):
     kt = XR.key_terms_by_dl(rows, ["chapter_url"])
     return kt.select(U.chapter_name("chapter_url").alias("chapter_name"),
                      F.col("pos").cast("int").alias("pos"), "term", "definition")
+
+
+def econ_self_check_rows(spark, sf_dir):
+    """X6 + J2/J3 through the exploded node table (pages with thousands of
+    problems); same result as ``econ_self_check``."""
+    from qbank.operators import extract_rows as XR
+    from qbank.operators.dom import dom_node_rows
+    pages = site(spark, sf_dir)
+    got = fetched_html(pages, ["econ"], ["self_check"])
+    rows = dom_node_rows(got.select(F.col("resolved_url").alias("chapter_url"), "html"),
+                         keep=["chapter_url"])
+    probs = XR.self_check_problems(rows, ["chapter_url"])
+    return answer_problems(pages, probs, node_rows=True).select(
+        "chapter_name", "question", "answer", "section_text")

@@ -175,6 +175,7 @@ FROM pages"""
 
 ORACLES["page_stats"] = page_stats
 ORACLES["econ_key_terms_rows"] = econ_key_terms
+ORACLES["econ_self_check_rows"] = econ_self_check
 
 
 def page_article_text() -> str:

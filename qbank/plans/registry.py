@@ -36,6 +36,7 @@ QUERIES = {
     "econ_key_terms_rows": CR.econ_key_terms_rows,
     "econ_key_concepts": CR.econ_key_concepts,
     "econ_self_check": CR.econ_self_check,
+    "econ_self_check_rows": CR.econ_self_check_rows,
     "main_texts": CR.main_texts,
     "finance_key_terms": CR.finance_key_terms,
     "finance_summary": CR.finance_summary,
