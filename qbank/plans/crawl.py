@@ -311,3 +311,15 @@ def econ_self_check_rows(spark, sf_dir):
     probs = XR.self_check_problems(rows, ["chapter_url"])
     return answer_problems(pages, probs, node_rows=True).select(
         "chapter_name", "question", "answer", "section_text")
+
+
+def econ_key_concepts_rows(spark, sf_dir):
+    """X5 through the exploded node table; same result as ``econ_key_concepts``."""
+    from qbank.operators import extract_rows as XR
+    from qbank.operators.dom import dom_node_rows
+    got = fetched_html(site(spark, sf_dir), ["econ"], ["key_concepts"])
+    rows = dom_node_rows(got.select(F.col("resolved_url").alias("chapter_url"), "html"),
+                         keep=["chapter_url"])
+    kc = XR.key_concepts(rows, ["chapter_url"])
+    return kc.select(U.chapter_name("chapter_url").alias("chapter_name"), "pos", "concept",
+                     "definition")

@@ -176,6 +176,7 @@ FROM pages"""
 ORACLES["page_stats"] = page_stats
 ORACLES["econ_key_terms_rows"] = econ_key_terms
 ORACLES["econ_self_check_rows"] = econ_self_check
+ORACLES["econ_key_concepts_rows"] = econ_key_concepts
 
 
 def page_article_text() -> str:

@@ -35,6 +35,7 @@ QUERIES = {
     "econ_key_terms": CR.econ_key_terms,
     "econ_key_terms_rows": CR.econ_key_terms_rows,
     "econ_key_concepts": CR.econ_key_concepts,
+    "econ_key_concepts_rows": CR.econ_key_concepts_rows,
     "econ_self_check": CR.econ_self_check,
     "econ_self_check_rows": CR.econ_self_check_rows,
     "main_texts": CR.main_texts,
