@@ -323,3 +323,15 @@ def econ_key_concepts_rows(spark, sf_dir):
     kc = XR.key_concepts(rows, ["chapter_url"])
     return kc.select(U.chapter_name("chapter_url").alias("chapter_name"), "pos", "concept",
                      "definition")
+
+
+def finance_problems_rows(spark, sf_dir):
+    """X17 through the exploded node table; same result as ``finance_problems``."""
+    from qbank.operators import extract_rows as XR
+    from qbank.operators.dom import dom_node_rows
+    got = fetched_html(site(spark, sf_dir), ["finance"], ["problems"])
+    rows = dom_node_rows(got.select(F.col("resolved_url").alias("chapter_url"), "html"),
+                         keep=["chapter_url"])
+    pr = XR.problems_fin(rows, ["chapter_url"])
+    return pr.select(U.chapter_name("chapter_url").alias("chapter_name"), "pos",
+                     "question_number", "question")

@@ -177,6 +177,7 @@ ORACLES["page_stats"] = page_stats
 ORACLES["econ_key_terms_rows"] = econ_key_terms
 ORACLES["econ_self_check_rows"] = econ_self_check
 ORACLES["econ_key_concepts_rows"] = econ_key_concepts
+ORACLES["finance_problems_rows"] = finance_problems
 
 
 def page_article_text() -> str:

@@ -44,6 +44,7 @@ QUERIES = {
     "finance_multiple_choice": CR.finance_multiple_choice,
     "finance_review": CR.finance_review,
     "finance_problems": CR.finance_problems,
+    "finance_problems_rows": CR.finance_problems_rows,
     "finance_chapters": CR.finance_chapters,
     "crawl_section_counts": CR.crawl_section_counts,
     "page_stats": CR.page_stats,
