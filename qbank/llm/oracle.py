@@ -46,6 +46,48 @@ OP9 = f"""WITH {quality_cte("documents")}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept
 FROM quality"""
 
+OP1 = """
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents)
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+       doc_id = max(doc_id) OVER g AS kept, sha256(text) AS text_sha256
+FROM t WINDOW g AS (PARTITION BY text)
+"""
+
+#: per-document figures of the mixture, from the table ``{src}`` (doc_id, source, text)
+MIX_CTE = r"""
+sz AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
+       FROM {src}),
+src0 AS (SELECT source, sum(size)::BIGINT AS source_size FROM sz GROUP BY source),
+src1 AS (SELECT *, [3.0, 1.0, 2.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight,
+                (2 * source_size)::DOUBLE AS cap FROM src0),
+src2 AS (SELECT *, (1.5::DOUBLE * (sum(source_size) OVER ())::DOUBLE
+                    - (sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS UNBOUNDED PRECEDING) - cap))
+                   / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST
+                                       ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lvl FROM src1),
+lv AS (SELECT arg_min(lvl, cap / weight) AS lvl FROM src2 WHERE lvl * weight <= cap),
+tg AS (SELECT source, source_size, least(cap, lv.lvl * weight) AS target FROM src2, lv),
+ex AS (SELECT sz.*, tg.source_size, tg.target,
+              CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
+              (('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || size::VARCHAR), 1, 13))::BIGINT
+               + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u
+       FROM sz JOIN tg ON sz.source IS NOT DISTINCT FROM tg.source),
+fr AS (SELECT *, least(2.0::DOUBLE, rate) - floor(least(2.0::DOUBLE, rate)) AS p,
+              floor(least(2.0::DOUBLE, rate)) AS certain FROM ex),
+od AS (SELECT *, CASE WHEN p > 0 AND size > 0 THEN (u / (1.0::DOUBLE - u)) / (p / (1.0::DOUBLE - p)) END AS odds FROM fr),
+mid AS (SELECT *, sum(CASE WHEN odds IS NULL THEN 0 ELSE size END)
+                    OVER (PARTITION BY source ORDER BY odds / (1.0::DOUBLE + odds) NULLS LAST, doc_id, size
+                          ROWS UNBOUNDED PRECEDING) - size / 2.0::DOUBLE AS middle,
+               sum(certain * size) OVER (PARTITION BY source) AS certain_size FROM od),
+mix AS (SELECT *, (certain + CASE WHEN odds IS NOT NULL AND middle <= target - certain_size THEN 1 ELSE 0 END)::BIGINT
+                  AS copies FROM mid)
+"""
+
+OP7 = f"""WITH {MIX_CTE.format(src="documents")}
+SELECT doc_id, size, source_size, target, copies * size AS taken FROM mix
+"""
+
 ORACLES = {
+    "op1_exact_dedup": OP1,
+    "op7_source_mixing": OP7,
     "op9_quality_rules": OP9,
 }

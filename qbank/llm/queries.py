@@ -5,16 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from qbank.llm import exact as EXACT
+from qbank.llm import mixing as MIX
 from qbank.llm import quality as QUAL
 from qbank.llm import sharding as SHARD
 from qbank.llm.common import documents
 
 
+def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the one that stays for its text."""
+    return EXACT.decisions(documents(spark, sf_dir)).select(
+        "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sixteen equal shards by rendezvous hashing of doc_id, and the move to seventeen."""
     return SHARD.shard_slots(documents(spark, sf_dir), "doc_id", "text", [1.0] * 16)
 
 
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken of every document when sources mix 3:1:2 to 150 % of all words."""
+    return MIX.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rule table over every text; one row per document."""
     q = QUAL.quality(documents(spark, sf_dir).select("doc_id", "text"))
@@ -24,6 +37,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_exact_dedup": op1_exact_dedup,
     "op4_sharding": op4_sharding,
+    "op7_source_mixing": op7_source_mixing,
     "op9_quality_rules": op9_quality_rules,
 }
