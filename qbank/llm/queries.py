@@ -9,7 +9,8 @@ from qbank.llm import exact as EXACT
 from qbank.llm import mixing as MIX
 from qbank.llm import quality as QUAL
 from qbank.llm import sharding as SHARD
-from qbank.llm.common import documents
+from qbank.llm import tokenfiles as FILES
+from qbank.llm.common import documents, shared_path
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +29,19 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return MIX.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    """Every document's place and checksum, read back from a token folder."""
+    if tokenizer is None:
+        import public_tokenizers
+        tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    with open(tokenizer, encoding="utf-8") as f:
+        spec = f.read()
+    path = shared_path(spark, "token-files")
+    FILES.write_token_files(documents(spark, sf_dir), path, spec, end_id=2, vocab_size=49408)
+    found = FILES.read_token_files(spark, path, digests_only=True)
+    return found.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rule table over every text; one row per document."""
     q = QUAL.quality(documents(spark, sf_dir).select("doc_id", "text"))
@@ -40,5 +54,6 @@ QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_sharding": op4_sharding,
     "op7_source_mixing": op7_source_mixing,
+    "op8_token_files": op8_token_files,
     "op9_quality_rules": op9_quality_rules,
 }
