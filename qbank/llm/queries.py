@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from qbank.llm import chat as CHAT
 from qbank.llm import exact as EXACT
 from qbank.llm import mixing as MIX
+from qbank.llm import near as NEAR
 from qbank.llm import pii as PII
 from qbank.llm import quality as QUAL
 from qbank.llm import sharding as SHARD
@@ -21,6 +22,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of two-word shingles are 80 % alike."""
+    return NEAR.decisions(documents(spark, sf_dir), shingle_words=2)
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sixteen equal shards by rendezvous hashing of doc_id, and the move to seventeen."""
     return SHARD.shard_slots(documents(spark, sf_dir), "doc_id", "text", [1.0] * 16)
@@ -80,6 +86,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_sharding": op4_sharding,
     "op5_chat_format": op5_chat_format,
     "op6_pii": op6_pii,
