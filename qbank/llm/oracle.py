@@ -99,7 +99,25 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
+OP10 = r"""
+WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS s
+        FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 12)) AS i FROM t WHERE len(w) >= 13)),
+rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS least FROM win)
+        WHERE least < doc_id),
+wd AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM t),
+last AS (SELECT wd.doc_id, wd.i, word, r.i AS start FROM wd ASOF LEFT JOIN rep r
+         ON wd.doc_id = r.doc_id AND wd.i >= r.i),
+left_ AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) FILTER (start IS NULL OR i - start > 12) AS kept,
+                 count(*) AS n, count(*) FILTER (start IS NOT NULL AND i - start <= 12) AS gone
+          FROM last GROUP BY doc_id)
+SELECT t.doc_id, len(w)::BIGINT AS n_words, coalesce(gone, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM t LEFT JOIN left_ USING (doc_id)
+"""
+
 ORACLES = {
+    "op10_substring_dedup": OP10,
     "op1_exact_dedup": OP1,
     "op5_chat_format": OP5,
     "op7_source_mixing": OP7,

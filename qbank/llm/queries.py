@@ -12,6 +12,7 @@ from qbank.llm import near as NEAR
 from qbank.llm import pii as PII
 from qbank.llm import quality as QUAL
 from qbank.llm import sharding as SHARD
+from qbank.llm import substrings as SUB
 from qbank.llm import tokenfiles as FILES
 from qbank.llm.common import conversations, documents, shared_path, written
 
@@ -84,6 +85,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")])
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words after windows of earlier documents are cut."""
+    return SUB.deduplicate(documents(spark, sf_dir), digests=True)
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
@@ -93,4 +99,5 @@ QUERIES = {
     "op7_source_mixing": op7_source_mixing,
     "op8_token_files": op8_token_files,
     "op9_quality_rules": op9_quality_rules,
+    "op10_substring_dedup": op10_substring_dedup,
 }
