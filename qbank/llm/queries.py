@@ -9,6 +9,7 @@ from qbank.llm import chat as CHAT
 from qbank.llm import exact as EXACT
 from qbank.llm import mixing as MIX
 from qbank.llm import near as NEAR
+from qbank.llm import pieces as PIECES
 from qbank.llm import pii as PII
 from qbank.llm import quality as QUAL
 from qbank.llm import sharding as SHARD
@@ -23,6 +24,24 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def piece_model() -> str:
+    """The model file of the public tokenizers on this machine."""
+    import public_tokenizers
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op2_sentencepiece(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
+    """Every document encoded and decoded: piece count, digest of the ids (decimal,
+    joined by spaces), length of the decoded text and whether it is the text."""
+    model = model or piece_model()
+    rows = PIECES.encode(documents(spark, sf_dir), model, keep_text=True)
+    rows = PIECES.decoded(rows, model)
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return rows.select("doc_id", "n_pieces", F.sha2(ids, 256).alias("ids_sha256"),
+                       F.length("decoded").cast("bigint").alias("decoded_chars"),
+                       PIECES.reads_back(F.col("text"), F.col("decoded")).alias("round_trip"))
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of two-word shingles are 80 % alike."""
     return NEAR.decisions(documents(spark, sf_dir), shingle_words=2)
@@ -92,6 +111,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_sharding": op4_sharding,
     "op5_chat_format": op5_chat_format,
