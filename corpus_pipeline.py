@@ -1,15 +1,17 @@
 """The corpus pipeline: documents in, cleaned, mixed and tokenized rows out.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes it as
-Parquet to the shared folder and rereads it as the next stage's documents.
+Parquet to the shared folder and rereads it as the next stage's documents. Empty
+tables, nulls and repeated rows behave as the operators' docstrings say.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from qbank.llm import quality
+from qbank.llm import exact, mixing, near, pieces, quality
 from qbank.llm.common import documents, written
+from qbank.llm.queries import piece_model
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,8 +19,33 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.filter_quality(docs)
 
 
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document per text: the one with the largest id."""
+    return exact.deduplicate(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document per group that is 80 % alike in shingles of five words: the one
+    with the smallest id."""
+    return near.deduplicate(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources mixed 3:1:2; a document stands once or twice, or is left out."""
+    return mixing.sample(docs)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_pieces and ids of every mixed document."""
+    return pieces.encode(docs, piece_model())
+
+
 STAGES = [
     ("quality_rules", quality_rules),
+    ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("mix_sources", mix_sources),
+    ("tokenize", tokenize),
 ]
 
 #: SentencePiece segmentation has no SQL form; the tests hold run() against plain Python.
