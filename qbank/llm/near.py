@@ -165,7 +165,7 @@ def _link_classes(docs: DataFrame, reps: DataFrame, k: int, percent: int) -> Dat
             other = left.select("key", F.col("id").alias("hub"), F.col("n").alias("hub_n"), F.col("comp").alias("hub_comp"))
             pairs = left.join(other, "key").where((F.col("comp") < F.col("hub_comp")) & near_size)
         pairs = pairs.groupBy(F.greatest("id", "hub").alias("u"), F.least("id", "hub").alias("v")).count()
-        if turn == 0:  # the hub that shares most buckets links most members at once
+        if turn == 0 < HUB_ROUNDS:  # the hub that shares most buckets links most members at once
             pairs = (pairs.groupBy("u").agg(F.max(F.struct("count", "v")).alias("b"))
                      .select("u", F.col("b.v").alias("v")))
         pairs = pairs.select("u", "v")
