@@ -1,6 +1,6 @@
-"""Prompt wording for every model stage (M1-M16). Same slots as the original
-workflow, our own wording. Block slots (lists of key points) are rendered by
-the ``*_block`` helpers, as Spark columns and as SQL for the oracles."""
+"""Prompt templates of the model stages (M1-M16), written from each stage's slots
+and reply keys. Block slots (lists of key points) are rendered by the ``*_block``
+helpers, as Spark columns and as SQL for the oracles."""
 
 from __future__ import annotations
 
@@ -10,158 +10,101 @@ from pyspark.sql import functions as F
 from qbank.functions.template import Template, sql_literal
 from qbank.functions.util import as_col
 
-STUDENT_SYSTEM = "You are a student working through a textbook exercise."
-TEACHER_SYSTEM = ("You are an experienced teacher writing a hard multiple-choice question: "
-                  "your wrong choices should be ones a student could plausibly pick.")
-HELPER_SYSTEM = "You are a helpful assistant for questions and tasks."
+STUDENT_SYSTEM = "Role: test taker. Output: JSON only."
+TEACHER_SYSTEM = "Role: item writer for exams. Output: JSON only."
+HELPER_SYSTEM = "Role: text editor. Output: what the task line names."
+
+
+def _reply(**keys: str) -> str:
+    """The line that names the reply's keys and their types."""
+    return "Output keys: " + ", ".join(f"{k} ({t})" for k, t in keys.items()) + ".\n"
+
 
 # M7: answer a shuffled question (letters shown, number asked for).
-ANSWER = Template(
-    "Question: {mcq}\n"
-    "Which of the choices above answers the question best? Give the reason for your pick "
-    "first, then the pick.\n"
-    'Reply with one JSON object shaped like {"reason": "string", "choice": "int"}\n')
+ANSWER = Template("Task: solve this item.\n{mcq}\n" + _reply(reason="text", choice="number, the first line is 1"))
 
 # M9: the batch form asks for a 0-based integer.
-ANSWER_BATCH = Template(
-    "Question: {mcq}\n"
-    "Which of the choices above answers the question best? Give the reason for your pick "
-    "first, then the pick as an integer from 0 to 3.\n"
-    'Reply with only one JSON object shaped like {"reason": "string", "choice": "int"}\n')
+ANSWER_BATCH = Template("Task: solve this item.\n{mcq}\n" + _reply(reason="text", choice="number, the first line is 0"))
 
 # M8: classify a cleaned question. Code domains are fixed values.
 CLASSIFY_SYSTEM = (
-    "You will see one problem taken from a textbook. Decide three things and explain each.\n"
-    "Completeness: 1 incomplete wording, 2 missing reference material (table, chart, figure), "
-    "3 missing context from other parts of the book, 9 other gap, 0 complete.\n"
-    "Type: 1 conceptual, 2 computation, 3 true/false, 4 graphical, 5 reasoning, 9 other.\n"
-    "Multiple-choice fit: 1 yes, 0 no.\n"
-    "Answer every part with its number.")
-CLASSIFY = Template(
-    "Question: {question}\n"
-    "Reply with one JSON object with the string keys completeness_reason, type_reason, "
-    "mcq_reason and the integer keys completeness_choice, type_choice, mcq_choice.\n")
+    "Role: cataloguer of exercise texts. Every label is a number with a short note.\n"
+    "completeness: 0 = self-contained; 1 = sentence cut off; 2 = refers to a figure or table "
+    "that is absent; 3 = refers to another passage; 9 = any other gap.\n"
+    "type: 1 = concept; 2 = calculation; 3 = true or false; 4 = drawing; 5 = argument; 9 = rest.\n"
+    "mcq: 1 = could be asked with options; 0 = could not.")
+CLASSIFY = Template("Task: label this exercise.\n{question}\n" + _reply(
+    completeness_reason="text", completeness_choice="number", type_reason="text", type_choice="number",
+    mcq_reason="text", mcq_choice="number"))
 
 # M1: key points of a question and its gold answer.
 EXTRACT_KEYPOINTS = Template(
-    "Question: {question}\n"
-    "Gold answer: {answer}\n"
-    "Read the question and its answer, then list the key points someone would need to "
-    "rebuild the answer from scratch. List at least five and give each key point its own "
-    "distinct name.\n"
-    'Reply with one JSON object: {"Analysis": "string", "Keypoints": '
-    '[{"keypoint": "string", "detail": "string"}]}\n')
+    "Task: take this solved exercise apart into its ideas (5 or more, no name twice).\n"
+    "Exercise: {question}\nSolution: {answer}\n"
+    + _reply(Analysis="text", Keypoints="array of objects with keypoint and detail, both text"))
 
 # M2: distort the selected key point.
 DISTORT_KEYPOINT = Template(
-    "Question: {question}\n"
-    "Selected key point: {name}\n"
-    "Detail: {detail}\n"
-    "{others}"
-    "Rewrite only the selected key point so that it leads in a misleading direction for "
-    "this question; keep the other key points as they are.\n"
-    "Reply with one JSON object with the keys analysis_1, analysis_2, new_keypoint, "
-    "new_keypoint_detail, old_keypoint, old_keypoint_detail.\n")
+    "Task: falsify one idea of this exercise; the rest is context.\n"
+    "Exercise: {question}\nSelected key point: {name}\nIts detail: {detail}\n{others}"
+    + _reply(analysis_1="text", analysis_2="text", new_keypoint="text", new_keypoint_detail="text",
+             old_keypoint="text", old_keypoint_detail="text"))
 
 # M3: gold answer from all key points.
 TRUE_ANSWER = Template(
-    "Write one concise paragraph that answers the question, using the key points as "
-    "guidance rather than strict rules. No reasoning trace, no closing summary.\n"
-    "Question: {question}\n"
-    "Key points:\n"
-    "{keypoints}")
+    "Task: write the solution in a single paragraph.\nExercise: {question}\nIdeas to use:\n{keypoints}")
 
 # M4: misleading answer led by the distorted key point.
 MISLEAD_ANSWER = Template(
-    "Write one concise paragraph that answers the question. Follow the main key point "
-    "strictly and change the other key points only where they conflict with it. No "
-    "reasoning trace, no closing summary.\n"
-    "Question: {question}\n"
-    "Main key point:\n"
-    "{new_name}: {new_detail}\n"
-    "Other key points:\n"
-    "{keypoints}")
+    "Task: write a solution in a single paragraph in which the first idea holds, even against the others.\n"
+    "Exercise: {question}\nFirst idea:\n{new_name}: {new_detail}\nMore ideas:\n{keypoints}")
+
+_FOUR = dict(question="text", choice="object with gold_choice, incorrect_choice_1, incorrect_choice_2 and "
+                                     "incorrect_choice_3, each an object with reason and answer")
 
 # One fully and two partly wrong choices.
 DIRECT_DISTRACTORS = Template(
-    "Question: {question}\n"
-    "Gold answer: {answer}\n"
-    "Textbook: {textbook}\n"
-    "Write three wrong answer choices that could confuse a student: one wholly wrong and "
-    "two partly wrong, in the style of the gold answer, built on concepts the question "
-    "implies. Give a reason for each choice.\n"
-    'Reply with one JSON object: {"question": "string", "choice": {"gold_choice": '
-    '{"reason": "string", "answer": "string"}, "incorrect_choice_1": {...}, '
-    '"incorrect_choice_2": {...}, "incorrect_choice_3": {...}}}\n')
+    "Task: invent three false solutions; number 1 false throughout, 2 and 3 false in one respect.\n"
+    "Exercise: {question}\nSolution: {answer}\nBook: {textbook}\n" + _reply(**_FOUR))
 TERM_DISTRACTORS = Template(
-    "Term: {term}\n"
-    "Definition: {definition}\n"
-    "Textbook: {textbook}\n"
-    "Write three wrong definitions that could confuse a student: one wholly wrong and two "
-    "partly wrong, in the style of the given definition. Give a reason for each choice.\n"
-    'Reply with one JSON object: {"question": "string", "choice": {"gold_choice": '
-    '{"reason": "string", "answer": "string"}, "incorrect_choice_1": {...}, '
-    '"incorrect_choice_2": {...}, "incorrect_choice_3": {...}}}\n')
+    "Task: invent three false meanings; number 1 false throughout, 2 and 3 false in one respect.\n"
+    "Entry: {term}\nMeaning: {definition}\nBook: {textbook}\n" + _reply(**_FOUR))
 
 # Three distractors, each changing one key point.
 KEYPOINT_DISTRACTORS = Template(
-    "Question: {question}\n"
-    "Gold answer: {answer}\n"
-    "Find three key points that are critical to this question and answer, then write "
-    "three wrong answer choices, each one changing exactly one of those key points.\n"
-    'Reply with one JSON object: {"Analysis": "string", "question": "string", "choice": '
-    '{"gold_choice": {...}, "incorrect_choice_1": {...}, "incorrect_choice_2": {...}, '
-    '"incorrect_choice_3": {...}}}\n')
+    "Task: pick three ideas of this solved exercise; per idea, invent a false solution that gets only it wrong.\n"
+    "Exercise: {question}\nSolution: {answer}\n" + _reply(Analysis="text", **_FOUR))
 
 # Two-step structured distractors.
 STRUCTURED_DISTRACTORS = Template(
-    "Step 1: study the question and its correct answer and name three key points a "
-    "student must understand to solve it.\n"
-    "Step 2: for each key point write one wrong answer that changes only that key point "
-    "and stays consistent with the correct answer otherwise.\n"
-    "Question: {question}\n"
-    "Correct answer: {answer}\n"
-    'Reply with one JSON object: {"Analysis": "string", "question": "string", "choices": '
-    '{"gold_choice": {"reason": "string", "answer": "string"}, "incorrect_choices": '
-    '[{"key_point_changed": "string", "reason": "string", "answer": "string"}]}}\n')
+    "Task: first list three ideas of this solved exercise, then per idea a false solution that keeps the rest.\n"
+    "Exercise: {question}\nSolution: {answer}\n" + _reply(
+        Analysis="text", question="text",
+        choices="object with gold_choice (reason, answer) and incorrect_choices, an array of objects with "
+                "key_point_changed, reason and answer"))
 
 # Which unshuffled choice is best (text reply).
-CHECK_CHOICE = Template(
-    "{numbered}\n"
-    "Which of the choices above answers the question best? Give the reason first, then "
-    "the choice.\n")
+CHECK_CHOICE = Template("Task: name the right line and say why.\n{numbered}\n")
 
 # Question breakdown, and the variant that rewrites one part at a time.
-BREAKDOWN = Template(
-    "Question: {question}\n"
-    "Break the question down into smaller parts.\n")
+BREAKDOWN = Template("Task: list the sub-questions of this exercise.\nExercise: {question}\n")
 BREAKDOWN_REWRITE = Template(
-    "Question: {question}\n"
-    "Break the question down into smaller parts, then replace one part at a time and merge "
-    "it with the unchanged parts into a new question that differs from the original.\n")
+    "Task: list the sub-questions of this exercise; for each, write the exercise anew with only it changed.\n"
+    "Exercise: {question}\n")
 
 # The older feature flow.
 EXTRACT_FEATURES = Template(
-    "Question: {question}\n"
-    "Gold answer: {answer}\n"
-    "Read the question and its answer, then list the features someone would need to "
-    "rebuild the answer from scratch.\n"
-    'Reply with one JSON object: {"Analysis": "string", "Features": '
-    '[{"feature": "string", "detail": "string"}]}\n')
+    "Task: take this solved exercise apart into its features.\n"
+    "Exercise: {question}\nSolution: {answer}\n"
+    + _reply(Analysis="text", Features="array of objects with feature and detail, both text"))
 SWAP_FEATURE = Template(
-    "Question: {question}\n"
-    "Selected feature: {name}\n"
-    "Detail: {detail}\n"
-    "{others}"
-    "Swap the selected feature for a misleading one; keep the others.\n"
-    "Reply with one JSON object with the keys analysis_1, analysis_2, new_feature, "
-    "new_feature_detail, old_feature.\n")
+    "Task: falsify one feature of this exercise; the rest is context.\n"
+    "Exercise: {question}\nSelected feature: {name}\nIts detail: {detail}\n{others}"
+    + _reply(analysis_1="text", analysis_2="text", new_feature="text", new_feature_detail="text",
+             old_feature="text"))
 FEATURE_ANSWER = Template(
-    "Features:\n"
-    "{features}"
-    "Answer the question with the features above as loose directions, in one "
-    "paragraph, without a closing summary.\n"
-    "Question: {question}\n")
+    "Task: write a solution in a single paragraph that has these features.\n{features}"
+    "Exercise: {question}\n")
 
 
 # -- block slots ---------------------------------------------------------------

@@ -167,7 +167,10 @@ def parse_html(html: str | None) -> list[dict] | None:
     if html is None:
         return None
     b = _TreeBuilder()
-    b.feed(html)
+    try:
+        b.feed(html)
+    except (AssertionError, ValueError, RecursionError):  # markup the parser gives up on
+        return None
     return b.finish()
 
 

@@ -26,7 +26,8 @@ MCQ_CODES = [0, 1]
 
 def predicted_index(choice_text, scoring: str = "one_based"):
     """Normalise a reply's choice (T6): numbers (quoted or not) and letters.
-    Returns the 0-based choice position, NULL when it cannot be read."""
+    Returns the 0-based choice position, NULL when it cannot be read.
+    ``as_published`` compares numbers only."""
     if scoring not in SCORING:
         raise ValueError(f"scoring must be one of {SCORING}")
     t = F.regexp_replace(choice_text, r"^\s+|\s+$", "")
@@ -35,7 +36,7 @@ def predicted_index(choice_text, scoring: str = "one_based"):
     if scoring == "letter":
         return letter
     shift = {"one_based": 1, "zero_based": 0, "as_published": 2}[scoring]
-    return F.coalesce(n - shift, letter)
+    return n - shift if scoring == "as_published" else F.coalesce(n - shift, letter)
 
 
 def answer_questions(mcqs: DataFrame, backend: Backend, *, id_col: str = "seq",
@@ -109,18 +110,20 @@ def classify_questions(questions: DataFrame, backend: Backend, *, id_col: str =
 def row_index(df: DataFrame, seq: str, name: str = "row_index") -> DataFrame:
     """0-based index in ``seq`` order, without a single-partition window.
 
-    Rows are range-partitioned on ``seq`` and tagged with their range number;
-    that tagging is written once (so the counting pass and the numbering pass
-    see the very same ranges, whatever AQE later coalesces). Each range is
-    counted (one small row per range), the running offsets are a tiny
-    broadcast, and the index is offset + rank inside the range."""
+    Rows are range-partitioned and sorted on ``seq``, and numbered inside their
+    range; that is written once, so counting and numbering see the same ranges.
+    Each range is counted (one small row per range); the index is the running
+    offset of the range plus the number inside it."""
     from qbank.session import materialize
-    ranged = materialize(df.repartitionByRange(seq).withColumn("_pid", F.spark_partition_id()),
-                         "ranges")
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    # a sorted range's ids count up by one from its first, so the rank inside the
+    # range needs no second shuffle
+    ranged = materialize(df.repartitionByRange(seq).sortWithinPartitions(seq)
+                         .withColumn("_at", F.monotonically_increasing_id())
+                         .withColumn("_pid", F.shiftright("_at", 33))
+                         .withColumn("_at", F.col("_at") - F.shiftleft("_pid", 33)), "ranges")
+    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))  # a row per range
     offsets = counts.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n"))
                             .alias("_off"))
-    w = Window.partitionBy("_pid").orderBy(seq)
-    return (ranged.join(F.broadcast(offsets), "_pid")
-            .withColumn(name, (F.col("_off") + F.row_number().over(w) - 1).cast("bigint"))
-            .drop("_pid", "_off"))
+    return (ranged.join(offsets, "_pid")
+            .withColumn(name, (F.col("_off") + F.col("_at")).cast("bigint"))
+            .drop("_pid", "_off", "_at"))

@@ -5,16 +5,17 @@ The backend is pluggable; it runs inside ``mapInPandas`` on Arrow batches, one
 client per task, so concurrency is bounded by the number of partitions.
 
 Scale notes
-* Identical requests (same model, system, prompt and parameters) are asked
-  once: requests are keyed by ``cache_key = sha2(...)``, de-duplicated with a
-  map-side partial aggregate, and replies are joined back on the key. A hot
-  prompt (a third of all rows) is one backend call; AQE splits the skewed side
-  of the join-back.
+* Identical requests (same task, model, system, prompt and parameters) at
+  temperature 0 share one reply: requests are keyed by ``cache_key = sha2(...)``,
+  de-duplicated with a map-side partial aggregate, and replies are joined back on
+  the key. A hot prompt (a third of all rows) is one backend call; AQE splits the
+  skewed side of the join-back. Above temperature 0 every request is asked.
 * A reply cache (a table of earlier replies) is honoured with a ``left_anti``
-  join, so only new prompts reach the backend.
+  join, so only new prompts reach the backend. Failed replies in it are not used.
+* Requests are dealt by key, ``PROMPTS_PER_TASK`` to a task.
 * Replies are written to the shared checkpoint folder and read back before
-  anything else uses them: a retried downstream stage never calls the model
-  again (at-most-once per prompt per run).
+  anything else uses them, so later stages and their retries don't ask again. A
+  model task that is itself lost is run again and asks again.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ from pyspark.sql import types as T
 
 from qbank.session import materialize as _materialize
 
+#: Distinct prompts that one task sends to its backend client.
+PROMPTS_PER_TASK = 500
 REQUEST_COLUMNS = ["request_id", "task", "model", "system", "prompt", "temperature",
                    "json_mode", "max_tokens"]
 REPLY_SCHEMA = T.StructType([
@@ -61,7 +64,9 @@ def build_requests(df: DataFrame, *, request_id, prompt, task: str, system: str
 
 
 def cache_key_col() -> F.Column:
-    return F.sha2(F.concat_ws("\u0001", F.col("model"), F.coalesce(F.col("system"), F.lit("")),
+    return F.sha2(F.concat_ws("\u0001", F.col("task"), F.col("model"),
+                              F.when(F.col("temperature") > 0, F.coalesce("request_id", F.lit("")))
+                              .otherwise(F.lit("")), F.coalesce(F.col("system"), F.lit("")),
                               F.col("prompt"), F.col("temperature").cast("string"),
                               F.col("json_mode").cast("string"),
                               F.coalesce(F.col("max_tokens").cast("string"), F.lit(""))), 256)
@@ -205,11 +210,14 @@ def infer(requests: DataFrame, backend: Backend, *, cache: DataFrame | None = No
     cached = None
     if cache is not None:
         # only the cached replies this run asks for, one per key
-        cached = (cache.select(*REPLY_SCHEMA.fieldNames()).dropDuplicates(["cache_key"])
+        cached = (cache.where(F.col("status") == "ok").select(*REPLY_SCHEMA.fieldNames())
+                  .dropDuplicates(["cache_key"])
                   .join(todo.select("cache_key"), "cache_key", "left_semi"))
         todo = todo.join(cached.select("cache_key"), "cache_key", "left_anti")
-    if num_partitions:
-        todo = todo.repartition(num_partitions, "cache_key")
+    if num_partitions is None:
+        # counted from the keys alone, so the prompts are rendered once
+        num_partitions = max(1, -(-todo.count() // PROMPTS_PER_TASK))
+    todo = todo.repartition(num_partitions, "cache_key")
     replies = todo.mapInPandas(_call_backend(backend), REPLY_SCHEMA)
     if cached is not None:
         replies = replies.unionByName(cached)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from qbank.functions import prompts as P
 from qbank.functions.util import as_col
 from qbank.operators.infer import Backend, build_requests, infer
+from qbank.session import materialize
 
 KEYPOINTS_SCHEMA = ("Analysis STRING, Keypoints ARRAY<STRUCT<keypoint: STRING, "
                     "detail: STRING>>")
@@ -81,8 +82,8 @@ def generate_mcqs(questions: DataFrame, backend: Backend, *, id_col: str = "seq"
     Stages: M1 extract key points -> S2 sample k -> M3 true answer, and per
     sampled point F8 -> M2 distort -> F9 -> M4 misleading answer; A8 gathers
     the answers in sample order, A7 the prompt audit, F11 the removal check.
-    Rows with fewer than k key points or an unreadable reply come out with a
-    ``status`` and no choices (quarantine), never as a job failure.
+    Rows with fewer than k key points, a failed stage or an unreadable reply come
+    out with a ``status`` and no choices (quarantine), never as a job failure.
     ``id_col`` must identify a row uniquely (stages are joined back on it).
     """
     carry = list(dict.fromkeys([c for c in (carry or []) if c != id_col]))
@@ -108,12 +109,14 @@ def generate_mcqs(questions: DataFrame, backend: Backend, *, id_col: str = "seq"
 
     # M3
     kp_block = P.pairs_block("keypoints", "keypoint", "detail")
+    ok = materialize(ok, "keypoints")  # later stages read it, not its lineage
     r3 = infer(build_requests(ok, request_id=id_col, task="generate_true_answer", model=model,
                               json_mode=False,
                               prompt=P.TRUE_ANSWER.to_column(question="question",
                                                              keypoints=kp_block),
                               keep=[id_col]), backend, name="true", keep_prompt=True)
-    true = r3.select(id_col, F.col("prompt").alias("p_true"), F.col("response").alias("true_answer"))
+    true = r3.select(id_col, F.col("prompt").alias("p_true"), F.col("response").alias("true_answer"),
+                     (F.col("status") == "ok").alias("true_ok"))
 
     # per sampled key point: F8 -> M2
     ex = ok.select(id_col, "question", "keypoints", F.posexplode("sampled").alias("j", "sel"))
@@ -131,12 +134,16 @@ def generate_mcqs(questions: DataFrame, backend: Backend, *, id_col: str = "seq"
     d = (r2.withColumn("_d", F.from_json("response", DISTORT_SCHEMA))
          .select(id_col, "j", "question", "keypoints", F.col("prompt").alias("p_distort"),
                  F.col("response").alias("r_distort"),
+                 ((F.col("status") == "ok") & F.col("_d.new_keypoint").isNotNull()
+                  & F.col("_d.new_keypoint_detail").isNotNull()).alias("distort_ok"),
                  F.col("_d.new_keypoint").alias("new_keypoint"),
                  F.col("_d.new_keypoint_detail").alias("new_keypoint_detail"),
                  F.col("sel.keypoint").alias("real_old_keypoint")))
     # F9 -> M4
     d = d.withColumn("remaining", others_by_name("keypoints", "real_old_keypoint"))
     d = d.withColumn("n_removed", F.size("keypoints") - F.size("remaining"))
+    d = materialize(d, "distorted")
+    # a failed distortion has nothing to mislead with: its prompt is NULL, not asked
     r4 = infer(build_requests(d, request_id=F.concat_ws("#", F.col(id_col).cast("string"),
                                                          F.col("j").cast("string")),
                               task="generate_mislead_answer", model=model, json_mode=False,
@@ -144,13 +151,16 @@ def generate_mcqs(questions: DataFrame, backend: Backend, *, id_col: str = "seq"
                                   question="question", new_name="new_keypoint",
                                   new_detail="new_keypoint_detail",
                                   keypoints=P.pairs_block("remaining", "keypoint", "detail")),
-                              keep=[id_col, "j", "p_distort", "r_distort", "n_removed"]),
+                              keep=[id_col, "j", "p_distort", "r_distort", "n_removed", "distort_ok"]),
                backend, name="mislead", keep_prompt=True)
     # Gather the k answers per question in sample order (k rows per group)
     parts = (r4.groupBy(id_col)
              .agg(F.array_sort(F.collect_list(F.struct(
                  "j", F.col("response").alias("answer"), "p_distort", "r_distort",
-                 F.col("prompt").alias("p_mislead"), "n_removed"))).alias("parts")))
+                 F.col("prompt").alias("p_mislead"), "n_removed",
+                 F.coalesce(F.col("distort_ok"), F.lit(False)).alias("distort_ok"),
+                 F.coalesce(F.col("status") == "ok", F.lit(False)).alias("mislead_ok"))))
+                  .alias("parts")))
 
     audit = lambda p, r: F.array(F.struct(F.col(p).alias("prompt"), F.col(r).alias("response")))
     out = (ok.drop("sampled").join(true, id_col).join(parts, id_col)
@@ -165,9 +175,15 @@ def generate_mcqs(questions: DataFrame, backend: Backend, *, id_col: str = "seq"
                    x["p_distort"].alias("prompt"), x["r_distort"].alias("response")))),
                F.struct(F.lit("generate_mislead_answer"), F.transform("parts", lambda x: F.struct(
                    x["p_mislead"].alias("prompt"), x["answer"].alias("response")))))))
-           .withColumn("status", F.when(F.col("n_removed_total") != k,
-                                        F.lit("not_all_distorted")).otherwise(F.lit("ok")))
-           .withColumn("correct_answer", F.lit("A")))
+           .withColumn("status", F.when(~F.coalesce("true_ok", F.lit(False))
+                                        | F.col("true_answer").isNull(), F.lit("failed_true_answer"))
+                       .when(F.exists("parts", lambda x: ~x["distort_ok"]), F.lit("failed_distortion"))
+                       .when(F.exists("parts", lambda x: ~x["mislead_ok"] | x["answer"].isNull()),
+                             F.lit("failed_mislead_answer"))
+                       .when(F.col("n_removed_total") != k, F.lit("not_all_distorted"))
+                       .otherwise(F.lit("ok")))
+           .withColumn("choices", F.when(~F.col("status").startswith("failed"), F.col("choices")))
+           .withColumn("correct_answer", F.when(F.col("choices").isNotNull(), F.lit("A"))))
     return (out.select(*base, "n_keypoints", "status", "choices", "correct_answer",
                        "n_removed_total", "prompt_and_response")
             .unionByName(bad, allowMissingColumns=True))

@@ -36,7 +36,7 @@ def reject_reason(choices: str = "choices"):
     """A NULL choice would vanish from the rendered text; more than
     eleven choices have no letter. Such rows go to quarantine."""
     ch = F.col(choices)
-    return (F.when(ch.isNull(), F.lit("no choices"))
+    return (F.when(ch.isNull() | (F.size(ch) == 0), F.lit("no choices"))
             .when(F.exists(ch, lambda x: x.isNull()), F.lit("null choice"))
             .when(F.size(ch) > len(CH.LETTERS), F.lit("too many choices")))
 

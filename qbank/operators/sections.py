@@ -98,10 +98,18 @@ def envelope_json(envelopes: DataFrame) -> DataFrame:
     return envelopes.select(F.to_json("record").alias("value"))
 
 
-def dedup_links(links: DataFrame, url_col: str = "resolved_url") -> DataFrame:
-    """Visit each routed URL once (answer-page joins opt out by not calling this)."""
-    return links.dropDuplicates([url_col])
-
-
-def section_name_or_default(title: Column, default: str) -> Column:
-    return F.coalesce(title, F.lit(default))
+def dedup_links(links: DataFrame, url_col: str = "resolved_url",
+                order: list[str] | None = None) -> DataFrame:
+    """Visit each routed URL once, by the route of its first link in ``order``
+    (answer-page joins opt out by not calling this)."""
+    by = F.struct(*(order or []), "route")
+    return links.groupBy(url_col).agg(F.min_by("route", by).alias("route"))
+
+
+def one_per_url(pages: DataFrame, url_col: str = "url", keep: list[str] | None = None) -> DataFrame:
+    """One row per page: of pages stored more than once, the one with the largest
+    markup hash (a fixed choice)."""
+    keys = [url_col, *(keep or [])]
+    rest = [c for c in pages.columns if c not in keys]
+    best = F.max_by(F.struct(*rest), F.xxhash64("html")).alias("page")
+    return pages.groupBy(*keys).agg(best).select(*keys, "page.*")

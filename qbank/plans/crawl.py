@@ -26,7 +26,7 @@ from qbank.functions import url as U
 from qbank.operators import extract as X
 from qbank.operators import sections as SEC
 from qbank.operators.dom import dom_nodes
-from qbank.operators.joins import join_small_side, semi_join_checked
+from qbank.operators.joins import semi_join
 from qbank.session import app_key, materialize
 from qbank.sources import tables as TB
 from qbank.sources import textbook_site as TS
@@ -58,20 +58,20 @@ def routed_links(pages: DataFrame, book: str, seeds: DataFrame | None = None,
     """SRC1 seeds -> X1 -> F1/F2 -> resolve -> U2.
 
     ``seeds`` (a ``url`` table: the book's start pages) picks the contents
-    pages to read; it is semi-joined with a size check (broadcast only when
-    small). Without it every contents page of the rendered site's ``book`` is
-    a seed. ``link_class`` is the table-of-contents anchor class."""
+    pages to read by a semi-join. Without it every contents page of the rendered
+    site's ``book`` is a seed. ``link_class`` is the table-of-contents anchor
+    class. Of links that resolve to one page, the first in document order (then
+    by contents page) gives the route."""
     if seeds is not None:
-        seeds_df = semi_join_checked(pages.select("url", "html"), seeds, "url")
+        seeds_df = semi_join(pages.select("url", "html"), seeds, "url")
     else:
         seeds_df = pages.where((F.col("page") == "contents") & (_book_of("url") == book))
-    seeds_df = TB.spread(seeds_df.select("url", "html"), "url", factor=2)
-    nodes = dom_nodes(seeds_df, keep=["url"])
-    links = nodes.select("url", F.explode(X.toc_links("nodes", link_class)).alias("href"))
+    nodes = dom_nodes(SEC.one_per_url(seeds_df.select("url", "html")), keep=["url"])
+    links = nodes.select("url", F.posexplode(X.toc_links("nodes", link_class)).alias("pos", "href"))
     route = U.route_econ("href") if book == "econ" else U.route_finance("href")
     links = (links.withColumn("route", route).where(F.col("route").isNotNull())
              .withColumn("resolved_url", U.resolve_url("url", "href")))
-    return SEC.dedup_links(links.select("resolved_url", "route")).withColumn("book", F.lit(book))
+    return SEC.dedup_links(links, order=["pos", "url"]).withColumn("book", F.lit(book))
 
 
 def fetched_html(pages: DataFrame, books=BOOKS, routes=None,
@@ -85,12 +85,10 @@ def fetched_html(pages: DataFrame, books=BOOKS, routes=None,
                    [routed_links(pages, b, seeds[b] if seeds else None, link_class) for b in books])
     if routes:
         links = links.where(F.col("route").isin(list(routes)))
-    # the link list is written once (it is the crawl frontier) and, when its
-    # size allows, broadcast: page markup is then never shuffled for the fetch
+    # the link list is written once: it is the crawl frontier
     links = materialize(links, "links")
-    got = join_small_side(pages.select(F.col("url").alias("resolved_url"), "html"), links,
-                          "resolved_url")
-    return TB.spread(got, "resolved_url", factor=2)  # parse work evenly over the cores
+    got = pages.select(F.col("url").alias("resolved_url"), "html").join(links, "resolved_url")
+    return SEC.one_per_url(got, "resolved_url", ["book"])
 
 
 def fetched(pages: DataFrame, books=BOOKS, routes=None,
@@ -149,9 +147,8 @@ def answer_problems(pages: DataFrame, problems: DataFrame, node_rows: bool = Fal
     probs = problems.select("chapter_url", "problem_pos", "question", "fragment",
                             U.resolve_url("chapter_url", "answer_link").alias("answer_url"))
     probs = materialize(probs, "problems")
-    targets = TB.spread(semi_join_checked(pages.select(F.col("url").alias("answer_url"), "html"),
-                                          probs.select("answer_url"), "answer_url"),
-                        "answer_url", factor=2)
+    targets = SEC.one_per_url(semi_join(pages.select(F.col("url").alias("answer_url"), "html"),
+                                        probs.select("answer_url"), "answer_url"), "answer_url")
     if node_rows:
         from qbank.operators import extract_rows as XR
         from qbank.operators.dom import dom_node_rows
@@ -159,7 +156,9 @@ def answer_problems(pages: DataFrame, problems: DataFrame, node_rows: bool = Fal
     else:
         ids = dom_nodes(targets, keep=["answer_url"]).select(
             "answer_url", F.inline(X.elements_with_id("nodes")))
-    by_id = (ids.groupBy("answer_url", F.col("elem_id").alias("fragment"))
+    # only the fragments that a problem asks for: other elements' texts stay put
+    ids = semi_join(ids.withColumnRenamed("elem_id", "fragment"), probs, ["answer_url", "fragment"])
+    by_id = (ids.groupBy("answer_url", "fragment")
              .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "text"))),
                                            lambda x: x["text"]), "").alias("found")))
     # Inner on the page (it must exist); J3: left on the fragment id

@@ -19,6 +19,12 @@ def shuffled_questions(spark: SparkSession, sf_dir: str, seed: int = 42) -> Data
     return shuffle_choices(good, seed=seed)
 
 
+def rejected_choice_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F11/T13/T14 quarantine: choice sets that cannot be rendered, with the reason."""
+    _good, bad = split_renderable(FX.choice_sets(TB.documents(spark, sf_dir).select("doc_id", "text", "source")))
+    return bad.select("seq", "source", "question", F.size("choices").alias("n_choices"), "reject_reason")
+
+
 def answer_log(spark: SparkSession, sf_dir: str, backend: Backend | None = None,
                seed: int = 42, scoring: str = "one_based", task: str = "answer") -> DataFrame:
     """M7 + A4: the answer log, one row per distinct question, last answer wins."""
@@ -75,9 +81,10 @@ def spot_check(spark: SparkSession, sf_dir: str, draws: int = 10, seed: int = 7)
 
 
 def pick_row(spark: SparkSession, sf_dir: str, index: int = 562) -> DataFrame:
-    """One record by file position."""
-    data = EV.row_index(shuffled_questions(spark, sf_dir).select("seq", "question", "mcq"), "seq")
-    return data.where(F.col("row_index") == index)
+    """One record by file position (an ordered offset; nothing is indexed)."""
+    data = shuffled_questions(spark, sf_dir).select("seq", "question", "mcq")
+    return (data.orderBy("seq").offset(index).limit(1)
+            .withColumn("row_index", F.lit(index).cast("bigint")))
 
 
 def first_rows(spark: SparkSession, sf_dir: str, n: int = 10) -> DataFrame:

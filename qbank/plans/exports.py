@@ -25,8 +25,8 @@ def feed_roundtrip(spark: SparkSession, sf_dir: str):
     """SNK1 -> SRC3."""
     from qbank.plans.feed import sections
     path = _path(spark, "feed")
-    IO.write_feed(sections(spark, sf_dir), path)
-    return IO.read_jsonl(spark, path, SECTION_COLS).drop("_corrupt_record")
+    some = IO.write_feed(sections(spark, sf_dir), path)
+    return IO.read_feed(spark, path, SECTION_COLS, some)
 
 
 def delivery_roundtrip(spark: SparkSession, sf_dir: str):
@@ -56,7 +56,7 @@ def answer_log_roundtrip(spark: SparkSession, sf_dir: str):
 
 
 GENERATED_SCHEMA = (
-    "seq BIGINT, question STRING, answer STRING, chapter_name STRING, textbook_name STRING, "
+    "seq DECIMAL(38,0), question STRING, answer STRING, chapter_name STRING, textbook_name STRING, "
     "chapter_url STRING, n_keypoints INT, status STRING, choices ARRAY<STRING>, "
     "correct_answer STRING, n_removed_total INT, "
     "prompt_and_response MAP<STRING, ARRAY<STRUCT<prompt: STRING, response: STRING>>>")
@@ -66,8 +66,8 @@ def generated_roundtrip(spark: SparkSession, sf_dir: str):
     """SNK2 (one JSON line per generated question, audit map included) -> SRC3."""
     from qbank.plans.generation import generated
     path = _path(spark, "generated")
-    IO.write_feed(generated(spark, sf_dir).withColumn("type", F.lit("self-check-questions")), path)
-    g = IO.read_jsonl(spark, path, GENERATED_SCHEMA)
+    some = IO.write_feed(generated(spark, sf_dir).withColumn("type", F.lit("self-check-questions")), path)
+    g = IO.read_feed(spark, path, GENERATED_SCHEMA, some)
     n_audit = F.aggregate(F.map_values("prompt_and_response"), F.lit(0),
                           lambda acc, x: acc + F.size(x))
     return g.select("seq", "n_keypoints", "status", "correct_answer",
@@ -75,7 +75,7 @@ def generated_roundtrip(spark: SparkSession, sf_dir: str):
                     "n_removed_total", n_audit.alias("n_audit"))
 
 
-SHUFFLED_SCHEMA = ("seq BIGINT, source STRING, question STRING, choices ARRAY<STRING>, "
+SHUFFLED_SCHEMA = ("seq DECIMAL(38,0), source STRING, question STRING, choices ARRAY<STRING>, "
                    "shuffled ARRAY<STRING>, gold_index INT, gold_letter STRING, "
                    "gold_ambiguous BOOLEAN, mcq STRING")
 
@@ -85,6 +85,6 @@ def shuffled_roundtrip(spark: SparkSession, sf_dir: str):
     next to its letter) -> SRC3."""
     from qbank.plans.evaluation import shuffled_questions
     path = _path(spark, "shuffled")
-    IO.write_feed(shuffled_questions(spark, sf_dir), path)
-    return IO.read_jsonl(spark, path, SHUFFLED_SCHEMA).select(
+    some = IO.write_feed(shuffled_questions(spark, sf_dir), path)
+    return IO.read_feed(spark, path, SHUFFLED_SCHEMA, some).select(
         "seq", "source", "question", "gold_index", "gold_letter", "gold_ambiguous", "mcq")

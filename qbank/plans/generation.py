@@ -19,7 +19,8 @@ SEED = 42
 def keypoint_sampling(spark: SparkSession, sf_dir: str, k: int = K, seed: int = SEED) -> DataFrame:
     """S2 + F8 + F9 + F11 over document key points with repeated names:
     one row per sampled key point with the sizes of both "others" lists and
-    the question-level removal check."""
+    the question-level removal check. A question with fewer than ``k`` key points
+    keeps one row without a sample, status ``too_few_keypoints``."""
     sets = FX.keypoint_sets(TB.documents(spark, sf_dir).select("doc_id", "text", "source"),
                             duplicate_names=True)
     s = sets.withColumn("sampled", KP.sample_keypoints("keypoints", k, F.lit(seed), F.col("seq")))
@@ -27,12 +28,15 @@ def keypoint_sampling(spark: SparkSession, sf_dir: str, k: int = K, seed: int =
         "sampled", F.lit(0),
         lambda acc, x: acc + (F.size("keypoints")
                               - F.size(KP.others_by_name("keypoints", x["keypoint"])))))
-    ex = s.select("seq", "keypoints", "n_removed_total", F.posexplode("sampled").alias("j", "sel"))
+    ex = s.select("seq", "keypoints", "n_removed_total",
+                  F.posexplode_outer("sampled").alias("j", "sel"))
+    some = F.col("j").isNotNull()
     return ex.select(
         "seq", "j", F.col("sel.keypoint").alias("keypoint"),
-        F.size(KP.others_by_struct("keypoints", "sel")).alias("n_others"),
-        F.size(KP.others_by_name("keypoints", F.col("sel.keypoint"))).alias("n_remaining"),
-        (F.col("n_removed_total") == k).alias("all_distorted"))
+        F.when(some, F.size(KP.others_by_struct("keypoints", "sel"))).alias("n_others"),
+        F.when(some, F.size(KP.others_by_name("keypoints", F.col("sel.keypoint")))).alias("n_remaining"),
+        F.when(some, F.col("n_removed_total") == k).alias("all_distorted"),
+        F.when(some, F.lit("ok")).otherwise(F.lit("too_few_keypoints")).alias("status"))
 
 
 def generated(spark: SparkSession, sf_dir: str, backend: Backend | None = None,

@@ -20,7 +20,7 @@ WITH src AS (
 ),
 sets AS (
   SELECT seq, list_transform(range(len(ln)), lambda i: {{'keypoint': 'kp' || CAST(CASE WHEN (i + 1) % 3 = 0 THEN i ELSE i + 1 END AS VARCHAR), 'detail': ln[i + 1]}}) AS keypoints
-  FROM src WHERE len(ln) >= 5
+  FROM src
 ),
 s AS (SELECT seq, keypoints, {_sample_sql('keypoints', 3, 42, 'seq')} AS sampled FROM sets),
 ex AS (SELECT seq, keypoints, sampled, unnest(range(len(sampled))) AS j FROM s),
@@ -32,8 +32,10 @@ tot AS (
 SELECT ex2.seq, CAST(j AS INTEGER) AS j, sel.keypoint AS keypoint,
        CAST(len(list_filter(keypoints, lambda x: NOT (x IS NOT DISTINCT FROM sel))) AS INTEGER) AS n_others,
        CAST(len(list_filter(keypoints, lambda x: x.keypoint IS DISTINCT FROM sel.keypoint)) AS INTEGER) AS n_remaining,
-       tot.n_removed_total = 3 AS all_distorted
-FROM ex2 JOIN tot USING (seq)"""
+       tot.n_removed_total = 3 AS all_distorted, 'ok' AS status
+FROM ex2 JOIN tot USING (seq) WHERE len(keypoints) >= 3
+UNION ALL
+SELECT seq, NULL, NULL, NULL, NULL, NULL, 'too_few_keypoints' FROM sets WHERE len(keypoints) < 3"""
 
 
 GEN_CTE = f"""

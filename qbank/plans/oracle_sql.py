@@ -20,16 +20,23 @@ def _render_sql(question: str, choices: str) -> str:
             f"lambda i: substr({LETTERS_SQL}, i + 1, 1) || ': ' || {choices}[i + 1] || chr(10)), '')")
 
 
+def pair_sql(major: str, minor: str) -> str:
+    """``fixtures.pair_key`` in SQL."""
+    return (f"CAST(CAST({major} AS HUGEINT) * CAST(10000000000000000000 AS HUGEINT) + {minor} AS DECIMAL(38, 0))")
+
+
 def shuffled_cte(seed: int = 42) -> str:
     """CTEs ``sets`` and ``mcqs`` (choice sets, shuffle, gold, render)."""
     return f"""
 sets AS (
-  SELECT doc_id AS seq, source, lines[5] AS question, lines[1:4] AS choices
-  FROM (SELECT doc_id, source, string_split(text, chr(10)) AS lines FROM documents)
-  WHERE len(lines) >= 5
+  SELECT {pair_sql('doc_id', 'block')} AS seq, source, block_lines[-1] AS question,
+         block_lines[1:len(block_lines) - 1] AS choices
+  FROM (SELECT doc_id, source, block, lines[5 * block + 1:5 * block + 5] AS block_lines
+        FROM (SELECT doc_id, source, lines, unnest(range((len(lines) - 1) // 5 + 1)) AS block
+              FROM (SELECT doc_id, source, string_split(text, chr(10)) AS lines FROM documents)))
 ),
 shuf AS (
-  SELECT *, {_shuffle_sql('choices', str(seed), 'seq')} AS shuffled FROM sets
+  SELECT *, {_shuffle_sql('choices', str(seed), 'seq')} AS shuffled FROM sets WHERE len(choices) > 0
 ),
 mcqs AS (
   SELECT *, CAST(list_position(shuffled, choices[1]) - 1 AS INTEGER) AS gold_index,
@@ -143,9 +150,9 @@ SELECT doc_id, chapter_name, question, answer,
 FROM sections WHERE section_name = 'self-check-questions'"""
 
 
-QA_CTE = """
+QA_CTE = f"""
 qa AS (
-  SELECT u.conv_id * 1000 + u.turn AS seq,
+  SELECT {pair_sql('u.conv_id', 'u.turn')} AS seq,
          chr(10) || CAST(u.turn // 2 + 1 AS VARCHAR) || '. ' || chr(10) || chr(10) || u.text || chr(10) AS question,
          a.text AS answer,
          'https://books.example.org/books/conversations/pages/' || CAST(u.conv_id AS VARCHAR) || '-self-check-questions' AS chapter_url
@@ -174,7 +181,14 @@ SELECT section_text AS text, '2024-11-01' AS date_downloaded, chapter_url AS sit
 FROM sections"""
 
 
+def rejected_choice_sets() -> str:
+    return f"""WITH {shuffled_cte()}
+SELECT seq, source, question, 0 AS n_choices, 'no choices' AS reject_reason
+FROM sets WHERE len(choices) = 0"""
+
+
 ORACLES.update({
+    "rejected_choice_sets": rejected_choice_sets,
     "url_parts": url_parts,
     "sections": sections,
     "section_counts": section_counts,

@@ -20,6 +20,7 @@ QUERIES = {
     "qa_pairs": FD.qa_pairs,
     "delivery_records": FD.delivery_records,
     "shuffled_mcqs": EVP.shuffled_mcqs,
+    "rejected_choice_sets": EVP.rejected_choice_sets,
     "answer_log": EVP.answer_log_table,
     "enriched_log": EVP.enriched_log,
     "spot_check": EVP.spot_check,

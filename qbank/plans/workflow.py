@@ -32,11 +32,13 @@ def crawl(pages: DataFrame, seeds: dict[str, DataFrame], link_class: str = TOC_C
 
 
 def self_check_questions(feed: DataFrame) -> DataFrame:
-    """the self-check records, with a stable unique row id ``seq`` (a
-    hash of the page and the problem's position on it, so reruns sample and
-    shuffle the same way; a page may repeat a question text)."""
+    """the self-check records, with a stable unique row id ``seq``: the page's
+    URL and the problem's position on it, in text order, so reruns sample and
+    shuffle the same way, joins on it mix nothing and its last row is the last
+    problem (a page may repeat a question text)."""
     sc = SEC.split_sections(feed)[SEC.SELF_CHECK]
-    return sc.select(F.xxhash64("chapter_url", "problem_pos").alias("seq"), "question", "answer",
+    place = F.lpad(F.col("problem_pos").cast("string"), 10, "0")
+    return sc.select(F.concat_ws("#", "chapter_url", place).alias("seq"), "question", "answer",
                      *PROVENANCE)
 
 
@@ -47,11 +49,19 @@ def generate(questions: DataFrame, backend: Backend, k: int = 3, seed: int = 42,
 
 
 def shuffle(generated: DataFrame, seed: int = 42) -> DataFrame:
-    """S1 + P11 over the usable generated records (status ``ok``, renderable)."""
+    """S1 + P11 over the usable generated records (status ``ok``, renderable); the
+    rest is in ``quarantined``."""
     good, _ = split_renderable(generated.where(F.col("status") == "ok"))
     return shuffle_choices(good, seed=seed)
 
 
+def quarantined(generated: DataFrame) -> DataFrame:
+    """The generated records that ``shuffle`` leaves out, with their reason."""
+    _, bad = split_renderable(generated.where(F.col("status") == "ok"))
+    failed = generated.where(F.col("status") != "ok").withColumn("reject_reason", F.col("status"))
+    return failed.unionByName(bad)
+
+
 def evaluate(mcqs: DataFrame, backend: Backend, scoring: str = "one_based",
              model: str = "rule") -> tuple[DataFrame, DataFrame]:
     """Answer log (last answer per question wins) and overall accuracy."""

@@ -8,7 +8,9 @@ the same rows with DuckDB.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qbank.functions import text as TX
@@ -19,15 +21,32 @@ BOOK_HOST = "https://books.example.org/books/"
 SECTION_SLUGS = ["self-check-questions", "key-terms", "key-concepts-and-summary"]
 
 
+#: Lines of a choice set: four choices (gold first), then the question.
+SET_LINES = 5
+
+
+def pair_key(major, minor) -> Column:
+    """One number for a pair of long keys, in the order of the pair and without
+    collisions: ``major * 10**19 + minor`` as decimal(38)."""
+    wide = lambda c: F.col(c).cast("decimal(19,0)") if isinstance(c, str) else c.cast("decimal(19,0)")
+    return (wide(major) * F.lit(Decimal(10) ** 19).cast("decimal(20,0)")
+            + wide(minor)).cast("decimal(38,0)")
+
+
 def choice_sets(documents: DataFrame) -> DataFrame:
-    """Documents with at least five lines: choices = first four lines (gold
-    first), question = fifth line, ``seq`` = doc_id."""
+    """Every block of five lines of every text: choices = its first four lines
+    (gold first), question = the last. A short last block keeps its last line as
+    the question and the lines before it as fewer choices; a block of one line
+    has no choices and is left to the quarantine. ``seq`` = (doc_id, block)."""
     ln = TX.lines("text")
-    return (documents.select("doc_id", "source", ln.alias("lines"))
-            .where(F.size("lines") >= 5)
-            .select(F.col("doc_id").alias("seq"), "source",
-                    F.element_at("lines", 5).alias("question"),
-                    F.slice("lines", 1, 4).alias("choices")))
+    blocks = documents.select("doc_id", "source", ln.alias("lines")).select(
+        "doc_id", "source", "lines",
+        F.explode(F.sequence(F.lit(0), F.expr(f"(size(lines) - 1) div {SET_LINES}").cast("int"))).alias("block"))
+    rows = blocks.select("doc_id", "source", "block",
+                         F.slice("lines", F.col("block") * SET_LINES + 1, F.lit(SET_LINES)).alias("lines"))
+    return rows.select(pair_key("doc_id", "block").alias("seq"), "source",
+                       F.element_at("lines", -1).alias("question"),
+                       F.slice("lines", F.lit(1), F.size("lines") - 1).alias("choices"))
 
 
 def section_urls(documents: DataFrame) -> DataFrame:
@@ -75,7 +94,7 @@ def qa_pairs(conversations: DataFrame) -> DataFrame:
     question = F.concat(F.lit("\n"), F.expr("turn div 2 + 1").cast("string"),
                         F.lit(". \n\n"), F.col("q"), F.lit("\n"))
     return (u.join(a, ["conv_id", "turn"])
-            .select((F.col("conv_id") * 1000 + F.col("turn")).alias("seq"),
+            .select(pair_key("conv_id", "turn").alias("seq"),
                     question.alias("question"), F.col("a").alias("answer"),
                     url.alias("chapter_url"))
             .select("seq", F.lit("self-check-questions").alias("section_name"),
@@ -86,7 +105,7 @@ def qa_pairs(conversations: DataFrame) -> DataFrame:
 
 
 def keypoint_sets(documents: DataFrame, duplicate_names: bool = False) -> DataFrame:
-    """Key points of documents with >= 5 lines: ``keypoint = 'kp' || pos``,
+    """Key points of every document: ``keypoint = 'kp' || pos``,
     ``detail = line``. With ``duplicate_names`` every third name repeats the
     one before it (exercises name-based removal, trap T3)."""
     ln = TX.lines("text")
@@ -96,7 +115,6 @@ def keypoint_sets(documents: DataFrame, duplicate_names: bool = False) -> DataFr
             pos = F.when((i + 1) % 3 == 0, i).otherwise(i + 1)
         return F.concat(F.lit("kp"), pos.cast("string"))
     return (documents.select("doc_id", "source", ln.alias("lines"))
-            .where(F.size("lines") >= 5)
             .select(F.col("doc_id").alias("seq"), "source",
                     F.element_at("lines", 1).alias("question"),
                     F.transform("lines", lambda x, i: F.struct(name(i).alias("keypoint"),

@@ -31,13 +31,23 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str,
 
 def write_feed(df: DataFrame, path: str, mode: str = "overwrite") -> bool:
     """SNK1 / SNK2 / SNK4: UTF-8 JSON lines, all fields; no output for an
-    empty feed. Returns whether anything was written."""
+    empty feed (``read_feed`` gives no rows then). Returns whether anything was
+    written. The feed is computed once, into the shared folder."""
+    from qbank.session import materialize
+    df = materialize(df, "feed")
     if df.isEmpty():
         return False
     df.write.mode(mode).option("encoding", "UTF-8").option("ignoreNullFields", False).json(path)
     return True
 
 
+def read_feed(spark: SparkSession, path: str, schema: T.StructType | str, written: bool) -> DataFrame:
+    """A feed that ``write_feed`` wrote, or no rows where it wrote nothing."""
+    if not written:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).json(path)
+
+
 def write_delivery(envelopes: DataFrame, path: str, mode: str = "overwrite") -> None:
     """SNK3: one JSON text per delivery record; field order and the spaced
     field names are kept."""
@@ -81,8 +91,7 @@ def catalog(spark: SparkSession) -> DataFrame:
 
 
 def licensed(sections: DataFrame, cat: DataFrame, license: str = "CC BY") -> DataFrame:
-    """Keep sections of catalogued books under ``license`` (semi-join on the
-    catalog, broadcast after a size check)."""
-    from qbank.operators.joins import semi_join_checked
+    """Keep sections of catalogued books under ``license`` (semi-join on the catalog)."""
+    from qbank.operators.joins import semi_join
     ok = cat.where(F.col("license") == license).select("textbook_name")
-    return semi_join_checked(sections, ok, "textbook_name")
+    return semi_join(sections, ok, "textbook_name")

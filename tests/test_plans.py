@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from qbank.operators import evaluate as EV
 from qbank.operators.infer import Backend, build_requests, infer
-from qbank.operators.joins import semi_join_checked
+from qbank.operators.joins import semi_join
 
 
 def plan(df):
@@ -41,17 +41,28 @@ def test_last_wins_pre_aggregates(spark):
     assert "partial_max_by" in p and "partial_min" in p
 
 
-def test_semi_join_checked_broadcasts_only_small_sides(spark):
+def test_semi_join_broadcasts_by_size_statistics(spark):
     big = spark.range(0, 1000).withColumnRenamed("id", "k")
     small = spark.range(0, 10).withColumnRenamed("id", "k")
-    assert "BroadcastHashJoin" in plan(semi_join_checked(big, small, "k"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        p = plan(semi_join_checked(big, small, "k", max_rows=5))
+        p = plan(semi_join(big, small, "k"))
         assert "BroadcastHashJoin" not in p and "SortMergeJoin" in p
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert semi_join_checked(big, small, "k", max_rows=5).count() == 10
+    assert semi_join(big, small, "k").count() == 10
+
+
+def test_no_job_runs_while_links_are_followed(spark, monkeypatch):
+    """Building J1 runs the write of the link frontier and nothing else."""
+    from qbank.plans import crawl as CR
+    pages = CR.site(spark, "/root/testdata/sf0.001")
+    wrote = []
+    monkeypatch.setattr(CR, "materialize", lambda df, name, **k: wrote.append(name) or df)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("j1", "building J1")
+    CR.fetched_html(pages)
+    assert wrote == ["links"] and len(tracker.getJobIdsForGroup("j1")) == 0
 
 
 def test_no_cartesian_products(spark):
