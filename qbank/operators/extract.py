@@ -50,25 +50,25 @@ def select(nodes, pred) -> Column:
     return F.filter(as_col(nodes), lambda n: pred(n))
 
 
-def within(nodes, e, pred) -> Column:
-    return F.filter(as_col(nodes), lambda n: inside(n, e) & pred(n))
+def subtree(nodes, e) -> Column:
+    """The descendants of element ``e``: ``ord`` is a node's place in the array, so
+    they are a slice of it, and scanning every container costs its own size only."""
+    return F.slice(as_col(nodes), e["ord"] + 2, e["end"] - e["ord"])
 
 
-def has_ancestor(nodes, n, pred) -> Column:
-    return F.exists(as_col(nodes), lambda a: pred(a) & inside(n, a))
+def within(nodes, e, pred) -> Column:
+    return F.filter(subtree(nodes, e), pred)
 
 
 def within_any(nodes, container_pred, pred, scope=None) -> Column:
     """Nodes matching ``pred`` that lie inside some element matching
     ``container_pred`` (optionally only containers inside ``scope``), in
-    document order, each once. Cost is containers x nodes, not nodes^2: the
-    outermost containers are disjoint, so each node is scanned per outer
-    container only."""
+    document order, each once. The outermost containers are disjoint slices of
+    the nodes, so each node is looked at once."""
     nodes = as_col(nodes)
-    cs = F.filter(nodes, lambda c: container_pred(c) & (inside(c, scope) if scope is not None
-                                                         else F.lit(True)))
+    cs = F.filter(nodes if scope is None else subtree(nodes, scope), container_pred)
     outer = F.filter(cs, lambda c: ~F.exists(cs, lambda d: inside(c, d)))
-    return F.flatten(F.transform(outer, lambda c: F.filter(nodes, lambda n: inside(n, c) & pred(n))))
+    return F.flatten(F.transform(outer, lambda c: within(nodes, c, pred)))
 
 
 def first(arr) -> Column:
@@ -164,8 +164,8 @@ def self_check_problems(nodes) -> Column:
 
     def first_attr(p, name):
         return first(F.transform(
-            F.filter(as_col(nodes), lambda n: ((n["ord"] == p["ord"]) | inside(n, p))
-                     & is_el(n) & F.exists(n["attrs"], lambda a: a["k"] == name)),
+            F.filter(F.slice(as_col(nodes), p["ord"] + 1, p["end"] - p["ord"] + 1),
+                     lambda n: is_el(n) & F.exists(n["attrs"], lambda a: a["k"] == name)),
             lambda n: attr(n, name)))
     out = F.transform(probs, lambda p: F.struct(
         p["text"].alias("question"), first_attr(p, "href").alias("answer_link"),

@@ -3,6 +3,8 @@ straight from the document lines the site was rendered from."""
 
 from __future__ import annotations
 
+import re
+
 from qbank.plans.oracle_sql import ORACLES
 
 DOCS = """
@@ -35,17 +37,17 @@ FROM docs, l"""
 
 
 def econ_key_terms() -> str:
-    return f"""WITH {DOCS}, p AS (SELECT doc_id, ln, unnest(range(n // 2)) AS pos FROM docs)
+    return f"""WITH {DOCS}, p AS (SELECT doc_id, ln, unnest(range((n + 1) // 2)) AS pos FROM docs)
 SELECT CAST(doc_id AS VARCHAR) || '-key-terms' AS chapter_name, CAST(pos AS INTEGER) AS pos,
        {_s('ln[2 * pos + 1]')} AS term, {_s('ln[2 * pos + 2]')} AS definition
 FROM p WHERE ln[2 * pos + 1] <> '' AND ln[2 * pos + 2] <> ''"""
 
 
 def econ_key_concepts() -> str:
-    return f"""WITH {DOCS}, g AS (SELECT doc_id, ln, unnest(range(n // 3)) AS pos FROM docs)
+    return f"""WITH {DOCS}, g AS (SELECT doc_id, ln, unnest(range((n + 2) // 3)) AS pos FROM docs)
 SELECT CAST(doc_id AS VARCHAR) || '-key-concepts-and-summary' AS chapter_name, CAST(pos AS INTEGER) AS pos,
-       {_s('ln[3 * pos + 1]')} AS concept, {_s("ln[3 * pos + 2] || ' ' || ln[3 * pos + 3]")} AS definition
-FROM g WHERE ln[3 * pos + 1] <> ''"""
+       {_s('ln[3 * pos + 1]')} AS concept, {_s("coalesce(ln[3 * pos + 2], '') || ' ' || coalesce(ln[3 * pos + 3], '')")} AS definition
+FROM g WHERE ln[3 * pos + 1] <> '' AND coalesce(ln[3 * pos + 2], '') || coalesce(ln[3 * pos + 3], '') <> ''"""
 
 
 def econ_self_check() -> str:
@@ -62,7 +64,8 @@ FROM q"""
 
 
 def _concat_blocks(k: int, expr: str) -> str:
-    return f"array_to_string(list_transform(range(n // {k}), lambda g: {expr}), '')"
+    lines = re.sub(r"(ln\[[^\]]*\])", r"coalesce(\1, '')", expr)
+    return f"array_to_string(list_transform(range((n + {k - 1}) // {k}), lambda g: {lines}), '')"
 
 
 def main_texts() -> str:
@@ -82,32 +85,33 @@ def main_texts() -> str:
 
 def finance_key_terms() -> str:
     return f"""WITH {DOCS},
+b AS (SELECT doc_id, ln, range((n + 1) // 2) AS bl FROM docs),
 d AS (
-  SELECT doc_id, ln, n // 2 AS np,
-         flatten(list_transform(range(n // 2), lambda p: CASE WHEN (p + 1) % 5 = 0
-                 THEN [ln[2 * p + 2], ln[2 * p + 2]] ELSE [ln[2 * p + 2]] END)) AS defs
-  FROM docs
+  SELECT doc_id, list_filter(list_transform(bl, lambda p: ln[2 * p + 1]), lambda x: x <> '') AS terms,
+         list_filter(flatten(list_transform(bl, lambda p: CASE WHEN (p + 1) % 5 = 0
+                     THEN [ln[2 * p + 2], ln[2 * p + 2]] ELSE [ln[2 * p + 2]] END)), lambda x: x <> '') AS defs
+  FROM b
 ),
-p AS (SELECT doc_id, ln, defs, unnest(range(np)) AS pos FROM d)
+p AS (SELECT doc_id, terms, defs, unnest(range(least(len(terms), len(defs)))) AS pos FROM d)
 SELECT CAST(doc_id AS VARCHAR) || '-key-terms' AS chapter_name, CAST(pos AS INTEGER) AS pos,
-       {_s('ln[2 * pos + 1]')} AS term, {_s('defs[pos + 1]')} AS definition
+       {_s('terms[pos + 1]')} AS term, {_s('defs[pos + 1]')} AS definition
 FROM p"""
 
 
 def finance_summary() -> str:
-    return f"""WITH {DOCS}, p AS (SELECT doc_id, ln, unnest(range(n // 2)) AS pos FROM docs)
+    return f"""WITH {DOCS}, p AS (SELECT doc_id, ln, unnest(range((n + 1) // 2)) AS pos FROM docs)
 SELECT CAST(doc_id AS VARCHAR) || '-summary' AS chapter_name, CAST(pos AS INTEGER) AS pos,
        {_s('ln[2 * pos + 1]')} AS question, {_s('ln[2 * pos + 2]')} AS answer
 FROM p WHERE ln[2 * pos + 1] <> '' AND ln[2 * pos + 2] <> ''"""
 
 
 def finance_multiple_choice() -> str:
-    return f"""WITH {DOCS}, p AS (SELECT doc_id, ln, unnest(range(n // 5)) AS pos FROM docs)
+    return f"""WITH {DOCS}, p AS (SELECT doc_id, ln, unnest(range((n + 4) // 5)) AS pos FROM docs),
+c AS (SELECT *, list_filter(ln[5 * pos + 2:5 * pos + 5], lambda x: x <> '') AS choices FROM p)
 SELECT CAST(doc_id AS VARCHAR) || '-multiple-choice' AS chapter_name, CAST(pos AS INTEGER) AS pos,
        {_s('ln[5 * pos + 1]')} AS question,
-       {_s('ln[5 * pos + 2]')} || chr(10) || {_s('ln[5 * pos + 3]')} || chr(10) || {_s('ln[5 * pos + 4]')}
-         || chr(10) || {_s('ln[5 * pos + 5]')} AS choices_joined
-FROM p WHERE ln[5 * pos + 1] <> ''"""
+       array_to_string(list_transform(choices, lambda x: {_s('x')}), chr(10)) AS choices_joined
+FROM c WHERE ln[5 * pos + 1] <> '' AND len(choices) > 0"""
 
 
 def finance_review() -> str:

@@ -42,15 +42,15 @@ def _lit_list(items):
     return F.array(*[F.lit(x) for x in items])
 
 
-def _blocks(n_blocks: Column, size: int, render) -> Column:
+def _blocks(n_blocks: Column, render) -> Column:
     """Concatenate ``render(g, lines)`` for block g = 0..n_blocks-1."""
     return F.array_join(F.transform(F.sequence(F.lit(0), n_blocks - 1),
                                     lambda g: render(g)), "")
 
 
 def _line(i: Column) -> Column:
-    """Escaped 1-based line i of the document."""
-    return esc(F.element_at(F.col("lines"), i.cast("int")))
+    """Escaped 1-based line i of the document (empty past its last line)."""
+    return esc(F.coalesce(F.get(F.col("lines"), i.cast("int") - 1), F.lit("")))
 
 
 def _page(body: Column) -> Column:
@@ -64,8 +64,9 @@ def _main(body: Column) -> Column:
 
 
 def _when_blocks(n: Column, k: int, render) -> Column:
-    nb = F.floor(n / k).cast("int")
-    return F.when(nb > 0, _blocks(nb, k, render)).otherwise(F.lit(""))
+    """All lines in blocks of k; a short last block leaves its other slots empty."""
+    nb = F.ceil(n / k).cast("int")
+    return F.when(nb > 0, _blocks(nb, render)).otherwise(F.lit(""))
 
 
 def _self_check_body(doc: Column, n: Column) -> Column:
@@ -84,7 +85,7 @@ def _self_check_body(doc: Column, n: Column) -> Column:
                                     F.lit('">Show</a>'))))
         return F.concat(F.lit('<div data-type="problem" id="problem-'), istr, F.lit('"><p>'),
                         _line(2 * i - 1), F.lit("</p>"), link, F.lit("</div>"))
-    return _main(_blocks(nprob, 2, problem))
+    return _main(_blocks(nprob, problem))
 
 
 def _answers_body(n: Column) -> Column:
