@@ -178,6 +178,8 @@ FROM pages"""
 
 
 ORACLES["page_stats"] = page_stats
+ORACLES["stream_self_check"] = econ_self_check
+ORACLES["stream_section_counts"] = crawl_section_counts
 ORACLES["econ_key_terms_rows"] = econ_key_terms
 ORACLES["econ_self_check_rows"] = econ_self_check
 ORACLES["econ_key_concepts_rows"] = econ_key_concepts

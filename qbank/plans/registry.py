@@ -61,6 +61,8 @@ QUERIES = {
     "feature_variant": VAR.feature_variant,
     "term_distractors": VAR.term_distractors,
     "stream_main_texts": STR.stream_main_texts,
+    "stream_self_check": STR.stream_self_check,
+    "stream_section_counts": STR.stream_section_counts,
     "stream_batch_accuracy": STR.stream_batch_accuracy,
     "feed_roundtrip": EXP.feed_roundtrip,
     "delivery_roundtrip": EXP.delivery_roundtrip,

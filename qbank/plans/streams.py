@@ -7,6 +7,8 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from qbank.operators.infer import RuleBackend, build_requests, infer
+from qbank.operators import sections as SEC
+from qbank.session import materialize
 from qbank.streaming import jobs as ST
 
 
@@ -22,10 +24,34 @@ def stream_main_texts(spark: SparkSession, sf_dir: str):
     return out.select("chapter_name", "section_name", "section_text")
 
 
+def _landed(spark: SparkSession, sf_dir: str) -> str:
+    """What the crawl fetches, landed in two waves that overlap."""
+    from qbank.plans.crawl import site
+    landing = ST._scratch(spark, "st1-landing")
+    got = site(spark, sf_dir).where(F.col("page").isin("content", "chapter", "answers")).select("url", "html")
+    got.repartition(4).write.mode("append").parquet(landing)
+    got.where("url LIKE '%7-%'").repartition(2).write.mode("append").parquet(landing)
+    return landing
+
+
+def stream_self_check(spark: SparkSession, sf_dir: str):
+    """ST1, second hop: questions joined with answer pages as either arrives."""
+    out = ST.stream_self_check(spark, _landed(spark, sf_dir), max_files_per_trigger=2)
+    return out.select("chapter_name", "question", "answer", "section_text")
+
+
+def stream_section_counts(spark: SparkSession, sf_dir: str):
+    """A1 over all page types of the streamed crawl."""
+    landing = _landed(spark, sf_dir)
+    rows = ST.stream_sections(spark, landing, max_files_per_trigger=3).select("section_name")
+    asked = ST.stream_self_check(spark, landing, max_files_per_trigger=3).select("section_name")
+    return SEC.section_counts(rows.unionByName(asked))
+
+
 def stream_batch_accuracy(spark: SparkSession, sf_dir: str):
     """ST2: batch results land as JSON lines and are scored as they arrive."""
     from qbank.plans.evaluation import batch_requests
-    req = batch_requests(spark, sf_dir)
+    req = materialize(batch_requests(spark, sf_dir), "batch-requests")  # not rebuilt per micro-batch
     p = F.from_json("params", "messages ARRAY<STRUCT<role: STRING, content: STRING>>")
     calls = req.select("custom_id", p.alias("p"))
     res = infer(build_requests(calls, request_id="custom_id", prompt=F.col("p.messages")[0]["content"],

@@ -8,7 +8,8 @@ parsed and scored -> append sink.
 
 Both run with ``trigger(availableNow=True)`` (drain what has landed, then
 stop) and keep their checkpoints under the session's checkpoint folder, so a
-restarted driver resumes where it stopped. At scale the URL de-dup state
+restarted driver resumes where it stopped. A self-check question waits for its
+answer page in a stream-stream join (``stream_self_check``). At scale the URL de-dup state
 grows with distinct URLs: pages that carry a fetch time should use
 ``dropDuplicatesWithinWatermark`` to bound it, and the RocksDB state store
 keeps it off the JVM heap.
@@ -22,10 +23,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from qbank.functions import text as TX
 from qbank.functions import url as U
 from qbank.operators import evaluate as EV
+from qbank.operators import extract as X
 from qbank.operators.dom import dom_nodes
+from qbank.operators.sections import SELF_CHECK
 from qbank.session import checkpoint_dir
+from qbank.sources.io import CATALOG
+
+BOOKS = ("econ", "finance")
 
 PAGE_SCHEMA = T.StructType([T.StructField("url", T.StringType()),
                             T.StructField("html", T.StringType())])
@@ -38,33 +45,78 @@ def _scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def page_route(url_col: str = "url") -> F.Column:
-    """Route a landed page by its own URL (book from the textbook segment)."""
+def page_book(url_col: str = "url", catalog=CATALOG) -> F.Column:
+    """The kind of a page's book: by the subject of its slug in the catalog, else
+    the slug's first part where that names a kind."""
+    slug = U.textbook_name(url_col)
+    kinds = [(s, subject.lower()) for subject, _, _, s in catalog if subject.lower() in BOOKS]
+    known = F.create_map(*[F.lit(x) for pair in kinds for x in pair]) if kinds else None
+    first = F.split(slug, "-")[0]
+    named = F.when(first.isin(*BOOKS), first)
+    return F.coalesce(known[slug], named) if known is not None else named
+
+
+def page_route(url_col: str = "url", book: F.Column | None = None) -> F.Column:
+    """Route a landed page by its own URL."""
     cn = U.chapter_name(url_col)
-    book = F.split(U.textbook_name(url_col), "-")[0]
+    book = page_book(url_col) if book is None else book
     return F.when(book == "econ", U.route_econ(cn)).when(book == "finance", U.route_finance(cn))
 
 
+def each_url_once(pages: DataFrame, event_time: str | None, delay: str) -> DataFrame:
+    if event_time and pages.isStreaming:
+        return pages.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["url"])
+    return pages.dropDuplicates(["url"])
+
+
 def sections_stream(pages: DataFrame, event_time: str | None = None,
                     delay: str = "1 day") -> DataFrame:
-    """The streaming transformation of ST1 (works on batch input too).
+    """The streaming transformation of ST1 (works on batch input too): every routed
+    page but the self-check ones, whose questions wait for their answer pages in
+    ``self_check_stream``.
 
     With ``event_time`` (a fetch timestamp column) the URL de-dup keeps state
     only within the watermark delay; without it the state holds every URL seen."""
     from qbank.plans.crawl import extract_sections
-    if event_time and pages.isStreaming:
-        once = pages.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["url"])
-    else:
-        once = pages.dropDuplicates(["url"])
-    routed = (once.withColumn("route", page_route("url"))
-              .withColumn("book", F.split(U.textbook_name("url"), "-")[0])
-              .where(F.col("route").isNotNull() & (F.col("route") != "chapter")
-                     & (F.col("route") != "self_check")))
+    routed = (each_url_once(pages, event_time, delay).withColumn("book", page_book("url"))
+              .withColumn("route", page_route("url", F.col("book")))
+              .where(F.col("route").isNotNull() & (F.col("route") != "self_check")))
     parsed = dom_nodes(routed.select(F.col("url").alias("chapter_url"), "route", "book", "html"),
                        keep=["chapter_url", "route", "book"])
     return extract_sections(parsed).drop("problems")
 
 
+def self_check_stream(questions: DataFrame, answers: DataFrame, event_time: str | None = None,
+                      delay: str = "1 day") -> DataFrame:
+    """X6 + F4 + J2 + J3 as a stream-stream join: a question waits for its answer
+    page, an answer page for its questions. Both arguments are the landed pages
+    (two reads of one source). With ``event_time`` a side is kept for ``delay`` on
+    either side of the other's fetch time, so the join's state is bounded."""
+    times = [event_time] if event_time else []
+    q = each_url_once(questions, event_time, delay).withColumn("book", page_book("url")).where(
+        (F.col("book") == "econ") & (page_route("url", F.col("book")) == "self_check"))
+    probs = dom_nodes(q.select(F.col("url").alias("chapter_url"), *times, "html"), keep=["chapter_url", *times])
+    probs = probs.select("chapter_url", *times, F.posexplode(X.self_check_problems("nodes")).alias("problem_pos", "p"))
+    probs = probs.select("chapter_url", "problem_pos", *[F.col(t).alias("asked_at") for t in times],
+                         F.col("p.question").alias("question"), F.col("p.fragment").alias("fragment"),
+                         U.resolve_url("chapter_url", "p.answer_link").alias("answer_url"))
+    a = dom_nodes(each_url_once(answers, event_time, delay).select("url", *times, "html"), keep=["url", *times])
+    a = a.select(F.col("url").alias("page_url"), *[F.col(t).alias("found_at") for t in times],
+                 X.elements_with_id("nodes").alias("ids"))
+    on = F.col("answer_url") == F.col("page_url")
+    if event_time:
+        wait = F.expr(f"INTERVAL {delay}")
+        on = on & F.col("found_at").between(F.col("asked_at") - wait, F.col("asked_at") + wait)
+    j = probs.join(a, on)
+    texts = F.transform(F.filter("ids", lambda e: e["elem_id"] == F.col("fragment")), lambda e: e["text"])
+    answer = F.when(~X.truthy(F.col("fragment")), F.lit("Answer not found")).otherwise(F.array_join(texts, ""))
+    j = j.withColumn("answer", answer)
+    return j.select(F.lit(SELF_CHECK).alias("section_name"), TX.qa_text("question", "answer").alias("section_text"),
+                    U.chapter_name("chapter_url").alias("chapter_name"),
+                    U.textbook_name("chapter_url").alias("textbook_name"),
+                    "chapter_url", "question", "answer", "problem_pos")
+
+
 def run_available(stream: DataFrame, sink_path: str, ckpt: str) -> None:
     q = (stream.writeStream.format("parquet").option("path", sink_path)
          .option("checkpointLocation", ckpt).outputMode("append")
@@ -83,12 +135,23 @@ def stream_sections(spark: SparkSession, landing: str, max_files_per_trigger: in
     return spark.read.parquet(sink)
 
 
+def stream_self_check(spark: SparkSession, landing: str, max_files_per_trigger: int = 1) -> DataFrame:
+    """ST1, second hop: drain the landing folder through the question-answer join."""
+    def read():
+        return (spark.readStream.schema(PAGE_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
+                .parquet(landing))
+    sink = _scratch(spark, "st1-answers")
+    run_available(self_check_stream(read(), read()), sink, _scratch(spark, "st1-answers-ckpt"))
+    return spark.read.parquet(sink)
+
+
 def stream_scored_results(spark: SparkSession, landing: str, requests: DataFrame,
                           max_files_per_trigger: int = 1) -> DataFrame:
     """ST2: results arriving as JSON lines, joined to the static requests."""
     src = (spark.readStream.schema(RESULT_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
            .json(landing))
-    ok = src.where(F.col("result_type") == "succeeded")
+    # a result delivered twice counts once
+    ok = src.where(F.col("result_type") == "succeeded").dropDuplicates(["custom_id"])
     scored = (ok.join(requests.select("custom_id", "gold_index"), "custom_id")
               .withColumn("predicted_index", EV.predicted_index(
                   F.from_json("response", EV.ANSWER_SCHEMA)["choice"], "zero_based"))
