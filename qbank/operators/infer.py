@@ -26,7 +26,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,7 +44,7 @@ REPLY_SCHEMA = T.StructType([
 ])
 
 
-def build_requests(df: DataFrame, *, request_id, prompt, task: str, system: str | None = None,
+def build_requests(df: DataFrame, *, request_id, prompt, task: str, system: str | Column | None = None,
                    model: str = "rule", temperature: float = 0.0, json_mode: bool = True,
                    max_tokens: int | None = None, keep: list[str] | None = None) -> DataFrame:
     """Project ``df`` to the request schema (plus any ``keep`` columns)."""
@@ -54,7 +54,7 @@ def build_requests(df: DataFrame, *, request_id, prompt, task: str, system: str
         rid.cast("string").alias("request_id"),
         F.lit(task).alias("task"),
         F.lit(model).alias("model"),
-        F.lit(system).cast("string").alias("system"),
+        (system if isinstance(system, Column) else F.lit(system)).cast("string").alias("system"),
         pr.alias("prompt"),
         F.lit(float(temperature)).alias("temperature"),
         F.lit(bool(json_mode)).alias("json_mode"),
@@ -63,7 +63,7 @@ def build_requests(df: DataFrame, *, request_id, prompt, task: str, system: str
     return df.select(*cols, *(keep or []))
 
 
-def cache_key_col() -> F.Column:
+def cache_key_col() -> Column:
     return F.sha2(F.concat_ws("\u0001", F.col("task"), F.col("model"),
                               F.when(F.col("temperature") > 0, F.coalesce("request_id", F.lit("")))
                               .otherwise(F.lit("")), F.coalesce(F.col("system"), F.lit("")),
@@ -196,6 +196,16 @@ def _call_backend(backend: Backend):
     return run
 
 
+def replay(requests: DataFrame, replies: DataFrame) -> DataFrame:
+    """Answer requests from a table of recorded replies (``REPLY_SCHEMA``, one usable
+    row per ``cache_key``): the cache join of ``infer`` by itself, with no backend.
+    Requests without a recorded reply get status ``missing``."""
+    keyed = requests.withColumn("cache_key", cache_key_col())
+    usable = replies.where(F.col("status") == "ok").select("cache_key", "response")
+    out = keyed.join(usable.dropDuplicates(["cache_key"]), "cache_key", "left")
+    return out.withColumn("status", F.when(F.col("response").isNotNull(), "ok").otherwise("missing"))
+
+
 def infer(requests: DataFrame, backend: Backend, *, cache: DataFrame | None = None,
           num_partitions: int | None = None, materialize: bool = True,
           name: str = "replies", keep_prompt: bool = False) -> DataFrame:

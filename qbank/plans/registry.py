@@ -8,6 +8,7 @@ from qbank.plans import evaluation as EVP
 from qbank.plans import exports as EXP
 from qbank.plans import feed as FD
 from qbank.plans import generation as GEN
+from qbank.plans import replay as REP
 from qbank.plans import streams as STR
 from qbank.plans import variants as VAR
 
@@ -32,6 +33,9 @@ QUERIES = {
     "keypoint_sampling": GEN.keypoint_sampling,
     "generated_mcqs": GEN.generated_mcqs,
     "generated_shuffled": GEN.generated_shuffled,
+    "recorded_requests": REP.recorded_requests,
+    "recorded_replies": REP.recorded_replies,
+    "recorded_accuracy": REP.recorded_accuracy,
     "toc_links": CR.toc_links,
     "econ_key_terms": CR.econ_key_terms,
     "econ_key_terms_rows": CR.econ_key_terms_rows,
