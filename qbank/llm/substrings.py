@@ -39,7 +39,9 @@ from qbank.llm.common import named
 
 WINDOW, ANCHOR = 13, 6
 GROUP_ENTRIES = 1_000_000
-CHUNK_BYTES = 8 << 20
+#: Small inputs have this many groups, so that their tasks stay small too.
+LEAST_GROUPS = 64
+CHUNK_BYTES = 4 << 20
 #: Bits of a position that hold the length of a run.
 RUN_BITS = 8
 
@@ -177,13 +179,14 @@ def _chunk_rows(batches, most=CHUNK_BYTES):
     """(ids, texts as bytes, further columns) of about ``most`` bytes at a time."""
     held, size = [], 0
     for b in batches:
-        for row in zip(*(c.to_pylist() for c in b.columns)):
-            text = (row[1] or "").encode()
-            held.append((row[0], text, *row[2:]))
-            size += len(text)
-            if size >= most:
-                yield held
-                held, size = [], 0
+        for at in range(0, b.num_rows, 256):
+            for row in zip(*(c.to_pylist() for c in b.slice(at, 256).columns)):
+                text = (row[1] or "").encode()
+                held.append((row[0], text, *row[2:]))
+                size += len(text)
+                if size >= most:
+                    yield held
+                    held, size = [], 0
     if held:
         yield held
 
@@ -254,7 +257,7 @@ def repeated_windows(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                                                       F.coalesce(named(text_col), F.lit("")).alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # about six bytes a word; an anchor for every 4.5 windows
-    per = lambda x: max(8, math.ceil(size / x / GROUP_ENTRIES))
+    per = lambda x: max(LEAST_GROUPS, math.ceil(size / x / GROUP_ENTRIES))
     gathered = "id bigint, places array<bigint>"
 
     def gather(dealt: DataFrame, later: bool, name: str) -> DataFrame:
