@@ -106,10 +106,9 @@ def dedup_links(links: DataFrame, url_col: str = "resolved_url",
     return links.groupBy(url_col).agg(F.min_by("route", by).alias("route"))
 
 
-def one_per_url(pages: DataFrame, url_col: str = "url", keep: list[str] | None = None) -> DataFrame:
-    """One row per page: of pages stored more than once, the one with the largest
-    markup hash (a fixed choice)."""
-    keys = [url_col, *(keep or [])]
-    rest = [c for c in pages.columns if c not in keys]
-    best = F.max_by(F.struct(*rest), F.xxhash64("html")).alias("page")
-    return pages.groupBy(*keys).agg(best).select(*keys, "page.*")
+def one_per_key(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key: of several, the one whose other columns hash highest (a fixed
+    choice; equal copies are alike)."""
+    rest = [c for c in rows.columns if c not in keys]
+    best = F.max_by(F.struct(*rest), F.xxhash64(*rest)).alias("row")
+    return rows.groupBy(*keys).agg(best).select(*keys, *[F.col(f"row.{c}").alias(c) for c in rest])

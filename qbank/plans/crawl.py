@@ -66,7 +66,7 @@ def routed_links(pages: DataFrame, book: str, seeds: DataFrame | None = None,
         seeds_df = semi_join(pages.select("url", "html"), seeds, "url")
     else:
         seeds_df = pages.where((F.col("page") == "contents") & (_book_of("url") == book))
-    nodes = dom_nodes(SEC.one_per_url(seeds_df.select("url", "html")), keep=["url"])
+    nodes = dom_nodes(seeds_df.select("url", "html"), keep=["url"])
     links = nodes.select("url", F.posexplode(X.toc_links("nodes", link_class)).alias("pos", "href"))
     route = U.route_econ("href") if book == "econ" else U.route_finance("href")
     links = (links.withColumn("route", route).where(F.col("route").isNotNull())
@@ -87,8 +87,7 @@ def fetched_html(pages: DataFrame, books=BOOKS, routes=None,
         links = links.where(F.col("route").isin(list(routes)))
     # the link list is written once: it is the crawl frontier
     links = materialize(links, "links")
-    got = pages.select(F.col("url").alias("resolved_url"), "html").join(links, "resolved_url")
-    return SEC.one_per_url(got, "resolved_url", ["book"])
+    return pages.select(F.col("url").alias("resolved_url"), "html").join(links, "resolved_url")
 
 
 def fetched(pages: DataFrame, books=BOOKS, routes=None,
@@ -101,6 +100,13 @@ def fetched(pages: DataFrame, books=BOOKS, routes=None,
         "resolved_url", "chapter_url")
 
 
+def sections_of(pages: DataFrame, *args, **options) -> DataFrame:
+    """The extracted sections of the fetched pages, one row per page: a page stored
+    more than once gives one record (chosen after extraction, so markup stays put)."""
+    wide = extract_sections(fetched(pages, *args, **options))
+    return SEC.one_per_key(wide, ["chapter_url", "book", "route"])
+
+
 def extract_sections(f: DataFrame) -> DataFrame:
     """One projection over parsed pages: the canonical section columns, each
     filled by the extractor of the page's (book, route); plus ``problems``
@@ -147,22 +153,26 @@ def answer_problems(pages: DataFrame, problems: DataFrame, node_rows: bool = Fal
     probs = problems.select("chapter_url", "problem_pos", "question", "fragment",
                             U.resolve_url("chapter_url", "answer_link").alias("answer_url"))
     probs = materialize(probs, "problems")
-    targets = SEC.one_per_url(semi_join(pages.select(F.col("url").alias("answer_url"), "html"),
-                                        probs.select("answer_url"), "answer_url"), "answer_url")
+    targets = semi_join(pages.select(F.col("url").alias("answer_url"), "html"), probs, "answer_url")
+    targets = targets.withColumn("copy", F.xxhash64("html"))
     if node_rows:
         from qbank.operators import extract_rows as XR
         from qbank.operators.dom import dom_node_rows
-        ids = XR.elements_with_id(dom_node_rows(targets, keep=["answer_url"]))
+        # a node table mixes the copies of a page, so one is chosen first
+        targets = SEC.one_per_key(targets, ["answer_url"])
+        ids = XR.elements_with_id(dom_node_rows(targets, keep=["answer_url", "copy"]))
     else:
-        ids = dom_nodes(targets, keep=["answer_url"]).select(
-            "answer_url", F.inline(X.elements_with_id("nodes")))
+        ids = dom_nodes(targets, keep=["answer_url", "copy"]).select(
+            "answer_url", "copy", F.inline(X.elements_with_id("nodes")))
     # only the fragments that a problem asks for: other elements' texts stay put
     ids = semi_join(ids.withColumnRenamed("elem_id", "fragment"), probs, ["answer_url", "fragment"])
     by_id = (ids.groupBy("answer_url", "fragment")
-             .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "text"))),
-                                           lambda x: x["text"]), "").alias("found")))
+             .agg(F.collect_set(F.struct("ord", "copy", "text")).alias("parts"), F.max("copy").alias("copy"))
+             .withColumn("parts", F.filter(F.array_sort("parts"), lambda x: x["copy"] == F.col("copy")))
+             .select("answer_url", "fragment",
+                     F.array_join(F.transform("parts", lambda x: x["text"]), "").alias("found")))
     # Inner on the page (it must exist); J3: left on the fragment id
-    j = (probs.join(targets.select("answer_url"), "answer_url", "left_semi")
+    j = (semi_join(probs, targets, "answer_url")
          .join(by_id, ["answer_url", "fragment"], "left"))
     answer = F.when(~X.truthy(F.col("fragment")), F.lit("Answer not found")) \
         .otherwise(F.coalesce(F.col("found"), F.lit("")))
@@ -178,7 +188,7 @@ def crawl_feed(pages: DataFrame, seeds: dict[str, DataFrame] | None = None,
                link_class: str = TS.TOC_CLASS) -> DataFrame:
     """U1 over any ``pages(url, html)`` table: every callback of the books in
     one canonical feed (``seeds``: book kind -> start-page URLs)."""
-    wide = materialize(extract_sections(fetched(pages, seeds=seeds, link_class=link_class)),
+    wide = materialize(sections_of(pages, seeds=seeds, link_class=link_class),
                        "sections-wide")
     rest = wide.where(F.col("problems").isNull()).drop("book", "route", "problems")
     return SEC.union_sections(rest, self_check_sections(pages, wide))
@@ -192,7 +202,7 @@ def section_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- registered, checkable projections ------------------------------------------------
 
 def _route(spark, sf_dir, book, route) -> DataFrame:
-    return extract_sections(fetched(site(spark, sf_dir), [book], [route]))
+    return sections_of(site(spark, sf_dir), [book], [route])
 
 
 def _exploded(df: DataFrame, arr: str, *fields: str) -> DataFrame:
@@ -220,7 +230,7 @@ def econ_key_concepts(spark, sf_dir):
 
 def econ_self_check(spark, sf_dir):
     pages = site(spark, sf_dir)
-    wide = extract_sections(fetched(pages, ["econ"], ["self_check"]))
+    wide = sections_of(pages, ["econ"], ["self_check"])
     return self_check_sections(pages, wide).select("chapter_name", "question", "answer",
                                                    "section_text")
 
@@ -228,7 +238,7 @@ def econ_self_check(spark, sf_dir):
 def main_texts(spark, sf_dir):
     routes = ["key_terms", "key_concepts", "summary", "multiple_choice", "review_questions",
               "problems"]
-    f = extract_sections(fetched(site(spark, sf_dir), BOOKS, routes))
+    f = sections_of(site(spark, sf_dir), BOOKS, routes)
     return f.select("chapter_name", "section_name", "section_text")
 
 
@@ -285,12 +295,17 @@ def page_article_text(spark, sf_dir):
                         .alias("article_text"))
 
 
+def _once(got: DataFrame) -> DataFrame:
+    """One copy of each fetched page, for the node-table forms."""
+    return SEC.one_per_key(got, ["resolved_url", "book", "route"])
+
+
 def econ_key_terms_rows(spark, sf_dir):
     """X4 through the exploded node table (the large-page form); same result
     as ``econ_key_terms``."""
     from qbank.operators.dom import dom_node_rows
     from qbank.operators import extract_rows as XR
-    got = fetched_html(site(spark, sf_dir), ["econ"], ["key_terms"])
+    got = _once(fetched_html(site(spark, sf_dir), ["econ"], ["key_terms"]))
     rows = dom_node_rows(got.select(F.col("resolved_url").alias("chapter_url"), "html"),
                          keep=["chapter_url"])
     kt = XR.key_terms_by_dl(rows, ["chapter_url"])
@@ -304,7 +319,7 @@ def econ_self_check_rows(spark, sf_dir):
     from qbank.operators import extract_rows as XR
     from qbank.operators.dom import dom_node_rows
     pages = site(spark, sf_dir)
-    got = fetched_html(pages, ["econ"], ["self_check"])
+    got = _once(fetched_html(pages, ["econ"], ["self_check"]))
     rows = dom_node_rows(got.select(F.col("resolved_url").alias("chapter_url"), "html"),
                          keep=["chapter_url"])
     probs = XR.self_check_problems(rows, ["chapter_url"])
@@ -316,7 +331,7 @@ def econ_key_concepts_rows(spark, sf_dir):
     """X5 through the exploded node table; same result as ``econ_key_concepts``."""
     from qbank.operators import extract_rows as XR
     from qbank.operators.dom import dom_node_rows
-    got = fetched_html(site(spark, sf_dir), ["econ"], ["key_concepts"])
+    got = _once(fetched_html(site(spark, sf_dir), ["econ"], ["key_concepts"]))
     rows = dom_node_rows(got.select(F.col("resolved_url").alias("chapter_url"), "html"),
                          keep=["chapter_url"])
     kc = XR.key_concepts(rows, ["chapter_url"])
@@ -328,7 +343,7 @@ def finance_problems_rows(spark, sf_dir):
     """X17 through the exploded node table; same result as ``finance_problems``."""
     from qbank.operators import extract_rows as XR
     from qbank.operators.dom import dom_node_rows
-    got = fetched_html(site(spark, sf_dir), ["finance"], ["problems"])
+    got = _once(fetched_html(site(spark, sf_dir), ["finance"], ["problems"]))
     rows = dom_node_rows(got.select(F.col("resolved_url").alias("chapter_url"), "html"),
                          keep=["chapter_url"])
     pr = XR.problems_fin(rows, ["chapter_url"])
