@@ -8,11 +8,14 @@ difference, so every chunk is indexed once for each component left out. All pair
 within that distance therefore share a bucket; sets with a Jaccard similarity of 0.8
 lie within it, or share a bucket all the same, but for about 2 in 100,000 pairs.
 
-Inside buckets, members are compared with a hub, and only buckets that still hold
-more than one component get another hub, so a group of near copies costs a few
-comparisons per member. What ``HUB_ROUNDS`` hubs leave apart is compared pair by
-pair, over different components only, so no pair that shares a bucket is passed
-over. Every link is confirmed on the full sets.
+Inside buckets, each member is compared with one hub a round: first the most central
+members (in the largest buckets), then others, and only where a bucket still holds
+more than one component, so a group of near copies costs a few comparisons per
+member. After the first round an exact bound thins what is left: a shingle that only
+one of the remaining texts has is in no intersection, so the shingles that others
+have too bound every similarity of a text. What ``HUB_ROUNDS`` rounds leave apart is
+compared pair by pair, over different components only, so no pair that shares a
+bucket and could be similar is passed over. Every link is confirmed on the full sets.
 
 Edge cases: null, empty and white texts have no set and are linked with nothing; a
 text with fewer words than a shingle has one shingle of all its words; rows without
@@ -36,7 +39,7 @@ SIMILAR_PERCENT = 80
 COMPONENTS, CHUNKS, B_BITS = 40, 8, 16
 CHUNK_ERRORS = 1
 SIGNATURE_DISTANCE = CHUNKS * (CHUNK_ERRORS + 1) - 1
-HUB_ROUNDS = 4
+HUB_ROUNDS = 3
 
 _RANDOM = np.random.Generator(np.random.PCG64(8021))
 _FLIPS = _RANDOM.integers(0, 2 ** 63, COMPONENTS, np.uint64)
@@ -143,44 +146,65 @@ def _labelled(rows: DataFrame, comps: DataFrame | None, id_col: str, out: str) -
 
 def _link_classes(docs: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame | None:
     """id, comp of the class representatives (id, n, keys) that are linked with others."""
-    rows = reps.select("id", "n", F.explode("keys").alias("key"))
-    shared = rows.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
-    members = written(rows.join(shared.select("key"), "key"), "near-buckets")
-    wanted = members.select("id").distinct()
-    sets = written(docs.join(wanted, "id", "left_semi").mapInArrow(_sets(k), "id bigint, items array<bigint>")
+    rows = reps.select("id", F.explode("keys").alias("key"))
+    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    members = written(rows.join(shared, "key"), "near-buckets")
+    reach = members.groupBy("id").agg(F.sum("held").alias("reach"))
+    # shared: how many of the n shingles other texts have, as far as is known
+    known = written(reps.select("id", "n").join(reach, "id").withColumn("shared", F.col("n")), "near-known")
+    sets = written(docs.join(known.select("id"), "id", "left_semi").mapInArrow(_sets(k), "id bigint, items array<bigint>")
                    .dropDuplicates(["id"]), "near-sets")
-    near_size = (100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n"))
-    tried, links, comps = None, None, None
-    for turn in range(HUB_ROUNDS + 1):
-        now = _labelled(members, comps, "id", "comp")
-        apart = now.groupBy("key").agg(
-            F.min("comp").alias("c1"), F.max("comp").alias("c2"),
-            F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("order"), F.col("id").alias("hub"),
-                           F.col("n").alias("hub_n"), F.col("comp").alias("hub_comp"))).alias("h")).where("c1 < c2")
-        if turn < HUB_ROUNDS:
-            pairs = now.join(apart.select("key", "h.hub", "h.hub_n", "h.hub_comp"), "key").where(
-                (F.col("comp") != F.col("hub_comp")) & near_size)
-        else:  # everything still apart, pair by pair
-            left = now.join(apart.select("key"), "key")
-            other = left.select("key", F.col("id").alias("hub"), F.col("n").alias("hub_n"), F.col("comp").alias("hub_comp"))
-            pairs = left.join(other, "key").where((F.col("comp") < F.col("hub_comp")) & near_size)
-        pairs = pairs.groupBy(F.greatest("id", "hub").alias("u"), F.least("id", "hub").alias("v")).count()
-        if turn == 0 < HUB_ROUNDS:  # the hub that shares most buckets links most members at once
-            pairs = (pairs.groupBy("u").agg(F.max(F.struct("count", "v")).alias("b"))
-                     .select("u", F.col("b.v").alias("v")))
-        pairs = pairs.select("u", "v")
+    members = members.select("id", "key")
+    both = F.least("shared", "hub_shared")
+    possible = 100 * both >= percent * (F.col("n") + F.col("hub_n") - both)
+    tried, links, comps, turn = None, None, None, 0
+    while turn <= HUB_ROUNDS:
+        last = turn == HUB_ROUNDS
+        now = members.join(_labelled(known, comps, "id", "comp"), "id")
+        # the first round's hubs are the most central members, later ones any
+        order = F.struct((-F.col("reach") if turn == 0 else F.xxhash64("id", F.lit(turn))).alias("order"),
+                         F.col("id").alias("hub"), F.col("comp").alias("hub_comp"))
+        apart = now.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"),
+                                       F.min(order).alias("h")).where("c1 < c2")
+        if turn > 0:  # only what is still apart goes on
+            now = now.join(apart.select("key"), "key").select("key", "id", "n", "reach", "comp")
+            members = written(now, "near-apart")
+            lone = (sets.join(members.select("id").distinct(), "id").select("id", F.explode("items").alias("item"))
+                    .groupBy("item").agg(F.count(F.lit(1)).alias("texts"), F.min("id").alias("id"))
+                    .where("texts = 1").groupBy("id").agg(F.count(F.lit(1)).alias("lone")))
+            known = written(known.drop("shared").join(members.select("id").distinct(), "id")
+                            .join(lone, "id", "left").withColumn("shared", F.col("n") - F.coalesce("lone", F.lit(0)))
+                            .where(100 * F.col("shared") >= percent * F.col("n")).drop("lone"), "near-known")
+            now = members.join(known.select("id", "shared"), "id")
+            apart = now.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"),
+                                           F.min(order).alias("h")).where("c1 < c2")
+            members = members.select("id", "key")
+        if last:  # everything still apart, pair by pair
+            mine = now.join(apart.select("key"), "key").select("key", "id", "comp", "n", "shared")
+            other = mine.select("key", F.col("id").alias("hub"), F.col("comp").alias("hub_comp"),
+                                F.col("n").alias("hub_n"), F.col("shared").alias("hub_shared"))
+            pairs = mine.join(other, "key").where((F.col("comp") < F.col("hub_comp")) & possible)
+            pairs = pairs.select("id", "hub").distinct()
+        else:
+            pairs = now.select("key", "id", "comp").join(apart.select("key", "h.hub", "h.hub_comp"), "key")
+            pairs = pairs.where(F.col("comp") != F.col("hub_comp")).groupBy("id", "hub").count()
+            hub = known.select(F.col("id").alias("hub"), F.col("n").alias("hub_n"), F.col("shared").alias("hub_shared"))
+            pairs = pairs.join(known, "id").join(hub, "hub").where(possible).select("id", "hub", "count")
+        pairs = pairs.withColumn("u", F.greatest("id", "hub")).withColumn("v", F.least("id", "hub"))
         if tried is not None:
             pairs = pairs.join(tried, ["u", "v"], "left_anti")
-        pairs = written(pairs, "near-pairs")
+        if not last:  # of a member's hubs, the one that shares most buckets with it
+            pairs = pairs.groupBy("id").agg(F.max(F.struct("count", "u", "v")).alias("best")).select("best.u", "best.v")
+        pairs = written(pairs.select("u", "v").distinct(), "near-pairs")
         if pairs.isEmpty():
-            if turn in (0, HUB_ROUNDS):
-                break
+            turn = turn + 1 if last else HUB_ROUNDS
             continue
         tried = pairs if tried is None else tried.union(pairs)
         new = written(_confirmed(pairs, sets, percent), "near-links")
         if not new.isEmpty():
             links = new if links is None else links.union(new)
             comps = written(components(links), "near-components")
+        turn += 1
     return comps
 
 
