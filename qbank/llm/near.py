@@ -13,7 +13,9 @@ members (in the largest buckets), then others, and only where a bucket still hol
 more than one component, so a group of near copies costs a few comparisons per
 member. After the first round an exact bound thins what is left: a shingle that only
 one of the remaining texts has is in no intersection, so the shingles that others
-have too bound every similarity of a text. What ``HUB_ROUNDS`` rounds leave apart is
+have too bound every similarity of a text; and two texts that were compared with the
+same hub share at most the lesser of their parts inside it and the lesser of their
+parts outside it. What ``HUB_ROUNDS`` rounds leave apart is
 compared pair by pair, over different components only, so no pair that shares a
 bucket and could be similar is passed over. Every link is confirmed on the full sets.
 
@@ -127,13 +129,16 @@ def _sets(k: int):
     return run
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) whose sets are similar enough."""
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs with the size of their sets' intersection (``both``) and whether they
+    are similar enough (``alike``)."""
     a = sets.select(F.col("id").alias("u"), F.col("items").alias("a"))
     b = sets.select(F.col("id").alias("v"), F.col("items").alias("b"))
-    both = F.size(F.array_intersect("a", "b"))
-    return (pairs.join(a, "u").join(b, "v")
-            .where(100 * both >= percent * (F.size("a") + F.size("b") - both)).select("u", "v"))
+    rows = pairs.join(a, "u").join(b, "v").select(
+        *pairs.columns, F.size(F.array_intersect("a", "b")).cast("bigint").alias("both"),
+        (F.size("a") + F.size("b")).alias("sum"))
+    alike = 100 * F.col("both") >= percent * (F.col("sum") - F.col("both"))
+    return rows.withColumn("alike", alike).drop("sum")
 
 
 def _labelled(rows: DataFrame, comps: DataFrame | None, id_col: str, out: str) -> DataFrame:
@@ -155,8 +160,16 @@ def _link_classes(docs: DataFrame, reps: DataFrame, k: int, percent: int) -> Dat
     sets = written(docs.join(known.select("id"), "id", "left_semi").mapInArrow(_sets(k), "id bigint, items array<bigint>")
                    .dropDuplicates(["id"]), "near-sets")
     members = members.select("id", "key")
-    both = F.least("shared", "hub_shared")
-    possible = 100 * both >= percent * (F.col("n") + F.col("hub_n") - both)
+    # no intersection exceeds what both share with others; nor, for two texts with one
+    # pivot, what both have inside it and what both share with others outside it
+    most = F.least("shared", "hub_shared")
+    beside = F.least(F.col("shared") - F.col("inside"), F.col("hub_shared") - F.col("hub_inside"))
+    most = F.least(most, F.when(F.col("pivot") == F.col("hub_pivot"), F.least("inside", "hub_inside") + beside))
+    possible = 100 * most >= percent * (F.col("n") + F.col("hub_n") - most)
+    none = F.lit(None).cast("bigint")
+    known = known.withColumn("pivot", none).withColumn("inside", none)
+    sides = ["n", "shared", "pivot", "inside"]
+    pivots = known.where(F.lit(False)).select("id", "pivot", "inside")
     tried, links, comps, turn = None, None, None, 0
     while turn <= HUB_ROUNDS:
         last = turn == HUB_ROUNDS
@@ -169,38 +182,49 @@ def _link_classes(docs: DataFrame, reps: DataFrame, k: int, percent: int) -> Dat
         if turn > 0:  # only what is still apart goes on
             now = now.join(apart.select("key"), "key").select("key", "id", "n", "reach", "comp")
             members = written(now, "near-apart")
-            lone = (sets.join(members.select("id").distinct(), "id").select("id", F.explode("items").alias("item"))
+            # the pivots count too, so that no shingle of a pivot is alone
+            left = members.select("id").distinct()
+            left = left.union(pivots.join(left, "id").select("pivot")).distinct()
+            lone = (sets.join(left, "id").select("id", F.explode("items").alias("item"))
                     .groupBy("item").agg(F.count(F.lit(1)).alias("texts"), F.min("id").alias("id"))
                     .where("texts = 1").groupBy("id").agg(F.count(F.lit(1)).alias("lone")))
-            known = written(known.drop("shared").join(members.select("id").distinct(), "id")
-                            .join(lone, "id", "left").withColumn("shared", F.col("n") - F.coalesce("lone", F.lit(0)))
+            known = written(known.drop("shared", "pivot", "inside").join(members.select("id").distinct(), "id")
+                            .join(pivots, "id", "left").join(lone, "id", "left").withColumn("shared", F.col("n") - F.coalesce("lone", F.lit(0)))
                             .where(100 * F.col("shared") >= percent * F.col("n")).drop("lone"), "near-known")
-            now = members.join(known.select("id", "shared"), "id")
+            now = members.join(known.select("id", "shared", "pivot", "inside"), "id")
             apart = now.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"),
                                            F.min(order).alias("h")).where("c1 < c2")
             members = members.select("id", "key")
         if last:  # everything still apart, pair by pair
-            mine = now.join(apart.select("key"), "key").select("key", "id", "comp", "n", "shared")
+            mine = now.join(apart.select("key"), "key").select("key", "id", "comp", *sides)
             other = mine.select("key", F.col("id").alias("hub"), F.col("comp").alias("hub_comp"),
-                                F.col("n").alias("hub_n"), F.col("shared").alias("hub_shared"))
+                                *[F.col(x).alias(f"hub_{x}") for x in sides])
             pairs = mine.join(other, "key").where((F.col("comp") < F.col("hub_comp")) & possible)
             pairs = pairs.select("id", "hub").distinct()
         else:
             pairs = now.select("key", "id", "comp").join(apart.select("key", "h.hub", "h.hub_comp"), "key")
             pairs = pairs.where(F.col("comp") != F.col("hub_comp")).groupBy("id", "hub").count()
-            hub = known.select(F.col("id").alias("hub"), F.col("n").alias("hub_n"), F.col("shared").alias("hub_shared"))
+            hub = known.select(F.col("id").alias("hub"), *[F.col(x).alias(f"hub_{x}") for x in sides])
             pairs = pairs.join(known, "id").join(hub, "hub").where(possible).select("id", "hub", "count")
         pairs = pairs.withColumn("u", F.greatest("id", "hub")).withColumn("v", F.least("id", "hub"))
         if tried is not None:
             pairs = pairs.join(tried, ["u", "v"], "left_anti")
         if not last:  # of a member's hubs, the one that shares most buckets with it
-            pairs = pairs.groupBy("id").agg(F.max(F.struct("count", "u", "v")).alias("best")).select("best.u", "best.v")
-        pairs = written(pairs.select("u", "v").distinct(), "near-pairs")
+            pairs = pairs.groupBy("id").agg(F.max(F.struct("count", "hub", "u", "v")).alias("best"))
+            pairs = pairs.select("id", "best.hub", "best.u", "best.v")
+        pairs = written(pairs.select("id", "hub", "u", "v"), "near-pairs")
         if pairs.isEmpty():
             turn = turn + 1 if last else HUB_ROUNDS
             continue
-        tried = pairs if tried is None else tried.union(pairs)
-        new = written(_confirmed(pairs, sets, percent), "near-links")
+        fresh_pairs = pairs.select("u", "v").distinct()
+        tried = fresh_pairs if tried is None else tried.union(fresh_pairs)
+        seen = written(_compared(pairs, sets, percent), "near-links")
+        new = seen.where("alike").select("u", "v").distinct()
+        if turn == 0:  # a member's pivot is its first hub; a hub without one is its own
+            pivots = seen.select("id", F.col("hub").alias("pivot"), F.col("both").alias("inside"))
+            alone = seen.select(F.col("hub").alias("id")).distinct().join(pivots, "id", "left_anti")
+            pivots = written(pivots.union(alone.join(known, "id").select("id", F.col("id").alias("pivot"), F.col("n"))),
+                             "near-pivots")
         if not new.isEmpty():
             links = new if links is None else links.union(new)
             comps = written(components(links), "near-components")
