@@ -27,6 +27,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -42,91 +43,110 @@ DICT_BYTES = 32 << 10
 BLOCK_BYTES = 1 << 20
 LEVEL = 3
 #: Distinct words kept per task before the store is emptied.
-WORD_STORE = 400_000
-#: A word that marks the seams when many words are encoded as one string.
-SEAM = "\x01"
+WORD_STORE = 200_000
+#: Closing punctuation that is a unit of its own after letters.
+TAIL = ".,!?;:"
 
 
+class _Store(dict):
+    """thing -> its number; numbers new things as they are asked for."""
+
+    def __init__(self):
+        self.new = []
+
+    def __missing__(self, thing) -> int:
+        n = self[thing] = len(self)
+        self.new.append(thing)
+        return n
+
 
 class WordEncoder:
-    """Ids of texts by way of a store of encoded words."""
+    """Ids of texts by way of a store of encoded words.
+
+    A word of letters is one unit to the tokenizer, and closing punctuation after it
+    a second one, so such words share their units; any other word is a unit itself.
+    """
 
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_str(tokenizer_json)
-        self.seam = self.tok.encode(SEAM, add_special_tokens=False).ids
+        self.closes = np.zeros(self.tok.get_vocab_size() + 1, bool)
+        self.closes[[i for t, i in self.tok.get_vocab().items() if t.endswith("</w>")]] = True
         self.clear()
 
     def clear(self) -> None:
-        self.at: dict[bytes, int] = {}
-        self.ids = [np.zeros(0, np.uint32)]
-        self.lens = [np.zeros(0, np.int64)]
-
-    def _learn(self, new: list[bytes]) -> None:
-        plain = [w for w in new if SEAM.encode() not in w]
-        odd = [w for w in new if SEAM.encode() in w]
-        step = 512
-        if len(self.seam) == 1:
-            joined = [f" {SEAM} ".join(w.decode() for w in plain[i:i + step]) for i in range(0, len(plain), step)]
-        else:  # no single id marks the seams: every word by itself
-            plain, odd, joined = [], new, []
-        for k, e in enumerate(self.tok.encode_batch_fast(joined, add_special_tokens=False)):
-            ids = np.asarray(e.ids, np.uint32)
-            seams = np.flatnonzero(ids == self.seam[0])
-            edges = np.concatenate(([-1], seams, [len(ids)]))
-            lens = np.diff(edges) - 1
-            words = plain[k * step:(k + 1) * step]
-            if len(lens) != len(words):  # a word holds the seam's id after normalization
-                odd += words
-                continue
-            self._add(words, ids[ids != self.seam[0]], lens)
-        if odd:
-            each = [np.asarray(e.ids, np.uint32)
-                    for e in self.tok.encode_batch_fast([w.decode() for w in odd], add_special_tokens=False)]
-            self._add(odd, np.concatenate(each), np.array([len(x) for x in each], np.int64))
-
-    def _add(self, words: list[bytes], ids: np.ndarray, lens: np.ndarray) -> None:
-        n = len(self.at)
-        self.at.update(zip(words, range(n, n + len(words))))
-        self.ids.append(ids)
-        self.lens.append(lens.astype(np.int64))
+        self.words, self.units = _Store(), _Store()
+        self.pairs = np.zeros((0, 2), np.int64)  # the units of each word
+        self.ids, self.starts, self.lens = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _each(self, units: list[str]) -> tuple[list[np.ndarray], list[int]]:
+        found = [e.ids for e in self.tok.encode_batch_fast(units, add_special_tokens=False)]
+        return [np.array(x, np.uint32) for x in found], [len(x) for x in found]
+
+    def _letters(self, units: list[str]) -> tuple[list[np.ndarray], list[int]]:
+        """Units of letters: encoded as one text, measured where a unit closes."""
+        ids, lens, step = [], [], 1024
+        for i in range(0, len(units), step):
+            part = units[i:i + step]
+            whole = self._each([" ".join(part)])[0][0]
+            ends = np.flatnonzero(self.closes[whole]) + 1
+            if len(ends) == len(part) and ends[-1] == len(whole):
+                ids.append(whole)
+                lens += np.diff(ends, prepend=0).tolist()
+            else:  # some letter falls apart when normalized, or units don't close
+                a, b = self._each(part)
+                ids += a
+                lens += b
+        return ids, lens
+
+    def _learn(self) -> None:
+        """Encode what the stores were asked for and did not have."""
+        unit, pairs = self.units, []
+        for w in self.words.new:
+            s = w.decode()
+            core = s.rstrip(TAIL)
+            pairs.append((unit[core], unit[s[len(core):]]) if core.isalpha() else (unit[s], unit[""]))
+        self.words.new = []
+        self.pairs = np.concatenate((self.pairs, np.array(pairs, np.int64)))
+        new, have = unit.new, len(self.lens)
+        unit.new = []
+        plain = [k for k, u in enumerate(new) if u.isalpha()]
+        other = [k for k, u in enumerate(new) if not u.isalpha()]
+        ids_a, lens_a = self._letters([new[k] for k in plain])
+        ids_b, lens_b = self._each([new[k] for k in other])
+        lens = np.array(lens_a + lens_b, np.int64)
+        starts = len(self.ids) + np.cumsum(lens) - lens
+        where = np.array(plain + other, np.int64) + have
+        self.lens, self.starts = np.resize(self.lens, have + len(new)), np.resize(self.starts, have + len(new))
+        self.lens[where], self.starts[where] = lens, starts
+        self.ids = np.concatenate([self.ids, *ids_a, *ids_b])
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        split = [t.split() for t in texts]  # bytes split on the six ASCII white characters
-        new = set()
-        for s in split:
-            new.update(s)
-        new -= self.at.keys()
-        if len(self.at) + len(new) > WORD_STORE and self.at:
+        if len(self.words) > WORD_STORE:
             self.clear()
-            new = set().union(*split)
-        self._learn(list(new))
-        self.ids, self.lens = [np.concatenate(self.ids)], [np.concatenate(self.lens)]
-        ids, lens = self.ids[0], self.lens[0]
-        starts = np.cumsum(lens) - lens
-        at = self.at
+        number = self.words.__getitem__
+        split = [t.split() for t in texts]  # bytes split on the six ASCII white characters
+        numbers = [np.fromiter(map(number, s), np.int64, len(s)) for s in split]
+        if self.words.new:
+            self._learn()
         out = []
-        for s in split:
-            w = np.fromiter((at[x] for x in s), np.int64, len(s))
-            n = lens[w]
-            total = int(n.sum())
+        for w in numbers:
+            u = self.pairs[w].ravel()
+            n = self.lens[u]
             first = np.cumsum(n) - n
-            out.append(ids[np.arange(total) + np.repeat(starts[w] - first, n)])
+            out.append(self.ids[np.arange(int(n.sum())) + np.repeat(self.starts[u] - first, n)])
         return out
 
 
-def _chunks(texts: list[str | None], most: int = 4 << 20) -> Iterator[list[bytes]]:
-    """The texts as bytes in groups of about ``most`` bytes."""
-    group, size = [], 0
-    for t in texts:
-        b = (t or "").encode()
-        group.append(b)
-        size += len(b)
-        if size >= most:
-            yield group
-            group, size = [], 0
-    if group:
-        yield group
+def _chunks(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
+    """(index of the first, texts as bytes) in groups of about ``most`` bytes."""
+    first, group, size = 0, [], 0
+    for k in range(len(column)):
+        group.append((column[k].as_py() or "").encode())
+        size += len(group[-1])
+        if size >= most or k + 1 == len(column):
+            yield first, group
+            first, group, size = k + 1, [], 0
 
 
 def _encoder(tokenizer, end_id: int, width: str, dictionary):
@@ -134,27 +154,39 @@ def _encoder(tokenizer, end_id: int, width: str, dictionary):
     the frame is the plain serialized ids."""
     def run(batches):
         import zstandard
-        enc = WordEncoder(tokenizer.value)
+        enc = None
         if dictionary is not None:
             comp = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary.value))
             pack = comp.compress
         else:
             pack = bytes
         for b in batches:
-            done = 0
-            for group in _chunks(b.column(1).to_pylist()):
+            enc = enc or WordEncoder(tokenizer.value)
+            for first, group in _chunks(b.column(1)):
                 frames, counts = [], []
                 for ids in enc.encode(group):
                     full = np.append(ids, np.uint32(end_id))
                     counts.append(len(full))
                     frames.append(pack(full.astype(width).tobytes()))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(done, len(group)), pa.array(counts, pa.int64()), pa.array(frames, pa.binary())],
+                    [b.column(0).slice(first, len(group)), pa.array(counts, pa.int64()), pa.array(frames, pa.binary())],
                     names=["id", "n_tokens", "frame"])
-                done += len(group)
     return run
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Fewer rows in an Arrow batch while texts are encoded: a Python worker holds a
+    batch of whole texts besides its store of words."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "500")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def train_dictionary(samples: list[bytes]) -> bytes:
     """A zstandard dictionary, or where the samples are too few to train on, their bytes."""
     import zstandard
@@ -191,7 +223,8 @@ def write_token_files(df: DataFrame, path: str, tokenizer_json: str, end_id: int
         .coalesce(1).write.parquet(f"{path}/dictionary")
     # frames are written before they are dealt by id, so nothing is encoded twice
     body = _encoder(tok, end_id, width, spark.sparkContext.broadcast(data))
-    docs.mapInArrow(body, shape).write.parquet(f"{path}/frames")
+    with _small_batches(spark):
+        docs.mapInArrow(body, shape).write.parquet(f"{path}/frames")
     frames = spark.read.schema(shape).parquet(f"{path}/frames")
 
     def blocks(batches):
