@@ -180,6 +180,32 @@ def test_searches_are_linear():
     assert time.time() - began < 60
 
 
+def test_candidates_of_many_parts():
+    def proposed(text):
+        return {(text[s:e], pii.KINDS[k]) for s, k, e in pii.candidates(text)}
+    assert {("+33 6 12 34 56 78", "phone"), ("4539 1488 0343 6467", "card")} <= proposed(
+        "x +33 6 12 34 56 78 4539 1488 0343 6467 y")
+    assert ("06 12 34 56 78", "phone") in proposed("tel 06 12 34 56 78, fax")
+    assert {("06-12-34-56-78", "phone"), ("4539-1488-0343-6467", "card")} <= proposed("06-12-34-56-78-4539-1488-0343-6467")
+    assert ("(826) 555-4081", "phone") in proposed("call (826) 555-4081.")
+    spaced = (" " * 30).join("06 12 34 56 78".split())
+    assert (spaced, "phone") in proposed(spaced)
+    long = "a" * 100 + "@" + "b-" * 200 + "c"
+    assert (long, "email") in proposed(long) and not any(t != long for t, _ in proposed(long))
+
+
+def test_added_spans_stay_disjoint():
+    class Sure:
+        def score(self, x):
+            return 0.6 + x[:, 2] / 100  # more digits first
+    text = "1.2.3.4.5.6 +33 6 12 34 56 78 4539 1488 0343 6467 06 12 34 56 78 a@b.c@d " * 20
+    spans = pii.spans_of(text, (Sure(), [0.5] * 4))
+    assert any(not own for *_, own, _ in spans)
+    for kind in range(4):
+        mine = [(s, e) for s, k, e, *_ in spans if k == kind]
+        assert all(a[1] <= b[0] for a, b in zip(mine, mine[1:]))
+
+
 def test_trees_learn_and_calibrate():
     rng = np.random.default_rng(0)
     x = rng.integers(0, 6, (3000, 4)).astype(float)
