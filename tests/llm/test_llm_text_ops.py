@@ -230,6 +230,31 @@ def test_pii_finds_what_base_misses(spark):
     assert pii.spans_of(clean, model) == []
 
 
+def test_pii_adds_other_formats(spark):
+    model = pii.train(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+    for part, kind in [("(826) 555-4081", "phone"), ("826-555-4081", "phone"), ("06 12 34 56 78", "phone"),
+                       ("826.555.4081", "phone"), ("4539.1488.0343.6467", "card")]:
+        text = f"ntle çre. Éçan {part} èaique treé"
+        assert [(text[s:e], pii.KINDS[k], own) for s, k, e, own, _ in pii.spans_of(text, model)] == [(part, kind, False)]
+    text = "heed ha +33 6 12 34 56 78 4539 1488 0343 6467 thheed"
+    assert {text[s:e] for s, _, e, _, _ in pii.spans_of(text, model)} == {"+33 6 12 34 56 78", "4539 1488 0343 6467"}
+
+
+def test_labels_of_candidates():
+    def of(text, *a):
+        return {(text[s:e], pii.KINDS[k]): (y, own) for (s, k, e), y, own in pii.labelled(text, *a)}
+    # parts of a base span can't be added; what passes the checks is no negative
+    assert of("x +1 (826) 555-4081 y") == {("+1 (826) 555-4081", "phone"): (1.0, True)}
+    assert ("(826) 555-4081", "phone") not in of("x (826) 555-4081 y")
+    assert of("x (826) 555-4081 y")["555-4081", "phone"] == (0.0, False)
+    # where base data of another kind stands, a phone is wrong whatever its digits
+    assert of("x 190.137.223.204 y")["190.137.223.204", "phone"] == (0.0, False)
+    text = "x (826) 555-4081 y"
+    assert of(text, [(2, 3, 16)]) == {("(826) 555-4081", "phone"): (1.0, False), ("555-4081", "phone"): (0.0, False)}
+    rows = list(pii.examples("x +1 (826) 555-4081 y", 3))
+    assert sum(y for _, y, own in rows if not own) >= pii.VARIANTS
+
+
 def test_pii_edges(spark):
     df = edges(spark)
     model = pii.train(df)
