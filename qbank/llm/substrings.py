@@ -20,7 +20,8 @@ documents weighs one entry per few megabytes.
 
 Edge cases: null and empty texts have no words; documents shorter than a window lose
 nothing; rows without an id are neither cut nor compared; rows that repeat an id are
-not smaller than one another; an empty table gives an empty result; other columns
+not smaller than one another, and each is cut by its own text (where the texts of an id
+differ, a hash of the text tells its rows apart); an empty table gives an empty result; other columns
 don't matter.
 """
 
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qbank.llm import rolling
-from qbank.llm.common import named
+from qbank.llm.common import named, written
 
 WINDOW, ANCHOR = 13, 6
 GROUP_ENTRIES = 1_000_000
@@ -73,31 +74,45 @@ def _spread(run: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.minimum.reduceat(ids, starts)[run], np.maximum.reduceat(ids, starts)[run]
 
 
-_ROWS = pa.schema([("group", pa.int64()), ("keys", pa.binary()), ("checks", pa.binary()), ("docs", pa.binary()),
+_ROWS = pa.schema([("group", pa.int64()), ("keys", pa.binary()), ("checks", pa.binary()), ("docs", pa.binary()), ("rows", pa.binary()),
                    ("entry_doc", pa.binary()), ("places", pa.binary()), ("known", pa.binary()),
-                   ("done_id", pa.int64()), ("done", pa.list_(pa.int64()))])
-_SQL_ROWS = ("group bigint, keys binary, checks binary, docs binary, entry_doc binary, places binary, "
-             "known binary, done_id bigint, done array<bigint>")
+                   ("done_id", pa.int64()), ("done_row", pa.int64()), ("done", pa.list_(pa.int64()))])
+_SQL_ROWS = ("group bigint, keys binary, checks binary, docs binary, rows binary, entry_doc binary, places binary, "
+             "known binary, done_id bigint, done_row bigint, done array<bigint>")
 
 
-def _settled(ids: np.ndarray, places: np.ndarray):
-    """(id, its places) for entries in any order."""
+def _settled(ids: np.ndarray, rows: np.ndarray, places: np.ndarray):
+    """(id, row, its places) for entries in any order."""
     if not len(ids):
-        return [], []
-    order = np.argsort(ids, kind="stable")
-    ids, places = ids[order], places[order]
-    at = np.flatnonzero(np.diff(ids, prepend=ids[0] - 1))
-    return ids[at], np.split(places, at[1:])
-
-
-def _deal(key, check, ids, places, n_groups: int, later: bool) -> pa.RecordBatch:
+        return [], [], []
+    order = np.lexsort((rows, ids))
+    ids, rows, places = ids[order], rows[order], places[order]
+    at = np.flatnonzero(np.diff(_same(ids, rows), prepend=-1))
+    return ids[at], rows[at], np.split(places, at[1:])
+
+
+def _docs(ids: np.ndarray, rows: np.ndarray):
+    """The distinct (id, row) in order, and which of them each entry has."""
+    if not rows.any():
+        docs, at = np.unique(ids, return_inverse=True)
+        return docs, np.zeros(len(docs), np.int64), at
+    order = np.lexsort((rows, ids))
+    run = _same(ids[order], rows[order])
+    at = np.empty(len(ids), np.int64)
+    at[order] = run
+    first = order[np.flatnonzero(np.diff(run, prepend=-1))]
+    return ids[first], rows[first], at
+
+
+def _deal(key, check, ids, own, places, n_groups: int, later: bool) -> pa.RecordBatch:
     """One chunk's entries as packed rows, plus rows of what is settled already.
+    ``own`` tells rows of one id apart; only ids are compared.
 
     ``later``: wanted are entries that a smaller id has too; else entries whose key
     two or more ids have.
     """
     order = np.lexsort((places, ids, check, key))
-    key, check, ids, places = key[order], check[order], ids[order], places[order]
+    key, check, ids, own, places = key[order], check[order], ids[order], own[order], places[order]
     run = _same(key, check)
     low, high = _spread(run, ids)
     rows = {n: [] for n in _ROWS.names}
@@ -111,40 +126,43 @@ def _deal(key, check, ids, places, n_groups: int, later: bool) -> pa.RecordBatch
     def add(**row):
         for n in rows:
             rows[n].append(row.get(n))
-    for i, (who, where) in enumerate(zip(*_settled(ids[done], places[done]))):
+    for i, (who, row, where) in enumerate(zip(*_settled(ids[done], own[done], places[done]))):
         # any group will do: spread them
-        add(group=int((int(who) * 2654435761 + i) % n_groups), done_id=int(who), done=where)
-    key, check, ids, places, known = key[send], check[send], ids[send], places[send], known[send]
+        add(group=int((int(who) * 2654435761 + i) % n_groups), done_id=int(who), done_row=int(row), done=where)
+    key, check, ids, own, places, known = (x[send] for x in (key, check, ids, own, places, known))
     width = (1 << 64) // n_groups + 1
     group = (key // np.uint64(width)).astype(np.int64)
     for a, z in zip(*(lambda c: (c, np.append(c[1:], len(group))))(np.flatnonzero(np.diff(group, prepend=-1)))):
-        docs, at = np.unique(ids[a:z], return_inverse=True)
+        docs, doc_rows, at = _docs(ids[a:z], own[a:z])
         add(group=int(group[a]), keys=_planes(_steps(key[a:z])), checks=_planes(check[a:z]),
-            docs=_planes(_steps(docs)), entry_doc=_planes(at), places=_planes(places[a:z]),
+            docs=_planes(_steps(docs)), rows=_planes(doc_rows), entry_doc=_planes(at), places=_planes(places[a:z]),
             known=np.packbits(known[a:z]).tobytes())
     return pa.RecordBatch.from_arrays([pa.array(rows[f.name], f.type) for f in _ROWS], schema=_ROWS)
 
 
 def _settle(later: bool):
-    """applyInArrow body over the packed rows of a group: rows (id, places)."""
+    """applyInArrow body over the packed rows of a group: rows (id, row, places)."""
     def run(table: pa.Table) -> pa.Table:
-        ids, places = [], []
-        key, check, doc, place, known = [], [], [], [], []
+        ids, rows, places = [], [], []
+        key, check, doc, own, place, known = [], [], [], [], [], []
         for row in table.to_pylist():
             if row["keys"] is None:
                 ids.append(row["done_id"])
+                rows.append(row["done_row"])
                 places.append(row["done"])
                 continue
             k = np.cumsum(_unplanes(row["keys"]))
             key.append(k)
             check.append(_unplanes(row["checks"]))
-            doc.append(np.cumsum(_unplanes(row["docs"]).astype(np.int64))[_unplanes(row["entry_doc"]).astype(np.int64)])
+            at = _unplanes(row["entry_doc"]).astype(np.int64)
+            doc.append(np.cumsum(_unplanes(row["docs"]).astype(np.int64))[at])
+            own.append(_unplanes(row["rows"]).astype(np.int64)[at])
             place.append(_unplanes(row["places"]).astype(np.int64))
             known.append(np.unpackbits(np.frombuffer(row["known"], np.uint8), count=len(k)).astype(bool))
         if key:
-            key, check, doc, place, known = map(np.concatenate, (key, check, doc, place, known))
+            key, check, doc, own, place, known = map(np.concatenate, (key, check, doc, own, place, known))
             order = np.lexsort((check, key))
-            key, check, doc, place, known = key[order], check[order], doc[order], place[order], known[order]
+            key, check, doc, own, place, known = (x[order] for x in (key, check, doc, own, place, known))
             same = _same(key, check)
             low, high = _spread(same, doc)
             if later:
@@ -152,10 +170,12 @@ def _settle(later: bool):
             else:
                 some = np.logical_or.reduceat(known, np.flatnonzero(np.diff(same, prepend=-1)))[same]
                 out = ((low < high) | some) & ~known
-            who, where = _settled(doc[out], place[out])
+            who, which, where = _settled(doc[out], own[out], place[out])
             ids += list(who)
+            rows += list(which)
             places += where
-        return pa.table({"id": pa.array(ids, pa.int64()), "places": pa.array(places, pa.list_(pa.int64()))})
+        return pa.table({"id": pa.array(ids, pa.int64()), "row": pa.array(rows, pa.int64()),
+                         "places": pa.array(places, pa.list_(pa.int64()))})
     return run
 
 
@@ -205,7 +225,7 @@ def _sliding_min(a: np.ndarray, k: int) -> np.ndarray:
 def _anchor_rows(n_groups: int):
     def run(batches):
         for rows in _chunk_rows(batches):
-            key, ids, places = [], [], []
+            key, ids, own, places = [], [], [], []
             at = 0
             for _, group in rolling.groups([r[1].decode() for r in rows]):
                 h, doc, _, _ = rolling.words(group)
@@ -217,24 +237,25 @@ def _anchor_rows(n_groups: int):
                     inside = d[:len(low)] == d[k - 1:]
                     anchor, first, d = low[inside], gram_first[:len(low)][inside], d[:len(low)][inside]
                     start, n = _runs_of(first, d, anchor)
-                    own = np.searchsorted(doc, np.arange(len(group)))  # a text's first word
+                    begin = np.searchsorted(doc, np.arange(len(group)))  # a text's first word
                     key.append(anchor[start])
                     ids.append(np.array([r[0] for r in rows[at:at + len(group)]], np.int64)[d[start]])
-                    places.append(((first[start] - own[d[start]]) << RUN_BITS) | (n - 1))
+                    own.append(np.array([r[2] for r in rows[at:at + len(group)]], np.int64)[d[start]])
+                    places.append(((first[start] - begin[d[start]]) << RUN_BITS) | (n - 1))
                 at += len(group)
             if key:
-                key, ids, places = np.concatenate(key), np.concatenate(ids), np.concatenate(places)
+                key, ids, own, places = map(np.concatenate, (key, ids, own, places))
                 if len(key):
-                    yield _deal(key, np.zeros(len(key), np.uint64), ids, places, n_groups, False)
+                    yield _deal(key, np.zeros(len(key), np.uint64), ids, own, places, n_groups, False)
     return run
 
 
 def _window_rows(n_groups: int):
-    """The windows of the runs in a text's third column."""
+    """The windows of the runs in a text's fourth column."""
     def run(batches):
         for rows in _chunk_rows(batches):
-            key, check, ids, places = [], [], [], []
-            for i, text, runs in rows:
+            key, check, ids, own, places = [], [], [], [], []
+            for i, text, row, runs in rows:
                 h, doc, _, _ = rolling.words([text])
                 w, _ = rolling.windows(h, doc, WINDOW)
                 v, _ = rolling.windows(rolling.mix64(h ^ np.uint64(0xA5A5_1234_9876_5A5A)), doc, WINDOW)
@@ -245,27 +266,33 @@ def _window_rows(n_groups: int):
                 check.append(v[pos] >> np.uint64(32))
                 places.append(pos)
                 ids.append(np.full(len(pos), i, np.int64))
+                own.append(np.full(len(pos), row, np.int64))
             if key:
-                yield _deal(*map(np.concatenate, (key, check, ids, places)), n_groups, True)
+                yield _deal(*map(np.concatenate, (key, check, ids, own, places)), n_groups, True)
     return run
 
 
 def repeated_windows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(documents with an id: id, text; their repeated windows: id, starts, the first
-    words of the windows)."""
+    """(documents with an id: id, text, row; their repeated windows: id, row, starts, the
+    first words of the windows). ``row`` is 0, or the text's hash where an id has several
+    texts."""
     docs = df.where(named(id_col).isNotNull()).select(named(id_col).cast("bigint").alias("id"),
                                                       F.coalesce(named(text_col), F.lit("")).alias("text"))
+    texts = docs.select("id", F.xxhash64("text").alias("h")).groupBy("id").agg(F.min("h").alias("a"), F.max("h").alias("z"))
+    several = written(texts.where("a < z").select("id", F.lit(True).alias("several")), "substring-ids")
+    docs = docs.join(several, "id", "left").select(
+        "id", "text", F.when(F.col("several"), F.xxhash64("text")).otherwise(F.lit(0).cast("bigint")).alias("row"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # about six bytes a word; an anchor for every 4.5 windows
     per = lambda x: max(LEAST_GROUPS, math.ceil(size / x / GROUP_ENTRIES))
-    gathered = "id bigint, places array<bigint>"
+    gathered = "id bigint, row bigint, places array<bigint>"
 
     def gather(dealt: DataFrame, later: bool, name: str) -> DataFrame:
         found = dealt.groupBy("group").applyInArrow(_settle(later), gathered)
-        return found.groupBy("id").agg(F.flatten(F.collect_list("places")).alias(name))
+        return found.groupBy("id", "row").agg(F.flatten(F.collect_list("places")).alias(name))
     runs = gather(docs.mapInArrow(_anchor_rows(per(27)), _SQL_ROWS), False, "runs")
     # both joins with the texts read one shuffle of them
-    candidates = docs.join(runs, "id").select("id", "text", "runs")
+    candidates = docs.join(runs, ["id", "row"]).select("id", "text", "row", "runs")
     return docs, gather(candidates.mapInArrow(_window_rows(per(6)), _SQL_ROWS), True, "starts")
 
 
@@ -307,5 +334,5 @@ def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", d
     none = df.where(named(id_col).isNull()).select(
         F.lit(None).cast("bigint").alias("id"), F.coalesce(named(text_col), F.lit("")).alias("text"),
         F.lit(None).cast("array<bigint>").alias("starts"))
-    rows = docs.join(repeated, "id", "left").select("id", "text", "starts").union(none)
+    rows = docs.join(repeated, ["id", "row"], "left").select("id", "text", "starts").union(none)
     return rows.mapInArrow(run, f"`{id_col}` bigint, n_words bigint, n_removed bigint, {name} string")

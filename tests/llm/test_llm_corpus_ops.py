@@ -337,6 +337,18 @@ def test_substrings_edges(spark):
     assert substrings.deduplicate(empty(spark)).count() == 0
 
 
+def test_substrings_of_texts_under_one_id(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "CHUNK_BYTES", 2000)
+    passage = [" ".join(f"p{k}w{i}" for i in range(40)) for k in range(2)]
+    own = [" ".join(f"o{k}w{i}" for i in range(200 * k + 20)) for k in range(4)]
+    docs = [(1, f"{passage[0]} {own[0]}"), (7, f"{own[3]} {passage[0]}"), (7, f"{passage[0]} {own[1]}"), (7, own[0]),
+            (7, f"{own[2]} {passage[1]}"), (7, f"{passage[1]} {own[1]}"), (8, f"{own[3]} {passage[1]}"), (7, own[0]),
+            (-3, "q " + passage[1]), (-3, own[1])]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4)
+    got = [tuple(r) for r in substrings.deduplicate(df).collect()]
+    assert sorted(got) == sorted(cut(docs))
+
+
 # -- the pipeline ---------------------------------------------------------------------
 
 def test_pipeline_matches_plain(spark, tmp_path):
