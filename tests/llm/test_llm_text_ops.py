@@ -255,6 +255,13 @@ def test_labels_of_candidates():
     assert sum(y for _, y, own in rows if not own) >= pii.VARIANTS
 
 
+def test_pii_of_held_out_documents_alone(spark):
+    text = "mail bob@example.com now +1 (845) 555-1234 or 10.0.0.1 and 4539 1488 0343 6467; " * 20
+    df = spark.createDataFrame([(0, text)], "doc_id bigint, text string")
+    assert pii.train(df) is None
+    assert len(pii.find(df, model=pii.train(df)).first().spans) == 80
+
+
 def test_pii_edges(spark):
     df = edges(spark)
     model = pii.train(df)
