@@ -9,6 +9,10 @@ A token folder has three Parquet parts, so any store that Spark writes can hold
 * ``index``: per document part, block, offset, length, n_tokens and start (the ids
   of all documents before it), sorted by id for short-document access.
 
+A file of ``blocks`` has one part and a Parquet page for each row, so a reader that
+filters by part and block skips the other files' pages and the other blocks; only
+the files' footers are read of all.
+
 The dictionary is trained on the serialized ids of a bounded sample: the
 ``SAMPLE_DOCS`` ids with the smallest hashes, of which at most ``SAMPLE_BYTES``,
 no document over 64 KB.
@@ -254,7 +258,7 @@ def write_token_files(df: DataFrame, path: str, tokenizer_json: str, end_id: int
     (frames.repartitionByRange("id").sortWithinPartitions("id", "frame")
      .mapInArrow(blocks, "part int, block int, dict_sha256 string, ids array<bigint>, "
                          "counts array<bigint>, lengths array<bigint>, blob binary")
-     .write.option("compression", "none").parquet(f"{path}/blocks"))
+     .write.option("compression", "none").option("parquet.page.row.count.limit", "1").parquet(f"{path}/blocks"))
     held = spark.read.parquet(f"{path}/blocks")
     by_part = held.groupBy("part").agg(F.sum(_total("counts")).alias("n"))  # a row per file
     before = by_part.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("part_start"))
@@ -269,6 +273,7 @@ def write_token_files(df: DataFrame, path: str, tokenizer_json: str, end_id: int
         F.col("x.lengths").alias("length"),
         (F.sum("x.lengths").over(run) - F.col("x.lengths")).alias("offset"),
         (F.col("start") + F.sum("x.counts").over(run) - F.col("x.counts")).alias("start"))
+     .repartitionByRange("id", "start").sortWithinPartitions("id", "start")
      .write.parquet(f"{path}/index"))
 
 
@@ -300,6 +305,14 @@ def _decoder(data, digest: str, width: str, digests_only: bool):
     return run
 
 
+def _named_blocks(blocks: DataFrame, index: DataFrame) -> DataFrame:
+    """The blocks that the few rows of ``index`` name, by filters that the scan takes;
+    they let pass what has the part of one and the block of another, the join doesn't."""
+    places = index.select("part", "block").distinct().collect()
+    return blocks.where(F.col("part").isin(sorted({p.part for p in places}))
+                        & F.col("block").isin(sorted({p.block for p in places})))
+
+
 def read_token_files(spark: SparkSession, path: str, ids: list[int] | None = None,
                      digests_only: bool = False) -> DataFrame:
     """id, start, n_tokens and the ids (or with ``digests_only`` their crc32) of all
@@ -307,9 +320,10 @@ def read_token_files(spark: SparkSession, path: str, ids: list[int] | None = Non
     blocks they name are read."""
     row = _dictionary(spark, path)
     index = spark.read.parquet(f"{path}/index")
+    blocks = spark.read.parquet(f"{path}/blocks").select("part", "block", "dict_sha256", "blob")
     if ids is not None:
         index = index.where(F.col("id").isin(list(ids)))
-    blocks = spark.read.parquet(f"{path}/blocks").select("part", "block", "dict_sha256", "blob")
+        blocks = _named_blocks(blocks, index)
     # the index entries of a block meet its blob as one array, so a blob moves once
     per_block = index.groupBy("part", "block").agg(F.collect_list(F.struct("offset", "length", "id", "start")).alias("docs"))
     cut = blocks.join(per_block, ["part", "block"]).select("dict_sha256", "blob", F.explode("docs").alias("d"))

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -247,6 +248,36 @@ def test_token_files(spark, tmp_path):
     assert tokenfiles.read_token_files(spark, none).count() == 0
 
 
+def test_token_lookup_reads_few_blocks(spark, tmp_path, monkeypatch):
+    import pyarrow.parquet as pq
+    monkeypatch.setattr(tokenfiles, "BLOCK_BYTES", 100)
+    df = spark.createDataFrame([(i * 7 % 300, f"text {i} of {i * i}") for i in range(300)], "doc_id bigint, text string")
+    path, off = tmp_path / "tokens", "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(off)
+    spark.conf.set(off, "false")
+    try:
+        tokenfiles.write_token_files(df, str(path), open(TOKENIZER, encoding="utf-8").read(), end_id=2)
+    finally:
+        spark.conf.set(off, before)
+    held = [pq.read_table(f, columns=["id"])["id"].to_pylist() for f in sorted((path / "index").glob("*.parquet"))]
+    assert len(held) > 1 and sum(held, []) == list(range(300))
+    files = [pq.read_table(f, columns=["part", "block"]) for f in (path / "blocks").glob("*.parquet")]
+    assert len(files) > 1 and all(len(set(f["part"].to_pylist())) <= 1 for f in files)
+    index = spark.read.parquet(str(path / "index"))
+    few, blocks = index.where("id in (5, 250)"), spark.read.parquet(str(path / "blocks"))
+    named = tokenfiles._named_blocks(blocks, few)
+    places = {(r.part, r.block) for r in few.collect()}
+    assert places <= {(r.part, r.block) for r in named.collect()} and named.count() <= len(places) ** 2 < blocks.count()
+    lookup = tokenfiles.read_token_files(spark, str(path), ids=[5, 250])
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    pushed = lookup._jdf.queryExecution().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    for col in ("part", "block"):
+        assert re.search(rf"PushedFilters: .*(In|EqualTo)\({col},", pushed)
+    assert {r.id for r in lookup.collect()} == {5, 250}
+    assert tokenfiles.read_token_files(spark, str(path), ids=[-1]).count() == 0
+
+
 # -- SentencePiece ------------------------------------------------------------------
 
 def library():
