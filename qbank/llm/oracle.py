@@ -116,7 +116,61 @@ SELECT t.doc_id, len(w)::BIGINT AS n_words, coalesce(gone, 0)::BIGINT AS n_remov
 FROM t LEFT JOIN left_ USING (doc_id)
 """
 
+#: CRC-32 has no function here: the table of its 256 steps, then a fold over the digits
+OP11 = r"""
+WITH RECURSIVE
+crc AS (SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k:
+                      CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS tab
+        FROM range(256) AS r(i)),
+d AS (SELECT *, CASE WHEN doc_id IS NOT NULL AND xor(4294967295, list_reduce(
+                  list_prepend(4294967295, list_transform(range(1, length(doc_id::VARCHAR) + 1),
+                                                          lambda i: ascii(substr(doc_id::VARCHAR, i, 1))::BIGINT)),
+                  lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8))) % 5 = 0
+                  THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS seen,
+             coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+             || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')
+             AS head
+      FROM documents, crc),
+f AS (SELECT doc_id, coalesce('1' || source, '0') AS grp,
+             sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+             sha256(head || coalesce(strlen(seen) || ':' || seen, '-')) AS seen_leaf FROM d),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+                  count(*) OVER (PARTITION BY grp) AS size FROM f),
+nodes AS (SELECT 0 AS lvl, grp, place, size, leaf AS digest FROM leaves
+          UNION ALL
+          SELECT lvl + 1, grp, place // 16, any_value((size + 15) // 16), sha256(string_agg(digest, '' ORDER BY place))
+          FROM nodes WHERE size > 1 GROUP BY lvl, grp, place // 16),
+tops AS (SELECT grp, digest, row_number() OVER (ORDER BY grp) - 1 AS place, count(*) OVER () AS size
+         FROM nodes WHERE size = 1),
+over_ AS (SELECT 0 AS lvl, place, size, digest FROM tops
+          UNION ALL
+          SELECT lvl + 1, place // 16, any_value((size + 15) // 16), sha256(string_agg(digest, '' ORDER BY place))
+          FROM over_ WHERE size > 1 GROUP BY lvl, place // 16),
+sib AS (SELECT lvl, grp, place,
+               {'l': coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), ''),
+                'r': coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '')} AS s
+        FROM nodes WHERE size > 1 WINDOW w AS (PARTITION BY lvl, grp, place // 16 ORDER BY place)),
+osib AS (SELECT lvl, place,
+                {'l': coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), ''),
+                 'r': coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '')} AS s
+         FROM over_ WHERE size > 1 WINDOW w AS (PARTITION BY lvl, place // 16 ORDER BY place)),
+lo AS (SELECT l.grp, l.place, list(s ORDER BY lvl) AS p FROM leaves l
+       JOIN sib ON sib.grp = l.grp AND sib.place = l.place // (1::BIGINT << (4 * lvl)) GROUP BY l.grp, l.place),
+hi AS (SELECT t.grp, list(s ORDER BY lvl) AS p FROM tops t
+       JOIN osib ON osib.place = t.place // (1::BIGINT << (4 * lvl)) GROUP BY t.grp),
+path AS (SELECT l.*, t.digest AS subroot, (SELECT digest FROM over_ WHERE size = 1) AS root,
+                list_concat(coalesce(lo.p, []), coalesce(hi.p, [])) AS p
+         FROM leaves l JOIN tops t USING (grp) LEFT JOIN lo ON lo.grp = l.grp AND lo.place = l.place
+         LEFT JOIN hi ON hi.grp = l.grp),
+done AS (SELECT *, list_reduce(list_prepend({'l': seen_leaf, 'r': ''}, p), lambda a, b:
+                     {'l': sha256(b.l || a.l || b.r), 'r': ''}).l AS folded_root FROM path)
+SELECT doc_id, leaf, subroot, root,
+       sha256(array_to_string(list_transform(p, lambda x: x.l || x.r), '')) AS proof_sha256,
+       folded_root, folded_root = root AS verified FROM done
+"""
+
 ORACLES = {
+    "op11_merkle_manifest": OP11,
     "op10_substring_dedup": OP10,
     "op1_exact_dedup": OP1,
     "op5_chat_format": OP5,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from qbank.llm import chat as CHAT
 from qbank.llm import exact as EXACT
+from qbank.llm import merkle as TREE
 from qbank.llm import mixing as MIX
 from qbank.llm import near as NEAR
 from qbank.llm import pieces as PIECES
@@ -109,6 +110,21 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SUB.deduplicate(documents(spark, sf_dir), digests=True)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, subroot, root and proof, and the check of a copy of the
+    table in which every fifth document (by crc32 of its id) has lost its capitals."""
+    docs = documents(spark, sf_dir)
+    fields = ["doc_id", "source", "lang", "n_chars"]
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    leaf = TREE.digest(*[F.col(c) for c in fields], F.col("text"))
+    changed = TREE.digest(*[F.col(c) for c in fields], TREE.lower_ascii(F.col("text")))
+    leaves = docs.select("doc_id", "source", leaf.alias("leaf"), F.when(hit, changed).alias("changed"))
+    found = TREE.manifest(leaves, "source", ["doc_id"], "leaf")
+    again = TREE.folded(F.coalesce("changed", "leaf"), F.col("path"))
+    return found.select("doc_id", "leaf", "subroot", "root", TREE.proof_digest(F.col("path")).alias("proof_sha256"),
+                        again.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_sentencepiece": op2_sentencepiece,
@@ -120,4 +136,5 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_quality_rules": op9_quality_rules,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
