@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from qbank.llm import align as ALIGN
 from qbank.llm import chat as CHAT
 from qbank.llm import exact as EXACT
 from qbank.llm import merkle as TREE
@@ -125,6 +126,13 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                         again.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in two tokenizations: groups, links and how common its links are."""
+    import public_tokenizers
+    return ALIGN.align(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), piece_model(),
+                       digests=True).withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_sentencepiece": op2_sentencepiece,
@@ -137,4 +145,5 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op13_token_alignment": op13_token_alignment,
 }
