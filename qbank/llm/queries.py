@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from qbank.llm import align as ALIGN
 from qbank.llm import chat as CHAT
 from qbank.llm import exact as EXACT
+from qbank.llm import langid as LANG
 from qbank.llm import merkle as TREE
 from qbank.llm import mixing as MIX
 from qbank.llm import near as NEAR
@@ -126,6 +127,13 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                         again.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, from a network that has not seen the held-out ones."""
+    docs = documents(spark, sf_dir)
+    found = LANG.predict(docs.select("doc_id", "text"), LANG.train(docs))
+    return found.select("doc_id", LANG.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in two tokenizations: groups, links and how common its links are."""
     import public_tokenizers
@@ -145,5 +153,6 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_language_id": op12_language_id,
     "op13_token_alignment": op13_token_alignment,
 }
