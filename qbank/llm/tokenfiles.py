@@ -29,6 +29,8 @@ with an empty index; other columns don't matter.
 from __future__ import annotations
 
 import hashlib
+import json
+import re
 import zlib
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -52,6 +54,38 @@ WORD_STORE = 200_000
 TAIL = ".,!?;:"
 
 
+#: Letters that are letters to any library, fixed under NFC, with one lower-case letter.
+LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+")
+CLOSE = "\x01"
+
+
+def _joins(spec: dict):
+    """The merges of a lower-casing BPE over bytes with word ends as a ``tiktoken``
+    encoding of words that ``CLOSE`` ends, or None."""
+    model, norm = spec["model"], spec.get("normalizer") or {}
+    kinds = {n["type"] for n in norm.get("normalizers", [norm]) if n}
+    special = {t["content"] for t in spec["added_tokens"]}
+    vocab = {t: i for t, i in model.get("vocab", {}).items() if t not in special}
+    if model.get("end_of_word_suffix") != "</w>" or "Lowercase" not in kinds or not kinds <= {"NFC", "Replace", "Lowercase"}:
+        return None
+    import tiktoken
+
+    from qbank.llm.align import byte_alphabet
+    alphabet, mark = byte_alphabet(), CLOSE.encode()
+    ranks = {}
+    for t, i in vocab.items():
+        word = t.removesuffix("</w>")
+        if not word or not set(word) <= alphabet.keys():
+            return None
+        ranks[bytes(alphabet[c] for c in word) + (mark if t != word else b"")] = i
+    if len(ranks) < len(vocab) or any(vocab.get(c, 512) >= 512 or vocab.get(c + "</w>", 512) >= 512 for c in alphabet):
+        return None
+    merged = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    if merged != sorted(merged) or min(merged, default=512) < 512:
+        return None
+    return tiktoken.Encoding("words", pat_str=f"[^{CLOSE}]+{CLOSE}", mergeable_ranks=ranks, special_tokens={})
+
+
 class _Store(dict):
     """thing -> its number; numbers new things as they are asked for."""
 
@@ -67,8 +101,12 @@ class _Store(dict):
 class WordEncoder:
     """Ids of texts by way of a store of encoded words.
 
-    A word of letters is one unit to the tokenizer, and closing punctuation after it
-    a second one, so such words share their units; any other word is a unit itself.
+    A word of plain Latin letters (``LATIN``) is one unit to the tokenizer, and closing
+    punctuation after it a second one, so such words share their units; any other word
+    is a unit itself. Latin units are joined by the ``tiktoken`` library, where a mark
+    (``CLOSE``) stands for the end of a word and is joined to its last letter first:
+    the tokenizer's own merges, in the same order. All else, and all units of tokenizers
+    that are not of this kind, go to the tokenizer.
     """
 
     def __init__(self, tokenizer_json: str):
@@ -76,6 +114,8 @@ class WordEncoder:
         self.tok = Tokenizer.from_str(tokenizer_json)
         self.closes = np.zeros(self.tok.get_vocab_size() + 1, bool)
         self.closes[[i for t, i in self.tok.get_vocab().items() if t.endswith("</w>")]] = True
+        self.joins = _joins(json.loads(tokenizer_json))
+        self.latin = LATIN if self.joins else re.compile("(?!)")
         self.clear()
 
     def clear(self) -> None:
@@ -87,21 +127,12 @@ class WordEncoder:
         found = [e.ids for e in self.tok.encode_batch_fast(units, add_special_tokens=False)]
         return [np.array(x, np.uint32) for x in found], [len(x) for x in found]
 
-    def _letters(self, units: list[str]) -> tuple[list[np.ndarray], list[int]]:
-        """Units of letters: encoded as one text, measured where a unit closes."""
-        ids, lens, step = [], [], 1024
-        for i in range(0, len(units), step):
-            part = units[i:i + step]
-            whole = self._each([" ".join(part)])[0][0]
-            ends = np.flatnonzero(self.closes[whole]) + 1
-            if len(ends) == len(part) and ends[-1] == len(whole):
-                ids.append(whole)
-                lens += np.diff(ends, prepend=0).tolist()
-            else:  # some letter falls apart when normalized, or units don't close
-                a, b = self._each(part)
-                ids += a
-                lens += b
-        return ids, lens
+    def _letters(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Units of Latin letters: encoded as one text, measured where a unit closes."""
+        if not units:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        ids = self.joins.encode_to_numpy("".join([u.lower() + CLOSE for u in units]))
+        return ids, np.diff(np.flatnonzero(self.closes[ids]), prepend=-1)
 
     def _learn(self) -> None:
         """Encode what the stores were asked for and did not have."""
@@ -109,21 +140,22 @@ class WordEncoder:
         for w in self.words.new:
             s = w.decode()
             core = s.rstrip(TAIL)
-            pairs.append((unit[core], unit[s[len(core):]]) if core.isalpha() else (unit[s], unit[""]))
+            pairs.append((unit[core], unit[s[len(core):]]) if self.latin.fullmatch(core) else (unit[s], unit[""]))
         self.words.new = []
         self.pairs = np.concatenate((self.pairs, np.array(pairs, np.int64)))
         new, have = unit.new, len(self.lens)
         unit.new = []
-        plain = [k for k, u in enumerate(new) if u.isalpha()]
-        other = [k for k, u in enumerate(new) if not u.isalpha()]
+        latin = [bool(self.latin.fullmatch(u)) for u in new]
+        plain = [k for k, x in enumerate(latin) if x]
+        other = [k for k, x in enumerate(latin) if not x]
         ids_a, lens_a = self._letters([new[k] for k in plain])
         ids_b, lens_b = self._each([new[k] for k in other])
-        lens = np.array(lens_a + lens_b, np.int64)
+        lens = np.concatenate((lens_a, np.array(lens_b, np.int64)))
         starts = len(self.ids) + np.cumsum(lens) - lens
         where = np.array(plain + other, np.int64) + have
         self.lens, self.starts = np.resize(self.lens, have + len(new)), np.resize(self.starts, have + len(new))
         self.lens[where], self.starts[where] = lens, starts
-        self.ids = np.concatenate([self.ids, *ids_a, *ids_b])
+        self.ids = np.concatenate([self.ids, ids_a, *ids_b])
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         if len(self.words) > WORD_STORE:

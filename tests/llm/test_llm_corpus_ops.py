@@ -215,6 +215,32 @@ def test_word_encoder_is_the_library():
         assert ids.tolist() == library_ids(t), t
 
 
+def test_word_encoder_on_every_letter():
+    """Each letter of Unicode, alone and in a word, before each closing mark."""
+    enc = tokenfiles.WordEncoder(open(TOKENIZER, encoding="utf-8").read())
+    assert enc.joins is not None
+    letters = [chr(c) for c in range(0x110000) if chr(c).isalpha()]
+    for tail in (".", "!?", ""):
+        for low in range(0, len(letters), 1 << 14):
+            words = [w for c in letters[low:low + (1 << 14)] for w in (c + tail, f"a{c}b" + tail)]
+            enc.clear()
+            want = enc.tok.encode_batch_fast(words, add_special_tokens=False)
+            assert [x.tolist() for x in enc.encode([w.encode() for w in words])] == [e.ids for e in want]
+
+
+def test_latin_words_join_as_the_tokenizer_does():
+    """All tokens of the vocabulary as words, and random runs of letters."""
+    rnd = random.Random(8)
+    enc = tokenfiles.WordEncoder(open(TOKENIZER, encoding="utf-8").read())
+    known = [enc.tok.decode([i]).strip() for i in range(49406)]
+    words = [w for w in known if tokenfiles.LATIN.fullmatch(w)]
+    words += ["".join(rnd.sample(words, 2)) for _ in range(60_000)]
+    words += ["".join(rnd.choice("etaoinshrdlueéèüößñçABCz") for _ in range(rnd.randrange(1, 14))) for _ in range(60_000)]
+    words.append("ab" * 20_000)
+    want = enc.tok.encode_batch_fast(words, add_special_tokens=False)
+    assert [x.tolist() for x in enc.encode([w.encode() for w in words])] == [e.ids for e in want]
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet=st.sampled_from(list("abZ é'.,!s\n<|>1İ́Σ")), max_size=40))
 def test_word_encoder_on_any_text(text):
