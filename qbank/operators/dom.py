@@ -13,15 +13,22 @@ environment) with the implied end tags of HTML: ``p`` closed by a block start
 tag, ``li``/``dt``/``dd``/``option``/table parts closed by a sibling, void
 elements never opened, stray end tags ignored. It runs in ``mapInArrow`` so
 the array is built straight into Arrow batches.
+
+No markup raises. A declaration that the parser gives up on is skipped to its
+``>`` (as browsers do with bogus comments), an element nested deeper than
+``MAX_DEPTH`` gets no children, and any other fault turns the character it
+stands at into text; parsing goes on after it, and what was found before stays.
+``dom_nodes(..., status=True)`` tells such pages from the others.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +43,8 @@ SIBLING_CLOSE = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option":
                  "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 SCOPE_STOP = {"ul", "ol", "dl", "table", "div", "section", "body", "html"}
 
+#: Open elements at most, as in browsers: an element's text is repeated in all its ancestors.
+MAX_DEPTH = 512
 CHUNK_ROWS = 256
 
 ATTR = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.StringType())])
@@ -61,7 +70,10 @@ class _TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.nodes: list[dict] = []
         self.stack: list[int] = []       # indices of open elements
+        self.open: Counter[str] = Counter()  # their tags
         self.buf: list[str] = []
+        self.faults = 0
+        self.done = 0                    # characters of rawdata that are behind the parser
 
     # -- helpers ---------------------------------------------------------------
     def _flush(self):
@@ -75,18 +87,18 @@ class _TreeBuilder(HTMLParser):
                            "kind": "text", "tag": None, "elem_id": None, "classes": None,
                            "attrs": None, "text": text, "texts": None, "n_texts": None})
 
-    def _open_tags(self):
-        return [self.nodes[i]["tag"] for i in self.stack]
-
     def _pop_to(self, tag):
         """Close open elements up to and including the innermost ``tag``."""
         while self.stack:
             i = self.stack.pop()
             self.nodes[i]["end"] = len(self.nodes) - 1
+            self.open[self.nodes[i]["tag"]] -= 1
             if self.nodes[i]["tag"] == tag:
                 return
 
     def _close_if_open(self, tags, stop=SCOPE_STOP):
+        if not any(self.open[t] for t in tags):
+            return
         for i in reversed(self.stack):
             t = self.nodes[i]["tag"]
             if t in tags:
@@ -114,23 +126,51 @@ class _TreeBuilder(HTMLParser):
             "attrs": [{"k": k, "v": v} for k, v in attrs],
             "text": None, "texts": None, "n_texts": None})
         if tag not in VOID:
+            if len(self.stack) >= MAX_DEPTH:
+                self.faults += 1
+                return
             self.stack.append(i)
+            self.open[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
-        if tag not in VOID and self.stack and self.nodes[self.stack[-1]]["tag"] == tag:
+        if self.stack and self.stack[-1] == len(self.nodes) - 1:  # it was opened
             self._pop_to(tag)
 
     def handle_endtag(self, tag):
         self._flush()
-        if tag in self._open_tags():
+        if self.open[tag]:
             self._pop_to(tag)
 
     def handle_data(self, data):
         self.buf.append(data)
 
+    # -- faults ------------------------------------------------------------------
+    def updatepos(self, i, j):
+        self.done = j
+        return j
+
+    def parse_marked_section(self, i, report=1):
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:  # an unknown keyword, or none
+            self.faults += 1
+            return self.rawdata.find(">", i) + 1 or -1
+
+    def parse(self, html: str) -> None:
+        """Feed all of ``html``; a fault costs the character that it stands at."""
+        while True:
+            self.rawdata, self.done = html, 0
+            try:
+                self.goahead(True)
+                return
+            except Exception:  # noqa: BLE001  whatever the markup makes the parser do
+                self.faults += 1
+                at = self.done
+                self.handle_data(html[at:at + 1])
+                html = html[at + 1:]
+
     def finish(self) -> list[dict]:
-        self.close()
         self._flush()
         while self.stack:
             self._pop_to(self.nodes[self.stack[-1]]["tag"])
@@ -163,15 +203,17 @@ class _TreeBuilder(HTMLParser):
         return self.nodes
 
 
-def parse_html(html: str | None) -> list[dict] | None:
+def parse_page(html: str | None) -> tuple[list[dict] | None, int | None]:
+    """The nodes of a page and the number of faults in its markup (null: no page)."""
     if html is None:
-        return None
+        return None, None
     b = _TreeBuilder()
-    try:
-        b.feed(html)
-    except (AssertionError, ValueError, RecursionError):  # markup the parser gives up on
-        return None
-    return b.finish()
+    b.parse(html)
+    return b.finish(), b.faults
+
+
+def parse_html(html: str | None) -> list[dict] | None:
+    return parse_page(html)[0]
 
 
 def _arrow_node_type() -> pa.DataType:
@@ -179,12 +221,20 @@ def _arrow_node_type() -> pa.DataType:
     return to_arrow_type(NODES)
 
 
-def dom_nodes(pages: DataFrame, html_col: str = "html", keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns + ``nodes`` (the markup column is dropped)."""
+def parse_status(n_faults: Column) -> Column:
+    """``ok``, ``recovered`` (faults were skipped) or ``no_markup``."""
+    return F.when(n_faults.isNull(), "no_markup").when(n_faults > 0, "recovered").otherwise("ok")
+
+
+def dom_nodes(pages: DataFrame, html_col: str = "html", keep: list[str] | None = None,
+              status: bool = False) -> DataFrame:
+    """``keep`` columns + ``nodes`` (the markup column is dropped); with
+    ``status`` also ``n_faults`` and ``parse_status``."""
     keep = keep or [c for c in pages.columns if c != html_col]
     src = pages.select(*keep, F.col(html_col).alias("__html"))
     out_schema = T.StructType([f for f in src.schema.fields if f.name != "__html"]
-                              + [T.StructField("nodes", NODES)])
+                              + [T.StructField("nodes", NODES)]
+                              + [T.StructField("n_faults", T.IntegerType())] * status)
     node_type = None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,11 +247,15 @@ def dom_nodes(pages: DataFrame, html_col: str = "html", keep: list[str] | None =
             for off in range(0, b.num_rows, CHUNK_ROWS):
                 s = b.slice(off, CHUNK_ROWS)
                 html = s.column(s.schema.get_field_index("__html")).to_pylist()
-                nodes = pa.array([parse_html(h) for h in html], type=node_type)
+                parsed = [parse_page(h) for h in html]
                 cols = [s.column(s.schema.get_field_index(c)) for c in keep]
-                yield pa.RecordBatch.from_arrays(cols + [nodes], names=keep + ["nodes"])
+                cols.append(pa.array([n for n, _ in parsed], type=node_type))
+                if status:
+                    cols.append(pa.array([f for _, f in parsed], type=pa.int32()))
+                yield pa.RecordBatch.from_arrays(cols, names=out_schema.names)
 
-    return src.mapInArrow(run, out_schema)
+    out = src.mapInArrow(run, out_schema)
+    return out.withColumn("parse_status", parse_status(F.col("n_faults"))) if status else out
 
 
 NODE_ROW_FIELDS = NODE.fields + [T.StructField("path", T.ArrayType(T.IntegerType()))]

@@ -104,11 +104,3 @@ def dedup_links(links: DataFrame, url_col: str = "resolved_url",
     (answer-page joins opt out by not calling this)."""
     by = F.struct(*(order or []), "route")
     return links.groupBy(url_col).agg(F.min_by("route", by).alias("route"))
-
-
-def one_per_key(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key: of several, the one whose other columns hash highest (a fixed
-    choice; equal copies are alike)."""
-    rest = [c for c in rows.columns if c not in keys]
-    best = F.max_by(F.struct(*rest), F.xxhash64(*rest)).alias("row")
-    return rows.groupBy(*keys).agg(best).select(*keys, *[F.col(f"row.{c}").alias(c) for c in rest])

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from qbank.functions import text as TX
@@ -27,7 +27,7 @@ from qbank.operators import extract as X
 from qbank.operators import sections as SEC
 from qbank.operators.dom import dom_nodes
 from qbank.operators.joins import semi_join
-from qbank.session import app_key, materialize
+from qbank.session import app_key, default_parallelism, materialize
 from qbank.sources import tables as TB
 from qbank.sources import textbook_site as TS
 
@@ -66,7 +66,8 @@ def routed_links(pages: DataFrame, book: str, seeds: DataFrame | None = None,
         seeds_df = semi_join(pages.select("url", "html"), seeds, "url")
     else:
         seeds_df = pages.where((F.col("page") == "contents") & (_book_of("url") == book))
-    nodes = dom_nodes(seeds_df.select("url", "html"), keep=["url"])
+    seeds_df = seeds_df.select("url", "html").repartition(parse_tasks(pages), "url")
+    nodes = dom_nodes(seeds_df, keep=["url"])
     links = nodes.select("url", F.posexplode(X.toc_links("nodes", link_class)).alias("pos", "href"))
     route = U.route_econ("href") if book == "econ" else U.route_finance("href")
     links = (links.withColumn("route", route).where(F.col("route").isNotNull())
@@ -74,20 +75,52 @@ def routed_links(pages: DataFrame, book: str, seeds: DataFrame | None = None,
     return SEC.dedup_links(links, order=["pos", "url"]).withColumn("book", F.lit(book))
 
 
-def fetched_html(pages: DataFrame, books=BOOKS, routes=None,
-                 seeds: dict[str, DataFrame] | None = None,
-                 link_class: str = TS.TOC_CLASS) -> DataFrame:
-    """J1 before parsing: ``resolved_url, route, book, html`` of every page a
-    routed link leads to."""
+#: Stored bytes of pages that one parsing task takes at most, and tasks at most.
+PARSE_BYTES, PARSE_TASKS = 64 << 20, 1 << 18
+
+
+def parse_tasks(pages: DataFrame) -> int:
+    """How many tasks parse what is fetched of ``pages``: by the bytes of its files (as
+    the planner knows them), at least two a core. Where the planner knows no size (rows
+    that are in no file), as many as the cores ask for."""
+    at_least = 2 * (default_parallelism(pages.sparkSession) or 1)
+    plan = getattr(pages.select("html"), "_jdf", None)
+    stored = 0 if plan is None else int(plan.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return min(PARSE_TASKS, max(at_least, -(-stored // PARSE_BYTES) if stored < 1 << 60 else 0))
+
+
+def one_copy(got: DataFrame, pages: DataFrame, url: str, *more: str) -> DataFrame:
+    """Fetched pages dealt evenly by URL for parsing, each (URL, ``more``) once: of a
+    page stored more than once the copy whose markup hashes lowest. A file of pages is
+    often one row group, which a scan cannot split, so the scan's tasks don't do."""
+    copies = Window.partitionBy(url, *more).orderBy("_copy")
+    return (got.repartition(parse_tasks(pages), F.col(url)).withColumn("_copy", F.xxhash64("html"))
+            .withColumn("_nth", F.row_number().over(copies)).where("_nth = 1").drop("_copy", "_nth"))
+
+
+def frontier(pages: DataFrame, books=BOOKS, routes=None, seeds: dict[str, DataFrame] | None = None,
+             link_class: str = TS.TOC_CLASS) -> DataFrame:
+    """The links to follow, written once: ``resolved_url, route, book``. ``seeds`` maps a
+    book kind to its start-page URLs."""
     if seeds is not None:
         books = list(seeds)
     links = reduce(DataFrame.unionByName,
                    [routed_links(pages, b, seeds[b] if seeds else None, link_class) for b in books])
     if routes:
         links = links.where(F.col("route").isin(list(routes)))
-    # the link list is written once: it is the crawl frontier
-    links = materialize(links, "links")
-    return pages.select(F.col("url").alias("resolved_url"), "html").join(links, "resolved_url")
+    # the filter holds for every link; it lets the planner put a Bloom filter of the
+    # frontier into the scan of a large page table
+    return materialize(links, "links").where(F.col("book").isin(list(books)))
+
+
+def fetched_html(pages: DataFrame, books=BOOKS, routes=None,
+                 seeds: dict[str, DataFrame] | None = None,
+                 link_class: str = TS.TOC_CLASS) -> DataFrame:
+    """J1 before parsing: ``resolved_url, route, book, html`` of every page a
+    routed link leads to, once, dealt evenly."""
+    links = frontier(pages, books, routes, seeds, link_class)
+    got = pages.select(F.col("url").alias("resolved_url"), "html").join(links, "resolved_url")
+    return one_copy(got, pages, "resolved_url", "book", "route")
 
 
 def fetched(pages: DataFrame, books=BOOKS, routes=None,
@@ -100,11 +133,24 @@ def fetched(pages: DataFrame, books=BOOKS, routes=None,
         "resolved_url", "chapter_url")
 
 
+def crawl_status(pages: DataFrame, books=BOOKS, seeds: dict[str, DataFrame] | None = None,
+                 link_class: str = TS.TOC_CLASS) -> DataFrame:
+    """What became of every followed link: ``resolved_url, route, book, status`` and
+    ``n_faults``. ``missing``: no such page; ``no_markup``: a page without markup;
+    ``recovered``: faults in the markup were skipped; ``ok``. The others than ``ok`` are
+    the quarantine of a crawl, which itself goes on past all of them."""
+    links = frontier(pages, books, None, seeds, link_class)
+    got = pages.select(F.col("url").alias("resolved_url"), "html").join(links, "resolved_url")
+    got = one_copy(got, pages, "resolved_url", "book", "route")
+    keys = ["resolved_url", "book", "route"]
+    parsed = dom_nodes(got, keep=keys, status=True).select(*keys, "n_faults", "parse_status")
+    return links.join(parsed, keys, "left").select(
+        *keys, F.coalesce("parse_status", F.lit("missing")).alias("status"), "n_faults")
+
+
 def sections_of(pages: DataFrame, *args, **options) -> DataFrame:
-    """The extracted sections of the fetched pages, one row per page: a page stored
-    more than once gives one record (chosen after extraction, so markup stays put)."""
-    wide = extract_sections(fetched(pages, *args, **options))
-    return SEC.one_per_key(wide, ["chapter_url", "book", "route"])
+    """The extracted sections of the fetched pages, one row per page."""
+    return extract_sections(fetched(pages, *args, **options))
 
 
 def extract_sections(f: DataFrame) -> DataFrame:
@@ -154,25 +200,20 @@ def answer_problems(pages: DataFrame, problems: DataFrame, node_rows: bool = Fal
                             U.resolve_url("chapter_url", "answer_link").alias("answer_url"))
     probs = materialize(probs, "problems")
     targets = semi_join(pages.select(F.col("url").alias("answer_url"), "html"), probs, "answer_url")
-    targets = targets.withColumn("copy", F.xxhash64("html"))
+    targets = one_copy(targets, pages, "answer_url")
     if node_rows:
         from qbank.operators import extract_rows as XR
         from qbank.operators.dom import dom_node_rows
-        # a node table mixes the copies of a page, so one is chosen first
-        targets = SEC.one_per_key(targets, ["answer_url"])
-        ids = XR.elements_with_id(dom_node_rows(targets, keep=["answer_url", "copy"]))
+        ids = XR.elements_with_id(dom_node_rows(targets, keep=["answer_url"]))
     else:
-        ids = dom_nodes(targets, keep=["answer_url", "copy"]).select(
-            "answer_url", "copy", F.inline(X.elements_with_id("nodes")))
+        ids = dom_nodes(targets, keep=["answer_url"]).select("answer_url", F.inline(X.elements_with_id("nodes")))
     # only the fragments that a problem asks for: other elements' texts stay put
     ids = semi_join(ids.withColumnRenamed("elem_id", "fragment"), probs, ["answer_url", "fragment"])
-    by_id = (ids.groupBy("answer_url", "fragment")
-             .agg(F.collect_set(F.struct("ord", "copy", "text")).alias("parts"), F.max("copy").alias("copy"))
-             .withColumn("parts", F.filter(F.array_sort("parts"), lambda x: x["copy"] == F.col("copy")))
+    by_id = (ids.groupBy("answer_url", "fragment").agg(F.array_sort(F.collect_list(F.struct("ord", "text"))).alias("parts"))
              .select("answer_url", "fragment",
                      F.array_join(F.transform("parts", lambda x: x["text"]), "").alias("found")))
     # Inner on the page (it must exist); J3: left on the fragment id
-    j = (semi_join(probs, targets, "answer_url")
+    j = (semi_join(probs, pages.select(F.col("url").alias("answer_url")), "answer_url")
          .join(by_id, ["answer_url", "fragment"], "left"))
     answer = F.when(~X.truthy(F.col("fragment")), F.lit("Answer not found")) \
         .otherwise(F.coalesce(F.col("found"), F.lit("")))
@@ -235,10 +276,11 @@ def econ_self_check(spark, sf_dir):
                                                    "section_text")
 
 
+MAIN_ROUTES = ["key_terms", "key_concepts", "summary", "multiple_choice", "review_questions", "problems"]
+
+
 def main_texts(spark, sf_dir):
-    routes = ["key_terms", "key_concepts", "summary", "multiple_choice", "review_questions",
-              "problems"]
-    f = sections_of(site(spark, sf_dir), BOOKS, routes)
+    f = sections_of(site(spark, sf_dir), BOOKS, MAIN_ROUTES)
     return f.select("chapter_name", "section_name", "section_text")
 
 
@@ -295,17 +337,12 @@ def page_article_text(spark, sf_dir):
                         .alias("article_text"))
 
 
-def _once(got: DataFrame) -> DataFrame:
-    """One copy of each fetched page, for the node-table forms."""
-    return SEC.one_per_key(got, ["resolved_url", "book", "route"])
-
-
 def econ_key_terms_rows(spark, sf_dir):
     """X4 through the exploded node table (the large-page form); same result
     as ``econ_key_terms``."""
     from qbank.operators.dom import dom_node_rows
     from qbank.operators import extract_rows as XR
-    got = _once(fetched_html(site(spark, sf_dir), ["econ"], ["key_terms"]))
+    got = fetched_html(site(spark, sf_dir), ["econ"], ["key_terms"])
     rows = dom_node_rows(got.select(F.col("resolved_url").alias("chapter_url"), "html"),
                          keep=["chapter_url"])
     kt = XR.key_terms_by_dl(rows, ["chapter_url"])
@@ -319,7 +356,7 @@ def econ_self_check_rows(spark, sf_dir):
     from qbank.operators import extract_rows as XR
     from qbank.operators.dom import dom_node_rows
     pages = site(spark, sf_dir)
-    got = _once(fetched_html(pages, ["econ"], ["self_check"]))
+    got = fetched_html(pages, ["econ"], ["self_check"])
     rows = dom_node_rows(got.select(F.col("resolved_url").alias("chapter_url"), "html"),
                          keep=["chapter_url"])
     probs = XR.self_check_problems(rows, ["chapter_url"])
@@ -331,7 +368,7 @@ def econ_key_concepts_rows(spark, sf_dir):
     """X5 through the exploded node table; same result as ``econ_key_concepts``."""
     from qbank.operators import extract_rows as XR
     from qbank.operators.dom import dom_node_rows
-    got = _once(fetched_html(site(spark, sf_dir), ["econ"], ["key_concepts"]))
+    got = fetched_html(site(spark, sf_dir), ["econ"], ["key_concepts"])
     rows = dom_node_rows(got.select(F.col("resolved_url").alias("chapter_url"), "html"),
                          keep=["chapter_url"])
     kc = XR.key_concepts(rows, ["chapter_url"])
@@ -343,7 +380,7 @@ def finance_problems_rows(spark, sf_dir):
     """X17 through the exploded node table; same result as ``finance_problems``."""
     from qbank.operators import extract_rows as XR
     from qbank.operators.dom import dom_node_rows
-    got = _once(fetched_html(site(spark, sf_dir), ["finance"], ["problems"]))
+    got = fetched_html(site(spark, sf_dir), ["finance"], ["problems"])
     rows = dom_node_rows(got.select(F.col("resolved_url").alias("chapter_url"), "html"),
                          keep=["chapter_url"])
     pr = XR.problems_fin(rows, ["chapter_url"])

@@ -192,3 +192,30 @@ def page_article_text() -> str:
 
 
 ORACLES["page_article_text"] = page_article_text
+ORACLES["seeded_section_counts"] = crawl_section_counts
+
+
+def crawl_quarantine() -> str:
+    """The links of the damaged site whose pages are gone, empty or broken."""
+    return f"""SELECT * FROM (
+SELECT resolved_url, book, route,
+       CASE WHEN slug = 'missing-page' OR (doc_id % 4 = 3 AND slug = 'review-questions') THEN 'missing'
+            WHEN doc_id % 4 = 2 AND slug = 'problems' THEN 'no_markup'
+            WHEN doc_id % 4 = 1 THEN 'recovered' ELSE 'ok' END AS status,
+       CASE WHEN slug <> 'missing-page' AND doc_id % 4 = 1 THEN 1
+            WHEN slug = 'missing-page' OR (doc_id % 4 = 3 AND slug = 'review-questions')
+                 OR (doc_id % 4 = 2 AND slug = 'problems') THEN NULL ELSE 0 END AS n_faults
+FROM (SELECT *, split_part(c, '-', 1)::BIGINT AS doc_id, substr(c, strpos(c, '-') + 1) AS slug
+      FROM (SELECT *, split_part(resolved_url, '/pages/', 2) AS c FROM ({toc_links()}))))
+WHERE status <> 'ok'"""
+
+
+def damaged_main_texts() -> str:
+    return f"""SELECT chapter_name, section_name,
+       CASE WHEN doc_id % 4 = 2 AND section_name = 'problems' THEN NULL ELSE section_text END AS section_text
+FROM (SELECT *, split_part(chapter_name, '-', 1)::BIGINT AS doc_id FROM ({main_texts()}))
+WHERE NOT (doc_id % 4 = 3 AND section_name = 'reviewquestions')"""
+
+
+ORACLES["crawl_quarantine"] = crawl_quarantine
+ORACLES["damaged_main_texts"] = damaged_main_texts

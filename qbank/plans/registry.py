@@ -9,6 +9,7 @@ from qbank.plans import exports as EXP
 from qbank.plans import feed as FD
 from qbank.plans import generation as GEN
 from qbank.plans import replay as REP
+from qbank.plans import robust as ROB
 from qbank.plans import streams as STR
 from qbank.plans import variants as VAR
 
@@ -52,6 +53,9 @@ QUERIES = {
     "finance_problems_rows": CR.finance_problems_rows,
     "finance_chapters": CR.finance_chapters,
     "crawl_section_counts": CR.crawl_section_counts,
+    "seeded_section_counts": ROB.seeded_section_counts,
+    "crawl_quarantine": ROB.crawl_quarantine,
+    "damaged_main_texts": ROB.damaged_main_texts,
     "page_stats": CR.page_stats,
     "page_article_text": CR.page_article_text,
     "econ_chapter_sections": CH.econ_chapter_sections,

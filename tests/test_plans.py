@@ -71,3 +71,37 @@ def test_no_cartesian_products(spark):
     for name in ("mcq_accuracy", "enriched_log", "spot_check", "econ_self_check", "generated_mcqs"):
         p = plan(qs[name](spark, "/root/testdata/sf0.001"))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
+
+
+def test_pages_are_parsed_in_even_tasks(spark):
+    """One file of one row group still feeds every core, and no task takes over twice the mean."""
+    from qbank.plans import crawl as CR
+    got = CR.fetched_html(CR.site(spark, "/root/testdata/sf0.01"))
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 2 * spark.sparkContext.defaultParallelism
+    assert max(sizes) <= 2 * sum(sizes) / len(sizes)
+
+
+def test_one_copy_of_a_page(spark):
+    from qbank.plans import crawl as CR
+    rows = [("u", "a"), ("u", "b"), ("u", "b"), ("v", "c"), ("v", "c"), ("w", None)]
+    pages = spark.createDataFrame(rows, "url string, html string")
+    assert CR.parse_tasks(pages) == 2 * spark.sparkContext.defaultParallelism
+    got = {tuple(r) for k in (1, 5) for r in CR.one_copy(pages.repartition(k), pages, "url").collect()}
+    assert len(got) == 3 and {u for u, _ in got} == {"u", "v", "w"}
+
+
+def test_page_scan_takes_a_bloom_filter_of_the_frontier(spark):
+    """Where the page table is large (thresholds lowered here), its scan is filtered by
+    the links' URLs before the shuffle of the join."""
+    from qbank.plans import crawl as CR
+    pages = CR.site(spark, "/root/testdata/sf0.001")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1b"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        assert "might_contain" in plan(CR.fetched_html(pages))
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
