@@ -219,3 +219,18 @@ WHERE NOT (doc_id % 4 = 3 AND section_name = 'reviewquestions')"""
 
 ORACLES["crawl_quarantine"] = crawl_quarantine
 ORACLES["damaged_main_texts"] = damaged_main_texts
+
+
+def stream_waiting_answers() -> str:
+    """An answer counts if it lands within the wait; one of five comes after it, one never."""
+    return f"""SELECT chapter_name, question, CASE WHEN answer_status = 'absent' THEN '' ELSE answer END AS answer, answer_status
+FROM (SELECT *, CASE WHEN answer = 'Answer not found' AND i % 4 = 0 THEN 'no_link'
+                     WHEN i % 5 = 0 OR doc_id % 5 >= 3 THEN 'absent' ELSE 'found' END AS answer_status
+      FROM ({econ_self_check().replace("SELECT doc_id, ln[2 * i - 1] ||", "SELECT doc_id, i, ln[2 * i - 1] ||")
+             .replace("question, answer," + chr(10), "question, answer, doc_id, i," + chr(10))}))"""
+
+
+ORACLES["stream_waiting_answers"] = stream_waiting_answers
+ORACLES["stream_last_results"] = lambda: """
+SELECT conv_id::VARCHAR AS custom_id, max(turn) AS seq, arg_max(text, turn) AS response
+FROM conversations WHERE role = 'assistant' GROUP BY conv_id"""

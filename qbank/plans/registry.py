@@ -71,6 +71,8 @@ QUERIES = {
     "stream_main_texts": STR.stream_main_texts,
     "stream_self_check": STR.stream_self_check,
     "stream_section_counts": STR.stream_section_counts,
+    "stream_waiting_answers": STR.stream_waiting_answers,
+    "stream_last_results": STR.stream_last_results,
     "stream_batch_accuracy": STR.stream_batch_accuracy,
     "feed_roundtrip": EXP.feed_roundtrip,
     "delivery_roundtrip": EXP.delivery_roundtrip,

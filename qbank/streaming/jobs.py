@@ -1,18 +1,20 @@
 """Structured Streaming forms (ST1, ST2).
 
-ST1 ``stream_sections``: pages landing as files -> each URL once (stateful
-de-duplication) -> X0 -> extraction routed by the page's own URL -> append
-to a Parquet sink. ST2 ``stream_scored_results``: model results landing as
-JSON lines -> stream-static join with the request table on ``custom_id`` ->
-parsed and scored -> append sink.
-
-Both run with ``trigger(availableNow=True)`` (drain what has landed, then
-stop) and keep their checkpoints under the session's checkpoint folder, so a
-restarted driver resumes where it stopped. A self-check question waits for its
-answer page in a stream-stream join (``stream_self_check``). At scale the URL de-dup state
-grows with distinct URLs: pages that carry a fetch time should use
-``dropDuplicatesWithinWatermark`` to bound it, and the RocksDB state store
-keeps it off the JVM heap.
+ST1 ``stream_sections``: pages landing as files -> each URL once (state kept for
+``delay`` of event time) -> X0 -> extraction routed by the page's own URL -> append
+to a Parquet sink. ``stream_self_check``: a question waits for its answer in a left
+outer stream-stream join on (page, element id). The watermark bounds both sides' state,
+and a question whose answer does not come within ``wait`` is emitted as ``absent``.
+
+ST2 ``stream_result_log``: model results landing as JSON lines are appended to a log, a
+folder per micro-batch that a retried batch overwrites; ``last_results`` reads it with
+the last succeeded result of each request winning (A4), whatever the order of arrival.
+The stream holds no state, so nothing has to be evicted. ``stream_scored_results`` joins
+the log to the request table and scores it.
+
+All run with ``trigger(availableNow=True)`` (drain what has landed, then stop) and keep
+their checkpoints under the session's checkpoint folder, so a restarted driver resumes
+where it stopped.
 """
 
 from __future__ import annotations
@@ -35,10 +37,14 @@ from qbank.sources.io import CATALOG
 BOOKS = ("econ", "finance")
 
 PAGE_SCHEMA = T.StructType([T.StructField("url", T.StringType()),
-                            T.StructField("html", T.StringType())])
+                            T.StructField("html", T.StringType()),
+                            T.StructField("fetched_at", T.TimestampType())])
+#: ``seq`` orders the results of one request: the number of the poll that brought it.
 RESULT_SCHEMA = T.StructType([T.StructField("custom_id", T.StringType()),
+                              T.StructField("seq", T.LongType()),
                               T.StructField("result_type", T.StringType()),
                               T.StructField("response", T.StringType())])
+FETCHED_AT = "fetched_at"
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
@@ -86,77 +92,127 @@ def sections_stream(pages: DataFrame, event_time: str | None = None,
     return extract_sections(parsed).drop("problems")
 
 
-def self_check_stream(questions: DataFrame, answers: DataFrame, event_time: str | None = None,
-                      delay: str = "1 day") -> DataFrame:
-    """X6 + F4 + J2 + J3 as a stream-stream join: a question waits for its answer
-    page, an answer page for its questions. Both arguments are the landed pages
-    (two reads of one source). With ``event_time`` a side is kept for ``delay`` on
-    either side of the other's fetch time, so the join's state is bounded."""
-    times = [event_time] if event_time else []
-    q = each_url_once(questions, event_time, delay).withColumn("book", page_book("url")).where(
-        (F.col("book") == "econ") & (page_route("url", F.col("book")) == "self_check"))
-    probs = dom_nodes(q.select(F.col("url").alias("chapter_url"), *times, "html"), keep=["chapter_url", *times])
-    probs = probs.select("chapter_url", *times, F.posexplode(X.self_check_problems("nodes")).alias("problem_pos", "p"))
-    probs = probs.select("chapter_url", "problem_pos", *[F.col(t).alias("asked_at") for t in times],
-                         F.col("p.question").alias("question"), F.col("p.fragment").alias("fragment"),
+def is_answer_page(url_col: str = "url") -> F.Column:
+    """Pages that answers are looked up in: those that no callback claims."""
+    return page_route(url_col).isNull()
+
+
+def self_check_stream(questions: DataFrame, answers: DataFrame, event_time: str = FETCHED_AT,
+                      delay: str = "1 hour", wait: str = "6 hours") -> DataFrame:
+    """X6 + F4 + J2 + J3 as a stream-stream join: a question waits for its answer, an
+    answer for its questions. Both arguments are the landed pages (two reads of one
+    source). An answer counts that is fetched within ``wait`` of the question, before
+    or after it; rows over ``delay`` behind the newest page are dropped as late.
+
+    ``answer_status``: ``found``; ``no_link`` (no element is named, nothing to wait
+    for); ``absent`` (the wait is over; the answer is empty). State: questions without
+    an answer so far and the elements of answer pages, for ``wait`` and ``delay``."""
+    routed = each_url_once(questions, event_time, delay).withColumn("book", page_book("url"))
+    q = routed.where((F.col("book") == "econ") & (page_route("url", F.col("book")) == "self_check"))
+    probs = dom_nodes(q.select(F.col("url").alias("chapter_url"), event_time, "html"), keep=["chapter_url", event_time])
+    probs = probs.select("chapter_url", F.col(event_time).alias("asked_at"),
+                         F.posexplode(X.self_check_problems("nodes")).alias("problem_pos", "p"))
+    probs = probs.select("chapter_url", "problem_pos", "asked_at", F.col("p.question").alias("question"),
+                         F.col("p.fragment").alias("fragment"),
                          U.resolve_url("chapter_url", "p.answer_link").alias("answer_url"))
-    a = dom_nodes(each_url_once(answers, event_time, delay).select("url", *times, "html"), keep=["url", *times])
-    a = a.select(F.col("url").alias("page_url"), *[F.col(t).alias("found_at") for t in times],
-                 X.elements_with_id("nodes").alias("ids"))
-    on = F.col("answer_url") == F.col("page_url")
-    if event_time:
-        wait = F.expr(f"INTERVAL {delay}")
-        on = on & F.col("found_at").between(F.col("asked_at") - wait, F.col("asked_at") + wait)
-    j = probs.join(a, on)
-    texts = F.transform(F.filter("ids", lambda e: e["elem_id"] == F.col("fragment")), lambda e: e["text"])
-    answer = F.when(~X.truthy(F.col("fragment")), F.lit("Answer not found")).otherwise(F.array_join(texts, ""))
-    j = j.withColumn("answer", answer)
+    a = each_url_once(answers, event_time, delay).where(is_answer_page("url") & F.col("html").isNotNull())
+    a = dom_nodes(a.select("url", event_time, "html"), keep=["url", event_time])
+    a = a.select(F.col("url").alias("page_url"), F.col(event_time).alias("found_at"),
+                 F.explode(_texts_by_id("nodes")).alias("e"))
+    a = a.select("page_url", "found_at", F.col("e.id").alias("element"), F.col("e.text").alias("found"))
+    span = F.expr(f"INTERVAL {wait}")
+    j = probs.join(a, (F.col("answer_url") == F.col("page_url")) & (F.col("fragment") == F.col("element"))
+                   & (F.col("found_at") >= F.col("asked_at") - span) & (F.col("found_at") <= F.col("asked_at") + span),
+                   "left_outer" if questions.isStreaming else "left")
+    named = X.truthy(F.col("fragment"))
+    status = F.when(~named, "no_link").when(F.col("page_url").isNull(), "absent").otherwise("found")
+    answer = F.when(~named, F.lit("Answer not found")).otherwise(F.coalesce("found", F.lit("")))
+    j = j.withColumn("answer", answer).withColumn("answer_status", status)
     return j.select(F.lit(SELF_CHECK).alias("section_name"), TX.qa_text("question", "answer").alias("section_text"),
                     U.chapter_name("chapter_url").alias("chapter_name"),
                     U.textbook_name("chapter_url").alias("textbook_name"),
-                    "chapter_url", "question", "answer", "problem_pos")
+                    "chapter_url", "question", "answer", "problem_pos", "answer_status", "asked_at")
 
 
-def run_available(stream: DataFrame, sink_path: str, ckpt: str) -> None:
-    q = (stream.writeStream.format("parquet").option("path", sink_path)
-         .option("checkpointLocation", ckpt).outputMode("append")
-         .trigger(availableNow=True).start())
+def _texts_by_id(nodes: str) -> F.Column:
+    """(id, text) of a page's elements, one per id: the texts of elements that share an
+    id end to end, in document order."""
+    found = X.elements_with_id(nodes)
+    ids = F.array_distinct(F.transform(found, lambda e: e["elem_id"]))
+    text = lambda i: F.array_join(F.transform(F.filter(found, lambda e: e["elem_id"] == i), lambda e: e["text"]), "")
+    return F.transform(ids, lambda i: F.struct(i.alias("id"), text(i).alias("text")))
+
+
+def run_available(stream: DataFrame, sink_path: str, ckpt: str) -> list[dict]:
+    """Drain what has landed into a Parquet folder; the progress of the last batches."""
+    return _drained(stream.writeStream.format("parquet").option("path", sink_path).outputMode("append"), ckpt)
+
+
+def _drained(writer, ckpt: str) -> list[dict]:
+    q = writer.option("checkpointLocation", ckpt).trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
+    return q.recentProgress
+
+
+def _pages(spark: SparkSession, landing: str, max_files_per_trigger: int) -> DataFrame:
+    return (spark.readStream.schema(PAGE_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
+            .parquet(landing))
 
 
 def stream_sections(spark: SparkSession, landing: str, max_files_per_trigger: int = 1) -> DataFrame:
     """ST1: drain the landing folder through the stream, return the sink."""
-    src = (spark.readStream.schema(PAGE_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
-           .parquet(landing))
+    src = _pages(spark, landing, max_files_per_trigger)
     sink = _scratch(spark, "st1-sink")
-    run_available(sections_stream(src), sink, _scratch(spark, "st1-ckpt"))
+    run_available(sections_stream(src, FETCHED_AT), sink, _scratch(spark, "st1-ckpt"))
     return spark.read.parquet(sink)
 
 
-def stream_self_check(spark: SparkSession, landing: str, max_files_per_trigger: int = 1) -> DataFrame:
+def stream_self_check(spark: SparkSession, landing: str, max_files_per_trigger: int = 1,
+                      progress: list | None = None, **times) -> DataFrame:
     """ST1, second hop: drain the landing folder through the question-answer join."""
-    def read():
-        return (spark.readStream.schema(PAGE_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
-                .parquet(landing))
+    read = lambda: _pages(spark, landing, max_files_per_trigger)
     sink = _scratch(spark, "st1-answers")
-    run_available(self_check_stream(read(), read()), sink, _scratch(spark, "st1-answers-ckpt"))
+    seen = run_available(self_check_stream(read(), read(), **times), sink, _scratch(spark, "st1-answers-ckpt"))
+    if progress is not None:
+        progress += seen
     return spark.read.parquet(sink)
 
 
-def stream_scored_results(spark: SparkSession, landing: str, requests: DataFrame,
-                          max_files_per_trigger: int = 1) -> DataFrame:
-    """ST2: results arriving as JSON lines, joined to the static requests."""
+def stream_result_log(spark: SparkSession, landing: str, log: str, ckpt: str,
+                      max_files_per_trigger: int = 1) -> None:
+    """ST2: append the results that have landed to ``log``, a folder per micro-batch. A
+    batch that runs again (a restart in its middle) overwrites its own folder."""
     src = (spark.readStream.schema(RESULT_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
            .json(landing))
-    # a result delivered twice counts once
-    ok = src.where(F.col("result_type") == "succeeded").dropDuplicates(["custom_id"])
-    scored = (ok.join(requests.select("custom_id", "gold_index"), "custom_id")
-              .withColumn("predicted_index", EV.predicted_index(
-                  F.from_json("response", EV.ANSWER_SCHEMA)["choice"], "zero_based"))
-              .withColumn("correct", F.coalesce(F.col("predicted_index") == F.col("gold_index"),
-                                                F.lit(False))))
-    sink = _scratch(spark, "st2-sink")
-    run_available(scored, sink, _scratch(spark, "st2-ckpt"))
-    return spark.read.parquet(sink)
+
+    def append(batch: DataFrame, number: int) -> None:
+        last_results(batch).write.mode("overwrite").parquet(f"{log}/batch={number}")
+    _drained(src.writeStream.foreachBatch(append), ckpt)
+
+
+def last_results(results: DataFrame) -> DataFrame:
+    """A4 over results: the last succeeded one of each request, by ``seq`` (of equal
+    ones the greatest response, so that redelivery and order don't matter)."""
+    ok = results.where(F.col("result_type") == "succeeded")
+    best = F.max(F.struct(F.coalesce("seq", F.lit(-1)).alias("seq"), "response")).alias("r")
+    return ok.groupBy("custom_id").agg(best).select(
+        "custom_id", "r.seq", F.lit("succeeded").alias("result_type"), "r.response")
+
+
+def read_result_log(spark: SparkSession, log: str) -> DataFrame:
+    """The log's last results (a partial aggregate per batch stands in the log already)."""
+    return last_results(spark.read.schema(RESULT_SCHEMA).option("recursiveFileLookup", "true").parquet(log))
+
+
+def stream_scored_results(spark: SparkSession, landing: str, requests: DataFrame,
+                          max_files_per_trigger: int = 1) -> DataFrame:
+    """ST2: results arriving as JSON lines, the last of each request joined to it and scored."""
+    log = _scratch(spark, "st2-log")
+    stream_result_log(spark, landing, log, _scratch(spark, "st2-ckpt"), max_files_per_trigger)
+    ok = read_result_log(spark, log)
+    return (ok.join(requests.select("custom_id", "gold_index"), "custom_id")
+            .withColumn("predicted_index", EV.predicted_index(
+                F.from_json("response", EV.ANSWER_SCHEMA)["choice"], "zero_based"))
+            .withColumn("correct", F.coalesce(F.col("predicted_index") == F.col("gold_index"), F.lit(False))))
