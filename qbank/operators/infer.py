@@ -12,7 +12,9 @@ Scale notes
   skewed side of the join-back. Above temperature 0 every request is asked.
 * A reply cache (a table of earlier replies) is honoured with a ``left_anti``
   join, so only new prompts reach the backend. Failed replies in it are not used.
-* Requests are dealt by key, ``PROMPTS_PER_TASK`` to a task.
+  ``ReplyTable`` keeps it bucketed by key, so that the cache is never shuffled.
+* Requests are dealt by key to as many tasks as the session has shuffle partitions
+  (``num_partitions`` otherwise); nothing is counted first.
 * Replies are written to the shared checkpoint folder and read back before
   anything else uses them, so later stages and their retries don't ask again. A
   model task that is itself lost is run again and asks again.
@@ -23,17 +25,17 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from qbank.session import checkpoint_dir
 from qbank.session import materialize as _materialize
 
-#: Distinct prompts that one task sends to its backend client.
-PROMPTS_PER_TASK = 500
 REQUEST_COLUMNS = ["request_id", "task", "model", "system", "prompt", "temperature",
                    "json_mode", "max_tokens"]
 REPLY_SCHEMA = T.StructType([
@@ -206,6 +208,31 @@ def replay(requests: DataFrame, replies: DataFrame) -> DataFrame:
     return out.withColumn("status", F.when(F.col("response").isNotNull(), "ok").otherwise("missing"))
 
 
+class ReplyTable:
+    """M0's reply cache: a Parquet table at ``path`` in the shared folder, bucketed by
+    ``cache_key``. A run's requests are shuffled to the buckets; the cache itself, which
+    grows run by run, is read in place. Appended replies add files to the buckets."""
+
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None):
+        self.spark = spark
+        self.path = path or f"{checkpoint_dir(spark).rstrip('/')}/reply-cache-{uuid.uuid4().hex}"
+        # no fewer buckets than shuffle partitions: else the planner shuffles both sides
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.name = "reply_cache_" + hashlib.md5(self.path.encode()).hexdigest()
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} (cache_key STRING, response STRING, status STRING, error STRING) "
+                  f"USING parquet CLUSTERED BY (cache_key) INTO {self.buckets} BUCKETS LOCATION '{self.path}'")
+
+    def add(self, replies: DataFrame) -> None:
+        """Append usable replies."""
+        rows = replies.where(F.col("status") == "ok").select("cache_key", "response", "status", "error")
+        rows = rows.repartition(self.buckets, "cache_key")  # a file a bucket
+        rows.write.mode("append").format("parquet").option("path", self.path).bucketBy(
+            self.buckets, "cache_key").saveAsTable(self.name)
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+
 def infer(requests: DataFrame, backend: Backend, *, cache: DataFrame | None = None,
           num_partitions: int | None = None, materialize: bool = True,
           name: str = "replies", keep_prompt: bool = False) -> DataFrame:
@@ -224,9 +251,8 @@ def infer(requests: DataFrame, backend: Backend, *, cache: DataFrame | None = No
                   .dropDuplicates(["cache_key"])
                   .join(todo.select("cache_key"), "cache_key", "left_semi"))
         todo = todo.join(cached.select("cache_key"), "cache_key", "left_anti")
-    if num_partitions is None:
-        # counted from the keys alone, so the prompts are rendered once
-        num_partitions = max(1, -(-todo.count() // PROMPTS_PER_TASK))
+    if num_partitions is None:  # bounded by the session, not by the requests
+        num_partitions = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     todo = todo.repartition(num_partitions, "cache_key")
     replies = todo.mapInPandas(_call_backend(backend), REPLY_SCHEMA)
     if cached is not None:

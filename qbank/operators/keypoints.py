@@ -187,3 +187,10 @@ def generate_mcqs(questions: DataFrame, backend: Backend, *, id_col: str = "seq"
     return (out.select(*base, "n_keypoints", "status", "choices", "correct_answer",
                        "n_removed_total", "prompt_and_response")
             .unionByName(bad, allowMissingColumns=True))
+
+
+def audit_calls(generated: DataFrame, id_col: str = "seq") -> DataFrame:
+    """A7 as rows: per question, stage and call in call order, prompt and response."""
+    stages = generated.select(id_col, F.explode("prompt_and_response").alias("stage", "calls"))
+    return stages.select(id_col, "stage", F.posexplode("calls").alias("pos", "c")).select(
+        id_col, "stage", "pos", "c.prompt", "c.response")

@@ -32,6 +32,13 @@ def unshuffled_mcq(df: DataFrame, *, choices: str = "choices",
             .withColumn("mcq", CH.render_mcq(F.col(question), F.col(choices))))
 
 
+def mcq_record(generated: DataFrame, kind: str) -> DataFrame:
+    """P10: the record of a generated question: its type and provenance beside the
+    question, the gold answer, the choices and the letter of the right one."""
+    return generated.select("seq", F.lit(kind).alias("type"), "question", "answer", "status", "choices",
+                            "correct_answer", "chapter_name", "textbook_name", "chapter_url")
+
+
 def reject_reason(choices: str = "choices"):
     """A NULL choice would vanish from the rendered text; more than
     eleven choices have no letter. Such rows go to quarantine."""

@@ -28,10 +28,21 @@ SELECT conv_id, turn, CASE WHEN response IS NULL THEN 'missing' ELSE 'ok' END AS
 
 def recorded_accuracy() -> str:
     return f"""WITH {CTE},
+per AS (SELECT ask, s, conv_id, max(turn) AS turn, arg_max(own_reply, turn) AS reply FROM req
+        WHERE own_reply IS NOT NULL GROUP BY ask, s, conv_id),
+o AS (SELECT req.conv_id, req.turn, any_value(req.own_reply) AS own_reply,
+             arg_max(per.reply, (per.conv_id, per.turn)) AS response
+      FROM req LEFT JOIN per ON per.ask = req.ask AND per.s = req.s AND per.conv_id <> req.conv_id
+      GROUP BY req.conv_id, req.turn),
 c AS (SELECT count(*) AS n_requests, count(response) AS n_succeeded,
-             CAST(coalesce(sum(CAST(response = own_reply AS BIGINT)), 0) AS BIGINT) AS n_correct FROM got)
-SELECT *, CAST(n_correct AS DOUBLE) * 100.0 / CAST(n_succeeded AS DOUBLE) AS accuracy_pct FROM c"""
+             CAST(coalesce(sum(CAST(response = own_reply AS BIGINT)), 0) AS BIGINT) AS n_correct FROM o)
+SELECT *, CASE WHEN n_succeeded > 0 THEN CAST(n_correct AS DOUBLE) * 100.0 / CAST(n_succeeded AS DOUBLE) END AS accuracy_pct
+FROM c"""
+
+
+def cached_replies() -> str:
+    return f"SELECT conv_id, turn, replace(status, 'missing', 'error') AS status, response_md5 FROM ({recorded_replies()})"
 
 
 ORACLES.update({"recorded_requests": recorded_requests, "recorded_replies": recorded_replies,
-                "recorded_accuracy": recorded_accuracy})
+                "recorded_accuracy": recorded_accuracy, "cached_replies": cached_replies})

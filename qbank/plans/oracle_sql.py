@@ -94,6 +94,7 @@ def oracle_sql() -> dict[str, str]:
     import qbank.plans.oracle_variants  # noqa: F401
     import qbank.plans.oracle_chapters  # noqa: F401
     import qbank.plans.oracle_replay  # noqa: F401
+    import qbank.plans.oracle_records  # noqa: F401
     return {k: f() for k, f in ORACLES.items()}
 
 

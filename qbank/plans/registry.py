@@ -8,6 +8,7 @@ from qbank.plans import evaluation as EVP
 from qbank.plans import exports as EXP
 from qbank.plans import feed as FD
 from qbank.plans import generation as GEN
+from qbank.plans import records as REC
 from qbank.plans import replay as REP
 from qbank.plans import robust as ROB
 from qbank.plans import streams as STR
@@ -37,6 +38,7 @@ QUERIES = {
     "recorded_requests": REP.recorded_requests,
     "recorded_replies": REP.recorded_replies,
     "recorded_accuracy": REP.recorded_accuracy,
+    "cached_replies": REP.cached_replies,
     "toc_links": CR.toc_links,
     "econ_key_terms": CR.econ_key_terms,
     "econ_key_terms_rows": CR.econ_key_terms_rows,
@@ -79,4 +81,12 @@ QUERIES = {
     "answer_log_roundtrip": EXP.answer_log_roundtrip,
     "generated_roundtrip": EXP.generated_roundtrip,
     "shuffled_roundtrip": EXP.shuffled_roundtrip,
+    "json_array_roundtrip": REC.json_array_roundtrip,
+    "mcq_records": REC.mcq_records,
+    "prompt_audit": REC.prompt_audit,
+    "unshuffled_mcqs": REC.unshuffled_mcqs,
+    "sampled_keypoints": REC.sampled_keypoints,
+    "delivery_sentences": REC.delivery_sentences,
+    "page_class_texts": REC.page_class_texts,
+    "nested_boxes": REC.nested_boxes,
 }

@@ -8,12 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
-def read_json_array(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """SRC2: a file holding one JSON array of records. ``multiLine`` files are
-    not splittable, so convert such inputs once (``write_feed``) and read the
-    lines form afterwards."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+from qbank.sources.json_array import read_json_array, write_json_arrays  # noqa: F401  (SRC2)
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str,

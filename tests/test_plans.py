@@ -105,3 +105,46 @@ def test_page_scan_takes_a_bloom_filter_of_the_frontier(spark):
     finally:
         for k in conf:
             spark.conf.unset(k)
+
+
+def test_the_reply_cache_is_read_in_place_and_answers_a_second_run(spark):
+    from qbank.operators.infer import ReplyTable
+    from qbank.plans.replay import NoBackend
+
+    class Echo(Backend):
+        def complete(self, batch):
+            return pd.DataFrame({"response": batch["prompt"].str.upper(), "status": "ok", "error": None})
+
+    def ask(n, backend, cache):
+        df = spark.range(n).selectExpr("id", "concat('p', id) AS prompt")
+        req = build_requests(df, request_id="id", prompt="prompt", task="t")
+        return infer(req, backend, cache=cache.read(), keep_prompt=True, name="cache-test")
+    cache = ReplyTable(spark)
+    first = ask(50, Echo(), cache)
+    cache.add(first)
+    again = ask(50, NoBackend(), cache).collect()
+    assert {(r.status, r.response) for r in again} == {("ok", f"P{i}") for i in range(50)}
+    more = {r.prompt: r.status for r in ask(60, NoBackend(), cache).collect()}
+    assert sum(s == "ok" for s in more.values()) == 50 and more["p55"] == "error"
+    cache.add(ask(60, Echo(), cache))  # keys stand twice now; still one reply each
+    assert ReplyTable(spark, cache.path, cache.buckets).read().count() == 110
+    assert len(ask(60, NoBackend(), cache).where("status = 'ok'").collect()) == 60
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        keys = spark.range(10).selectExpr("sha2(cast(id AS string), 256) AS cache_key")
+        p = plan(keys.join(cache.read(), "cache_key"))
+        scan = p.index(f"Scan parquet spark_catalog.default.{cache.name}")
+        assert p[:scan].count("Exchange") == p.count("Exchange") / 2 == 1 or p.count("hashpartitioning") == 1
+        assert "Bucketed: true" in p
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_reply_never_meets_itself(spark):
+    from qbank.plans.replay import others_replies, turn_requests
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "a"), (1, 2, "user", "hi"), (1, 3, "assistant", "b"),
+            (2, 0, "user", "hi"), (2, 1, "assistant", "c"), (3, 0, "user", "hi"),
+            (4, 0, "user", "alone"), (4, 1, "assistant", "d")]
+    conv = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    got = {(r.conv_id, r.turn): r.response for r in others_replies(turn_requests(conv)).collect()}
+    assert got == {(1, 0): "c", (1, 2): "c", (2, 0): "b", (3, 0): "c", (4, 0): None}
