@@ -258,19 +258,16 @@ def dom_nodes(pages: DataFrame, html_col: str = "html", keep: list[str] | None =
     return out.withColumn("parse_status", parse_status(F.col("n_faults"))) if status else out
 
 
-NODE_ROW_FIELDS = NODE.fields + [T.StructField("path", T.ArrayType(T.IntegerType()))]
+NODE_ROW_FIELDS = NODE.fields
 ROWS_PER_BATCH = 8192
 
 
 def dom_node_rows(pages: DataFrame, html_col: str = "html",
                   keep: list[str] | None = None) -> DataFrame:
-    """X0, exploded form: one row per node (``keep`` columns + node fields +
-    ``path``, the ords of the node's ancestors from the root down).
+    """X0, exploded form: one row per node (``keep`` columns + node fields).
 
-    For pages too large to carry as one array value: no row holds a whole
-    page, and "descendant of element e" becomes the equi-join key
-    ``(page, e.ord)`` after exploding ``path``, so containers of one big page
-    spread over many join keys."""
+    For pages too large to carry as one array value: no row holds a whole page, and
+    "descendant of element e" is ``e.ord < ord <= e.end`` (``extract_rows.inside``)."""
     keep = keep or [c for c in pages.columns if c != html_col]
     src = pages.select(*keep, F.col(html_col).alias("__html"))
     out_schema = T.StructType([f for f in src.schema.fields if f.name != "__html"]
@@ -287,14 +284,9 @@ def dom_node_rows(pages: DataFrame, html_col: str = "html",
             html = b.column(b.schema.get_field_index("__html")).to_pylist()
             buf: list[dict] = []
             for r, h in enumerate(html):
-                nodes = parse_html(h) or []
-                paths: list[list[int]] = []
-                for n in nodes:
-                    p = n["parent"]
-                    paths.append(paths[p] + [p] if p >= 0 else [])
+                for n in parse_html(h) or []:
                     row = {c: cols[c][r] for c in keep}
                     row.update(n)
-                    row["path"] = paths[-1]
                     buf.append(row)
                     if len(buf) >= ROWS_PER_BATCH:
                         yield pa.RecordBatch.from_pylist(buf, schema=row_type)
