@@ -9,7 +9,7 @@ counting are higher-order column expressions (no shuffle). The only fan-out is
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from qbank.functions import prompts as P
@@ -194,3 +194,17 @@ def audit_calls(generated: DataFrame, id_col: str = "seq") -> DataFrame:
     stages = generated.select(id_col, F.explode("prompt_and_response").alias("stage", "calls"))
     return stages.select(id_col, "stage", F.posexplode("calls").alias("pos", "c")).select(
         id_col, "stage", "pos", "c.prompt", "c.response")
+
+
+#: What can become of a question in ``generate_mcqs``.
+STATUSES = ("ok", "not_all_distorted", "too_few_keypoints", "unreadable_keypoints", "failed_true_answer",
+            "failed_distortion", "failed_mislead_answer")
+
+
+def count_statuses(generated: DataFrame, name: str = "generation") -> tuple[DataFrame, Observation]:
+    """F11 / T7 counts beside the records: whatever action writes the returned table also
+    counts its rows per status; ``get`` of the observation then reads the counts, with
+    no job of its own."""
+    seen = Observation(name)
+    counts = [F.count_if(F.col("status") == s).alias(s) for s in STATUSES]
+    return generated.observe(seen, *counts), seen

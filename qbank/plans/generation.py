@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from qbank.operators import keypoints as KP
 from qbank.operators.infer import Backend, RuleBackend
 from qbank.operators.mcq import shuffle_choices
+from qbank.session import materialize
 from qbank.sources import fixtures as FX
 from qbank.sources import tables as TB
 
@@ -63,3 +64,11 @@ def generated_shuffled(spark: SparkSession, sf_dir: str, seed: int = SEED) -> Da
     g = generated(spark, sf_dir).where(F.col("status") == "ok")
     sh = shuffle_choices(g, seed=seed)
     return sh.select("seq", "gold_index", "gold_letter", "gold_ambiguous", "mcq")
+
+
+def generation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per status of the generated records, counted while they are written."""
+    records, seen = KP.count_statuses(generated(spark, sf_dir))
+    materialize(records, "generated")
+    counts = seen.get  # a number per status
+    return spark.createDataFrame([(s, counts[s]) for s in KP.STATUSES], "status string, n_questions bigint")

@@ -36,6 +36,14 @@ UNION ALL SELECT seq, 'distort_keypoint', CAST(j AS INTEGER), h2, nk FROM d2
 UNION ALL SELECT seq, 'generate_mislead_answer', CAST(j AS INTEGER), h, 'ans-' || substr(h, 1, 12) FROM w"""
 
 
+def generation_report() -> str:
+    return f"""WITH {GEN_CTE},
+k(status) AS (VALUES ('ok'), ('not_all_distorted'), ('too_few_keypoints'), ('unreadable_keypoints'),
+                     ('failed_true_answer'), ('failed_distortion'), ('failed_mislead_answer')),
+c AS (SELECT status FROM gen UNION ALL SELECT 'too_few_keypoints' FROM kp WHERE n < 3)
+SELECT k.status, count(c.status) AS n_questions FROM k LEFT JOIN c USING (status) GROUP BY k.status"""
+
+
 def unshuffled_mcqs() -> str:
     return f"""WITH {shuffled_cte()}
 SELECT seq, 0 AS gold_index, 'A' AS gold_letter, {_render_sql('question', 'choices')} AS mcq
@@ -78,5 +86,5 @@ SELECT doc_id, CAST(pos AS INTEGER), 1, CASE WHEN pos % 2 = 0 AND head <> '' THE
        CASE WHEN box = '' THEN head || para ELSE replace(head || para || box, box, '') END FROM s"""
 
 
-ORACLES.update({f.__name__: f for f in (json_array_roundtrip, mcq_records, prompt_audit, unshuffled_mcqs,
+ORACLES.update({f.__name__: f for f in (json_array_roundtrip, mcq_records, prompt_audit, generation_report, unshuffled_mcqs,
                                         sampled_keypoints, delivery_sentences, page_class_texts, nested_boxes)})

@@ -35,6 +35,7 @@ QUERIES = {
     "keypoint_sampling": GEN.keypoint_sampling,
     "generated_mcqs": GEN.generated_mcqs,
     "generated_shuffled": GEN.generated_shuffled,
+    "generation_report": GEN.generation_report,
     "recorded_requests": REP.recorded_requests,
     "recorded_replies": REP.recorded_replies,
     "recorded_accuracy": REP.recorded_accuracy,

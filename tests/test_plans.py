@@ -148,3 +148,17 @@ def test_a_reply_never_meets_itself(spark):
     conv = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
     got = {(r.conv_id, r.turn): r.response for r in others_replies(turn_requests(conv)).collect()}
     assert got == {(1, 0): "c", (1, 2): "c", (2, 0): "b", (3, 0): "c", (4, 0): None}
+
+
+def test_status_counts_cost_no_job(spark):
+    from qbank.operators import keypoints as KP
+    rows = [(i, s) for i, s in enumerate(["ok"] * 5 + ["too_few_keypoints"] * 2 + ["failed_distortion"])]
+    df, seen = KP.count_statuses(spark.createDataFrame(rows, "seq int, status string"))
+    spark.sparkContext.setJobGroup("counts", "one action")
+    tracker = spark.sparkContext.statusTracker()
+    df.write.format("noop").mode("overwrite").save()
+    jobs = len(tracker.getJobIdsForGroup("counts"))
+    got = seen.get
+    assert len(tracker.getJobIdsForGroup("counts")) == jobs
+    assert {k: v for k, v in got.items() if v} == {"ok": 5, "too_few_keypoints": 2, "failed_distortion": 1}
+    assert set(got) == set(KP.STATUSES)
