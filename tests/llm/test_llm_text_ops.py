@@ -1,5 +1,6 @@
 """Quality rules, sharding, chat, PII on edge cases against plain Python."""
 
+import math
 import re
 import time
 import zlib
@@ -9,7 +10,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from plain import edge_rows, edges, empty, words
+from plain import edge_rows, edges, empty, words, unit
 
 from qbank.llm import chat, pii, quality, sharding
 
@@ -74,6 +75,20 @@ def test_shards(spark):
     assert sharding.shard_slots(empty(spark), "doc_id", "text", [1.0] * 16).count() == 0
 
 
+def test_shards_are_the_winning_bids(spark):
+    """The shard of every key recomputed: the largest -weight / ln(u), the lowest name of equals."""
+    ids = [*range(500), None, -7, 10 ** 15]
+    df = spark.createDataFrame([(i,) for i in ids], "doc_id bigint").selectExpr("doc_id", "'t' AS text")
+    weights = [1.0, 2.5, 0.0, 1.0, 4.0]
+
+    def winner(i, w):
+        return max((-x / math.log(unit(i, n)), -n) for n, x in enumerate(w) if x > 0)[1] * -1
+    got = {r.doc_id: r.shard for r in sharding.assign(df, "doc_id", weights).collect()}
+    assert got == {i: winner(i, weights) for i in ids}
+    slots = {r.doc_id: (r.shard, r.grown_shard) for r in sharding.shard_slots(df, "doc_id", "text", [1.0] * 16).collect()}
+    assert slots == {i: (winner(i, [1.0] * 16), winner(i, [1.0] * 17)) for i in ids}
+
+
 def test_shard_weights(spark):
     df = spark.range(4000).withColumnRenamed("id", "doc_id")
     got = Counter(r.shard for r in sharding.assign(df, "doc_id", [1.0, 3.0, 0.0]).collect())
