@@ -220,7 +220,7 @@ def test_word_encoder_on_every_letter():
     enc = tokenfiles.WordEncoder(open(TOKENIZER, encoding="utf-8").read())
     assert enc.joins is not None
     letters = [chr(c) for c in range(0x110000) if chr(c).isalpha()]
-    for tail in (".", "!?", ""):
+    for tail in (".", "!?"):
         for low in range(0, len(letters), 1 << 14):
             words = [w for c in letters[low:low + (1 << 14)] for w in (c + tail, f"a{c}b" + tail)]
             enc.clear()
