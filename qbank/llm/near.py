@@ -8,32 +8,40 @@ difference, so every chunk is indexed once for each component left out. All pair
 within that distance therefore share a bucket; sets with a Jaccard similarity of 0.8
 lie within it, or share a bucket all the same, but for about 2 in 100,000 pairs.
 
-Inside buckets, each member is compared with one hub a round: first the most central
-members (in the largest buckets), then others, and only where a bucket still holds
-more than one component, so a group of near copies costs a few comparisons per
-member. After the first round an exact bound thins what is left: a shingle that only
-one of the remaining texts has is in no intersection, so the shingles that others
-have too bound every similarity of a text; and two texts that were compared with the
-same hub share at most the lesser of their parts inside it and the lesser of their
-parts outside it. What ``HUB_ROUNDS`` rounds leave apart is
-compared pair by pair, over different components only, so no pair that shares a
-bucket and could be similar is passed over. Every link is confirmed on the full sets.
+Inside buckets, each member is first compared with the bucket's hub, its most central
+member (the one in the largest buckets), so a group of near copies costs a few
+comparisons per member. What is still in different components is then joined bucket by
+bucket on the distance of its signatures: finer ones of ``FINE_BITS`` one-bit minima,
+made for these members only and compared inside the join, so that a pair leaves a bucket
+only if it is near enough, once, and from one bucket of those that it shares. The
+threshold lies ``FINE_SIGMAS`` standard deviations above the mean distance of the least
+similar sets that count. Two exact bounds thin the pairs beside it: a shingle that only
+one of the remaining texts has is in no intersection, so the shingles that others have
+too bound every similarity of a text; and two texts that were compared with the same hub
+share at most the lesser of their parts inside it and the lesser of their parts outside
+it. Every link is confirmed on the full sets. A crowded bucket's rows are split between
+tasks by the adaptive join.
+
+Classes, not ids, are compared: an id that stands on rows with unlike texts has a class
+for each, and each finds its own links.
 
 Edge cases: null, empty and white texts have no set and are linked with nothing; a
 text with fewer words than a shingle has one shingle of all its words; rows without
 an id take the component of their set's ids, null where there is none; repeated rows
-are one class; empty tables give empty results; other columns don't matter.
+are one class; rows that share an id and not a text each have their own component;
+empty tables give empty results; other columns don't matter. A text is hashed whole by
+one task, about 60 bytes a byte of it.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from qbank.llm import rolling
-from qbank.llm.common import fresh, named, written
+from qbank.llm.common import WORD, fresh, named, written
 from qbank.llm.graph import components
 
 SHINGLE_WORDS = 5
@@ -41,11 +49,17 @@ SIMILAR_PERCENT = 80
 COMPONENTS, CHUNKS, B_BITS = 40, 8, 16
 CHUNK_ERRORS = 1
 SIGNATURE_DISTANCE = CHUNKS * (CHUNK_ERRORS + 1) - 1
-HUB_ROUNDS = 3
+FINE_BITS, FINE_SIGMAS = 1024, 4.5
+#: Rounds in which members are compared with one hub each, before the join.
+HUB_ROUNDS = 1
+#: A class: its smallest id times CLASS_STEP and, away from 0, a part of its set's hash.
+CLASS, CLASS_STEP = "decimal(38,0)", 10 ** 18
 
 _RANDOM = np.random.Generator(np.random.PCG64(8021))
 _FLIPS = _RANDOM.integers(0, 2 ** 63, COMPONENTS, np.uint64)
 _FACTORS = _RANDOM.integers(0, 2 ** 63, COMPONENTS, np.uint64) * np.uint64(2) + np.uint64(1)
+_FINE_FLIPS = _RANDOM.integers(0, 2 ** 63, FINE_BITS, np.uint64)
+_FINE_FACTORS = _RANDOM.integers(0, 2 ** 63, FINE_BITS, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def shingle_sets(group: list[bytes], k: int) -> list[np.ndarray]:
@@ -80,6 +94,42 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return rolling.mix64(out) & np.uint64((1 << B_BITS) - 1)
 
 
+def fine_signatures(sets: list[np.ndarray]) -> np.ndarray:
+    """FINE_BITS one-bit minima per set, packed into int64; sets must not be empty."""
+    flat = np.concatenate(sets)
+    starts = np.cumsum([0, *(len(s) for s in sets[:-1])])
+    bits = np.empty((len(sets), FINE_BITS), np.uint8)
+    for c in range(FINE_BITS):
+        least = np.minimum.reduceat((flat ^ _FINE_FLIPS[c]) * _FINE_FACTORS[c], starts)
+        bits[:, c] = (rolling.mix64(least) & np.uint64(1)).astype(np.uint8)
+    return np.packbits(bits, 1).view(np.int64)
+
+
+def fine_distance(similar_percent: int) -> int:
+    """The largest distance of fine signatures at which sets are still compared."""
+    q = (1 - similar_percent / 100) / 2
+    return int(np.ceil(FINE_BITS * q + FINE_SIGMAS * np.sqrt(FINE_BITS * q * (1 - q))))
+
+
+def set_hashes(sets: list[np.ndarray]) -> list[pa.Array]:
+    """Two 64-bit hashes of each set, which name its class."""
+    s1 = np.array([int(rolling.mix64(s + np.uint64(1)).sum()) for s in sets], np.uint64)
+    s2 = np.array([int(rolling.mix64(s ^ np.uint64(0x5DEECE66D1234567)).sum()) for s in sets], np.uint64)
+    return [pa.array(s1.astype(np.int64)), pa.array(s2.astype(np.int64))]
+
+
+def class_key(i: Column, s1: Column) -> Column:
+    """The key of a class, ordered by its smallest id."""
+    step = F.lit(CLASS_STEP).cast("decimal(19,0)")
+    tail = F.pmod(s1, F.lit(CLASS_STEP)) * F.when(i < 0, -1).otherwise(1)
+    return (i.cast("decimal(19,0)") * step + tail.cast("decimal(19,0)")).cast(CLASS)
+
+
+def class_id(key: Column) -> Column:
+    """The smallest id of a class."""
+    return F.call_function("div", key, F.lit(CLASS_STEP).cast("decimal(19,0)")).cast("bigint")
+
+
 def index_keys(sig: np.ndarray) -> np.ndarray:
     """The bucket keys of each signature: per chunk, one for each component left out."""
     width = COMPONENTS // CHUNKS
@@ -96,39 +146,50 @@ def index_keys(sig: np.ndarray) -> np.ndarray:
 
 
 def _describe(k: int):
-    """mapInArrow body: (id, text) -> (id, n, s1, s2, keys)."""
+    """mapInArrow body: (id, text, t) -> (id, t, n, s1, s2, keys)."""
     def run(batches):
         for b in batches:
             for first, group in rolling.groups(b.column(1).to_pylist()):
                 sets = shingle_sets(group, k)
                 n = np.array([len(s) for s in sets], np.int64)
                 some = np.flatnonzero(n)
-                s1 = np.array([int(rolling.mix64(s + np.uint64(1)).sum()) for s in sets], np.uint64)
-                s2 = np.array([int(rolling.mix64(s ^ np.uint64(0x5DEECE66D1234567)).sum()) for s in sets], np.uint64)
                 keys = [None] * len(sets)
                 if len(some):
                     found = index_keys(signatures([sets[i] for i in some])).astype(np.int64)
                     for i, row in zip(some, found):
                         keys[i] = row
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(first, len(group)), pa.array(n), pa.array(s1.astype(np.int64)),
-                     pa.array(s2.astype(np.int64)), pa.array(keys, pa.list_(pa.int64()))],
-                    names=["id", "n", "s1", "s2", "keys"])
+                    [b.column(0).slice(first, len(group)), b.column(2).slice(first, len(group)), pa.array(n),
+                     *set_hashes(sets), pa.array(keys, pa.list_(pa.int64()))],
+                    names=["id", "t", "n", "s1", "s2", "keys"])
     return run
 
 
 def _sets(k: int):
-    """mapInArrow body: (id, text) -> (id, set)."""
+    """mapInArrow body: (id, text) -> (id, s1, s2, set)."""
     def run(batches):
         for b in batches:
             for first, group in rolling.groups(b.column(1).to_pylist()):
-                sets = [s.astype(np.int64) for s in shingle_sets(group, k)]
+                sets = shingle_sets(group, k)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(first, len(group)), pa.array(sets, pa.list_(pa.int64()))],
-                    names=["id", "items"])
+                    [b.column(0).slice(first, len(group)), *set_hashes(sets),
+                     pa.array([s.astype(np.int64) for s in sets], pa.list_(pa.int64()))],
+                    names=["id", "s1", "s2", "items"])
     return run
 
 
+def _fine(batches):
+    """mapInArrow body: (id, set) -> (id, fine signature)."""
+    for b in batches:
+        items = b.column(1)
+        flat, edges = items.values.to_numpy().view(np.uint64), items.offsets.to_numpy()
+        for first in range(0, b.num_rows, 256):
+            last = min(first + 256, b.num_rows)
+            rows = fine_signatures([flat[edges[i]:edges[i + 1]] for i in range(first, last)])
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).slice(first, last - first), pa.array(list(rows), pa.list_(pa.int64()))], names=["id", "fine"])
+
+
 def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs with the size of their sets' intersection (``both``) and whether they
     are similar enough (``alike``)."""
@@ -157,8 +218,10 @@ def _link_classes(docs: DataFrame, reps: DataFrame, k: int, percent: int) -> Dat
     reach = members.groupBy("id").agg(F.sum("held").alias("reach"))
     # shared: how many of the n shingles other texts have, as far as is known
     known = written(reps.select("id", "n").join(reach, "id").withColumn("shared", F.col("n")), "near-known")
-    sets = written(docs.join(known.select("id"), "id", "left_semi").mapInArrow(_sets(k), "id bigint, items array<bigint>")
-                   .dropDuplicates(["id"]), "near-sets")
+    owners = known.select(class_id(F.col("id")).alias("id")).distinct()
+    sets = docs.join(owners, "id", "left_semi").mapInArrow(_sets(k), "id bigint, s1 bigint, s2 bigint, items array<bigint>")
+    sets = sets.select(class_key(F.col("id"), F.col("s1")).alias("id"), "items").join(known.select("id"), "id", "left_semi")
+    sets = written(sets.dropDuplicates(["id"]), "near-sets")
     members = members.select("id", "key")
     # no intersection exceeds what both share with others; nor, for two texts with one
     # pivot, what both have inside it and what both share with others outside it
@@ -166,8 +229,7 @@ def _link_classes(docs: DataFrame, reps: DataFrame, k: int, percent: int) -> Dat
     beside = F.least(F.col("shared") - F.col("inside"), F.col("hub_shared") - F.col("hub_inside"))
     most = F.least(most, F.when(F.col("pivot") == F.col("hub_pivot"), F.least("inside", "hub_inside") + beside))
     possible = 100 * most >= percent * (F.col("n") + F.col("hub_n") - most)
-    none = F.lit(None).cast("bigint")
-    known = known.withColumn("pivot", none).withColumn("inside", none)
+    known = known.withColumn("pivot", F.lit(None).cast(CLASS)).withColumn("inside", F.lit(None).cast("bigint"))
     sides = ["n", "shared", "pivot", "inside"]
     pivots = known.where(F.lit(False)).select("id", "pivot", "inside")
     tried, links, comps, turn = None, None, None, 0
@@ -196,11 +258,19 @@ def _link_classes(docs: DataFrame, reps: DataFrame, k: int, percent: int) -> Dat
                                            F.min(order).alias("h")).where("c1 < c2")
             members = members.select("id", "key")
         if last:  # everything still apart, pair by pair
-            mine = now.join(apart.select("key"), "key").select("key", "id", "comp", *sides)
-            other = mine.select("key", F.col("id").alias("hub"), F.col("comp").alias("hub_comp"),
-                                *[F.col(x).alias(f"hub_{x}") for x in sides])
-            pairs = mine.join(other, "key").where((F.col("comp") < F.col("hub_comp")) & possible)
-            pairs = pairs.select("id", "hub").distinct()
+            live = now.join(apart.select("key"), "key").groupBy("id").agg(F.collect_list("key").alias("keys"))
+            left = sets.join(live, "id", "left_semi").select("id", "items")
+            left = live.join(left.mapInArrow(_fine, f"id {CLASS}, fine array<bigint>"), "id")
+            mine = now.select("id", "comp", *sides).distinct().join(left, "id").withColumn("key", F.explode("keys"))
+            mine = written(mine, "near-fine")
+            other = mine.select("key", *[F.col(x).alias("hub" if x == "id" else f"hub_{x}")
+                                         for x in ("id", "comp", "keys", "fine", *sides)])
+            away = sum((F.bit_count(F.col("fine")[i].bitwiseXOR(F.col("hub_fine")[i])) for i in range(FINE_BITS // 64)),
+                       F.lit(0))
+            first = F.array_min(F.array_intersect("keys", "hub_keys"))  # a pair leaves one of its buckets
+            pairs = mine.join(other, "key").where((F.col("comp") < F.col("hub_comp")) & (away <= fine_distance(percent))
+                                                  & possible & (F.col("key") == first))
+            pairs = pairs.select("id", "hub")
         else:
             pairs = now.select("key", "id", "comp").join(apart.select("key", "h.hub", "h.hub_comp"), "key")
             pairs = pairs.where(F.col("comp") != F.col("hub_comp")).groupBy("id", "hub").count()
@@ -232,35 +302,45 @@ def _link_classes(docs: DataFrame, reps: DataFrame, k: int, percent: int) -> Dat
     return comps
 
 
+def _found(df: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
+    """Per row of ``df``: id, t (hash of the text), n, class and component (class keys)."""
+    docs = df.select(named(id_col).cast("bigint").alias("id"), named(text_col).alias("text"))
+    rows = docs.withColumn("t", F.xxhash64("text")).mapInArrow(
+        _describe(k), "id bigint, t bigint, n bigint, s1 bigint, s2 bigint, keys array<bigint>")
+    rows = written(rows, "near-rows")
+    classes = (rows.where((F.col("n") > 0) & F.col("id").isNotNull())
+               .groupBy("s1", "s2").agg(F.min("id").alias("rep")))
+    classes = written(classes.withColumn("class", class_key(F.col("rep"), F.col("s1"))).drop("rep"), "near-classes")
+    reps = (rows.where("n > 0").withColumn("class", class_key(F.col("id"), F.col("s1")))
+            .join(classes.select("class"), "class", "left_semi").dropDuplicates(["class"])
+            .select(F.col("class").alias("id"), "n", "keys"))
+    labelled = _labelled(classes, _link_classes(docs, reps, k, percent), "class", "component")
+    return rows.drop("keys").join(labelled, ["s1", "s2"], "left").select("id", "t", "n", "class", "component")
+
+
 def decisions(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               shingle_words: int = SHINGLE_WORDS, similar_percent: int = SIMILAR_PERCENT) -> DataFrame:
     """Per row of ``df``: the id, n_shingles, component_id (the smallest id reachable)
     and kept (id = component_id)."""
-    docs = df.select(named(id_col).cast("bigint").alias("id"), named(text_col).alias("text"))
-    rows = written(docs.mapInArrow(_describe(shingle_words),
-                                   "id bigint, n bigint, s1 bigint, s2 bigint, keys array<bigint>"), "near-rows")
-    classes = (rows.where((F.col("n") > 0) & F.col("id").isNotNull())
-               .groupBy("s1", "s2").agg(F.min("id").alias("rep")))
-    classes = written(classes, "near-classes")
-    # an id may come with several texts: its rows share a representative then
-    reps = (rows.join(classes, (rows.id == classes.rep) & (rows.s1 == classes.s1) & (rows.s2 == classes.s2), "left_semi")
-            .dropDuplicates(["id", "s1", "s2"]))
-    comps = _link_classes(docs, reps, shingle_words, similar_percent)
-    labelled = _labelled(classes, comps, "rep", "component")
-    found = rows.select("id", "n", "s1", "s2").join(labelled.select("s1", "s2", "component"), ["s1", "s2"], "left")
-    component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))
+    found = _found(df, id_col, text_col, shingle_words, similar_percent)
+    component = F.when(F.col("n") > 0, class_id(F.col("component"))).otherwise(F.col("id"))
     return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
                         F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))
 
 
-def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One row of ``df`` per component: the one with the smallest id (of rows that
-    repeat an id, the one with the smallest text hash). Rows without an id and rows
-    without words stay."""
-    k, nth = fresh(df, "__keep_id"), fresh(df, "__nth")
-    keep = decisions(df, id_col, text_col, **options).where("kept").select(named(id_col).alias(k)).distinct()
-    found = df.withColumn(k, named(id_col).cast("bigint")).join(keep, k, "left_semi")
-    order = Window.partitionBy(k).orderBy(F.xxhash64(named(text_col)))
-    one = found.withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1)
-    columns = [named(c) for c in df.columns]
-    return one.select(*columns).unionByName(df.where(named(id_col).isNull()))
+def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                shingle_words: int = SHINGLE_WORDS, similar_percent: int = SIMILAR_PERCENT) -> DataFrame:
+    """One row of ``df`` per component: the one with the smallest id; of several such
+    rows the one with the smallest hash of its text, then of all its columns. Rows
+    without an id and rows without words stay."""
+    i, t, c, nth = (fresh(df, x) for x in ("__keep_id", "__text_hash", "__class", "__nth"))
+    found = _found(df, id_col, text_col, shingle_words, similar_percent)
+    keep = (found.where((F.col("class") == F.col("component")) & (F.col("id") == class_id(F.col("class"))))
+            .select(F.col("id").alias(i), F.col("t").alias(t), F.col("class").alias(c)).distinct())
+    rows = df.withColumn(i, named(id_col).cast("bigint")).withColumn(t, F.xxhash64(named(text_col)))
+    plain = [named(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    order = Window.partitionBy(c).orderBy(t, F.xxhash64(*plain))
+    one = rows.join(keep, [i, t]).withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1)
+    columns = [named(x) for x in df.columns]
+    apart = named(id_col).isNull() | ~F.coalesce(named(text_col), F.lit("")).rlike(WORD)
+    return one.select(*columns).unionByName(df.where(apart))

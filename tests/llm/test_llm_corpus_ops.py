@@ -109,6 +109,32 @@ def test_near_without_hub_luck(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in nearby.decisions(df, shingle_words=2).collect()} == near(docs, 2)
 
 
+def test_near_rows_that_share_an_id(spark):
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    df = spark.createDataFrame([(5, a), (5, b), (9, b + " more"), (7, a + " end"), (-3, "c " + b), (-3, "d"), (0, "e")],
+                               "doc_id bigint, text string")
+    got = Counter((r.doc_id, r.n_shingles > 1, r.component_id) for r in nearby.decisions(df).collect())
+    assert got == Counter([(5, True, 5), (5, True, -3), (9, True, -3), (7, True, 5), (-3, True, -3), (-3, False, -3),
+                           (0, False, 0)])
+    rows = nearby.deduplicate(df).collect()
+    assert Counter((r.doc_id, r.text) for r in rows) == Counter([(5, a), (-3, "c " + b), (-3, "d"), (0, "e")])
+
+
+def test_fine_signatures_part_similar_from_unlike_sets():
+    """Sets at the threshold stay within the distance; sets at 0.65 go beyond it."""
+    rnd = np.random.default_rng(3)
+    far = nearby.fine_distance(80)
+
+    def distances(j):
+        for _ in range(40):
+            s = rnd.integers(0, 2 ** 63, 900, np.uint64)
+            own = int(900 * (1 - j) / 2)
+            x, y = nearby.fine_signatures([s[own:], s[:900 - own]]).view(np.uint64)
+            yield sum(int(d).bit_count() for d in x ^ y)
+    assert max(distances(0.8)) <= far < min(distances(0.6))
+    assert np.mean([d > far for d in distances(0.65)]) > 0.9
+
+
 def test_near_edges(spark):
     df = edges(spark)
     got = nearby.decisions(df)
@@ -116,7 +142,8 @@ def test_near_edges(spark):
     rows = nearby.deduplicate(df)
     assert rows.columns == df.columns
     kept = Counter(r.doc_id for r in rows.collect())
-    assert kept[1] == 1 and kept[2] == 0 and kept[3] == 0 and kept[10] == 1 and kept[11] == 0 and kept[7] == 1
+    assert kept[1] == 1 and kept[2] == 0 and kept[3] == 0 and kept[10] == 1 and kept[11] == 0
+    assert kept[7] == 2  # two unlike texts under one id
     assert nearby.deduplicate(empty(spark)).count() == 0
 
 
