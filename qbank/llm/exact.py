@@ -1,16 +1,26 @@
 """Exact de-duplication over an extendible-hash index kept in shared files.
 
-The key of a text is its 64-bit hash. Copies collapse on the map side, where Spark
-compares the bytes of texts with equal keys, so one entry per distinct text is left
-and a group of copies, however large, weighs as much as a single text. The entries
-go to the buckets of an extendible-hash directory: starting from one bucket, every
-overfull bucket splits on its next key bit, which doubles the directory whenever the
-bucket was at full depth. A bucket is a range of keys with one owner task, which
-chains entries whose keys collide. Rows then look up their entry.
+The key of a text is its 64-bit hash. A combiner first collapses copies on the map side,
+apart for each of ``COMBINERS`` residues of the input partition, so a text that a third
+of all rows hold weighs at most that many entries; it settles nothing. The entries (key,
+text, the combiner's largest id and count) are written as the pages of the index.
+
+The directory starts as one bucket. A bucket that holds more than ``BUCKET_ENTRIES``
+entries is split on its next key bit, which makes the directory deeper, and its halves
+again, until all fit; only entries with one and the same key stay together at any
+number. Counts are taken for ``STEP`` bits at a time, over the keys of the buckets that
+are still overfull, so there is no greatest depth but the key's.
+
+Each bucket, a range of keys, goes to one owner task. The owner sorts its entries by key
+and bytes and walks the chain of every key: an entry whose bytes differ from those of the
+one before it is the next link. The id that stays and the size of the group are read off
+the links. Rows find their link by key, length in bytes and SHA-256.
 
 Edge cases: a null text counts as empty; of equal texts the largest id stays (null
 ids lose, and stay only where all are null); of repeated rows with that id exactly
-one stays; an empty table gives an empty result; other columns don't matter.
+one stays, in ``deduplicate`` the one with the smallest hash of all its columns; an empty
+table gives an empty result; other columns don't matter, whatever their names. A text is
+one value of a row: a task holds a few of them, up to Spark's 2 GB for a value.
 """
 
 from __future__ import annotations
@@ -20,74 +30,114 @@ from pyspark.sql import functions as F
 
 from qbank.llm.common import fresh, named, written
 
-#: Distinct texts that a bucket holds before it splits.
+#: Entries that a bucket holds before it splits.
 BUCKET_ENTRIES = 20_000
-#: Bits at which the directory stops doubling: it has at most 2**14 rows, which is
-#: the bound of its broadcast. Fuller buckets at that depth just stay larger.
-MAX_DEPTH = 14
+#: Entries that copies of one text may leave behind the combiner.
+COMBINERS = 64
+#: Key bits by which the directory may deepen in one pass over the keys.
+STEP = 8
+#: A bucket's number is a leading 1 and its bits, which fills a long at this depth.
+KEY_BITS = 63
 
 
 def _key(text: Column) -> Column:
     return F.xxhash64(text)
 
 
-def _prefix(key: Column) -> Column:
-    return F.shiftrightunsigned(key, 64 - MAX_DEPTH)
+def _slot(key: Column, depth: int) -> Column:
+    """The number of the bucket of ``depth`` bits that a key belongs to."""
+    bits = F.shiftrightunsigned(key, 64 - depth) if depth else F.lit(0).cast("bigint")
+    return bits + F.lit(1 << depth if depth < 63 else -(1 << 63))
 
 
 def entries(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per distinct text: key, text_sha256, keep_id and group_size."""
+    """The combiner: key, text, id (the largest) and rows, a few per text at most."""
     texts = df.select(named(id_col).alias("id"), F.coalesce(named(text_col), F.lit("")).alias("text"))
-    return (texts.groupBy(_key(F.col("text")).alias("key"), "text")
-            .agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-            .select("key", F.sha2("text", 256).alias("text_sha256"), "keep_id", "group_size"))
+    return (texts.groupBy(_key(F.col("text")).alias("key"), "text", (F.spark_partition_id() % COMBINERS).alias("part"))
+            .agg(F.max("id").alias("id"), F.count(F.lit(1)).alias("rows")).drop("part"))
 
 
 def directory(pages: DataFrame, bucket_entries: int = BUCKET_ENTRIES) -> DataFrame:
-    """prefix -> bucket, at most 2**MAX_DEPTH rows.
-
-    A prefix's bucket has the smallest depth at which the keys that share its first
-    ``depth`` bits fit; buckets are numbered by a leading 1 and those bits.
-    """
-    fine = pages.groupBy(_prefix(F.col("key")).alias("prefix")).count()
-    levels = fine.select("prefix", "count", F.explode(F.sequence(F.lit(0), F.lit(MAX_DEPTH))).alias("depth"))
-    levels = levels.withColumn("slot", F.expr(f"shiftright(prefix, {MAX_DEPTH} - depth)"))
-    held = F.sum("count").over(Window.partitionBy("depth", "slot"))
-    fits = (levels.withColumn("held", held)
-            .where((F.col("held") <= bucket_entries) | (F.col("depth") == MAX_DEPTH))
-            .groupBy("prefix").agg(F.min("depth").alias("depth")))
-    return fits.select("prefix", "depth", F.expr(
-        f"shiftleft(1L, depth) + shiftright(prefix, {MAX_DEPTH} - depth)").alias("bucket"))
+    """bucket, depth: the buckets that overfull ones were split into, over ``pages`` (key)."""
+    keys, depth, opened, found = pages.select("key"), 0, None, []
+    while depth < KEY_BITS:
+        deep = min(depth + STEP, KEY_BITS)
+        if opened is not None:  # only buckets that are still overfull
+            keys = keys.withColumn("bucket", _slot(F.col("key"), depth)).join(opened, "bucket", "left_semi").select("key")
+        fine = keys.groupBy(_slot(F.col("key"), deep).alias("slot")).agg(
+            F.count(F.lit(1)).alias("held"), F.min("key").alias("low"), F.max("key").alias("high"))
+        levels = fine.withColumn("depth", F.explode(F.sequence(F.lit(depth), F.lit(deep))))
+        nodes = (levels.groupBy("depth", F.expr(f"shiftrightunsigned(slot, {deep} - depth)").alias("bucket"))
+                 .agg(F.sum("held").alias("held"), F.min("low").alias("low"), F.max("high").alias("high")))
+        # keys that are all the same have no bit to be split on
+        over = (F.col("held") > bucket_entries) & (F.col("low") < F.col("high"))
+        nodes = written(nodes.select("depth", "bucket", over.alias("over")), "exact-nodes")
+        split = nodes.where("over").select((F.col("depth") + 1).alias("depth"), F.col("bucket").alias("parent"))
+        halves = nodes.withColumn("parent", F.shiftrightunsigned("bucket", 1)).join(split, ["depth", "parent"], "left_semi")
+        if depth == 0:
+            halves = halves.unionByName(nodes.where("depth = 0").withColumn("parent", F.lit(0).cast("bigint")))
+        fits = ~F.col("over") | (F.col("depth") == KEY_BITS)
+        found.append(halves.where(fits).select("bucket", "depth"))
+        opened = nodes.where(F.col("over") & (F.col("depth") == deep)).select("bucket")
+        depth = deep
+        if opened.isEmpty():
+            break
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return written(out, "exact-directory")
+
+
+def placed(rows: DataFrame, where: DataFrame) -> DataFrame:
+    """``rows`` (with a key) and their ``bucket``. The directory is looked up once per
+    depth that occurs in it (at most 63, a few with hashed keys)."""
+    out = rows.withColumn("bucket", F.lit(None).cast("bigint"))
+    for depth in sorted(r.depth for r in where.select("depth").distinct().collect()):
+        at = where.where(F.col("depth") == depth).select(F.col("bucket").alias("found"))
+        out = (out.join(at, _slot(F.col("key"), depth) == F.col("found"), "left")
+               .withColumn("bucket", F.coalesce("bucket", "found")).drop("found"))
+    return out
+
+
+def walked(owned: DataFrame) -> DataFrame:
+    """One row per link of every key's chain: bucket, key, chain (1 for the first),
+    n_bytes, text_sha256, keep_id and group_size."""
+    walk = Window.partitionBy("bucket", "key").orderBy(F.col("text").cast("binary"))
+    after = F.lag(F.col("text").cast("binary")).over(walk)
+    steps = owned.withColumn("next", F.when(after == F.col("text").cast("binary"), 0).otherwise(1))
+    steps = steps.withColumn("chain", F.sum("next").over(walk.rowsBetween(Window.unboundedPreceding, 0)))
+    # the text of a link is needed once, at its first entry
+    first = F.col("next") == 1
+    steps = steps.select("bucket", "key", "chain", "id", "rows",
+                         F.when(first, F.octet_length("text")).alias("n_bytes"),
+                         F.when(first, F.sha2("text", 256)).alias("text_sha256"))
+    return steps.groupBy("bucket", "key", "chain").agg(
+        F.max("n_bytes").alias("n_bytes"), F.max("text_sha256").alias("text_sha256"),
+        F.max("id").alias("keep_id"), F.sum("rows").alias("group_size"))
 
 
 def build_index(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 bucket_entries: int = BUCKET_ENTRIES) -> tuple[DataFrame, DataFrame]:
-    """The directory and the bucket files, both in the shared folder.
-
-    Bucket rows: bucket, key, chain (1 for the first of the entries that share a
-    key), text_sha256, keep_id, group_size.
-    """
-    pages = written(entries(df, id_col, text_col), "exact-entries")
-    where = written(directory(pages, bucket_entries), "exact-directory")
-    placed = pages.join(F.broadcast(where), _prefix(F.col("key")) == F.col("prefix"))
-    owned = placed.select("bucket", "key", "text_sha256", "keep_id", "group_size").repartition("bucket")
-    chain = F.row_number().over(Window.partitionBy("bucket", "key").orderBy("text_sha256"))
-    return where, written(owned.withColumn("chain", chain), "exact-buckets")
+    """The directory (bucket, depth) and the links of ``walked``, both in the shared folder."""
+    pages = written(entries(df, id_col, text_col), "exact-pages")
+    where = directory(pages, bucket_entries)
+    owned = placed(pages, where).repartition("bucket")
+    return where, written(walked(owned), "exact-buckets")
 
 
 def decisions(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               bucket_entries: int = BUCKET_ENTRIES) -> DataFrame:
-    """Per row of ``df``: the id, keep_id, group_size, kept, text_sha256 and bucket."""
-    where, buckets = build_index(df, id_col, text_col, bucket_entries)
+    """Per row of ``df``: the id, keep_id, group_size, kept, text_sha256, bucket and chain."""
+    _, links = build_index(df, id_col, text_col, bucket_entries)
     text = F.coalesce(named(text_col), F.lit(""))
-    rows = df.select(named(id_col).alias(id_col), _key(text).alias("key"), F.sha2(text, 256).alias("text_sha256"))
+    rows = df.select(named(id_col).alias("id"), _key(text).alias("key"), F.octet_length(text).alias("n_bytes"),
+                     F.sha2(text, 256).alias("text_sha256"))
     # which of the rows with the same id and text this is
-    again = Window.partitionBy(named(id_col), "key", "text_sha256").orderBy(named(id_col))
+    again = Window.partitionBy("id", "key", "text_sha256").orderBy("id")
     rows = rows.withColumn("copy", F.row_number().over(again))
-    rows = rows.join(F.broadcast(where), _prefix(F.col("key")) == F.col("prefix"))
-    found = rows.join(buckets, ["bucket", "key", "text_sha256"])
-    kept = named(id_col).eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)
-    return found.select(named(id_col), "keep_id", "group_size", kept.alias("kept"), "text_sha256",
+    found = rows.join(links, ["key", "n_bytes", "text_sha256"])
+    kept = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)
+    return found.select(F.col("id").alias(id_col), "keep_id", "group_size", kept.alias("kept"), "text_sha256",
                         "bucket", "chain")
 
 
@@ -97,9 +147,11 @@ def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def row_key(i: Column, sha: Column) -> Column:
         return F.concat_ws(":", F.coalesce(i.cast("string"), F.lit("null")), sha)
 
-    _, buckets = build_index(df, id_col, text_col, bucket_entries)
-    k = fresh(df, "__row_key")
-    stay = buckets.select(row_key(F.col("keep_id"), F.col("text_sha256")).alias(k))
+    _, links = build_index(df, id_col, text_col, bucket_entries)
+    k, nth = fresh(df, "__row_key"), fresh(df, "__nth")
+    stay = links.select(row_key(F.col("keep_id"), F.col("text_sha256")).alias(k))
     text = F.coalesce(named(text_col), F.lit(""))
-    rows = df.withColumn(k, row_key(named(id_col), F.sha2(text, 256)))
-    return rows.join(stay, k, "left_semi").dropDuplicates([k]).drop(k)
+    rows = df.withColumn(k, row_key(named(id_col), F.sha2(text, 256))).join(stay, k, "left_semi")
+    plain = [named(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    order = Window.partitionBy(k).orderBy(F.xxhash64(*plain))
+    return rows.withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1).drop(k, nth)

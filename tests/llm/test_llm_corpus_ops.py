@@ -49,19 +49,35 @@ def test_exact_deduplicate(spark):
     assert exact.deduplicate(empty(spark)).count() == 0 == exact.decisions(empty(spark)).count()
 
 
-def test_directory_splits_overfull_buckets(spark):
-    pages = spark.range(5000).selectExpr("xxhash64(id) AS key")
-    rows = exact.directory(pages, 300).collect()
-    held = Counter()
-    bucket = {r.prefix: r.bucket for r in rows}
-    for r in pages.selectExpr(f"shiftrightunsigned(key, {64 - exact.MAX_DEPTH}) AS p").collect():
-        held[bucket[r.p]] += 1
-    assert max(held.values()) <= 300 and sum(held.values()) == 5000
-    # a bucket split only where its parent was overfull
-    for b in held:
+@pytest.mark.parametrize("keys", ["xxhash64(id)", "shiftrightunsigned(xxhash64(id), 30)", "CASE WHEN id < 900 THEN -5 ELSE id END"])
+def test_directory_splits_overfull_buckets(spark, keys):
+    """Hashed keys, keys alike in their first 30 bits, and 900 times one key."""
+    pages = spark.range(3000).selectExpr(f"{keys} AS key")
+    all_keys = [r.key % (1 << 64) for r in pages.collect()]
+    held = {r.bucket % (1 << 64): [] for r in exact.directory(pages, 300).collect()}
+    for k in all_keys:  # the buckets part the keys: one bucket a key
+        own = [b for d in range(64) if (b := (1 << d) + (k >> (64 - d))) in held]
+        assert len(own) == 1
+        held[own[0]].append(k)
+    assert all(len(v) <= 300 or len(set(v)) == 1 for v in held.values())
+    for b in held:  # a bucket exists only where its parent was overfull
         if b > 1:
-            family = sum(n for x, n in held.items() if x >> max(0, x.bit_length() - (b >> 1).bit_length()) == b >> 1)
-            assert family > 300
+            d = b.bit_length() - 2
+            assert sum((1 << d) + (k >> (64 - d)) == b >> 1 for k in all_keys) > 300
+    got = exact.placed(pages, exact.directory(pages, 300))
+    assert Counter(r.bucket % (1 << 64) for r in got.collect()) == {b: len(v) for b, v in held.items() if v}
+
+
+def test_combiner_settles_nothing(spark, monkeypatch):
+    """Copies in several partitions reach the owner apart and meet in the walk."""
+    df = spark.createDataFrame([(i, ["same", "other", None][i % 3]) for i in range(60)], "doc_id bigint, text string")
+    df = df.repartition(6, "doc_id")
+    pages = exact.entries(df, "doc_id", "text")
+    assert pages.where("text = 'same'").count() > 1
+    monkeypatch.setattr(exact, "_key", lambda text: text.isNull().cast("bigint"))  # all in one chain
+    got = exact.build_index(df)[1].collect()
+    assert Counter((r.keep_id, r.group_size) for r in got) == Counter([(57, 20), (58, 20), (59, 20)])
+    assert sorted(r.chain for r in got) == [1, 2, 3] and {r.bucket for r in got} == {1}
 
 
 def test_exact_chains_collisions(spark, monkeypatch):
