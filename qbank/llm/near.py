@@ -19,8 +19,8 @@ similar sets that count. Two exact bounds thin the pairs beside it: a shingle th
 one of the remaining texts has is in no intersection, so the shingles that others have
 too bound every similarity of a text; and two texts that were compared with the same hub
 share at most the lesser of their parts inside it and the lesser of their parts outside
-it. Every link is confirmed on the full sets. A crowded bucket's rows are split between
-tasks by the adaptive join.
+it. Every link is confirmed on the full sets. A crowded bucket is dealt in parts of about
+``CROWD`` members, each of which meets the whole bucket in a task of its own.
 
 Classes, not ids, are compared: an id that stands on rows with unlike texts has a class
 for each, and each finds its own links.
@@ -50,6 +50,8 @@ COMPONENTS, CHUNKS, B_BITS = 40, 8, 16
 CHUNK_ERRORS = 1
 SIGNATURE_DISTANCE = CHUNKS * (CHUNK_ERRORS + 1) - 1
 FINE_BITS, FINE_SIGMAS = 1024, 4.5
+#: Members of a bucket that one part of it has in the join.
+CROWD = 256
 #: Rounds in which members are compared with one hub each, before the join.
 HUB_ROUNDS = 1
 #: A class: its smallest id times CLASS_STEP and, away from 0, a part of its set's hash.
@@ -262,14 +264,19 @@ def _link_classes(docs: DataFrame, reps: DataFrame, k: int, percent: int) -> Dat
             left = sets.join(live, "id", "left_semi").select("id", "items")
             left = live.join(left.mapInArrow(_fine, f"id {CLASS}, fine array<bigint>"), "id")
             mine = now.select("id", "comp", *sides).distinct().join(left, "id").withColumn("key", F.explode("keys"))
-            mine = written(mine, "near-fine")
-            other = mine.select("key", *[F.col(x).alias("hub" if x == "id" else f"hub_{x}")
+            # a crowded bucket is dealt in parts, each of which meets the whole bucket
+            parts = now.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / CROWD).alias("parts"))
+            mine = written(mine.join(parts, "key"), "near-fine")
+            tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            other = mine.withColumn("part", F.explode(F.expr("sequence(0L, parts - 1)"))).select("key", "part", *[F.col(x).alias("hub" if x == "id" else f"hub_{x}")
                                          for x in ("id", "comp", "keys", "fine", *sides)])
             away = sum((F.bit_count(F.col("fine")[i].bitwiseXOR(F.col("hub_fine")[i])) for i in range(FINE_BITS // 64)),
                        F.lit(0))
             first = F.array_min(F.array_intersect("keys", "hub_keys"))  # a pair leaves one of its buckets
-            pairs = mine.join(other, "key").where((F.col("comp") < F.col("hub_comp")) & (away <= fine_distance(percent))
-                                                  & possible & (F.col("key") == first))
+            mine = mine.withColumn("part", F.pmod(F.xxhash64("id", "key"), F.col("parts"))).drop("parts")
+            pairs = mine.repartition(tasks, "key", "part").join(other.repartition(tasks, "key", "part"), ["key", "part"])
+            pairs = pairs.where((away <= fine_distance(percent)) & (F.col("comp") < F.col("hub_comp"))
+                                & possible & (F.col("key") == first))
             pairs = pairs.select("id", "hub")
         else:
             pairs = now.select("key", "id", "comp").join(apart.select("key", "h.hub", "h.hub_comp"), "key")
