@@ -11,8 +11,8 @@ lie within it, or share a bucket all the same, but for about 2 in 100,000 pairs.
 Inside buckets, each member is first compared with the bucket's hub, its most central
 member (the one in the largest buckets), so a group of near copies costs a few
 comparisons per member. What is still in different components is then joined bucket by
-bucket on the distance of its signatures: finer ones of ``FINE_BITS`` one-bit minima,
-made for these members only and compared inside the join, so that a pair leaves a bucket
+bucket on the distance of its signatures: finer ones of ``FINE_BITS`` one-bit minima
+(``COARSE_BITS`` of them first), made for these members only and compared inside the join, so that a pair leaves a bucket
 only if it is near enough, once, and from one bucket of those that it shares. The
 threshold lies ``FINE_SIGMAS`` standard deviations above the mean distance of the least
 similar sets that count. Two exact bounds thin the pairs beside it: a shingle that only
@@ -49,7 +49,8 @@ SIMILAR_PERCENT = 80
 COMPONENTS, CHUNKS, B_BITS = 40, 8, 16
 CHUNK_ERRORS = 1
 SIGNATURE_DISTANCE = CHUNKS * (CHUNK_ERRORS + 1) - 1
-FINE_BITS, FINE_SIGMAS = 1024, 4.5
+#: One-bit minima of a fine signature: a first test takes COARSE_BITS of them.
+COARSE_BITS, FINE_BITS, FINE_SIGMAS = 1024, 4096, 4.5
 #: Members of a bucket that one part of it has in the join.
 CROWD = 256
 #: Rounds in which members are compared with one hub each, before the join.
@@ -107,10 +108,19 @@ def fine_signatures(sets: list[np.ndarray]) -> np.ndarray:
     return np.packbits(bits, 1).view(np.int64)
 
 
-def fine_distance(similar_percent: int) -> int:
-    """The largest distance of fine signatures at which sets are still compared."""
+def fine_distance(similar_percent: int, bits: int = FINE_BITS) -> int:
+    """The largest distance of ``bits`` of fine signatures at which sets are still compared."""
     q = (1 - similar_percent / 100) / 2
-    return int(np.ceil(FINE_BITS * q + FINE_SIGMAS * np.sqrt(FINE_BITS * q * (1 - q))))
+    return int(np.ceil(bits * q + FINE_SIGMAS * np.sqrt(bits * q * (1 - q))))
+
+
+def fine_within(similar_percent: int, bits: int) -> Column:
+    """Whether the first ``bits`` of the fine signatures of a pair are near enough. They are
+    columns of 64 bits each: more than ``spark.sql.codegen.maxFields``, so Spark compiles the
+    join's condition as short methods. Inlined in one, it is too long for the JIT compiler
+    (32 columns took over five times as long as 64)."""
+    away = sum((F.bit_count(F.col(f"fine_{i}").bitwiseXOR(F.col(f"hub_fine_{i}"))) for i in range(bits // 64)), F.lit(0))
+    return away <= fine_distance(similar_percent, bits)
 
 
 def set_hashes(sets: list[np.ndarray]) -> list[pa.Array]:
@@ -132,6 +142,11 @@ def class_id(key: Column) -> Column:
     return F.call_function("div", key, F.lit(CLASS_STEP).cast("decimal(19,0)")).cast("bigint")
 
 
+def class_tail(key: Column) -> Column:
+    """What a class key has beside its smallest id."""
+    return (key % F.lit(CLASS_STEP).cast("decimal(19,0)")).cast("bigint")
+
+
 def index_keys(sig: np.ndarray) -> np.ndarray:
     """The bucket keys of each signature: per chunk, one for each component left out."""
     width = COMPONENTS // CHUNKS
@@ -227,10 +242,11 @@ def _link_classes(docs: DataFrame, reps: DataFrame, k: int, percent: int) -> Dat
     members = members.select("id", "key")
     # no intersection exceeds what both share with others; nor, for two texts with one
     # pivot, what both have inside it and what both share with others outside it
-    most = F.least("shared", "hub_shared")
-    beside = F.least(F.col("shared") - F.col("inside"), F.col("hub_shared") - F.col("hub_inside"))
-    most = F.least(most, F.when(F.col("pivot") == F.col("hub_pivot"), F.least("inside", "hub_inside") + beside))
-    possible = 100 * most >= percent * (F.col("n") + F.col("hub_n") - most)
+    def possible(one_pivot):
+        beside = F.least(F.col("shared") - F.col("inside"), F.col("hub_shared") - F.col("hub_inside"))
+        most = F.least("shared", "hub_shared", F.when(one_pivot, F.least("inside", "hub_inside") + beside))
+        return 100 * most >= percent * (F.col("n") + F.col("hub_n") - most)
+
     known = known.withColumn("pivot", F.lit(None).cast(CLASS)).withColumn("inside", F.lit(None).cast("bigint"))
     sides = ["n", "shared", "pivot", "inside"]
     pivots = known.where(F.lit(False)).select("id", "pivot", "inside")
@@ -262,27 +278,31 @@ def _link_classes(docs: DataFrame, reps: DataFrame, k: int, percent: int) -> Dat
         if last:  # everything still apart, pair by pair
             live = now.join(apart.select("key"), "key").groupBy("id").agg(F.collect_list("key").alias("keys"))
             left = sets.join(live, "id", "left_semi").select("id", "items")
-            left = live.join(left.mapInArrow(_fine, f"id {CLASS}, fine array<bigint>"), "id")
-            mine = now.select("id", "comp", *sides).distinct().join(left, "id").withColumn("key", F.explode("keys"))
+            fine = [F.col("fine")[i].alias(f"fine_{i}") for i in range(FINE_BITS // 64)]
+            left = live.join(left.mapInArrow(_fine, f"id {CLASS}, fine array<bigint>").select("id", *fine), "id")
+            # components and pivots as two longs each: a comparison makes no decimal
+            halves = [f(F.col(x)).alias(f"{x}_{tail}") for x in ("comp", "pivot") for f, tail in ((class_id, "id"), (class_tail, "tail"))]
+            mine = now.select("id", "n", "shared", "inside", *halves).distinct().join(left, "id").withColumn("key", F.explode("keys"))
             # a crowded bucket is dealt in parts, each of which meets the whole bucket
             parts = now.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / CROWD).alias("parts"))
             mine = written(mine.join(parts, "key"), "near-fine")
             tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            other = mine.withColumn("part", F.explode(F.expr("sequence(0L, parts - 1)"))).select("key", "part", *[F.col(x).alias("hub" if x == "id" else f"hub_{x}")
-                                         for x in ("id", "comp", "keys", "fine", *sides)])
-            away = sum((F.bit_count(F.col("fine")[i].bitwiseXOR(F.col("hub_fine")[i])) for i in range(FINE_BITS // 64)),
-                       F.lit(0))
-            first = F.array_min(F.array_intersect("keys", "hub_keys"))  # a pair leaves one of its buckets
+            other = mine.withColumn("part", F.explode(F.expr("sequence(0L, parts - 1)"))).select(
+                "key", "part", *[F.col(x).alias("hub" if x == "id" else f"hub_{x}") for x in mine.columns if x not in ("key", "parts")])
             mine = mine.withColumn("part", F.pmod(F.xxhash64("id", "key"), F.col("parts"))).drop("parts")
             pairs = mine.repartition(tasks, "key", "part").join(other.repartition(tasks, "key", "part"), ["key", "part"])
-            pairs = pairs.where((away <= fine_distance(percent)) & (F.col("comp") < F.col("hub_comp"))
-                                & possible & (F.col("key") == first))
+            one_component = F.col("comp_id") == F.col("hub_comp_id")
+            apart = (F.col("comp_id") < F.col("hub_comp_id")) | (one_component & (F.col("comp_tail") < F.col("hub_comp_tail")))
+            one_pivot = (F.col("pivot_id") == F.col("hub_pivot_id")) & (F.col("pivot_tail") == F.col("hub_pivot_tail"))
+            first = F.array_min(F.array_intersect("keys", "hub_keys"))  # a pair leaves one of its buckets
+            pairs = pairs.where(apart & fine_within(percent, COARSE_BITS) & fine_within(percent, FINE_BITS)
+                                & possible(one_pivot) & (F.col("key") == first))
             pairs = pairs.select("id", "hub")
         else:
             pairs = now.select("key", "id", "comp").join(apart.select("key", "h.hub", "h.hub_comp"), "key")
             pairs = pairs.where(F.col("comp") != F.col("hub_comp")).groupBy("id", "hub").count()
             hub = known.select(F.col("id").alias("hub"), *[F.col(x).alias(f"hub_{x}") for x in sides])
-            pairs = pairs.join(known, "id").join(hub, "hub").where(possible).select("id", "hub", "count")
+            pairs = pairs.join(known, "id").join(hub, "hub").where(possible(F.col("pivot") == F.col("hub_pivot"))).select("id", "hub", "count")
         pairs = pairs.withColumn("u", F.greatest("id", "hub")).withColumn("v", F.least("id", "hub"))
         if tried is not None:
             pairs = pairs.join(tried, ["u", "v"], "left_anti")
