@@ -52,7 +52,7 @@ SIGNATURE_DISTANCE = CHUNKS * (CHUNK_ERRORS + 1) - 1
 #: One-bit minima of a fine signature: a first test takes COARSE_BITS of them.
 COARSE_BITS, FINE_BITS, FINE_SIGMAS = 1024, 4096, 4.5
 #: Members of a bucket that one part of it has in the join.
-CROWD = 256
+CROWD = 2048
 #: Rounds in which members are compared with one hub each, before the join.
 HUB_ROUNDS = 1
 #: A class: its smallest id times CLASS_STEP and, away from 0, a part of its set's hash.
@@ -258,7 +258,7 @@ def _link_classes(docs: DataFrame, reps: DataFrame, k: int, percent: int) -> Dat
         order = F.struct((-F.col("reach") if turn == 0 else F.xxhash64("id", F.lit(turn))).alias("order"),
                          F.col("id").alias("hub"), F.col("comp").alias("hub_comp"))
         apart = now.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"),
-                                       F.min(order).alias("h")).where("c1 < c2")
+                                       F.count(F.lit(1)).alias("held"), F.min(order).alias("h")).where("c1 < c2")
         if turn > 0:  # only what is still apart goes on
             now = now.join(apart.select("key"), "key").select("key", "id", "n", "reach", "comp")
             members = written(now, "near-apart")
@@ -273,19 +273,19 @@ def _link_classes(docs: DataFrame, reps: DataFrame, k: int, percent: int) -> Dat
                             .where(100 * F.col("shared") >= percent * F.col("n")).drop("lone"), "near-known")
             now = members.join(known.select("id", "shared", "pivot", "inside"), "id")
             apart = now.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"),
-                                           F.min(order).alias("h")).where("c1 < c2")
+                                           F.count(F.lit(1)).alias("held"), F.min(order).alias("h")).where("c1 < c2")
             members = members.select("id", "key")
         if last:  # everything still apart, pair by pair
-            live = now.join(apart.select("key"), "key").groupBy("id").agg(F.collect_list("key").alias("keys"))
+            # a crowded bucket is dealt in parts, each of which meets the whole bucket
+            places = now.join(apart.select("key", F.ceil(F.col("held") / CROWD).alias("parts")), "key").select("key", "id", "parts")
+            live = places.groupBy("id").agg(F.collect_list("key").alias("keys"))
             left = sets.join(live, "id", "left_semi").select("id", "items")
             fine = [F.col("fine")[i].alias(f"fine_{i}") for i in range(FINE_BITS // 64)]
             left = live.join(left.mapInArrow(_fine, f"id {CLASS}, fine array<bigint>").select("id", *fine), "id")
             # components and pivots as two longs each: a comparison makes no decimal
             halves = [f(F.col(x)).alias(f"{x}_{tail}") for x in ("comp", "pivot") for f, tail in ((class_id, "id"), (class_tail, "tail"))]
-            mine = now.select("id", "n", "shared", "inside", *halves).distinct().join(left, "id").withColumn("key", F.explode("keys"))
-            # a crowded bucket is dealt in parts, each of which meets the whole bucket
-            parts = now.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / CROWD).alias("parts"))
-            mine = written(mine.join(parts, "key"), "near-fine")
+            wide = now.select("id", "n", "shared", "inside", *halves).distinct().join(left, "id")
+            mine = written(places.join(wide, "id"), "near-fine")
             tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
             other = mine.withColumn("part", F.explode(F.expr("sequence(0L, parts - 1)"))).select(
                 "key", "part", *[F.col(x).alias("hub" if x == "id" else f"hub_{x}") for x in mine.columns if x not in ("key", "parts")])
