@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from qbank.operators.infer import RuleBackend, build_requests, infer
 from qbank.operators import sections as SEC
-from qbank.session import materialize
+from qbank.session import default_parallelism, materialize
 from qbank.sources import tables as TB
 from qbank.streaming import jobs as ST
 
@@ -19,12 +19,17 @@ def stream_main_texts(spark: SparkSession, sf_dir: str):
     from qbank.plans.crawl import site
     landing = ST._scratch(spark, "st1-landing")
     content = site(spark, sf_dir).where(F.col("page") == "content").select("url", "html")
-    _land(content.repartition(4), landing, 0)
-    _land(content.repartition(3), landing, 30)
+    _land(content.coalesce(_files(spark, 4)), landing, 0)
+    _land(content.coalesce(_files(spark, 3)), landing, 30)
     out = ST.stream_sections(spark, landing, max_files_per_trigger=4)
     return out.select("chapter_name", "section_name", "section_text")
 
 
+def _files(spark: SparkSession, least: int) -> int:
+    """Files of a wave: tasks' own, without a shuffle of the pages."""
+    return max(least, default_parallelism(spark) or 1)
+
+
 #: Event time of the first wave, and minutes until the clock has passed every wait.
 START, LONG_AFTER = "2024-01-01 00:00:00", 60 * 24 * 7
 
@@ -47,8 +52,8 @@ def _landed(spark: SparkSession, sf_dir: str) -> str:
     from qbank.plans.crawl import site
     landing = ST._scratch(spark, "st1-landing")
     got = site(spark, sf_dir).where(F.col("page").isin("content", "chapter", "answers")).select("url", "html")
-    _land(got.repartition(4), landing, 0)
-    _land(got.where("url LIKE '%7-%'").repartition(2), landing, 30)
+    _land(got.coalesce(_files(spark, 4)), landing, 0)
+    _land(got.where("url LIKE '%7-%'").coalesce(_files(spark, 2)), landing, 30)
     _clock(spark, landing)
     return landing
 
@@ -67,7 +72,7 @@ def waiting_answers(spark: SparkSession, sf_dir: str, progress: list | None = No
     waves += [(minutes, pages.where((F.col("page") == "answers") & (F.col("doc_id") % len(ANSWER_DELAYS) == k)))
               for k, minutes in enumerate(ANSWER_DELAYS) if minutes is not None]
     for minutes, wave in sorted(waves, key=lambda w: w[0]):
-        _land(wave.select("url", "html").repartition(2), landing, minutes)
+        _land(wave.select("url", "html").coalesce(_files(spark, 2)), landing, minutes)
     _clock(spark, landing)
     return ST.stream_self_check(spark, landing, max_files_per_trigger=2, progress=progress)
 

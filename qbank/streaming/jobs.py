@@ -69,10 +69,16 @@ def page_route(url_col: str = "url", book: F.Column | None = None) -> F.Column:
     return F.when(book == "econ", U.route_econ(cn)).when(book == "finance", U.route_finance(cn))
 
 
-def each_url_once(pages: DataFrame, event_time: str | None, delay: str) -> DataFrame:
+def each_url_once(pages: DataFrame, event_time: str | None, delay: str, which: F.Column | None = None) -> DataFrame:
+    """Each URL once; with ``which`` (a condition on the URL alone) only the URLs it holds
+    for, so that other pages don't travel. Event time goes on by all pages: the condition
+    names its column, or it would be checked before the watermark."""
     if event_time and pages.isStreaming:
-        return pages.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["url"])
-    return pages.dropDuplicates(["url"])
+        pages = pages.withWatermark(event_time, delay)
+        if which is not None:
+            pages = pages.where(F.coalesce(F.when(F.col(event_time).isNull(), which), which))
+        return pages.dropDuplicatesWithinWatermark(["url"])
+    return (pages if which is None else pages.where(which)).dropDuplicates(["url"])
 
 
 def sections_stream(pages: DataFrame, event_time: str | None = None,
@@ -84,9 +90,9 @@ def sections_stream(pages: DataFrame, event_time: str | None = None,
     With ``event_time`` (a fetch timestamp column) the URL de-dup keeps state
     only within the watermark delay; without it the state holds every URL seen."""
     from qbank.plans.crawl import extract_sections
-    routed = (each_url_once(pages, event_time, delay).withColumn("book", page_book("url"))
-              .withColumn("route", page_route("url", F.col("book")))
-              .where(F.col("route").isNotNull() & (F.col("route") != "self_check")))
+    route = page_route("url")
+    routed = (each_url_once(pages, event_time, delay, route.isNotNull() & (route != "self_check"))
+              .withColumn("book", page_book("url")).withColumn("route", page_route("url", F.col("book"))))
     parsed = dom_nodes(routed.select(F.col("url").alias("chapter_url"), "route", "book", "html"),
                        keep=["chapter_url", "route", "book"])
     return extract_sections(parsed).drop("problems")
@@ -107,15 +113,14 @@ def self_check_stream(questions: DataFrame, answers: DataFrame, event_time: str
     ``answer_status``: ``found``; ``no_link`` (no element is named, nothing to wait
     for); ``absent`` (the wait is over; the answer is empty). State: questions without
     an answer so far and the elements of answer pages, for ``wait`` and ``delay``."""
-    routed = each_url_once(questions, event_time, delay).withColumn("book", page_book("url"))
-    q = routed.where((F.col("book") == "econ") & (page_route("url", F.col("book")) == "self_check"))
+    q = each_url_once(questions, event_time, delay, (page_book("url") == "econ") & (page_route("url") == "self_check"))
     probs = dom_nodes(q.select(F.col("url").alias("chapter_url"), event_time, "html"), keep=["chapter_url", event_time])
     probs = probs.select("chapter_url", F.col(event_time).alias("asked_at"),
                          F.posexplode(X.self_check_problems("nodes")).alias("problem_pos", "p"))
     probs = probs.select("chapter_url", "problem_pos", "asked_at", F.col("p.question").alias("question"),
                          F.col("p.fragment").alias("fragment"),
                          U.resolve_url("chapter_url", "p.answer_link").alias("answer_url"))
-    a = each_url_once(answers, event_time, delay).where(is_answer_page("url") & F.col("html").isNotNull())
+    a = each_url_once(answers, event_time, delay, is_answer_page("url")).where(F.col("html").isNotNull())
     a = dom_nodes(a.select("url", event_time, "html"), keep=["url", event_time])
     a = a.select(F.col("url").alias("page_url"), F.col(event_time).alias("found_at"),
                  F.explode(_texts_by_id("nodes")).alias("e"))
