@@ -20,7 +20,7 @@ from qbank.operators import keypoints as KP
 from qbank.operators import sections as SEC
 from qbank.operators.infer import Backend
 from qbank.operators.mcq import shuffle_choices, split_renderable
-from qbank.plans.crawl import crawl_feed
+from qbank.plans.crawl import crawl_feed, parse_tasks
 from qbank.sources.textbook_site import TOC_CLASS
 
 PROVENANCE = ["chapter_name", "textbook_name", "chapter_url"]
@@ -28,6 +28,8 @@ PROVENANCE = ["chapter_name", "textbook_name", "chapter_url"]
 
 def crawl(pages: DataFrame, seeds: dict[str, DataFrame], link_class: str = TOC_CLASS) -> DataFrame:
     """``pages(url, html)`` + start URLs per book kind -> section feed."""
+    # a stored table may be one row group, which a scan cannot split
+    pages = pages.repartition(parse_tasks(pages), "url")
     return crawl_feed(pages, seeds, link_class)
 
 
