@@ -12,8 +12,11 @@ from qbank.operators.dom import dom_nodes
 from qbank.plans.crawl import site
 
 
-def _parsed(spark, sf_dir, page):
+def _parsed(spark, sf_dir, page, which=None):
+    """The pages of a kind, parsed; ``which``: a condition on the URL, asked before parsing."""
     p = site(spark, sf_dir).where(F.col("page") == page).select("url", "html")
+    if which is not None:
+        p = p.where(which)
     return dom_nodes(p, keep=["url"]).withColumn("chapter_name", U.chapter_name("url"))
 
 
@@ -37,7 +40,7 @@ def econ_chapter_intro(spark, sf_dir):
 
 def econ_problem_texts(spark, sf_dir):
     """All problem text of a page as one record."""
-    n = _parsed(spark, sf_dir, "content").where(F.col("url").endswith("-self-check-questions"))
+    n = _parsed(spark, sf_dir, "content", F.col("url").endswith("-self-check-questions"))
     return n.select("chapter_name", U.section_slug("chapter_name").alias("section_name"),
                     X.problems_text("nodes").alias("section_text"))
 
