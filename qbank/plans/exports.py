@@ -25,7 +25,7 @@ def feed_roundtrip(spark: SparkSession, sf_dir: str):
     """SNK1 -> SRC3."""
     from qbank.plans.feed import sections
     path = _path(spark, "feed")
-    some = IO.write_feed(sections(spark, sf_dir), path)
+    some = IO.write_feed(sections(spark, sf_dir), path, cheap=True)
     return IO.read_feed(spark, path, SECTION_COLS, some)
 
 

@@ -24,12 +24,14 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str,
     return r.schema(schema).json(path)
 
 
-def write_feed(df: DataFrame, path: str, mode: str = "overwrite") -> bool:
+def write_feed(df: DataFrame, path: str, mode: str = "overwrite", cheap: bool = False) -> bool:
     """SNK1 / SNK2 / SNK4: UTF-8 JSON lines, all fields; no output for an
     empty feed (``read_feed`` gives no rows then). Returns whether anything was
-    written. The feed is computed once, into the shared folder."""
+    written. The feed is computed once, into the shared folder; a ``cheap`` one (rows
+    projected from a table) is asked for its first row instead, and written once."""
     from qbank.session import materialize
-    df = materialize(df, "feed")
+    if not cheap:
+        df = materialize(df, "feed")
     if df.isEmpty():
         return False
     df.write.mode(mode).option("encoding", "UTF-8").option("ignoreNullFields", False).json(path)
