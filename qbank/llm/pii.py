@@ -17,9 +17,12 @@ number); there the true span is known, so it is positive and what else overlaps
 negative.
 Phones and cards are calibrated without base spans, on what could be added.
 
-At most ``TRAIN_DOCS`` documents (smallest id hashes) and ``TRAIN_ROWS`` of their
-candidates are used; every text of the table is searched whole. A kind without enough
-held-out candidates adds nothing.
+The candidates of all documents are used: bins, trees and thresholds come from sums over
+them that Spark makes (a null id counts as 0). Candidates that fall into the same bins
+are counted, not kept apart, and the driver gets sums of a fixed size: a histogram per
+tree level, and per kind the counts by steps of the score (``STEPS``). Sums are of whole
+numbers (``UNIT``), so that neither order nor partitions matter. Every text of the table is
+searched whole. A kind without enough held-out candidates adds nothing.
 
 Offsets count code points, end exclusive. Edge cases: a null or empty text has no
 spans; repeated rows are searched alike; an empty table gives an empty result; other
@@ -37,19 +40,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qbank.llm.common import fresh, named, unit_hash
+from qbank.llm.common import fresh, named, written
 
 KINDS = ("email", "ip", "card", "phone")
-TRAIN_DOCS = 20_000
-TRAIN_ROWS = 20_000
 ROUNDS, DEPTH, RATE, BINS = 30, 3, 0.3, 32
+#: Training examples that a task holds at once, steps of a unit of log-odds that thresholds
+#: are told apart by, and the parts of one that gradients are summed in.
+EXAMPLES, STEPS, UNIT = 20_000, 256, 1 << 20
 #: Share of added held-out candidates that must be right, and how many it takes.
 PRECISION, LEAST_HELD = 0.98, 10
 #: No candidate below this probability is added, however the threshold falls.
 LEAST_SCORE = 0.5
 #: Digits of a candidate, least and most; runs of digits are joined up to the most.
 PHONE_DIGITS, CARD_DIGITS = (7, 15), (12, 19)
-#: Other ways in which a phone or card of the sample is written for training.
+#: Other ways in which each phone or card is written for training.
 VARIANTS = 4
 
 # the base patterns; look-behinds only spare a second look at what cannot match
@@ -191,31 +195,44 @@ class Trees:
         qs = np.linspace(0, 1, BINS + 1)[1:-1]
         self.cuts = [np.unique(np.quantile(c, qs)) for c in x.T]
         b = self._bins(x)
-        p = float(np.clip(y.mean(), 1e-3, 1 - 1e-3))
+        return self.grow(y.mean(), lambda splits: self.sums(splits, b, np.ones(len(y)), y))
+
+    def grow(self, share: float, sums) -> "Trees":
+        """Fits the trees; ``share``: that of the positive rows, ``sums``: of all rows what
+        ``Trees.sums`` is of some, for the trees so far and the splits of the next."""
+        p = float(np.clip(share, 1e-3, 1 - 1e-3))
         self.bias, self.trees = np.log(p / (1 - p)), []
-        f = np.full(len(y), self.bias)
         for _ in range(ROUNDS):
-            p = 1 / (1 + np.exp(-f))
-            g, h = y - p, p * (1 - p)
-            node = np.zeros(len(y), np.int64)
             splits = []
             for level in range(DEPTH):
-                splits.append([self._split(b[node == k], g[node == k], h[node == k]) for k in range(1 << level)])
-                node = self._down(b, node, splits[-1])
-            leaf = np.bincount(node, g, 1 << DEPTH) / (np.bincount(node, h, 1 << DEPTH) + 1.0)
-            self.trees.append((splits, RATE * leaf))
-            f += RATE * leaf[node]
+                g, h = sums(splits)
+                splits.append([self._split(g[k], h[k]) for k in range(1 << level)])
+            # what goes left and right of the last splits is in their histograms
+            leaf = [a[k, j, part].sum() for a in (g, h) for k, (j, cut) in enumerate(splits[-1])
+                    for part in (slice(0, cut + 1), slice(cut + 1, None))]
+            leaf = np.array(leaf).reshape(2, 1 << DEPTH)
+            self.trees.append((splits, RATE * leaf[0] / (leaf[1] + 1.0)))
         return self
 
+    def sums(self, splits, b: np.ndarray, n: np.ndarray, y: np.ndarray):
+        """Gradients and Hessians by node, feature and bin, of ``n`` rows each in the bins
+        ``b`` of which ``y`` are positive."""
+        p = 1 / (1 + np.exp(-self.margin(b)))
+        node, nodes = np.zeros(len(b), np.int64), 1 << len(splits)
+        for level in splits:
+            node = self._down(b, node, level)
+        return [np.stack([np.bincount(node * BINS + c, np.rint(UNIT * v), nodes * BINS).reshape(nodes, BINS) for c in b.T], 1)
+                / UNIT for v in (y - n * p, n * p * (1 - p))]
+
     def _bins(self, x):
         return np.stack([np.searchsorted(c, v, "right") for c, v in zip(self.cuts, x.T)], 1)
 
     @staticmethod
-    def _split(b, g, h):
-        """(feature, bin) of the best cut: rows with a larger bin go right."""
+    def _split(g, h):
+        """(feature, bin) of the best cut of a node: rows with a larger bin go right."""
         best, gain = (0, BINS), 1e-9
-        for j in range(b.shape[1]):
-            gs, hs = np.cumsum(np.bincount(b[:, j], g, BINS)), np.cumsum(np.bincount(b[:, j], h, BINS))
+        for j in range(len(g)):
+            gs, hs = np.cumsum(g[j]), np.cumsum(h[j])
             left, right = gs[:-1] ** 2 / (hs[:-1] + 1), (gs[-1] - gs[:-1]) ** 2 / (hs[-1] - hs[:-1] + 1)
             won = left + right - gs[-1] ** 2 / (hs[-1] + 1)
             if len(won) and won.max() > gain:
@@ -227,39 +244,31 @@ class Trees:
         j, cut = np.array([s[0] for s in splits])[node], np.array([s[1] for s in splits])[node]
         return 2 * node + (b[np.arange(len(b)), j] > cut)
 
-    def score(self, x: np.ndarray) -> np.ndarray:
-        b = self._bins(x)
-        f = np.full(len(x), self.bias)
+    def margin(self, b: np.ndarray) -> np.ndarray:
+        """The log-odds of rows in the bins ``b``."""
+        f = np.full(len(b), self.bias)
         for splits, leaf in self.trees:
-            node = np.zeros(len(x), np.int64)
+            node = np.zeros(len(b), np.int64)
             for level in splits:
                 node = self._down(b, node, level)
             f += leaf[node]
-        return 1 / (1 + np.exp(-f))
+        return f
+
+    def score(self, x: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-self.margin(self._bins(x))))
 
 
-def calibrate(score: np.ndarray, y: np.ndarray) -> float:
-    """The smallest threshold above which enough held-out candidates are right; 2 if none."""
+def calibrate(score: np.ndarray, y: np.ndarray, n: np.ndarray | None = None) -> float:
+    """The smallest threshold above which enough held-out candidates are right; 2 if none.
+    ``n``: how many candidates have the score, of which ``y`` are right (one each)."""
     order = np.argsort(-score, kind="stable")
     s, right = score[order], np.cumsum(y[order])
-    n = np.arange(1, len(s) + 1)
+    n = np.cumsum(np.ones(len(s)) if n is None else n[order])
     last = np.append(s[1:] != s[:-1], True)  # ties are taken together
     fit = np.flatnonzero(last & (n >= LEAST_HELD) & (right >= PRECISION * n))
     return max(LEAST_SCORE, float(s[fit[-1]])) if len(fit) else 2.0
 
 
-def train_on(x: np.ndarray, y: np.ndarray, held: np.ndarray, own: np.ndarray):
-    """(trees, threshold per kind) or None where one class is missing or all is held
-    out. ``own``: base spans, on which the kinds that ``variant`` writes anew are not
-    calibrated."""
-    if len(y) < 4 * LEAST_HELD or held.all() or y[~held].min() == y[~held].max():
-        return None
-    trees = Trees().fit(x[~held], y[~held])
-    s, kind = trees.score(x[held]), x[held][:, 0]
-    use = [(kind == k) & ~(own[held] & (k >= 2)) for k in range(len(KINDS))]
-    return trees, [calibrate(s[u], y[held][u]) for u in use]
-
-
 def _overlaps(spans: list[tuple[int, int]], start: int, end: int) -> bool:
     """``spans``: sorted and disjoint."""
     at = bisect.bisect_left(spans, (end,))
@@ -328,41 +337,98 @@ def examples(text: str, seed: int):
 
 
 def _training_rows(batches):
+    def batch(rows):
+        x, y, own, held = zip(*rows)
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.float64()),
+                                           pa.array(own, pa.bool_()), pa.array(held, pa.bool_())], names=["x", "y", "own", "held"])
     for b in batches:
-        rows = {"id": [], "x": [], "y": [], "own": [], "pos": []}
+        rows = []
         for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            for k, (x, y, own) in enumerate(examples(text or "", i)):
-                rows["id"].append(i)
-                rows["pos"].append(k)
-                rows["x"].append(x)
-                rows["y"].append(y)
-                rows["own"].append(own)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(rows["id"], pa.int64()), pa.array(rows["pos"], pa.int64()),
-             pa.array(rows["x"], pa.list_(pa.float64())), pa.array(rows["y"], pa.float64()),
-             pa.array(rows["own"], pa.bool_())],
-            names=["id", "pos", "x", "y", "own"])
+            held = _share(i or 0) < 0.3
+            for x, y, own in examples(text or "", i or 0):
+                rows.append((x, y, own, held))
+                if len(rows) >= EXAMPLES:
+                    yield batch(rows)
+                    rows = []
+        if rows:
+            yield batch(rows)
 
 
 def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
-    """The model of a bounded sample of ``df`` (see the module's text), or None."""
+    """(trees, threshold per kind), learned from all documents of ``df`` (see the module's
+    text); None where one class is missing or all is held out."""
     docs = df.select(named(id_col).cast("bigint").alias("id"), named(text_col).alias("text"))
-    picked = (docs.select("id").where(F.col("id").isNotNull()).dropDuplicates()
-              .orderBy(unit_hash(F.lit("pii"), F.col("id")), "id").limit(TRAIN_DOCS))
-    rows = (docs.join(F.broadcast(picked), "id", "left_semi")
-            .mapInArrow(_training_rows, "id bigint, pos bigint, x array<double>, y double, own boolean")
-            .withColumn("u", unit_hash(F.lit("row"), F.col("id"), F.col("pos")))
-            .orderBy("u", "id", "pos", "y", "x").limit(TRAIN_ROWS).collect())
-    if not rows:
+    rows = written(docs.mapInArrow(_training_rows, "x array<double>, y double, own boolean, held boolean"), "pii-examples")
+    count = {r.held: r for r in rows.groupBy("held").agg(F.count("y").alias("n"), F.sum("y").alias("y")).collect()}
+    learn = count.get(False)
+    if learn is None or sum(r.n for r in count.values()) < 4 * LEAST_HELD or learn.y in (0, learn.n):
         return None
-    x, y = np.array([r.x for r in rows]), np.array([r.y for r in rows])
-    held = np.array([unit < 0.3 for unit in _share([r.id for r in rows])])
-    return train_on(x, y, held, np.array([r.own for r in rows]))
+    qs = [float(q) for q in np.linspace(0, 1, BINS + 1)[1:-1]]
+    width = len(features("", 0, 0, 0))
+    cuts = rows.where(~F.col("held")).agg(*[F.percentile(F.get("x", F.lit(j)), F.array(*map(F.lit, qs))) for j in range(width)])
+    trees = Trees()
+    trees.cuts = [np.unique(c) for c in cuts.first()]
+    groups = written(rows.mapInArrow(_binned(trees), "bins binary, kind int, y double, own boolean, held boolean")
+                     .groupBy("bins", "kind", "own", "held").agg(F.count("y").cast("double").alias("n"), F.sum("y").alias("y")),
+                     "pii-bins")
+    trees.grow(learn.y / learn.n, lambda splits: _all_sums(groups.where(~F.col("held")), trees, splits, width))
+    # a phone or card that base finds is none to add
+    held = groups.where("held AND NOT (own AND kind >= 2)").mapInArrow(_steps(trees, width), "kind int, step bigint, n double, y double")
+    held = held.groupBy("kind", "step").agg(F.sum("n").alias("n"), F.sum("y").alias("y")).collect()
+
+    def threshold(k):
+        step, n, y = np.array([(r.step, r.n, r.y) for r in held if r.kind == k]).reshape(-1, 3).T
+        return calibrate(1 / (1 + np.exp(-step / STEPS)), y, n)
+    return trees, [threshold(k) for k in range(len(KINDS))]
+
+
+def _binned(trees: Trees):
+    """Examples with their bins, a byte each, in place of the features."""
+    def run(batches):
+        for b in batches:
+            if b.num_rows:
+                x = b.column(0).flatten().to_numpy().reshape(b.num_rows, -1)
+                bins = [r.tobytes() for r in trees._bins(x).astype(np.uint8)]
+                yield pa.RecordBatch.from_arrays([pa.array(bins, pa.binary()), pa.array(x[:, 0].astype(np.int32)), *b.columns[1:]],
+                                                 names=["bins", "kind", "y", "own", "held"])
+    return run
+
+
+def _bytes(column, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, width).astype(np.int64)
+
+
+def _all_sums(groups: DataFrame, trees: Trees, splits, width: int):
+    """``Trees.sums`` over the groups of a table."""
+    shape = (2, 1 << len(splits), width, BINS)
+
+    def run(batches):
+        total = np.zeros(shape)
+        for b in batches:
+            total += trees.sums(splits, _bytes(b.column(0), width), b.column(1).to_numpy(), b.column(2).to_numpy())
+        g, h = np.rint(UNIT * total).astype(np.int64).reshape(2, -1)
+        at = np.flatnonzero(g | h)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(g[at]), pa.array(h[at])], names=["at", "g", "h"])
+    sums = groups.select("bins", "n", "y").mapInArrow(run, "at bigint, g bigint, h bigint").groupBy("at")
+    out = np.zeros((2, np.prod(shape[1:])))
+    for r in sums.agg(F.sum("g").alias("g"), F.sum("h").alias("h")).collect():
+        out[:, r.at] = r.g / UNIT, r.h / UNIT
+    return out.reshape(shape)
+
+
+def _steps(trees: Trees, width: int):
+    """Held-out groups with the step of their score."""
+    def run(batches):
+        for b in batches:
+            step = np.floor(STEPS * trees.margin(_bytes(b.column("bins"), width))).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column("kind"), pa.array(step), b.column("n"), b.column("y")],
+                                             names=["kind", "step", "n", "y"])
+    return run
 
 
-def _share(ids: list[int]) -> list[float]:
+def _share(i: int) -> float:
     """Documents are held out whole; a fixed mix of the id decides."""
-    return [((i * 2654435761) & 0xFFFFFFFF) / 2.0 ** 32 for i in ids]
+    return ((i * 2654435761) & 0xFFFFFFFF) / 2.0 ** 32
 
 
 def spans_of(text: str, model) -> list[tuple[int, int, int, bool, float]]:

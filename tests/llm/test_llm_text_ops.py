@@ -289,3 +289,25 @@ def test_pii_edges(spark):
     text = next(r.text for r in red.collect() if r.doc_id == 14)
     assert "[email]" in text and "bob" not in text and "[card]" in text
     assert pii.train(empty(spark)) is None and pii.find(empty(spark)).count() == 0
+
+
+def test_pii_learns_from_all_documents(spark, monkeypatch):
+    """The sums that bins, trees and thresholds come from hold every candidate once."""
+    docs = [(i, f"mail a{i}@example.com call +1 (845) 555-{1000 + i} from 10.0.0.{i % 300} on {i} 12 345") for i in range(300)]
+    docs += [(None, docs[7][1]), (3, docs[3][1])]  # a null and a repeated id
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(7)
+    seen, held = [], []
+    grow, calibrate = pii.Trees.grow, pii.calibrate
+    def kept(share, sums):
+        return lambda splits: seen.append((share, sums(splits))) or seen[-1][1]
+    monkeypatch.setattr(pii.Trees, "grow", lambda t, share, sums: grow(t, share, kept(share, sums)))
+    monkeypatch.setattr(pii, "calibrate", lambda s, y, n: held.append((y.sum(), n.sum())) or calibrate(s, y, n))
+    trees, least = pii.train(df)
+    rows = [(y, own, x[0], pii._share(i or 0) < 0.3) for i, t in docs for x, y, own in pii.examples(t, i or 0)]
+    y = np.array([r[0] for r in rows if not r[3]])
+    share, (g, h) = seen[0]
+    assert share == y.mean() and abs(h[0].sum(1)[0] - len(y) * share * (1 - share)) < 1e-2
+    out = [[r[0] for r in rows if r[3] and r[2] == k and not (r[1] and k >= 2)] for k in range(4)]
+    assert held == [(sum(v), len(v)) for v in out]
+    again = pii.train(df.repartition(3))  # whatever the partitions
+    assert again[1] == least and all((a[1] == b[1]).all() and a[0] == b[0] for a, b in zip(again[0].trees, trees.trees))
