@@ -23,9 +23,37 @@ def test_only_problem_pages_are_parsed(spark, monkeypatch):
 
 def test_a_projected_feed_is_written_once(spark, monkeypatch):
     from qbank import session
-    from qbank.plans import exports
+    from qbank.plans import exports, feed  # noqa: F401  imported before the patch
 
     def no_copy(*a, **k):
         raise AssertionError("written twice")
-    monkeypatch.setattr(session, "materialize", no_copy)
-    assert exports.feed_roundtrip(spark, SF).count() > 0
+    with monkeypatch.context() as m:
+        m.setattr(session, "materialize", no_copy)
+        df = exports.feed_roundtrip(spark, SF)
+    assert df.count() > 0
+
+
+def test_odd_urls_are_looked_for_once(spark):
+    pages = CR.site(spark, SF)
+    links = CR.frontier(pages, ["finance"], ["chapter"])
+    plan = CR.pages_of(pages, links, "resolved_url", once=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_page" not in plan  # the counts of pages and links by URL
+
+
+def test_terms_are_crawled_once(spark):
+    from qbank.plans import variants
+    plan = variants.term_distractors(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" not in plan
+
+
+def test_nodes_by_column_are_the_nodes():
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    from qbank.operators import dom
+    pages = ["<p id=a class='x y'>1<b>2</b>3<img src=u alt>", None, "", "text", "<![bad[ x><div><ul><li>é<li>", "<br/>"]
+    nodes = [dom.parse_html(p) for p in pages]
+    for some in (nodes, nodes[1:2], nodes[2:3], [], nodes[::-1]):
+        got = dom.node_arrays(some)
+        assert got.to_pylist() == some
+        assert got.type.equals(pa.array(some, to_arrow_type(dom.NODES)).type)
