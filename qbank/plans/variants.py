@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from qbank.operators import distractors as D
 from qbank.operators.infer import Backend, RuleBackend
+from qbank.session import materialize
 from qbank.sources import fixtures as FX
 from qbank.sources import tables as TB
 
@@ -52,5 +53,6 @@ def term_distractors(spark, sf_dir, backend: Backend | None = None):
     terms = kt.select("chapter_name", "textbook_name", F.posexplode("key_terms").alias("pos", "kt")) \
         .select("chapter_name", "textbook_name", "pos", F.col("kt.term").alias("term"),
                 F.col("kt.definition").alias("definition"))
+    terms = materialize(terms, "terms")  # crawled once; requests and replies are joined on it
     r = D.term_distractors(terms, backend or RuleBackend(), ["chapter_name", "pos"])
     return r.select("chapter_name", "pos", "term", _joined(F.col("choices")))
