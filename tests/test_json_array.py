@@ -67,3 +67,12 @@ def test_written_arrays_are_arrays(spark, tmp_path, indent):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
     write_json_arrays(df.limit(0), str(tmp_path / "none"))
     assert IO.read_json_array(spark, str(tmp_path / "none"), "n BIGINT").count() == 0
+
+
+def test_whole_records_are_not_shuffled(spark, tmp_path):
+    """Only the pieces at the ends of a split travel; lines are not written again."""
+    (tmp_path / "a.json").write_text(json.dumps(records(200), indent=1))
+    df = read_json_array(spark, str(tmp_path), SCHEMA)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "_stretches" in plan and "Relation [value" in plan
+    assert rows(df) == records(200)
