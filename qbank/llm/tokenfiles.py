@@ -18,8 +18,8 @@ The dictionary is trained on the serialized ids of a bounded sample: the
 no document over 64 KB.
 Every document of the table is then encoded whole and compressed by itself.
 
-Words (runs without ASCII white space) are encoded once per task: no token spans
-white space, so a text's ids are those of its words in order.
+Words (runs without ASCII white space) are encoded once per ``CHUNK_BYTES`` of texts: no
+token spans white space, so a text's ids are those of its words in order.
 
 Edge cases: a null text is empty and holds just the end id; null ids come first;
 rows with equal ids keep a fixed order by content; an empty table makes a folder
@@ -34,9 +34,11 @@ import re
 import zlib
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -48,7 +50,9 @@ SAMPLE_BYTES = 4 << 20
 DICT_BYTES = 32 << 10
 BLOCK_BYTES = 1 << 20
 LEVEL = 3
-#: Distinct words kept per task before the store is emptied.
+#: Bytes of text that are encoded at once, their distinct words once.
+CHUNK_BYTES = 4 << 20
+#: Other units than Latin ones kept per worker before the store is emptied.
 WORD_STORE = 200_000
 #: Closing punctuation that is a unit of its own after letters.
 TAIL = ".,!?;:"
@@ -56,6 +60,8 @@ TAIL = ".,!?;:"
 
 #: Letters that are letters to any library, fixed under NFC, with one lower-case letter.
 LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+")
+#: A word of such letters and closing punctuation, to Arrow.
+PLAIN = f"^{LATIN.pattern}[{TAIL}]*$"
 CLOSE = "\x01"
 
 
@@ -86,27 +92,15 @@ def _joins(spec: dict):
     return tiktoken.Encoding("words", pat_str=f"[^{CLOSE}]+{CLOSE}", mergeable_ranks=ranks, special_tokens={})
 
 
-class _Store(dict):
-    """thing -> its number; numbers new things as they are asked for."""
-
-    def __init__(self):
-        self.new = []
-
-    def __missing__(self, thing) -> int:
-        n = self[thing] = len(self)
-        self.new.append(thing)
-        return n
-
-
 class WordEncoder:
-    """Ids of texts by way of a store of encoded words.
+    """Ids of texts by way of their distinct words.
 
     A word of plain Latin letters (``LATIN``) is one unit to the tokenizer, and closing
     punctuation after it a second one, so such words share their units; any other word
     is a unit itself. Latin units are joined by the ``tiktoken`` library, where a mark
     (``CLOSE``) stands for the end of a word and is joined to its last letter first:
     the tokenizer's own merges, in the same order. All else, and all units of tokenizers
-    that are not of this kind, go to the tokenizer.
+    that are not of this kind, go to the tokenizer, and are kept in a store.
     """
 
     def __init__(self, tokenizer_json: str):
@@ -115,74 +109,98 @@ class WordEncoder:
         self.closes = np.zeros(self.tok.get_vocab_size() + 1, bool)
         self.closes[[i for t, i in self.tok.get_vocab().items() if t.endswith("</w>")]] = True
         self.joins = _joins(json.loads(tokenizer_json))
-        self.latin = LATIN if self.joins else re.compile("(?!)")
         self.clear()
 
     def clear(self) -> None:
-        self.words, self.units = _Store(), _Store()
-        self.pairs = np.zeros((0, 2), np.int64)  # the units of each word
-        self.ids, self.starts, self.lens = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.store: dict[str, np.ndarray] = {}
 
-    def _each(self, units: list[str]) -> tuple[list[np.ndarray], list[int]]:
-        found = [e.ids for e in self.tok.encode_batch_fast(units, add_special_tokens=False)]
-        return [np.array(x, np.uint32) for x in found], [len(x) for x in found]
+    def _each(self, units: list[str]) -> list[np.ndarray]:
+        if len(self.store) > WORD_STORE:
+            self.clear()
+        new = [u for u in units if u not in self.store]
+        for u, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False)):
+            self.store[u] = np.array(e.ids, np.uint32)
+        return [self.store[u] for u in units]
 
-    def _letters(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _letters(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Units of Latin letters: encoded as one text, measured where a unit closes."""
-        if not units:
+        if not len(units):
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        ids = self.joins.encode_to_numpy("".join([u.lower() + CLOSE for u in units]))
+        whole = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(units)], pa.int32()), units), CLOSE)
+        ids = self.joins.encode_to_numpy(whole[0].as_py().lower() + CLOSE)
         return ids, np.diff(np.flatnonzero(self.closes[ids]), prepend=-1)
 
-    def _learn(self) -> None:
-        """Encode what the stores were asked for and did not have."""
-        unit, pairs = self.units, []
-        for w in self.words.new:
-            s = w.decode()
-            core = s.rstrip(TAIL)
-            pairs.append((unit[core], unit[s[len(core):]]) if self.latin.fullmatch(core) else (unit[s], unit[""]))
-        self.words.new = []
-        self.pairs = np.concatenate((self.pairs, np.array(pairs, np.int64)))
-        new, have = unit.new, len(self.lens)
-        unit.new = []
-        latin = [bool(self.latin.fullmatch(u)) for u in new]
-        plain = [k for k, x in enumerate(latin) if x]
-        other = [k for k, x in enumerate(latin) if not x]
-        ids_a, lens_a = self._letters([new[k] for k in plain])
-        ids_b, lens_b = self._each([new[k] for k in other])
-        lens = np.concatenate((lens_a, np.array(lens_b, np.int64)))
-        starts = len(self.ids) + np.cumsum(lens) - lens
-        where = np.array(plain + other, np.int64) + have
-        self.lens, self.starts = np.resize(self.lens, have + len(new)), np.resize(self.starts, have + len(new))
-        self.lens[where], self.starts[where] = lens, starts
-        self.ids = np.concatenate([self.ids, ids_a, *ids_b])
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct words end to end, and how many each has."""
+        if self.joins:
+            plain = pc.match_substring_regex(words, PLAIN)
+            core = pc.if_else(plain, pc.utf8_rtrim(words, TAIL), words)
+            closed = pc.and_(plain, pc.not_equal(pc.binary_length(core), pc.binary_length(words)))
+            plain, closed = (x.to_numpy(zero_copy_only=False) for x in (plain, closed))
+        else:
+            core, plain, closed = words, np.zeros(len(words), bool), np.zeros(len(words), bool)
+        tails = pc.replace_substring_regex(words.filter(pa.array(closed)), f"^{LATIN.pattern}", "").dictionary_encode()
+        core = core.dictionary_encode()
+        latin = np.zeros(len(core.dictionary), bool)
+        latin[core.indices.to_numpy()[plain]] = True
+        ids_a, lens_a = self._letters(core.dictionary.filter(pa.array(latin)))
+        others = self._each(core.dictionary.filter(pa.array(~latin)).to_pylist() + tails.dictionary.to_pylist())
+        ids = np.concatenate([ids_a, *others])
+        lens = np.concatenate((lens_a, np.fromiter(map(len, others), np.int64, len(others)), [0]))
+        starts = np.cumsum(lens) - lens
+        place = np.empty(len(latin), np.int64)  # of a core among all units
+        place[latin], place[~latin] = np.arange(len(lens_a)), len(lens_a) + np.arange(len(latin) - len(lens_a))
+        units = np.full((len(words), 2), len(lens) - 1)  # the last unit is the empty one
+        units[:, 0] = place[core.indices.to_numpy()]
+        units[closed, 1] = len(latin) + tails.indices.to_numpy()
+        return _gathered(ids, starts, lens, units.ravel()), lens[units].sum(axis=1)
+
+    def encode_flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (none null) end to end, and where each text's end."""
+        split = pc.ascii_split_whitespace(texts)  # at the six ASCII white characters
+        words = split.flatten().dictionary_encode()
+        ids, lens = self._words(words.dictionary)
+        which = words.indices.to_numpy()
+        ends = np.concatenate(([0], np.cumsum(lens[which])))[np.cumsum(pc.list_value_length(split).to_numpy())]
+        return _gathered(ids, np.cumsum(lens) - lens, lens, which), ends
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        if len(self.words) > WORD_STORE:
-            self.clear()
-        number = self.words.__getitem__
-        split = [t.split() for t in texts]  # bytes split on the six ASCII white characters
-        numbers = [np.fromiter(map(number, s), np.int64, len(s)) for s in split]
-        if self.words.new:
-            self._learn()
-        out = []
-        for w in numbers:
-            u = self.pairs[w].ravel()
-            n = self.lens[u]
-            first = np.cumsum(n) - n
-            out.append(self.ids[np.arange(int(n.sum())) + np.repeat(self.starts[u] - first, n)])
-        return out
-
-
-def _chunks(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
-    """(index of the first, texts as bytes) in groups of about ``most`` bytes."""
-    first, group, size = 0, [], 0
-    for k in range(len(column)):
-        group.append((column[k].as_py() or "").encode())
-        size += len(group[-1])
-        if size >= most or k + 1 == len(column):
-            yield first, group
-            first, group, size = k + 1, [], 0
+        ids, ends = self.encode_flat(pa.array(texts, pa.binary()).cast(pa.string()))
+        return np.split(ids, ends[:-1])
+
+
+def _gathered(ids: np.ndarray, starts: np.ndarray, lens: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """The runs ``which`` of ``ids`` (from their starts, of their lengths) end to end."""
+    n = lens[which]
+    ends = np.cumsum(n)
+    return ids[np.arange(ends[-1] if len(n) else 0) + np.repeat(starts[which] - ends + n, n)]
+
+
+def _chunks(batches, most: int = CHUNK_BYTES) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """(ids, texts) of about ``most`` bytes of text, over the bounds of the batches; a null
+    text is empty."""
+    def joined():
+        return tuple(pa.concat_arrays([b.column(c) for b in held]) for c in (0, 1))
+    held, size = [], 0
+    for b in batches:
+        b = pa.RecordBatch.from_arrays([b.column(0), b.column(1).fill_null("")], ["id", "text"])
+        first = 0
+        for k, n in enumerate(pc.binary_length(b.column(1)).to_pylist(), 1):
+            size += n
+            if size >= most:
+                held.append(b.slice(first, k - first))
+                yield joined()
+                held, size, first = [], 0, k
+        if first < b.num_rows:
+            held.append(b.slice(first))
+    if held:
+        yield joined()
+
+
+@lru_cache(maxsize=1)
+def _word_encoder(tokenizer_json: str) -> WordEncoder:
+    """Loaded once by a Python worker, which runs many tasks."""
+    return WordEncoder(tokenizer_json)
 
 
 def _encoder(tokenizer, end_id: int, width: str, dictionary):
@@ -190,23 +208,20 @@ def _encoder(tokenizer, end_id: int, width: str, dictionary):
     the frame is the plain serialized ids."""
     def run(batches):
         import zstandard
-        enc = None
         if dictionary is not None:
             comp = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary.value))
             pack = comp.compress
         else:
             pack = bytes
-        for b in batches:
-            enc = enc or WordEncoder(tokenizer.value)
-            for first, group in _chunks(b.column(1)):
-                frames, counts = [], []
-                for ids in enc.encode(group):
-                    full = np.append(ids, np.uint32(end_id))
-                    counts.append(len(full))
-                    frames.append(pack(full.astype(width).tobytes()))
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(first, len(group)), pa.array(counts, pa.int64()), pa.array(frames, pa.binary())],
-                    names=["id", "n_tokens", "frame"])
+        for of, texts in _chunks(batches):
+            ids, ends = _word_encoder(tokenizer.value).encode_flat(texts)
+            full = memoryview(np.insert(ids, ends, end_id).astype(width)).cast("B")
+            ends = ends + np.arange(1, len(ends) + 1)
+            cuts = (np.concatenate(([0], ends)) * np.dtype(width).itemsize).tolist()
+            frames = [pack(full[a:z]) for a, z in zip(cuts, cuts[1:])]
+            yield pa.RecordBatch.from_arrays(
+                [of, pa.array(np.diff(ends, prepend=0), pa.int64()), pa.array(frames, pa.binary())],
+                names=["id", "n_tokens", "frame"])
     return run
 
 

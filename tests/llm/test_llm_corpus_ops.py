@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -292,6 +293,26 @@ def test_word_encoder_on_any_text(text):
     assert enc.encode([text.encode()])[0].tolist() == library_ids(text)
 
 
+def test_words_of_many_batches_are_encoded_once(monkeypatch):
+    """Small batches share their distinct words and the worker's encoder; each text keeps its ids."""
+    from types import SimpleNamespace
+    asked, loaded = [], []
+    letters, load = tokenfiles.WordEncoder._letters, tokenfiles.WordEncoder.__init__
+    monkeypatch.setattr(tokenfiles.WordEncoder, "_letters", lambda self, units: asked.extend(units.to_pylist()) or letters(self, units))
+    monkeypatch.setattr(tokenfiles.WordEncoder, "__init__", lambda self, spec: loaded.append(1) or load(self, spec))
+    texts = [*ODD, None, "", " \t ", *(f"The same words, again! {i % 3}" for i in range(60))]
+    batches = [pa.RecordBatch.from_arrays([pa.array([i]), pa.array([t], pa.string())], ["id", "text"]) for i, t in enumerate(texts)]
+    spec = SimpleNamespace(value=open(TOKENIZER, encoding="utf-8").read())
+    for _ in range(2):
+        out = [r for b in tokenfiles._encoder(spec, 2, "<u4", None)(iter(batches)) for r in b.to_pylist()]
+        assert [(r["id"], np.frombuffer(r["frame"], "<u4").tolist()) for r in out] == [
+            (i, [*library_ids(t), 2]) for i, t in enumerate(texts)]
+        assert [r["n_tokens"] for r in out] == [len(r["frame"]) // 4 for r in out]
+        assert asked.count("same") == 1
+        asked.clear()
+    assert len(loaded) <= 1
+
+
 def test_token_files(spark, tmp_path):
     df = edges(spark)
     path = str(tmp_path / "tokens")
