@@ -6,6 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from qbank.operators import dom
+from qbank.plans import chapters as CH
 from qbank.plans import crawl as CR
 
 BASE = "https://books.example.org/books/econ-x/pages/"
@@ -53,6 +54,30 @@ def test_only_odd_pages_are_shuffled(spark):
     assert "LeftAnti" in buf.getvalue() and "CartesianProduct" not in buf.getvalue()
 
 
+def explained(df):
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
+def test_contents_pages_are_parsed_where_they_lie(spark):
+    item = '<li><a class="toc-link" href="{0}">x</a></li>'
+    rows = [("contents", f"{BASE}{i}-contents", "<ol>" + item.format(f"{i}-key-terms") * 2 + item.format("0-key-terms#t") + "</ol>")
+            for i in range(9)] + [("content", BASE + "0-key-terms", "<ol>" + item.format("7-summary") + "</ol>"), ("contents", None, "")]
+    links = CR.routed_links(spark.createDataFrame(rows, "page string, url string, html string"), "econ")
+    assert sorted(r.resolved_url for r in links.collect()) == [f"{BASE}{i}-key-terms" for i in range(9)]
+    assert "REPARTITION" not in explained(links)
+
+
+def test_chapters_move_only_the_documents(spark):
+    """One exchange, of the documents: rendered chapters are parsed where they are rendered."""
+    for query in (CH.econ_chapter_sections, CH.econ_chapter_feed):
+        plan = explained(query(spark, "/root/testdata/sf0.001"))
+        moved = [line for line in plan.splitlines() if "Exchange" in line]
+        assert moved and all("Exchange hashpartitioning(doc_id" in line for line in moved) and "Sort" not in plan
+
+
 class Standard(dom._TreeBuilder):
     def plain(self, html):
         return False
