@@ -132,11 +132,18 @@ def self_check_stream(questions: DataFrame, answers: DataFrame, event_time: str
     named = X.truthy(F.col("fragment"))
     status = F.when(~named, "no_link").when(F.col("page_url").isNull(), "absent").otherwise("found")
     answer = F.when(~named, F.lit("Answer not found")).otherwise(F.coalesce("found", F.lit("")))
-    j = j.withColumn("answer", answer).withColumn("answer_status", status)
-    return j.select(F.lit(SELF_CHECK).alias("section_name"), TX.qa_text("question", "answer").alias("section_text"),
-                    U.chapter_name("chapter_url").alias("chapter_name"),
-                    U.textbook_name("chapter_url").alias("textbook_name"),
-                    "chapter_url", "question", "answer", "problem_pos", "answer_status", "asked_at")
+    return answered(j.withColumn("answer", answer).withColumn("answer_status", status).select(*ANSWERED))
+
+
+#: What the question-answer join finds; the other columns follow from these.
+ANSWERED = ["chapter_url", "question", "answer", "problem_pos", "answer_status", "asked_at"]
+
+
+def answered(found: DataFrame) -> DataFrame:
+    """The canonical section columns of ``ANSWERED`` rows."""
+    return found.select(F.lit(SELF_CHECK).alias("section_name"), TX.qa_text("question", "answer").alias("section_text"),
+                        U.chapter_name("chapter_url").alias("chapter_name"),
+                        U.textbook_name("chapter_url").alias("textbook_name"), *ANSWERED)
 
 
 def _texts_by_id(nodes: str) -> F.Column:
@@ -179,10 +186,11 @@ def stream_self_check(spark: SparkSession, landing: str, max_files_per_trigger:
     """ST1, second hop: drain the landing folder through the question-answer join."""
     read = lambda: _pages(spark, landing, max_files_per_trigger)
     sink = _scratch(spark, "st1-answers")
-    seen = run_available(self_check_stream(read(), read(), **times), sink, _scratch(spark, "st1-answers-ckpt"))
+    # the sink holds no text twice
+    seen = run_available(self_check_stream(read(), read(), **times).select(*ANSWERED), sink, _scratch(spark, "st1-answers-ckpt"))
     if progress is not None:
         progress += seen
-    return spark.read.parquet(sink)
+    return answered(spark.read.parquet(sink))
 
 
 def stream_result_log(spark: SparkSession, landing: str, log: str, ckpt: str,

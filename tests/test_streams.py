@@ -117,3 +117,17 @@ def test_batch_and_stream_read_the_same_answers(spark):
         "url string, html string").withColumn("fetched_at", t)
     got = {r.question: r.answer_status for r in ST.self_check_stream(pages, pages).collect()}
     assert got == {"q1Show": "found", "q2Show": "absent"}
+
+
+def test_the_answer_sink_holds_no_text_twice(spark, tmp_path, monkeypatch):
+    import datetime
+    base, at = "https://books.example.org/books/econ-x/pages/", datetime.datetime(2024, 1, 1)
+    asks = '<div data-type="problem"><p>Why?</p><a href="1-answers#a1" data-page-fragment="a1">Show</a></div>'
+    landing, seen, run = str(tmp_path / "landing"), [], ST.run_available
+    spark.createDataFrame([(base + "1-self-check-questions", asks, at), (base + "1-answers", '<div id="a1">So.</div>', at)],
+                          ST.PAGE_SCHEMA).coalesce(1).write.parquet(landing)
+    monkeypatch.setattr(ST, "run_available", lambda stream, *a: seen.append(stream.columns) or run(stream, *a))
+    got = ST.stream_self_check(spark, landing).collect()
+    assert seen == [ST.ANSWERED] and "section_text" not in seen[0]
+    assert [(r.section_name, r.section_text, r.chapter_name, r.textbook_name, r.answer_status) for r in got] == [
+        ("self-check-questions", "Question: Why?Show Answer: So.", "1-self-check-questions", "econ-x", "found")]
