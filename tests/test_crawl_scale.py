@@ -96,3 +96,31 @@ def test_plain_markup_is_parsed_as_by_the_standard_parser():
         assert dom.parse_page(html) == (b.finish(), b.faults), html
         plain += dom._TreeBuilder().plain(html)
     assert plain > 100
+
+
+def moved_bytes(df):
+    """Bytes that each exchange moved when ``df`` was collected; what is cached is not looked into."""
+    def below(p):
+        name = p.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return below(p.executedPlan())
+        if name.endswith("QueryStage"):
+            return below(p.plan())
+        found = [p.metrics().apply("dataSize").value()] if name == "Exchange" else []
+        for i in range(p.children().size()):
+            found += below(p.children().apply(i))
+        return found
+    return below(df._jdf.queryExecution().executedPlan())
+
+
+def test_extracted_pages_are_not_moved(spark, tmp_path):
+    """Rendered pages with one link each are parsed and extracted where they are rendered."""
+    text = "\n".join(f"line {i} " + "x" * 2000 for i in range(30))
+    docs = [(i, text, "en", f"s{i % 2}", len(text)) for i in range(8)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    for query, rows in ((CR.econ_key_concepts, 80),):
+        df = query(spark, str(tmp_path))
+        assert len(df.collect()) == rows
+        moved = moved_bytes(df)
+        assert moved and sum(moved) < len(text), moved
