@@ -119,7 +119,7 @@ def test_extracted_pages_are_not_moved(spark, tmp_path):
     docs = [(i, text, "en", f"s{i % 2}", len(text)) for i in range(8)]
     spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
         f"{tmp_path}/documents.parquet")
-    for query, rows in ((CR.econ_key_concepts, 80),):
+    for query, rows in ((CR.econ_key_concepts, 80), (CR.finance_key_terms, 120)):
         df = query(spark, str(tmp_path))
         assert len(df.collect()) == rows
         moved = moved_bytes(df)
