@@ -32,12 +32,15 @@ def _files(spark: SparkSession, least: int) -> int:
 
 #: Event time of the first wave, and minutes until the clock has passed every wait.
 START, LONG_AFTER = "2024-01-01 00:00:00", 60 * 24 * 7
+#: Bytes of a row group of landed pages: a scan cannot split one, and pages are parsed where they lie.
+ROW_GROUP = 8 << 20
 
 
 def _land(pages: DataFrame, landing: str, minutes: int) -> None:
     """Let ``pages`` (url, html) land, fetched so many minutes after the start."""
     at = F.lit(START).cast("timestamp") + F.make_dt_interval(mins=F.lit(minutes))
-    pages.select("url", "html", at.alias(ST.FETCHED_AT)).write.mode("append").parquet(landing)
+    (pages.select("url", "html", at.alias(ST.FETCHED_AT)).write.mode("append")
+     .option("compression", "zstd").option("parquet.block.size", ROW_GROUP).parquet(landing))
 
 
 def _clock(spark: SparkSession, landing: str, minutes: int = LONG_AFTER) -> None:

@@ -2,7 +2,8 @@
 
 ST1 ``stream_sections``: pages landing as files -> each URL once (state kept for
 ``delay`` of event time) -> X0 -> extraction routed by the page's own URL -> append
-to a Parquet sink. ``stream_self_check``: a question waits for its answer in a left
+to a Parquet sink. Only URLs and the places of their pages go through the state's
+shuffle; the markup is read where it landed (``pages_at``). ``stream_self_check``: a question waits for its answer in a left
 outer stream-stream join on (page, element id). The watermark bounds both sides' state,
 and a question whose answer does not come within ``wait`` is emitted as ``absent``.
 
@@ -31,7 +32,7 @@ from qbank.operators import evaluate as EV
 from qbank.operators import extract as X
 from qbank.operators.dom import dom_nodes
 from qbank.operators.sections import SELF_CHECK
-from qbank.session import checkpoint_dir
+from qbank.session import checkpoint_dir, materialize
 from qbank.sources.io import CATALOG
 
 BOOKS = ("econ", "finance")
@@ -89,10 +90,19 @@ def sections_stream(pages: DataFrame, event_time: str | None = None,
 
     With ``event_time`` (a fetch timestamp column) the URL de-dup keeps state
     only within the watermark delay; without it the state holds every URL seen."""
-    from qbank.plans.crawl import extract_sections
+    return page_sections(section_pages(pages, event_time, delay))
+
+
+def section_pages(pages: DataFrame, event_time: str | None = None, delay: str = "1 day") -> DataFrame:
+    """Each URL of ``sections_stream`` once, with the other columns of its first page."""
     route = page_route("url")
-    routed = (each_url_once(pages, event_time, delay, route.isNotNull() & (route != "self_check"))
-              .withColumn("book", page_book("url")).withColumn("route", page_route("url", F.col("book"))))
+    return each_url_once(pages, event_time, delay, route.isNotNull() & (route != "self_check"))
+
+
+def page_sections(pages: DataFrame) -> DataFrame:
+    """The sections of pages (``url, html``), routed by their own URLs."""
+    from qbank.plans.crawl import extract_sections
+    routed = pages.withColumn("book", page_book("url")).withColumn("route", page_route("url", F.col("book")))
     parsed = dom_nodes(routed.select(F.col("url").alias("chapter_url"), "route", "book", "html"),
                        keep=["chapter_url", "route", "book"])
     return extract_sections(parsed).drop("problems")
@@ -173,12 +183,37 @@ def _pages(spark: SparkSession, landing: str, max_files_per_trigger: int) -> Dat
             .parquet(landing))
 
 
+def _place() -> list[F.Column]:
+    """Where a landed page lies: its file and its row in it."""
+    return [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")]
+
+
+def pages_at(landing: str, places: DataFrame) -> DataFrame:
+    """The landed pages (``url, html``) at ``places`` (``file, row``), read where they lie.
+    ``places`` is read once; what every task gets of it is a bit for each row of the files."""
+    part, bit = F.bitmap_bucket_number("row"), F.bitmap_bit_position("row")
+    taken = materialize(places.groupBy(F.col("file").alias("_file"), part.alias("_part"))
+                        .agg(F.bitmap_construct_agg(bit).alias("_bits")), "places")
+    files = [r[0] for r in taken.select("_file").distinct().collect()]  # of one micro-batch
+    pages = places.sparkSession.read.schema(PAGE_SCHEMA).parquet(landing)
+    pages = pages.where(F.col("_metadata.file_path").isin(files)).select("url", "html", *_place())
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    here = ((F.col("file") == F.col("_file")) & (part == F.col("_part"))
+            & (byte.bitwiseAND(F.expr("shiftleft(1, int(bitmap_bit_position(row) % 8))")) != 0))
+    return pages.join(F.broadcast(taken), here, "left_semi").drop("file", "row")
+
+
 def stream_sections(spark: SparkSession, landing: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """ST1: drain the landing folder through the stream, return the sink."""
-    src = _pages(spark, landing, max_files_per_trigger)
+    """ST1: drain the landing folder through the stream, return the sink. A micro-batch
+    writes its own folder, which it overwrites if it runs again."""
+    src = _pages(spark, landing, max_files_per_trigger).select("url", FETCHED_AT, *_place())
     sink = _scratch(spark, "st1-sink")
-    run_available(sections_stream(src, FETCHED_AT), sink, _scratch(spark, "st1-ckpt"))
-    return spark.read.parquet(sink)
+
+    def append(batch: DataFrame, number: int) -> None:
+        found = page_sections(pages_at(landing, batch.select("file", "row")))
+        found.write.mode("overwrite").option("compression", "zstd").parquet(f"{sink}/batch={number}")
+    _drained(section_pages(src, FETCHED_AT).writeStream.foreachBatch(append), _scratch(spark, "st1-ckpt"))
+    return spark.read.option("recursiveFileLookup", "true").parquet(sink)
 
 
 def stream_self_check(spark: SparkSession, landing: str, max_files_per_trigger: int = 1,

@@ -131,3 +131,37 @@ def test_the_answer_sink_holds_no_text_twice(spark, tmp_path, monkeypatch):
     assert seen == [ST.ANSWERED] and "section_text" not in seen[0]
     assert [(r.section_name, r.section_text, r.chapter_name, r.textbook_name, r.answer_status) for r in got] == [
         ("self-check-questions", "Question: Why?Show Answer: So.", "1-self-check-questions", "econ-x", "found")]
+
+
+def land_pages(spark, landing, rows, files=1):
+    import datetime
+    df = spark.createDataFrame([(*r, datetime.datetime(2024, 1, 1)) for r in rows], ST.PAGE_SCHEMA)
+    df.coalesce(files).write.mode("append").option("parquet.block.size", 1 << 16).parquet(landing)
+
+
+def test_only_urls_are_shuffled_for_sections(spark, tmp_path, monkeypatch):
+    base, landing, seen, once = "https://books.example.org/books/finance-x/pages/", str(tmp_path / "a landing"), [], ST.each_url_once
+    text = lambda i: f'<div id="main-content">{i} {"x" * 300}</div>'
+    rows = [(f"{base}{i}-summary", text(i)) for i in range(900)]
+    land_pages(spark, landing, rows + [(base + "901-summary", None), (None, "x"), ("u", "y")], 3)
+    land_pages(spark, landing, rows[:500] + [(base + "902-problems", text(902))] * 2)
+    monkeypatch.setattr(ST, "each_url_once", lambda pages, *a: seen.append(pages.columns) or once(pages, *a))
+    got = ST.stream_sections(spark, landing, max_files_per_trigger=2).collect()
+    assert seen and all("html" not in columns for columns in seen)
+    want = {(f"{i}-summary", f'{i} {"x" * 300}') for i in range(900)} | {("901-summary", None), ("902-problems", f'902 {"x" * 300}')}
+    assert len(got) == len(want) and {(r.chapter_name, r.section_text) for r in got} == want
+
+
+def test_sections_of_an_empty_landing(spark, tmp_path):
+    land_pages(spark, str(tmp_path / "landing"), [])
+    assert ST.stream_sections(spark, str(tmp_path / "landing")).count() == 0
+
+
+def test_pages_are_found_by_file_and_row(spark, tmp_path):
+    landing = str(tmp_path / "landing")
+    spark.range(0, 70000, 1, 2).selectExpr("string(id) url", "string(-id) html", "timestamp'2024-01-01' fetched_at").write.parquet(landing)
+    pages = spark.read.schema(ST.PAGE_SCHEMA).parquet(landing).select("url", *ST._place())
+    some = pages.where("url % 7 = 3 or url in (0, 32767, 32768, 34999, 35000, 69999)")
+    want = {(r.url, str(-int(r.url))) for r in some.collect()}
+    got = ST.pages_at(landing, some.select("file", "row")).collect()
+    assert len(got) == len(want) > 9000 and {(r.url, r.html.replace("-0", "0")) for r in got} == want
