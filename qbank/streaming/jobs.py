@@ -167,7 +167,8 @@ def _texts_by_id(nodes: str) -> F.Column:
 
 def run_available(stream: DataFrame, sink_path: str, ckpt: str) -> list[dict]:
     """Drain what has landed into a Parquet folder; the progress of the last batches."""
-    return _drained(stream.writeStream.format("parquet").option("path", sink_path).outputMode("append"), ckpt)
+    return _drained(stream.writeStream.format("parquet").option("path", sink_path).option("compression", "zstd")
+                    .outputMode("append"), ckpt)
 
 
 def _drained(writer, ckpt: str) -> list[dict]:

@@ -165,3 +165,14 @@ def test_pages_are_found_by_file_and_row(spark, tmp_path):
     want = {(r.url, str(-int(r.url))) for r in some.collect()}
     got = ST.pages_at(landing, some.select("file", "row")).collect()
     assert len(got) == len(want) > 9000 and {(r.url, r.html.replace("-0", "0")) for r in got} == want
+
+
+def test_what_streams_keep_is_packed(spark, tmp_path, monkeypatch):
+    """The landed pages and both sinks of the section counts."""
+    import pyarrow.parquet as pq
+    monkeypatch.setattr(ST, "_scratch", lambda spark, name: str(tmp_path / name))
+    assert STR.stream_section_counts(spark, SF).count() == 8
+    for name in ("st1-landing", "st1-sink", "st1-answers"):
+        files = list((tmp_path / name).rglob("*.parquet"))
+        assert files and {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files
+                          if pq.ParquetFile(f).metadata.num_rows} == {"ZSTD"}
