@@ -67,7 +67,9 @@ ANSWER_DELAYS = (-120, 0, 180, 60 * 30, None)
 
 
 def waiting_answers(spark: SparkSession, sf_dir: str, progress: list | None = None) -> DataFrame:
-    """The question-answer join with the answers of ANSWER_DELAYS, in order of event time."""
+    """The question-answer join with the answers of ANSWER_DELAYS, in order of event time. A
+    micro-batch takes the files of a wave, however many cores wrote them: each of its many
+    state stores is loaded and committed once a wave."""
     from qbank.plans.crawl import site
     landing = ST._scratch(spark, "st1-waiting")
     pages = site(spark, sf_dir)
@@ -77,7 +79,7 @@ def waiting_answers(spark: SparkSession, sf_dir: str, progress: list | None = No
     for minutes, wave in sorted(waves, key=lambda w: w[0]):
         _land(wave.select("url", "html").coalesce(_files(spark, 2)), landing, minutes)
     _clock(spark, landing)
-    return ST.stream_self_check(spark, landing, max_files_per_trigger=2, progress=progress)
+    return ST.stream_self_check(spark, landing, max_files_per_trigger=_files(spark, 2), progress=progress)
 
 
 def stream_waiting_answers(spark: SparkSession, sf_dir: str) -> DataFrame:

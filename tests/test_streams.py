@@ -176,3 +176,11 @@ def test_what_streams_keep_is_packed(spark, tmp_path, monkeypatch):
         files = list((tmp_path / name).rglob("*.parquet"))
         assert files and {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files
                           if pq.ParquetFile(f).metadata.num_rows} == {"ZSTD"}
+
+
+def test_a_wave_is_one_micro_batch(spark):
+    """More cores write more files of a wave, not more loads and commits of the state."""
+    progress = []
+    STR.waiting_answers(spark, SF, progress=progress)
+    assert STR._files(spark, 2) > 2
+    assert sum(p["numInputRows"] > 0 for p in progress) <= len(STR.ANSWER_DELAYS) + 2
