@@ -57,3 +57,34 @@ def test_nodes_by_column_are_the_nodes():
         got = dom.node_arrays(some)
         assert got.to_pylist() == some
         assert got.type.equals(pa.array(some, to_arrow_type(dom.NODES)).type)
+
+
+PAGES = ["<div id=main-content class='x y'>1<b>2</b><p>3</div><div id=a>4", None, "", "text", "<![bad[ x><div id=b id=main-content><div>é", "<br/>"]
+
+
+def test_asked_fields_are_the_nodes_own(spark):
+    """Other fields are null, other nodes left out; pages are parsed whole."""
+    from qbank.operators import dom
+    from qbank.operators import extract as X
+    df = spark.createDataFrame(list(enumerate(PAGES)), "n int, html string")
+    whole = {r.n: r for r in dom.dom_nodes(df, status=True).collect()}
+    for reads in (X.TOC_LINKS_READ, X.MAIN_TEXT_READ, X.SELF_CHECK_READ, X.WITH_ID_READ, {"fields": ()}):
+        fields, only = reads["fields"], reads.get("only", lambda n: bool(reads["fields"]))
+        for r in dom.dom_nodes(df, status=True, **reads).collect():
+            nodes = whole[r.n].nodes
+            want = None if nodes is None else [
+                {k: v if k in fields else None for k, v in n.asDict(True).items()} for n in nodes if only(n)]
+            assert want == (None if r.nodes is None else [n.asDict(True) for n in r.nodes]), (fields, r.n)
+            assert (r.n_faults, r.parse_status) == (whole[r.n].n_faults, whole[r.n].parse_status)
+    for reads, expr in ((X.MAIN_TEXT_READ, X.main_text("nodes")), (X.WITH_ID_READ, X.elements_with_id("nodes"))):
+        assert dom.dom_nodes(df, **reads).select("n", expr).collect() == dom.dom_nodes(df).select("n", expr).collect()
+
+
+@pytest.mark.parametrize("name, parses", [("crawl_quarantine", 3)])
+def test_only_nodes_that_are_read_leave_python(spark, monkeypatch, name, parses):
+    from qbank.operators import dom
+    from qbank.plans import registry
+    asked = []
+    monkeypatch.setattr(CR, "dom_nodes", lambda p, **k: asked.append(k.get("fields")) or dom.dom_nodes(p, **k))
+    registry.QUERIES[name](spark, SF)
+    assert len(asked) == parses and None not in asked
