@@ -80,7 +80,7 @@ def test_asked_fields_are_the_nodes_own(spark):
         assert dom.dom_nodes(df, **reads).select("n", expr).collect() == dom.dom_nodes(df).select("n", expr).collect()
 
 
-@pytest.mark.parametrize("name, parses", [("crawl_quarantine", 3), ("main_texts", 3), ("crawl_section_counts", 5)])
+@pytest.mark.parametrize("name, parses", [("crawl_quarantine", 3), ("main_texts", 3), ("crawl_section_counts", 5), ("seeded_section_counts", 5)])
 def test_only_nodes_that_are_read_leave_python(spark, monkeypatch, name, parses):
     from qbank.operators import dom
     from qbank.plans import registry
